@@ -19,6 +19,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmart.llm.common import kept
 from fieldmart.llm.transducer import Transducer
 
 LEXICON = 50_000
@@ -247,10 +248,19 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON) -> list[str]:
-    """The `most` most frequent words (runs of letters) of all texts that occur more than once and take at most 64 bytes."""
+    """At most `most` of the most frequent words (runs of letters, 64 bytes at most) of all texts: those of the frequency classes that fit.
+
+    Classes are steps of a twentieth in log(count), so what the driver gets is bounded by `most`, whatever the input.
+    """
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counted = words.groupBy("word").count().where("count > 1 and octet_length(word) <= 64")
-    return [r.word for r in counted.orderBy(F.desc("count"), "word").limit(most).collect()]
+    counted = words.groupBy("word").count().where("count > 1 and octet_length(word) <= 64").select("word", F.floor(20 * F.log("count")).alias("class"))
+    counted = kept(counted, "words")
+    taken, least = 0, None
+    for r in counted.groupBy("class").count().orderBy(F.desc("class")).collect():
+        if taken + r["count"] > most:
+            break
+        taken, least = taken + r["count"], r["class"]
+    return [] if least is None else [r.word for r in counted.where(F.col("class") >= least).select("word").collect()]
 
 
 def compiled(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> str:
