@@ -71,11 +71,11 @@ def asof_interval(df: DataFrame, ranges: DataFrame, keys: Sequence[str], date: s
 
 def unique_match(df: DataFrame, dim: DataFrame, on: Mapping[str, str], id_: str) -> DataFrame:
     """match_state NOT_FOUND, UNIQUE or AMBIGUOUS, and the id if unique, for df columns matched to dim columns."""
-    counted = dim.groupBy(*[F.col(d).alias(f"_{d}") for d in on.values()]).agg(F.count("*").alias("_n"), F.min(id_).alias("_id"))
-    condition = [df[a].eqNullSafe(counted[f"_{d}"]) for a, d in on.items()]
+    counted = dim.groupBy(*[F.col(d).alias(f"_dim_{d}") for d in on.values()]).agg(F.count("*").alias("_matches"), F.min(id_).alias("_match"))
+    condition = [df[a].eqNullSafe(counted[f"_dim_{d}"]) for a, d in on.items()]
     joined = df.join(counted, condition, "left")
-    state = F.when(F.col("_n").isNull(), "NOT_FOUND").when(F.col("_n") == 1, "UNIQUE").otherwise("AMBIGUOUS")
-    return joined.select(*[df[c] for c in df.columns], state.alias("match_state"), F.when(F.col("_n") == 1, F.col("_id")).alias("match_id"))
+    state = F.when(F.col("_matches").isNull(), "NOT_FOUND").when(F.col("_matches") == 1, "UNIQUE").otherwise("AMBIGUOUS")
+    return joined.select(*[df[c] for c in df.columns], state.alias("match_state"), F.when(F.col("_matches") == 1, F.col("_match")).alias("match_id"))
 
 
 def _on(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> list[Column]:
