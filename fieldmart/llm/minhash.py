@@ -88,12 +88,10 @@ def _signed(words_per_shingle: int):
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 values = shingle_set(text, words_per_shingle)
                 if not len(values):
-                    out.append((doc, 0, None, None, None))
+                    out.append((doc, 0, None, None))
                     continue
-                least = signature(values, BANDS * ROWS)
-                sketch = np.packbits((least & 1).astype(np.uint8)[:192]).view(np.int64)
-                out.append((doc, len(values), xxhash.xxh3_128_digest(values.tobytes()), _bands(least), sketch))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_key", "bands", "sketch"]).astype({"doc_id": "Int64"})
+                out.append((doc, len(values), xxhash.xxh3_128_digest(values.tobytes()), _bands(signature(values, BANDS * ROWS))))
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_key", "bands"]).astype({"doc_id": "Int64"})
 
     return run
 
@@ -106,7 +104,7 @@ def _sets(words_per_shingle: int):
     return run
 
 
-SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
+SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
 
 def _close(a: str, b: str, percent: int) -> str:
@@ -122,53 +120,79 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return shared.select("x", "p", "shared", (F.col("total") - F.col("shared")).alias("united"))
 
 
+def _starred(rows: DataFrame) -> DataFrame:
+    """rows (band, node, n, weight) with the node of the greatest weight in each band, as pivot and pivot_n."""
+    first = F.max(F.struct("weight", -F.col("node"), "n")).over(W.partitionBy("band"))
+    return rows.withColumn("_first", first).select("band", "node", "n", "weight", (-F.col("_first")["col2"]).alias("pivot"), F.col("_first")["n"].alias("pivot_n"))
+
+
+def _star_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    pairs = rows.where("node <> pivot").where(_close("n", "pivot_n", percent)).select(F.col("node").alias("x"), F.col("pivot").alias("p")).distinct()
+    return kept(_verified(pairs, sets), "stars")
+
+
+def _left_over(open_: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, p) of nodes around one pivot, in different components, that may still be linked.
+
+    With `own` the shingles that a node shares with the pivot, two nodes share at most the smaller `own` of the pivot's
+    shingles, so a link needs at least `lack` = what the threshold asks for less that many among the others. Pairs that
+    lack nothing are candidates at once; the rest are found by joining the shingles that the pivot doesn't have.
+    """
+    known = found.groupBy("x", "p").agg(F.max("shared").alias("shared"))
+    members = open_.where("node <> pivot").select("pivot", "node", "n", "label", "main").distinct()
+    members = members.join(known, (F.col("node") == F.col("x")) & (F.col("pivot") == F.col("p")), "left")
+    members = kept(members.select("pivot", "node", "n", "label", "main", F.coalesce("shared", "n").alias("own")), "members")
+    apart = f"a.pivot = b.pivot and a.label <> b.label and (b.label = b.main or a.node < b.node) and {_close('a.n', 'b.n', percent)}"
+    lack = f"(ceil({percent} * (a.n + b.n) / {100 + percent}) - least(a.own, b.own))"
+    strays, every = members.where("label <> main").alias("a"), members.alias("b")
+    direct = strays.join(every, F.expr(f"{apart} and {lack} <= 0")).select(F.col("a.node").alias("x"), F.col("b.node").alias("p"))
+
+    both = members.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items")), "pivot")
+    others = kept(both.select("pivot", "node", "n", "label", "main", "own", F.explode(F.array_except("items", "pivot_items")).alias("item")), "others")
+    met = others.where("label <> main").alias("a").join(others.alias("b"), F.expr(f"a.item = b.item and {apart} and {lack} > 0"))
+    counted = met.groupBy(F.col("a.node").alias("x"), F.col("b.node").alias("p"), F.expr(lack).alias("lack")).agg(F.count("*").alias("n"))
+    return direct.unionByName(counted.where("n >= lack").select("x", "p")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept.
 
     Documents are linked when 100 * shared >= percent * united of their distinct word shingles. Equal sets form one node,
     so copies are never expanded into pairs. In each bucket of a band all nodes are first compared with its most central
-    node; what that leaves in different components is then compared pair by pair, after exact bounds on size and on
-    distance to the central node (triangle inequality of the Jaccard distance) and one on the one-bit sketches (eight
-    standard deviations). No bucket, partner or candidate is capped.
+    node (its pivot), then those left out with the most central of them. Pairs around a pivot that are still in different
+    components are then compared one by one, but for those that an exact bound on their shared shingles rules out. No
+    bucket, partner or candidate is capped, and every link is confirmed on the full sets.
 
     Null or blank texts: n_shingles 0, linked with nothing, kept. Null doc_id: linked with nothing, component_id null,
     kept. Rows of one doc_id are one document: each follows the links of its own text. Other columns of docs are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = kept(rows.mapInPandas(_signed(words_per_shingle), SIGNED), "signed")
-    nodes = (
-        signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    )
+    nodes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = kept(nodes, "nodes")
     by_band = W.partitionBy("band")
     met = nodes.select("node", "n", F.explode("bands").alias("band")).withColumn("met", F.count("*").over(by_band)).where("met > 1")
-    central = met.withColumn("weight", F.sum("met").over(W.partitionBy("node")))
-    buckets = kept(central.withColumn("first", F.max(F.struct("weight", -F.col("node"), "n")).over(by_band)).select("node", "n", "band", (-F.col("first")["col2"]).alias("pivot"), F.col("first")["n"].alias("pivot_n")), "buckets")
+    buckets = kept(_starred(met.withColumn("weight", F.sum("met").over(W.partitionBy("node")))), "buckets")
 
     candidates = buckets.select("node").distinct()
     texts = rows.join(candidates, rows.doc_id == candidates.node, "left_semi")
     sets = kept(texts.mapInPandas(_sets(words_per_shingle), "node long, items array<long>").where("size(items) > 0"), "sets")
 
-    stars = buckets.where("node <> pivot").where(_close("n", "pivot_n", percent)).select(F.col("node").alias("x"), F.col("pivot").alias("p")).distinct()
-    found = kept(_verified(stars, sets), "stars")
     linked = f"100 * shared >= {percent} * united"
-    links = found.where(linked).select(F.col("x").alias("a"), F.col("p").alias("b"))
+    link = lambda pairs: pairs.where(linked).select(F.col("x").alias("a"), F.col("p").alias("b"))
+    found = _star_pairs(buckets, sets, percent)
+    labels = components(link(found))
+
+    def apart(labels: DataFrame) -> DataFrame:
+        """Rows of the buckets in which more than one component is left; main is the pivot's."""
+        placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        spread = placed.withColumn("low", F.min("label").over(by_band)).withColumn("high", F.max("label").over(by_band)).where("low <> high")
+        return spread.withColumn("main", F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).over(by_band)).drop("low", "high")
+
+    second = _star_pairs(kept(_starred(apart(labels).where("label <> main")), "strays"), sets, percent)
+    links = kept(link(found).unionByName(link(second)), "links")
     labels = components(links)
-
-    far = found.groupBy("x", "p").agg(F.max(1 - F.col("shared") / F.col("united")).alias("far"))
-    placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = placed.withColumn("low", F.min("label").over(by_band)).withColumn("high", F.max("label").over(by_band)).where("low <> high").withColumn("main", F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).over(by_band))
-    sketches = nodes.select("node", "sketch")
-    open_ = kept(mixed.where("node <> pivot").join(far, (F.col("node") == F.col("x")) & (F.col("pivot") == F.col("p")), "left").select("band", "node", "n", "label", "main", "far").join(sketches, "node"), "open")
-    a, b = open_.where("label <> main").alias("a"), open_.alias("b")
-    differ = "bit_count(a.sketch[0] ^ b.sketch[0]) + bit_count(a.sketch[1] ^ b.sketch[1]) + bit_count(a.sketch[2] ^ b.sketch[2])"
-    # at similarity s a bit differs with probability (1 - s) / 2
-    gap = (1 - percent / 100) / 2
-    bound = int(192 * gap + 8 * (192 * gap * (1 - gap)) ** 0.5) + 1
-    left = a.join(b, F.expr(f"a.band = b.band and a.label <> b.label and (b.label = b.main or a.node < b.node) and {_close('a.n', 'b.n', percent)} and (a.far is null or b.far is null or abs(a.far - b.far) <= {1 - percent / 100 + 1e-6}) and {differ} <= {bound}"))
-    more = _verified(left.select(F.col("a.node").alias("x"), F.col("b.node").alias("p")).distinct(), sets).where(linked).select(F.col("x").alias("a"), F.col("p").alias("b"))
-    more = kept(more, "more")
+    more = kept(link(_verified(_left_over(apart(labels), found, sets, percent), sets)), "more")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
