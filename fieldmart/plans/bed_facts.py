@@ -37,8 +37,8 @@ def dims(t):
     }
 
 
-_BASE = """b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN l_partkey % 23 <> 0 THEN strftime(l_shipdate, '%Y%m%d')::INT END AS date_id, CASE WHEN l_suppkey % 40 < 35 THEN l_suppkey % 40 + 1000 END AS geo_id,
-  CASE WHEN l_partkey % 60 < 50 THEN l_partkey % 60 END AS variety_id, CASE WHEN l_orderkey % 300 < 280 THEN l_orderkey % 300 ELSE -1 END AS person_id, l_quantity AS q, l_linenumber AS n, l_discount AS d, l_extendedprice AS x, l_returnflag AS f, l_linestatus AS s, l_shipdate::DATE AS day FROM lineitem)"""
+_BASE = """b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN l_partkey % 23 <> 0 THEN strftime(l_shipdate, '%Y%m%d')::INT END AS date_id, CASE WHEN l_suppkey % 40 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 35) THEN l_suppkey % 40 + 1000 END AS geo_id,
+  CASE WHEN l_partkey % 60 IN (SELECT p_partkey FROM part WHERE p_partkey < 50) THEN l_partkey % 60 END AS variety_id, CASE WHEN l_orderkey % 300 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN l_orderkey % 300 ELSE -1 END AS person_id, l_quantity AS q, l_linenumber AS n, l_discount AS d, l_extendedprice AS x, l_returnflag AS f, l_linestatus AS s, l_shipdate::DATE AS day FROM lineitem)"""
 _ORDER = "l_orderkey, l_linenumber, l_partkey, l_extendedprice"
 
 
@@ -120,8 +120,8 @@ def fact_pruning(spark, sf_dir):
     return build(spark, sf_dir, T.PRUNING, kind_raw=F.when(C("f") == "A", "  ").otherwise(F.concat(F.lit("KIND "), "f")), stems_raw=C("q"), height_raw=C("d"))
 
 
-@bed.query("""WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::INT AS date_id, CASE WHEN o_custkey < 280 THEN o_custkey ELSE -1 END AS person_id, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 END AS activity_id,
-  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS hours, CASE WHEN o_custkey % 400 < 280 THEN o_custkey % 400 END AS boss_id FROM orders WHERE o_orderstatus <> 'P')
+@bed.query("""WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::INT AS date_id, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey ELSE -1 END AS person_id, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 END AS activity_id,
+  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS hours, CASE WHEN o_custkey % 400 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey % 400 END AS boss_id FROM orders WHERE o_orderstatus <> 'P')
 SELECT date_id, person_id, activity_id, hours, boss_id FROM (SELECT *, row_number() OVER (PARTITION BY date_id, person_id, activity_id ORDER BY o_orderkey) AS n FROM r WHERE activity_id IS NOT NULL) WHERE n = 1""")
 def fact_labour(spark, sf_dir):
     t = Tables(spark, sf_dir)
