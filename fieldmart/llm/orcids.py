@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +19,20 @@ from fieldmart.llm.bpe import chunks
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
-_MOST_CHUNKS = 400_000
+_MOST_CHUNKS = 500_000
 _SCHEMA = "doc_id long, at long, n_tokens long, ids array<int>"
 
 
+# texts of these characters alone are cut into the tokenizer's own words; others are cut at white space
+_ODD = re.compile("[^\x00-\x7fÀ-ÖØ-įı-ɏ]|<\\|")
+_PIECES = re.compile("'(?:[stmd]|re|ve|ll)|[a-zß-öø-ɏ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ɏ]+")
+
+
 class ChunkIds:
-    """Ids of chunks by the tokenizers library, each distinct chunk once per worker; a text's ids are gathered from them."""
+    """Ids of words by the tokenizers library, each distinct one once per worker; a text's ids are gathered from them.
+
+    Many distinct words are encoded as one text; the ids that close a word tell where the next one starts.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -31,6 +41,9 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closes[i] = token.endswith("</w>")
         self.clear()
 
     def clear(self) -> None:
@@ -44,30 +57,46 @@ class ChunkIds:
             array = np.concatenate([array, np.zeros_like(array)])
         return array
 
+    def _keep(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        base = len(self.index)
+        self.flat = self._room(self.flat, self.used + len(ids))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts, self.sizes = self._room(self.starts, base + len(names)), self._room(self.sizes, base + len(names))
+        self.sizes[base : base + len(names)] = sizes
+        self.starts[base : base + len(names)] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.index.update(zip(names, range(base, base + len(names)), strict=True))
+
     def learn(self, split: list[list[str]]) -> None:
         if len(self.index) > _MOST_CHUNKS:
             self.clear()
-        new = list({c for found in split for c in found if c not in self.index})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            encoded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoded.ids, np.int32)
-            sizes = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(part))
-            base = len(self.index)
-            self.flat = self._room(self.flat, self.used + len(ids))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.starts, self.sizes = self._room(self.starts, base + len(part)), self._room(self.sizes, base + len(part))
-            self.sizes[base : base + len(part)] = sizes
-            self.starts[base : base + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.used += len(ids)
-            self.index.update(zip(part, range(base, base + len(part)), strict=True))
+        new = list(set().union(*split) - self.index.keys())
+        words = [w for w in new if w[0] != " "]
+        for at in range(0, len(words), 2048):
+            part = words[at : at + 2048]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            self._keep(part, ids, np.diff(ends, prepend=0))
+        odd = [w for w in new if w[0] == " "]  # chunks of odd texts
+        for at in range(0, len(odd), 2048):
+            part = odd[at : at + 2048]
+            encoded = self.tokenizer.encode([w[1:] for w in part], is_pretokenized=True, add_special_tokens=False)
+            self._keep(part, np.array(encoded.ids, np.int32), np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(part)))
+
+    @staticmethod
+    def _split(text: str | None) -> list[str]:
+        if not text:
+            return []
+        if _ODD.search(text):
+            return [" " + c for c in chunks(text)]
+        return _PIECES.findall(text.lower())
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(sizes, ids) of blocks of texts, the end id appended to each text."""
-        for at in range(0, len(texts), 128):
-            split = [chunks(t) if t else [] for t in texts[at : at + 128]]
+        for at in range(0, len(texts), 256):
+            split = [self._split(t) for t in texts[at : at + 256]]
             self.learn(split)
-            places = np.fromiter((self.index[c] for found in split for c in found), np.int64)
+            places = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64)
             sizes = self.sizes[places]
             total = np.cumsum(sizes)
             ids = self.flat[np.arange(int(total[-1]) if len(total) else 0) + np.repeat(self.starts[places] - (total - sizes), sizes)]
