@@ -19,12 +19,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import kept
+from fieldmart.llm.common import kept, worker_cache
 from fieldmart.llm.transducer import Transducer
 
 LEXICON = 50_000
 """Most frequent words that are compiled; bounds what goes to every executor (about 2 MB). Other words are merged, so the ids don't depend on it."""
-_MOST_CHUNKS = 400_000
+_MOST_CHUNKS = 300_000
 _LONG = 96
 _NONE = np.int32(2**31 - 1)
 # fixed values: white space of the tokenizer's pattern
@@ -274,16 +274,8 @@ def compiled(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> str:
     return os.path.basename(path)
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(vocabulary: str, lexicon: str | None = None) -> Encoder:
-    key = (vocabulary, lexicon or "")
-    if key not in _encoders:
-        merges = next((e.merges for (v, _), e in _encoders.items() if v == vocabulary), None) or Merges(vocabulary)
-        _encoders.clear()
-        _encoders[key] = Encoder(merges, Transducer.map(SparkFiles.get(lexicon)) if lexicon else None)
-    return _encoders[key]
+    return worker_cache((vocabulary, lexicon), lambda: Encoder(Merges(vocabulary), Transducer.map(SparkFiles.get(lexicon)) if lexicon else None))
 
 
 def encode(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> DataFrame:

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 _own_root: dict[str, str] = {}
+_cache: dict[object, object] = {}
+
+
+def worker_cache(owner: object, make: Callable[[], T]) -> T:
+    """What one operator keeps in a Python worker between tasks. A worker serves many stages: the next owner's takes its place."""
+    if owner not in _cache:
+        _cache.clear()
+        _cache[owner] = make()
+    return _cache[owner]  # type: ignore[return-value]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

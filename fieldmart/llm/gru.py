@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmart.llm.common import worker_cache
+
 SAMPLE_DOCUMENTS = 1_500
 """Bound of the labelled sample that the network is fitted on (documents, those of the smallest hashed ids)."""
 SAMPLE_WORDS = 24_000
@@ -18,7 +20,7 @@ SPAN = 24
 """Bytes of one sequence: a run of letters or of other marks, longer ones cut in such pieces. Every byte but white space is in one."""
 HIDDEN = 8
 UNKNOWN = "und"
-_MOST_WORDS = 800_000
+_MOST_WORDS = 500_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -204,18 +206,12 @@ class _Scores:
         self.rows.update(zip(new, range(base, base + len(new)), strict=True))
 
 
-_known: dict[str, _Scores] = {}
-
-
 def _labels(key: str, sent, texts: list[str | None]) -> list[tuple[str, float]]:
     """(label, score) of each text; scores of distinct words serve all tasks of a worker."""
     languages, model = sent.value
     if model is None:
         return [(UNKNOWN, 0.0)] * len(texts)
-    if key not in _known:
-        _known.clear()
-        _known[key] = _Scores(model, len(languages))
-    known, out = _known[key], []
+    known, out = worker_cache(key, lambda: _Scores(model, len(languages))), []
     for at in range(0, len(texts), 256):
         split = [sequences(t) if t and _LETTER.search(t) else [] for t in texts[at : at + 256]]
         if len(known.rows) > _MOST_WORDS:

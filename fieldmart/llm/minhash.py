@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from fieldmart.llm.common import kept
+from fieldmart.llm.common import kept, worker_cache
 from fieldmart.llm.components import components
 
 BANDS, ROWS = 42, 6
 """At similarity 0.8 a pair meets in no band with probability (1 - 0.8**6)**42 < 3e-6; at 0.3 it meets in one in 3 cases of 100."""
 
-_MOST_WORDS = 400_000
+_MOST_WORDS = 250_000
 
 
 class _WordHash(dict):
@@ -31,7 +31,6 @@ class _WordHash(dict):
         return value
 
 
-_hashes = _WordHash()
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -42,7 +41,7 @@ def shingle_set(text: str | None, words_per_shingle: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(words) < words_per_shingle:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-    one = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    one = np.fromiter(map(worker_cache("word hashes", _WordHash).__getitem__, words), np.uint64, len(words))
     n = len(words) - words_per_shingle + 1
     mixed = np.zeros(n, np.uint64)
     for i in range(words_per_shingle):

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import shared_folder
+from fieldmart.llm.common import shared_folder, worker_cache
 
 WINDOW = 10
 BLOCK = 2
@@ -81,15 +81,9 @@ def _covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-_searchers: dict[str, Searcher] = {}
-
-
 def _pass(key: str, block, window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if key not in _searchers:
-            _searchers.clear()
-            _searchers[key] = Searcher([(item, words_of(text)) for item, text in block.value], window)
-        search = _searchers[key].search
+        search = worker_cache(key, lambda: Searcher([(item, words_of(text)) for item, text in block.value], window)).search
         for batch in batches:
             out = []
             for row, text in zip(batch["row"], batch["text"], strict=True):
