@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from fieldmart.llm.bpe import chunks
+from fieldmart.llm.common import worker_cache
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
-_MOST_CHUNKS = 500_000
+_MOST_CHUNKS = 800_000
 _SCHEMA = "doc_id long, at long, n_tokens long, ids array<int>"
 
 
@@ -36,11 +37,15 @@ class ChunkIds:
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # the same model for words that are normalised and cut already, with spaces between them
+        self.plain = Tokenizer.from_file(vocabulary)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.closes[i] = token.endswith("</w>")
@@ -72,9 +77,9 @@ class ChunkIds:
             self.clear()
         new = list(set().union(*split) - self.index.keys())
         words = [w for w in new if w[0] != " "]
-        for at in range(0, len(words), 2048):
-            part = words[at : at + 2048]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int32)
+        for at in range(0, len(words), 256):
+            part = words[at : at + 256]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
             ends = np.flatnonzero(self.closes[ids]) + 1
             self._keep(part, ids, np.diff(ends, prepend=0))
         odd = [w for w in new if w[0] == " "]  # chunks of odd texts
@@ -105,12 +110,9 @@ class ChunkIds:
             yield np.diff(stops, prepend=0) + 1, np.insert(ids, stops, END_ID)
 
 
-_known: dict[str, ChunkIds] = {}
-
-
 def _encoded(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _known.get(vocabulary) or _known.setdefault(vocabulary, ChunkIds(vocabulary))
+        encoder = worker_cache(("orc ids", vocabulary), lambda: ChunkIds(vocabulary))
         at = 0
         for batch in batches:
             docs, done = batch.column("doc_id"), 0
