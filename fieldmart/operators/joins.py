@@ -55,18 +55,41 @@ def band_join(df: DataFrame, rules: DataFrame, key: str, value: str, lo: str, hi
     return best.select("_row.*", F.col("_rank")["i"].alias(out))
 
 
+_FAN, _LEVELS = 8, 11  # nodes of _FAN ** level places, for up to 8 ** 11 rows of one key
+
+
+def _nodes(level: int) -> str:
+    """Numbers of the level's nodes that lie within places _lo to _hi - 1 while the next level's node around them doesn't."""
+    size, up = _FAN**level, _FAN ** (level + 1)
+    low, high, left, right = f"(_lo + {size - 1}L) div {size}L", f"_hi div {size}L", f"(_lo + {up - 1}L) div {up}L * {_FAN}L", f"_hi div {up}L * {_FAN}L"
+    steps = lambda a, b: f"if({a} < {b}, sequence({a}, {b} - 1L), cast(array() as array<bigint>))"
+    return f"if({left} < {right}, concat({steps(low, left)}, {steps(right, high)}), {steps(low, high)})"
+
+
 def asof_interval(df: DataFrame, ranges: DataFrame, keys: Sequence[str], date: str, start: str, end: str, id_: str, row_id: Sequence[str], out: str = "range_id") -> DataFrame:
-    """Id of the newest range (start <= date <= end, open end) of the same keys. Rows are told apart by row_id; the keys alone are shuffled on.
+    """Id of the newest range (start <= date <= end, open end) of the same keys, also where a newer one has ended by then. The keys alone are shuffled on.
 
-    Ranges and dates are put on one time line: the ranges that have begun are carried along each key, so the work does not
-    grow with the number of ranges that a key has times its rows.
+    The rows of a key are numbered in time, so that a range is a run of places. Runs are cut into nodes of a tree over the
+    places, each node keeps its newest range, and a row takes the newest of the nodes above it, one for each level: the work
+    does not grow with the number of ranges that a key has times its rows.
     """
-    line = W.partitionBy(*[f"k_{k}" for k in keys]).orderBy("_at", "_kind", "_start").rowsBetween(W.unboundedPreceding, W.currentRow)
-    begun = ranges.select(*[F.col(k).alias(f"k_{k}") for k in keys], F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.col(start).alias("_start"), F.struct(F.col(start).alias("s"), F.coalesce(F.col(end), F.lit("9999-12-31").cast("timestamp_ntz")).alias("e"), F.col(id_).alias("i")).alias("_range"), F.lit(None).cast(df.select(F.struct(*df.columns)).schema[0].dataType).alias("_row"))
-    asked = df.select(*[F.col(k).alias(f"k_{k}") for k in keys], F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.col(date).alias("_start"), F.lit(None).cast(begun.schema["_range"].dataType).alias("_range"), F.struct(*df.columns).alias("_row"))
-    carried = begun.unionByName(asked).withColumn("_open", F.max("_range").over(line)).where("_kind = 1")
-    newest = F.when(F.col("_at") <= F.col("_open")["e"], F.col("_open")["i"])
-    return carried.select("_row.*", newest.alias(out))
+    names = [f"k_{k}" for k in keys]
+    key = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+    line = lambda *by: W.partitionBy(*names).orderBy(*by).rowsBetween(W.unboundedPreceding, W.currentRow)
+    edges = F.array(F.struct(F.lit(False).alias("_last"), F.col(start).alias("_at"), F.lit(0).alias("_kind")), F.struct(F.col(end).isNull().alias("_last"), F.col(end).alias("_at"), F.lit(2).alias("_kind")))
+    held = ranges.where(" and ".join(f"`{c}` is not null" for c in [*keys, start])).select(*key, F.struct(F.col(start).alias("s"), F.col(end).isNull().alias("o"), F.col(end).alias("e"), F.col(id_).alias("i")).alias("_range"), F.inline(edges))
+    asked = df.select(*key, F.lit(None).cast(held.schema["_range"].dataType).alias("_range"), F.lit(False).alias("_last"), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*df.columns).alias("_row"))
+    placed = held.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)).unionByName(asked).withColumn("_n", F.count(F.when(F.col("_kind") == 1, 1)).over(line("_last", "_at", "_kind")))
+    runs = placed.where("_kind <> 1").groupBy(*names, "_range").agg(F.max(F.when(F.col("_kind") == 0, F.col("_n"))).alias("_lo"), F.max(F.when(F.col("_kind") == 2, F.col("_n"))).alias("_hi"))
+    cut = runs.where("_lo < _hi").select(*names, "_range", F.posexplode(F.array(*[F.expr(_nodes(level)) for level in range(_LEVELS)])).alias("_level", "_of"))
+    nodes = cut.select(*names, "_range", "_level", F.explode("_of").alias("_node")).groupBy(*names, "_level", "_node").agg(F.max("_range").alias("_range"))
+    size = F.element_at(F.array(*[F.lit(_FAN**level) for level in range(_LEVELS)]).cast("array<bigint>"), F.col("_level") + 1)
+    begun = nodes.select(*names, (F.col("_node") * size).alias("_place"), F.lit(0).alias("_kind"), "_level", F.struct(((F.col("_node") + 1) * size).alias("end"), F.col("_range").alias("range")).alias("_begun"))
+    rows = placed.where("_kind = 1").select(*names, (F.col("_n") - 1).alias("_place"), "_kind", "_row")
+    last = [F.last(F.when(F.col("_level") == level, F.col("_begun")), ignorenulls=True).over(line("_place", "_kind")).alias(f"_last_{level}") for level in range(_LEVELS)]
+    carried = begun.unionByName(rows, allowMissingColumns=True).select("_place", "_kind", "_row", *last).where("_kind = 1")
+    newest = F.greatest(*[F.when(F.col("_place") < F.col(f"_last_{level}")["end"], F.col(f"_last_{level}")["range"]) for level in range(_LEVELS)])
+    return carried.select("_row.*", newest["i"].alias(out))
 
 
 def unique_match(df: DataFrame, dim: DataFrame, on: Mapping[str, str], id_: str) -> DataFrame:
