@@ -76,7 +76,8 @@ SELECT asked.l_orderkey, asked.l_partkey, asked.l_linenumber, CASE WHEN asked.l_
 def asof_interval(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ranges = t.orders.select(C("o_orderkey").alias("id"), C("o_custkey").alias("k"), C("o_orderdate").cast("timestamp_ntz").alias("s"), F.when(C("o_orderkey") % 5 != 0, F.expr("cast(o_orderdate as timestamp_ntz) + interval 90 days")).alias("e"))
-    asked = t.lineitem.where("l_suppkey < 50").select("l_orderkey", "l_partkey", "l_linenumber", (C("l_suppkey") % 50).alias("k"), C("l_shipdate").cast("timestamp_ntz").alias("d"))
+    customers = t.orders.select(C("o_orderkey").alias("_order"), C("o_custkey").alias("k"))
+    asked = t.lineitem.join(customers, C("l_orderkey") == C("_order"), "left").select("l_orderkey", "l_partkey", "l_linenumber", "k", C("l_shipdate").cast("timestamp_ntz").alias("d"))
     return J.asof_interval(asked, ranges, ["k"], "d", "s", "e", "id", ["l_orderkey", "l_partkey", "l_linenumber"]).select("l_orderkey", "l_partkey", "l_linenumber", "range_id")
 
 

@@ -5,6 +5,9 @@ import random
 import pytest
 
 from fieldmart.operators import joins
+from fieldmart.plans import bed_joins
+from tests.conftest import DATA
+from tests.helpers import same
 
 
 def _newest(k, d, ranges):
@@ -30,3 +33,11 @@ def test_asof_interval_brute_force(spark, seed):
     out = joins.asof_interval(df, spark.createDataFrame(ranges, "k string, s long, e long, id long"), ["k"], "d", "s", "e", "id", ["n"])
     assert out.columns == ["k", "d", "n", "range_id"]
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(str((*row, _newest(row[0], row[1], ranges))) for row in asked)
+
+
+def test_asof_interval_asks_every_line(spark, duck):
+    """Every line with its customer, against all pairs in DuckDB; the range's bounds are inclusive."""
+    sql = f"""WITH a AS (SELECT row_number() OVER () AS r, l_orderkey, l_partkey, l_linenumber, o_custkey AS k, l_shipdate AS d FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+    m AS (SELECT r, max({{'s': s, 'o': e IS NULL, 'e': e, 'i': id}}).i AS range_id FROM a JOIN {bed_joins._RANGES} o ON o.k = a.k AND s <= d AND (e IS NULL OR d <= e) GROUP BY r)
+    SELECT l_orderkey, l_partkey, l_linenumber, range_id FROM a LEFT JOIN m USING (r)"""
+    same(bed_joins.asof_interval(spark, DATA), duck, sql)
