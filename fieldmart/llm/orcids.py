@@ -24,7 +24,8 @@ _MOST_CHUNKS = 800_000
 _SCHEMA = "doc_id long, at long, n_tokens long, ids array<int>"
 
 
-# texts of these characters alone are cut into the tokenizer's own words; others are cut at white space
+# texts that are of these characters alone, as they are and in lower case, are cut into the tokenizer's own words; others
+# are cut at white space
 _ODD = re.compile("[^\x00-\x7fÀ-ÖØ-įı-ɏ]|<\\|")
 _PIECES = re.compile("'(?:[stmd]|re|ve|ll)|[a-zß-öø-ɏ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ɏ]+")
 
@@ -92,9 +93,10 @@ class ChunkIds:
     def _split(text: str | None) -> list[str]:
         if not text:
             return []
-        if _ODD.search(text):
+        low = text.lower()
+        if _ODD.search(text) or not text.isascii() and _ODD.search(low):
             return [" " + c for c in chunks(text)]
-        return _PIECES.findall(text.lower())
+        return _PIECES.findall(low)
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(sizes, ids) of blocks of texts, the end id appended to each text."""

@@ -1,0 +1,20 @@
+"""Text operators on small inputs where a shortcut would lose results."""
+
+from tokenizers import Tokenizer
+
+from fieldmart.llm import orcids
+from tests.llm.test_operators import VOCABULARY
+
+
+def test_ids_of_every_latin_letter():
+    """Each code point below U+0250 at the start, inside and at the end of a word, and beside marks and numbers."""
+    library, words = Tokenizer.from_file(VOCABULARY), orcids.ChunkIds(VOCABULARY)
+    texts = [t.format(chr(c)) for c in range(0x250) for t in ("{0}an Kano", "so{0}ar it", "kan{0}", "x {0} y", "1{0}2, ({0}!) {0}'s")]
+    got = []
+    for sizes, ids in words.texts(texts):
+        at = 0
+        for n in sizes.tolist():
+            got.append(ids[at : at + n].tolist())
+            at += n
+    wrong = [t for t, ids in zip(texts, got, strict=True) if ids != [*library.encode(t, add_special_tokens=False).ids, orcids.END_ID]]
+    assert wrong == []
