@@ -7,14 +7,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldmart.llm.bpe import round_trip
 from fieldmart.llm.common import kept, table
 from fieldmart.llm.gru import with_language
 from fieldmart.llm.minhash import first_of_each
 from fieldmart.llm.semicrf import redacted
-from fieldmart.llm.wumanber import contamination
+from fieldmart.llm.wumanber import uncontaminated
 
 MOST_HIT = 0.0
 """Share of a document's words in benchmark windows above which it goes: any occurrence is contamination."""
@@ -32,9 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of ten words of a benchmark item occurs go."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where(F.col("n_hit") > F.col("n_words") * MOST_HIT).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"), MOST_HIT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

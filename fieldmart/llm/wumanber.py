@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from fieldmart.llm.common import shared_folder, worker_cache
+from fieldmart.llm.common import kept, shared_folder, worker_cache
 
 WINDOW = 10
 BLOCK = 2
@@ -82,51 +83,64 @@ def _covered(spans: list[tuple[int, int]]) -> int:
 
 
 def _pass(key: str, block, window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = worker_cache(key, lambda: Searcher([(item, words_of(text)) for item, text in block.value], window)).search
         for batch in batches:
-            out = []
-            for row, text in zip(batch["row"], batch["text"], strict=True):
+            n_words, flat, n_hit, found = [], [], [], []
+            for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 spans, items = search(words)
-                out.append((row, len(words), [x for s in spans for x in s], _covered(spans), sorted(map(str, items))))
-            yield pd.DataFrame(out, columns=["row", "n_words", "spans", "n_hit", "items"])
+                n_words.append(len(words))
+                flat.append([x for s in spans for x in s])
+                n_hit.append(_covered(spans))
+                found.append(sorted(item for item in items if item is not None))
+            columns = [pa.array(n_words, pa.int64()), pa.array(flat, pa.list_(pa.int32())), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", "n_words", "spans", "n_hit", "items"])
 
     return run
 
 
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
-    """docs rows (row) with n_words, n_hit, items (sorted strings), spans (flat start, end word positions).
+    """docs rows (row, of any type) with n_words, n_hit, items (sorted strings), spans (flat start, end word positions).
 
     A window is `window` consecutive item words; an item of fewer words, but not none, is one window; null texts have no
-    words. Items (item_id, text) go to the executors in blocks of at most `items_at_once`, so what is broadcast is
-    bounded; the results of several blocks are joined per row.
+    words; an item without an id counts for n_hit and isn't among the items. Items (item_id, text) go to the executors in
+    blocks of at most about `items_at_once`, so what is broadcast is bounded. For several blocks the rows are numbered and
+    written, and their results are joined by these numbers, so that each row stands alone, whatever `row` is.
     """
     spark = docs.sparkSession
-    listed = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("item is not null and text is not null").distinct()
+    listed = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     n = listed.count()
     blocks = -(-n // items_at_once) or 1
-    schema = f"row {docs.schema['row'].dataType.simpleString()}, n_words long, spans array<int>, n_hit long, items array<string>"
+    numbered = docs.select("row", "text")
+    if blocks > 1:
+        written = kept(numbered.withColumn("_key", F.monotonically_increasing_id()), "numbered")
+        numbered = written.select(F.col("_key").alias("row"), "text")
+    schema = StructType([StructField("row", numbered.schema["row"].dataType)]).add("n_words", "long").add("spans", ArrayType(IntegerType())).add("n_hit", "long").add("items", ArrayType(StringType()))
     passes = []
     for k in range(blocks):
         block = listed if blocks == 1 else listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         rows = [(r.item, r.text) for r in block.orderBy("item", "text").collect()]
-        passes.append(docs.select("row", "text").mapInPandas(_pass(shared_folder(spark, "tables"), spark.sparkContext.broadcast(rows), window), schema))
+        passes.append(numbered.mapInArrow(_pass(shared_folder(spark, "tables"), spark.sparkContext.broadcast(rows), window), schema))
     if blocks == 1:
         return passes[0]
     every = passes[0]
     for other in passes[1:]:
         every = every.unionByName(other)
-    merged = every.groupBy("row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("found"))
+    merged = every.groupBy(F.col("row").alias("_key")).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("found"))
     covered = "size(array_distinct(flatten(transform(sequence(0, cast(size(spans) / 2 as int) - 1), i -> sequence(spans[2 * i], spans[2 * i + 1] - 1)))))"
-    return merged.select("row", "n_words", "spans", F.when(F.size("spans") > 0, F.expr(covered)).otherwise(0).cast("long").alias("n_hit"), F.array_sort(F.array_distinct("found")).alias("items"))
+    whole = written.select("_key", "row").join(merged, "_key")
+    return whole.select("row", "n_words", "spans", F.when(F.size("spans") > 0, F.expr(covered)).otherwise(0).cast("long").alias("n_hit"), F.array_sort(F.array_distinct("found")).alias("items"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit (words inside an occurrence of a window), n_items, items, contaminated.
-
-    With several blocks of items, documents of one doc_id (null included) are taken together; with one block, each row stands alone.
-    """
+    """Per row of docs: doc_id, n_words, n_hit (words inside an occurrence of a window), n_items, items, contaminated."""
     rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("string").alias("text"))
     found = find_items(rows, items, window, items_at_once)
     return found.select(F.col("row").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, most_hit: float, window: int = WINDOW, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
+    """The rows of docs of whose words at most the share most_hit is inside an occurrence of a window; each row is judged by its own text."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    return find_items(rows, items, window, items_at_once).where(F.col("n_hit") <= F.col("n_words") * most_hit).select("row.*")

@@ -1,9 +1,13 @@
 """Text operators on small inputs where a shortcut would lose results."""
 
+import random
+
+import pytest
 from tokenizers import Tokenizer
 
-from fieldmart.llm import orcids
-from tests.llm.test_operators import VOCABULARY
+import corpus_pipeline
+from fieldmart.llm import orcids, wumanber
+from tests.llm.test_operators import DOCS, VOCABULARY
 
 
 def test_ids_of_every_latin_letter():
@@ -18,3 +22,36 @@ def test_ids_of_every_latin_letter():
             at += n
     wrong = [t for t, ids in zip(texts, got, strict=True) if ids != [*library.encode(t, add_special_tokens=False).ids, orcids.END_ID]]
     assert wrong == []
+
+
+@pytest.mark.parametrize("at_once", [4, 100])
+def test_each_row_stands_alone(spark, at_once):
+    """Rows without an id, rows of one id, ids beyond 2^53, and items without an id, in one block of items and in many."""
+    r = random.Random(3)
+    words = lambda n: " ".join(r.choice("abc") for _ in range(n))
+    docs = [(r.choice([None, None, 7, 2**60 + 1]), words(r.randint(0, 30)) if i else None) for i in range(60)]
+    items = [(i if i % 3 else None, words(r.randint(0, 7))) for i in range(24)] + [(50, None)]
+    want = []
+    for doc, text in docs:
+        have, hit, of = (text or "").split(), set(), set()
+        for item, part in items:
+            part = (part or "").split()
+            for window in [part[k : k + 5] for k in range(max(len(part) - 5, 0) + 1)] if part else []:
+                for at in range(len(have) - len(window) + 1):
+                    if have[at : at + len(window)] == window:
+                        hit |= set(range(at, at + len(window)))
+                        of |= {str(item)} - {"None"}
+        want.append((doc, text, len(have), len(hit), sorted(of)))
+    df, of = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(x.doc_id, x.n_words, x.n_hit, x.n_items, x["items"], x.contaminated) for x in wumanber.contamination(df, of, 5, at_once).collect()]
+    assert sorted(map(str, got)) == sorted(str((d, n, h, len(i), i, h > 0)) for d, _, n, h, i in want)
+    left = wumanber.uncontaminated(df, of, 0.0, 5, at_once)
+    assert left.columns == df.columns and sorted(str(tuple(x)) for x in left.collect()) == sorted(str((d, t)) for d, t, _, h, _ in want if not h)
+
+
+def test_stage_judges_rows_not_ids(spark, tmp_path):
+    spark.createDataFrame([(None, "a b c d e f g h i j")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    bad, good = "x A b c d e f g h i j", "some other text"
+    docs = spark.createDataFrame([(None, bad, "en", None, 1), (None, good, "en", None, 1), (3, bad, "en", None, 1), (3, good, "en", None, 1), (4, None, None, None, 0)], DOCS)
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and sorted(str((r.doc_id, r.text)) for r in left.collect()) == sorted(str(x) for x in [(None, good), (3, good), (4, None)])
