@@ -4,8 +4,8 @@ import random
 
 import pytest
 
-from fieldmart.operators import joins
-from fieldmart.plans import bed_joins
+from fieldmart.operators import growth, joins
+from fieldmart.plans import bed_growth, bed_joins
 from tests.conftest import DATA
 from tests.helpers import same
 
@@ -41,3 +41,21 @@ def test_asof_interval_asks_every_line(spark, duck):
     m AS (SELECT r, max({{'s': s, 'o': e IS NULL, 'e': e, 'i': id}}).i AS range_id FROM a JOIN {bed_joins._RANGES} o ON o.k = a.k AND s <= d AND (e IS NULL OR d <= e) GROUP BY r)
     SELECT l_orderkey, l_partkey, l_linenumber, range_id FROM a LEFT JOIN m USING (r)"""
     same(bed_joins.asof_interval(spark, DATA), duck, sql)
+
+
+def test_growth_gbt_trains_the_whole_model(spark, monkeypatch):
+    """The registered query trains 200 trees of depth 5 at rate 0.05, as the study does."""
+    from inspect import signature
+
+    asked = {}
+    train = signature(growth.train_growth)
+
+    def note(*args, **kw):
+        bound = train.bind(*args, **kw)
+        bound.apply_defaults()
+        asked.update(bound.arguments)
+        return None, args[0], {}
+
+    monkeypatch.setattr(growth, "train_growth", note)
+    bed_growth.growth_gbt(spark, DATA)
+    assert {k: asked[k] for k in ("trees", "depth", "rate", "subsample", "seed")} == {"trees": 200, "depth": 5, "rate": 0.05, "subsample": 0.8, "seed": 42}
