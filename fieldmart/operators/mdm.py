@@ -44,24 +44,30 @@ def match_exact(values: DataFrame, ref: DataFrame, value: str, canonical: str) -
 def match_fuzzy(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = APPROVE, gram: int = 2) -> DataFrame:
     """Best catalogue name (ties: smallest) with its score, NULL under the threshold.
 
-    Distinct values only. Candidates share a gram of their token keys, so the catalogue is joined by equality and never
-    crossed: names without a common gram of two characters can't reach a threshold of 0.85 from three characters on, and
-    shorter ones are compared by their key.
+    Distinct values only. At APPROVE and above, candidates share a gram of their token keys, so the catalogue is joined by
+    equality and never crossed: names without a common gram of two characters can't reach a threshold of 0.85 from three
+    characters on, and shorter ones are compared by their key. Lower thresholds admit names without a common gram: there
+    every name whose length allows the threshold is compared, joined by equality on the length of its key.
     """
     grams = lambda k: F.array_distinct(F.concat(F.transform(F.sequence(F.lit(1), F.greatest(F.length(k) - gram + 1, F.lit(1))), lambda i: k.substr(i, F.lit(gram))), F.array(k)))
     distinct = values.select(value).distinct().withColumn("_v", token_key(F.col(value))).where("_v is not null")
     names = catalogue.select(canonical).distinct().withColumn("_n", token_key(F.col(canonical))).where("_n is not null")
-    left = distinct.select(value, "_v", F.explode(grams(F.col("_v"))).alias("_g"))
-    right = names.select(canonical, "_n", F.explode(grams(F.col("_n"))).alias("_g"))
     near = F.least(F.length("_v"), F.length("_n")) >= threshold * F.greatest(F.length("_v"), F.length("_n"))
-    pairs = left.join(right, "_g").where(near).select(value, "_v", canonical, "_n").distinct()
+    if threshold >= APPROVE:
+        left = distinct.select(value, "_v", F.explode(grams(F.col("_v"))).alias("_g"))
+        right = names.select(canonical, "_n", F.explode(grams(F.col("_n"))).alias("_g"))
+        pairs = left.join(right, "_g").where(near).select(value, "_v", canonical, "_n").distinct()
+    else:
+        sizes = names.select(F.length("_n").alias("_size")).distinct().crossJoin(distinct.select(F.length("_v").alias("_length")).distinct())
+        fit = sizes.where(F.least("_size", "_length") >= threshold * F.greatest("_size", "_length"))
+        pairs = distinct.withColumn("_length", F.length("_v")).join(fit, "_length").join(names.withColumn("_size", F.length("_n")), "_size").select(value, "_v", canonical, "_n")
     best = pairs.groupBy(value).agg(F.min(F.struct((-similarity(F.col("_v"), F.col("_n"))).alias("s"), F.col(canonical).alias("c"))).alias("_b"))
     scored = best.select(value, (-F.col("_b")["s"]).alias("score"), F.col("_b")["c"].alias("found")).where(F.col("score") >= threshold)
     return values.select(value).distinct().join(scored, value, "left").select(value, "found", "score")
 
 
 def suggest(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = 0.0) -> DataFrame:
-    """The best name that shares a gram, even of a low score, else the value in title case without a score."""
+    """The best name of the catalogue, even of a low score, else the value in title case without a score."""
     found = match_fuzzy(values, catalogue, value, canonical, threshold)
     return found.select(value, F.coalesce("found", text.title(F.col(value))).alias("suggestion"), "score")
 

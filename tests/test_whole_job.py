@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from fieldmart.operators import growth, joins
+from fieldmart.operators import growth, joins, mdm
 from fieldmart.plans import bed_growth, bed_joins
 from tests.conftest import DATA
 from tests.helpers import same
@@ -59,3 +59,27 @@ def test_growth_gbt_trains_the_whole_model(spark, monkeypatch):
     monkeypatch.setattr(growth, "train_growth", note)
     bed_growth.growth_gbt(spark, DATA)
     assert {k: asked[k] for k in ("trees", "depth", "rate", "subsample", "seed")} == {"trees": 200, "depth": 5, "rate": 0.05, "subsample": 0.8, "seed": 42}
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.5, 0.7, 0.85])
+def test_suggest_compares_all_names(spark, threshold):
+    """Pairs of similarity 0.5 to 0.8 without a common pair of letters, and random ones, against all pairs."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdef") for _ in range(r.randint(3, 7)))
+    names, values = sorted({"acbd", "axcyez", "mnopq", *(word() for _ in range(25))}), sorted({"abcd", "abcdef", "mxoyq", *(word() for _ in range(25))})
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, last = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    want = {}
+    for v in values:
+        score, name = min((-(1 - distance(v, n) / max(len(v), len(n))), n) for n in names)
+        want[v] = (name, round(-score, 6)) if -score >= threshold else (v.title(), None)
+    frames = [spark.createDataFrame([(x,) for x in xs], f"{c} string") for c, xs in (("v", values), ("n", names))]
+    got = {x.v: (x.suggestion, x.score and round(x.score, 6) if x.score is not None else None) for x in mdm.suggest(*frames, "v", "n", threshold).collect()}
+    assert got == want
