@@ -7,20 +7,31 @@ from pyspark.sql import functions as F
 
 from fieldmart.llm.common import kept
 
+SALTS = 16
+"""Parts that the nodes of one label, and the links of one node, are dealt to."""
+
+
+def _dealt(lookup: DataFrame) -> DataFrame:
+    """lookup once for each salt."""
+    return lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of links (a, b): label is the smallest node reachable.
 
     Smallest neighbour labels and pointer jumps alternate until nothing changes; each round is written to the shared
-    folder, so lineage stays short. Nodes are longs; an empty table gives an empty table.
+    folder, so lineage stays short. A label that many nodes have, or a node that many links have, is joined in salted
+    parts. Nodes are longs; an empty table gives an empty table.
     """
-    edges = kept(links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(links.select(F.col("b").alias("src"), F.col("a").alias("dst"))).distinct(), "edges")
+    both = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(links.select(F.col("b").alias("src"), F.col("a").alias("dst"))).distinct()
+    edges = kept(both.withColumn("salt", F.pmod(F.xxhash64("src"), F.lit(SALTS)).cast("int")), "edges")
     labels = kept(edges.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("label")), "labels")
     while True:
-        near = edges.join(labels, edges.dst == labels.node).groupBy("src").agg(F.min("label").alias("near"))
+        near = edges.join(_dealt(labels.withColumnRenamed("node", "dst")), ["dst", "salt"]).groupBy("src").agg(F.min("label").alias("near"))
         lower = labels.join(near, labels.node == near.src).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        up = lower.select(F.col("node").alias("at"), F.col("label").alias("up"))
-        jumped = lower.join(up, lower.label == up.at, "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "was")
+        lower = kept(lower.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")), "lower")
+        up = lower.select("label").distinct().join(lower.select(F.col("node").alias("label"), F.col("label").alias("up")), "label")
+        jumped = lower.join(_dealt(up), ["label", "salt"], "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "was")
         stepped = kept(jumped, "labels")
         labels = stepped.select("node", "label")
         if stepped.where("label <> was").isEmpty():

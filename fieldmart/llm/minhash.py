@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from fieldmart.llm.common import kept, worker_cache
 from fieldmart.llm.components import components
@@ -18,7 +16,7 @@ from fieldmart.llm.components import components
 BANDS, ROWS = 42, 6
 """At similarity 0.8 a pair meets in no band with probability (1 - 0.8**6)**42 < 3e-6; at 0.3 it meets in one in 3 cases of 100."""
 
-_MOST_WORDS = 250_000
+_MOST_WORDS = 150_000
 
 
 class _WordHash(dict):
@@ -80,128 +78,164 @@ def _bands(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+SIGNED = "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>"
+_SLICE = 500
+"""Rows that leave a Python worker at once; bounds its memory."""
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _SLICE):
+            yield batch.slice(at, _SLICE)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)])))
+
+
 def _signed(words_per_shingle: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64)
+        for batch in _slices(batches):
+            sizes, keys, bands = [], [], []
+            for text in batch.column("text").to_pylist():
                 values = shingle_set(text, words_per_shingle)
-                if not len(values):
-                    out.append((doc, 0, None, None))
-                    continue
-                out.append((doc, len(values), xxhash.xxh3_128_digest(values.tobytes()), _bands(signature(values, BANDS * ROWS))))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_key", "bands"]).astype({"doc_id": "Int64"})
+                sizes.append(len(values))
+                keys.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
+                bands.append(_bands(signature(values, BANDS * ROWS)) if len(values) else none)
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(bands)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
 
     return run
 
 
 def _sets(words_per_shingle: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"node": batch["doc_id"], "items": [shingle_set(t, words_per_shingle).view(np.int64) for t in batch["text"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            items = [shingle_set(t, words_per_shingle).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(items)], ["node", "items"])
 
     return run
 
 
-SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-
-
 def _close(a: str, b: str, percent: int) -> str:
     """Sets whose sizes differ too much for the threshold can't be linked."""
     return f"least({a}, {b}) * 100 >= greatest({a}, {b}) * {percent}"
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(x, p, shared, united) of pairs (x, p), from the full sets."""
-    one = pairs.join(sets.select(F.col("node").alias("x"), F.col("items").alias("x_items")), "x")
-    both = one.join(sets.select(F.col("node").alias("p"), F.col("items").alias("p_items")), "p")
-    shared = both.select("x", "p", F.size(F.array_intersect("x_items", "p_items")).alias("shared"), (F.size("x_items") + F.size("p_items")).alias("total"))
-    return shared.select("x", "p", "shared", (F.col("total") - F.col("shared")).alias("united"))
+def _starred(rows: DataFrame) -> DataFrame:
+    """rows (band, node, n, weight) with the node of the greatest weight in each band, as pivot and pivot_n.
 
+    Pivots are found by an aggregate, which combines before its shuffle, and joined back: a band of any size is split.
+    """
+    first = rows.groupBy("band").agg(F.max(F.struct("weight", -F.col("node"), "n")).alias("_first"))
+    return rows.join(first.select("band", (-F.col("_first")["col2"]).alias("pivot"), F.col("_first")["n"].alias("pivot_n")), "band")
 
-def _starred(rows: DataFrame) -> DataFrame:
-    """rows (band, node, n, weight) with the node of the greatest weight in each band, as pivot and pivot_n."""
-    first = F.max(F.struct("weight", -F.col("node"), "n")).over(W.partitionBy("band"))
-    return rows.withColumn("_first", first).select("band", "node", "n", "weight", (-F.col("_first")["col2"]).alias("pivot"), F.col("_first")["n"].alias("pivot_n"))
 
+def _star_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of nodes with their pivots, from the full sets."""
+    pairs = rows.where("node <> pivot").where(_close("n", "pivot_n", percent)).select("node", "pivot").distinct()
+    both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items")), "pivot")
+    shared = both.select("node", "pivot", F.size(F.array_intersect("items", "pivot_items")).alias("shared"), (F.size("items") + F.size("pivot_items")).alias("total"))
+    return kept(shared.where(f"100 * shared >= {percent} * (total - shared)").select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars")
 
-def _star_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    pairs = rows.where("node <> pivot").where(_close("n", "pivot_n", percent)).select(F.col("node").alias("x"), F.col("pivot").alias("p")).distinct()
-    return kept(_verified(pairs, sets), "stars")
 
+def _left_over(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of nodes around one pivot that are still in different components, without comparing all pairs.
 
-def _left_over(open_: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, p) of nodes around one pivot, in different components, that may still be linked.
+    A node is held as its difference from the pivot's set: d items that only one of the two has. For two nodes,
+    |difference| = d_a + d_b - 2 * (items that both differences have), and the threshold asks for
+    (100 + percent) * |difference| <= (100 - percent) * (n_a + n_b). With w = (100 + percent) * d - (100 - percent) * n:
 
-    With `own` the shingles that a node shares with the pivot, two nodes share at most the smaller `own` of the pivot's
-    shingles, so a link needs at least `lack` = what the threshold asks for less that many among the others. Pairs that
-    lack nothing are candidates at once; the rest are found by joining the shingles that the pivot doesn't have.
+    - w_a + w_b <= 0 is a link for certain. Each node of such a pair then has one with the node of the least w, so a
+      single row around the pivot stands for all of these pairs.
+    - otherwise both differences share at least need = ceil((w_a + w_b) / (2 * (100 + percent))) items. These are put in
+      order, the rarest around the pivot first: the first shared item has at least need - 1 items after it in both, and
+      only pairs that meet in such an item are looked at, and confirmed on the whole differences.
     """
-    known = found.groupBy("x", "p").agg(F.max("shared").alias("shared"))
     members = open_.where("node <> pivot").select("pivot", "node", "n", "label", "main").distinct()
-    members = members.join(known, (F.col("node") == F.col("x")) & (F.col("pivot") == F.col("p")), "left")
-    members = kept(members.select("pivot", "node", "n", "label", "main", F.coalesce("shared", "n").alias("own")), "members")
-    apart = f"a.pivot = b.pivot and a.label <> b.label and (b.label = b.main or a.node < b.node) and {_close('a.n', 'b.n', percent)}"
-    lack = f"(ceil({percent} * (a.n + b.n) / {100 + percent}) - least(a.own, b.own))"
-    strays, every = members.where("label <> main").alias("a"), members.alias("b")
-    direct = strays.join(every, F.expr(f"{apart} and {lack} <= 0")).select(F.col("a.node").alias("x"), F.col("b.node").alias("p"))
-
     both = members.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items")), "pivot")
-    others = kept(both.select("pivot", "node", "n", "label", "main", "own", F.explode(F.array_except("items", "pivot_items")).alias("item")), "others")
-    met = others.where("label <> main").alias("a").join(others.alias("b"), F.expr(f"a.item = b.item and {apart} and {lack} > 0"))
-    counted = met.groupBy(F.col("a.node").alias("x"), F.col("b.node").alias("p"), F.expr(lack).alias("lack")).agg(F.count("*").alias("n"))
-    return direct.unionByName(counted.where("n >= lack").select("x", "p")).distinct()
-
-
-def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept.
-
-    Documents are linked when 100 * shared >= percent * united of their distinct word shingles. Equal sets form one node,
-    so copies are never expanded into pairs. In each bucket of a band all nodes are first compared with its most central
-    node (its pivot), then those left out with the most central of them. Pairs around a pivot that are still in different
-    components are then compared one by one, but for those that an exact bound on their shared shingles rules out. No
-    bucket, partner or candidate is capped, and every link is confirmed on the full sets.
-
-    Null or blank texts: n_shingles 0, linked with nothing, kept. Null doc_id: linked with nothing, component_id null,
-    kept. Rows of one doc_id are one document: each follows the links of its own text. Other columns of docs are not read.
-    """
+    apart = both.select("pivot", "node", "n", "label", "main", F.concat(F.array_except("items", "pivot_items"), F.array_except("pivot_items", "items")).alias("items"))
+    apart = kept(apart.withColumn("d", F.size("items")).withColumn("w", F.expr(f"{100 + percent} * d - {100 - percent} * n")), "differences")
+
+    least = kept(apart.groupBy("pivot").agg(F.min(F.struct("w", "node", "label")).alias("least")).select("pivot", "least.*").toDF("pivot", "least_w", "least_node", "least_label"), "least")
+    small = apart.select("pivot", "node", "n", "label", "main", "d", "w").join(least, "pivot")
+    certain = small.where("node <> least_node and label <> least_label and w + least_w <= 0").select(F.col("node").alias("a"), F.col("least_node").alias("b"))
+
+    items = apart.select("pivot", "node", F.explode("items").alias("item"))
+    held = items.groupBy("pivot", "item").agg(F.count("*").alias("holders")).where("holders > 1")
+    common = items.join(held, ["pivot", "item"]).groupBy("pivot", "node").agg(F.array_sort(F.collect_list(F.struct("holders", "item"))).alias("common"))  # a document's own items
+    need = f"greatest(1, ceil((w + least_w) / {2 * (100 + percent)}))"
+    placed = small.join(common, ["pivot", "node"]).select("pivot", "node", "n", "label", "main", "w", F.expr(f"d - {need} + 1").alias("last"), "d", F.posexplode("common").alias("at", "one"))
+    placed = placed.join(common.select("pivot", "node", F.size("common").alias("many")), ["pivot", "node"]).withColumn("after", F.col("many") - F.col("at"))  # items from this one on
+    placed = kept(placed.where("d - after + 1 <= last").select("pivot", F.col("one.item").alias("item"), "node", "n", "label", "main", "w", "after"), "prefixes")
+    needed = f"ceil((a.w + b.w) / {2 * (100 + percent)})"
+    meet = f"a.pivot = b.pivot and a.item = b.item and a.label <> b.label and (b.label = b.main or a.node < b.node) and {_close('a.n', 'b.n', percent)} and a.w + b.w > 0 and least(a.after, b.after) >= {needed}"
+    pairs = placed.where("label <> main").alias("a").join(placed.alias("b"), F.expr(meet)).select("a.pivot", F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    one = pairs.join(apart.select("pivot", F.col("node").alias("a"), F.col("items").alias("a_items"), F.col("w").alias("a_w")), ["pivot", "a"])
+    two = one.join(apart.select("pivot", F.col("node").alias("b"), F.col("items").alias("b_items"), F.col("w").alias("b_w")), ["pivot", "b"])
+    found = two.where(F.col("a_w") + F.col("b_w") <= 2 * (100 + percent) * F.size(F.array_intersect("a_items", "b_items"))).select("a", "b")
+    return kept(certain.unionByName(found).distinct(), "more")
+
+
+def _compared(docs: DataFrame, words_per_shingle: int, percent: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept) for each row of docs."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = kept(rows.mapInPandas(_signed(words_per_shingle), SIGNED), "signed")
+    signed = kept(rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(_signed(words_per_shingle), SIGNED), "signed")
     nodes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = kept(nodes, "nodes")
-    by_band = W.partitionBy("band")
-    met = nodes.select("node", "n", F.explode("bands").alias("band")).withColumn("met", F.count("*").over(by_band)).where("met > 1")
-    buckets = kept(_starred(met.withColumn("weight", F.sum("met").over(W.partitionBy("node")))), "buckets")
+    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
+    met = kept(banded.join(banded.groupBy("band").agg(F.count("*").alias("met")).where("met > 1"), "band"), "met")
+    buckets = kept(_starred(met.join(met.groupBy("node").agg(F.sum("met").alias("weight")), "node").drop("met")), "buckets")
 
     candidates = buckets.select("node").distinct()
     texts = rows.join(candidates, rows.doc_id == candidates.node, "left_semi")
-    sets = kept(texts.mapInPandas(_sets(words_per_shingle), "node long, items array<long>").where("size(items) > 0"), "sets")
+    sets = kept(texts.mapInArrow(_sets(words_per_shingle), "node long, items array<long>").where("size(items) > 0"), "sets")
 
-    linked = f"100 * shared >= {percent} * united"
-    link = lambda pairs: pairs.where(linked).select(F.col("x").alias("a"), F.col("p").alias("b"))
-    found = _star_pairs(buckets, sets, percent)
-    labels = components(link(found))
+    found = _star_links(buckets, sets, percent)
+    labels = components(found)
 
     def apart(labels: DataFrame) -> DataFrame:
         """Rows of the buckets in which more than one component is left; main is the pivot's."""
-        placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        spread = placed.withColumn("low", F.min("label").over(by_band)).withColumn("high", F.max("label").over(by_band)).where("low <> high")
-        return spread.withColumn("main", F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).over(by_band)).drop("low", "high")
+        placed = kept(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
+        spread = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).alias("main"))
+        return placed.join(spread.where("low <> high").select("band", "main"), "band")
 
-    second = _star_pairs(kept(_starred(apart(labels).where("label <> main")), "strays"), sets, percent)
-    links = kept(link(found).unionByName(link(second)), "links")
+    second = _star_links(_starred(apart(labels).where("label <> main").drop("pivot", "pivot_n")), sets, percent)
+    links = kept(found.unionByName(second), "links")
     labels = components(links)
-    more = kept(link(_verified(_left_over(apart(labels), found, sets, percent), sets)), "more")
+    more = _left_over(apart(labels), sets, percent)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
     named = nodes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
-    out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
+    out = signed.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
     component = F.coalesce("label", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept.
+
+    Documents are linked when 100 * shared >= percent * united of their distinct word shingles. Equal sets form one node,
+    so copies are never expanded into pairs. In each bucket of a band all nodes are first compared with its most central
+    node (its pivot), then those left out with the most central of them. Pairs around a pivot that are still in different
+    components then meet over the rarest items in which they differ from it. No bucket, partner or candidate is capped,
+    and every link is confirmed on full sets, or on full differences from the pivot's.
+
+    Null or blank texts: n_shingles 0, linked with nothing, kept. Null doc_id: linked with nothing, component_id null,
+    kept. Rows of one doc_id are one document: each follows the links of its own text. Other columns of docs are not read.
+    """
+    return _compared(docs, words_per_shingle, percent).drop("text_key")
 
 
 def first_of_each(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the documents that a smaller doc_id of their component stands for."""
-    gone = near_duplicates(docs, words_per_shingle, percent).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """docs without the rows that a smaller doc_id of their component stands for.
+
+    A row goes by its own doc_id and text: another text under the same doc_id stays if nothing stands for it. Rows without
+    a doc_id stay, and so do repeated rows of one doc_id and text, which are one document.
+    """
+    gone = _compared(docs, words_per_shingle, percent).where(~F.col("kept")).select("doc_id", "text_key").distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    return keyed.join(gone, ["doc_id", "text_key"], "left_anti").select("row.*")

@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from fieldmart.llm import orcids, wumanber
-from tests.llm.test_operators import DOCS, VOCABULARY
+from fieldmart.llm import minhash, orcids, wumanber
+from tests.llm.test_operators import DOCS, VOCABULARY, _classes
 
 
 def test_ids_of_every_latin_letter():
@@ -55,3 +56,50 @@ def test_stage_judges_rows_not_ids(spark, tmp_path):
     docs = spark.createDataFrame([(None, bad, "en", None, 1), (None, good, "en", None, 1), (3, bad, "en", None, 1), (3, good, "en", None, 1), (4, None, None, None, 0)], DOCS)
     left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
     assert left.columns == docs.columns and sorted(str((r.doc_id, r.text)) for r in left.collect()) == sorted(str(x) for x in [(None, good), (3, good), (4, None)])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_around_a_pivot(spark, seed):
+    """Cut, lengthened and edited copies, shared passages, and copies of copies: no link is lost, whatever is rare around a pivot."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    base, passages = [word() for _ in range(100)], [[word() for _ in range(n)] for n in (8, 12, 16, 20)]
+    texts = [list(base)]
+    for _ in range(260):
+        t = list(r.choice(texts[-40:] if r.random() < 0.3 else texts[:1]))
+        for _ in range(r.choice((0, 1, 2, 3, 5))):
+            t[r.randrange(len(t))] = r.choice((word(), base[0]))
+        if r.random() < 0.5:
+            t = t[r.randint(0, 12) : len(t) - r.randint(0, 12)]
+        if r.random() < 0.6:
+            at = r.choice((0, len(t), r.randint(0, len(t))))
+            t[at:at] = r.choice(passages)[: r.randint(4, 20)]
+        texts.append(t)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    r.shuffle(rows)
+    for size, percent in ((4, 80), (5, 70)):
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size, percent).collect()}
+        assert got == _classes(rows, size, percent)
+
+
+def test_first_of_each_judges_rows(spark):
+    """Another text under the doc_id of a copy stays; rows without a doc_id stay; other columns may be null and have any name."""
+    t = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, t, None), (5, t, "x"), (5, "another text under this number", "y"), (None, t, "z"), (6, None, None)], "doc_id long, text string, text_key string")
+    assert sorted(str((r.doc_id, r.text_key)) for r in minhash.first_of_each(docs).collect()) == sorted(str(x) for x in [(1, None), (5, "y"), (None, "z"), (6, None)])
+
+
+def test_recall_of_bands():
+    """Coordinates of one circulant signature depend on each other: pairs of a similarity of 0.80 to 0.85 still meet in a band."""
+    r = np.random.default_rng(2)
+    missed = 0
+    for k in range(3000):
+        n = int(r.integers(20, 400))
+        shared = int(np.ceil(n * (0.80 + 0.05 * r.random())))
+        rest = n - shared
+        values = r.integers(0, 2**63, shared + rest, dtype=np.uint64)
+        own = int(r.integers(0, rest + 1))
+        a, b = np.sort(values[: shared + own]), np.sort(np.concatenate([values[:shared], values[shared + own :]]))
+        size = minhash.BANDS * minhash.ROWS
+        missed += not (minhash._bands(minhash.signature(a, size)) == minhash._bands(minhash.signature(b, size))).any()
+    assert missed == 0
