@@ -47,12 +47,13 @@ def band_join(df: DataFrame, rules: DataFrame, key: str, value: str, lo: str, hi
     """Rule of the lowest priority (then lowest bound and id) whose key is equal and whose band holds the value.
 
     Bands are cut into cells of `step` values, so that the join is an equality on key and cell, not a scan of all bands.
+    Each distinct (key, value) is asked once and joined back, so repeated rows stay as they are.
     """
     cells = rules.select(F.col(key).alias("_k"), F.explode(F.sequence(F.floor(F.col(lo) / step), F.floor(F.col(hi) / step))).alias("_cell"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.struct(F.col(priority).alias("p"), F.col(lo).alias("l"), F.col(id_).alias("i")).alias("_rank"))
-    rows = df.withColumn("_row", F.struct(*df.columns))
-    hits = rows.join(cells, (F.col(key) == F.col("_k")) & (F.floor(F.col(value) / step) == F.col("_cell")) & F.col(value).between(F.col("_lo"), F.col("_hi")), "left")
-    best = hits.groupBy("_row").agg(F.min("_rank").alias("_rank"))
-    return best.select("_row.*", F.col("_rank")["i"].alias(out))
+    asked = df.select(F.col(key).alias("_key"), F.col(value).alias("_value")).distinct()
+    hits = asked.join(cells, (F.col("_key") == F.col("_k")) & (F.floor(F.col("_value") / step) == F.col("_cell")) & F.col("_value").between(F.col("_lo"), F.col("_hi")))
+    best = hits.groupBy("_key", "_value").agg(F.min("_rank").alias("_rank"))
+    return df.join(best, (F.col(key) == F.col("_key")) & (F.col(value) == F.col("_value")), "left").select(*[df[c] for c in df.columns], F.col("_rank")["i"].alias(out))
 
 
 _FAN, _LEVELS = 8, 11  # nodes of _FAN ** level places, for up to 8 ** 11 rows of one key
@@ -66,7 +67,7 @@ def _nodes(level: int) -> str:
     return f"if({left} < {right}, concat({steps(low, left)}, {steps(right, high)}), {steps(low, high)})"
 
 
-def asof_interval(df: DataFrame, ranges: DataFrame, keys: Sequence[str], date: str, start: str, end: str, id_: str, row_id: Sequence[str], out: str = "range_id") -> DataFrame:
+def asof_interval(df: DataFrame, ranges: DataFrame, keys: Sequence[str], date: str, start: str, end: str, id_: str, out: str = "range_id") -> DataFrame:
     """Id of the newest range (start <= date <= end, open end) of the same keys, also where a newer one has ended by then. The keys alone are shuffled on.
 
     The rows of a key are numbered in time, so that a range is a run of places. Runs are cut into nodes of a tree over the

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldmart.operators.dedup import dedup_first, dedup_latest
@@ -76,17 +77,28 @@ def load_merge_latest(batch: DataFrame, target: DataFrame, spec: FactSpec) -> Da
 
 
 def merge_upsert(target: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of new replace those of target with the same key; others stay."""
-    stay = target.join(new.select(*key).distinct(), list(key), "left_anti")
+    """Rows of new replace those of target with the same key; others stay. NULL keys are equal to each other."""
+    stay = insert_new(target, new, key)
     return stay.select(*target.columns, F.lit("kept").alias("action")).unionByName(new.select(*target.columns).withColumn("action", F.lit("merged")))
 
 
-def fact_result(read: DataFrame, rejects: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
-    """rows_read, rows_rejected (distinct row ids), rate in percent, for each key."""
+def fact_result(read: DataFrame, rejects: DataFrame, keys: Sequence[str], row_id: str, reason: str = "reason", most: int = 3) -> DataFrame:
+    """rows_read, rows_rejected (distinct row ids), rate in percent and the `most` commonest reasons ("reason (n)"), for each key; NULL keys are equal.
+
+    A rejected row without a reason counts as SIN_MOTIVO; of equally common reasons the smaller text comes first.
+    """
     a = read.groupBy(*keys).agg(F.count("*").alias("rows_read"))
     b = rejects.groupBy(*keys).agg(F.countDistinct(row_id).alias("_rejected"))
+    named = rejects.groupBy(*keys, F.coalesce(F.nullif(F.trim(reason), F.lit("")), F.lit("SIN_MOTIVO")).alias("_reason")).agg(F.count("*").alias("_n"))
+    first = named.withColumn("_place", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("_n"), "_reason"))).where(F.col("_place") <= most)  # one row for each reason
+    told = F.transform(F.array_sort(F.collect_list(F.struct("_place", "_reason", "_n"))), lambda x: F.concat(x["_reason"], F.lit(" ("), x["_n"].cast("string"), F.lit(")")))
+    c = first.groupBy(*keys).agg(F.array_join(told, ", ").alias("top_reasons"))
     rejected = F.coalesce("_rejected", F.lit(0))
-    return a.join(b, list(keys), "left").select(*keys, "rows_read", rejected.alias("rows_rejected"), (F.col("rows_read") - rejected).alias("rows_inserted"), F.round(rejected * 100 / F.col("rows_read"), 2).alias("rate"))
+    out = a
+    for i, side in enumerate((b, c)):
+        side = side.withColumnsRenamed({k: f"_{i}_{k}" for k in keys})
+        out = out.join(side, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{i}_{k}")) for k in keys]), "left")
+    return out.select(*keys, "rows_read", rejected.alias("rows_rejected"), (F.col("rows_read") - rejected).alias("rows_inserted"), F.round(rejected * 100 / F.col("rows_read"), 2).alias("rate"), F.coalesce("top_reasons", F.lit("")).alias("top_reasons"))
 
 
 def rebuild(raw: DataFrame, state: Column, spec: FactSpec, build, empty: DataFrame) -> Loaded:

@@ -135,17 +135,19 @@ def fn_extract_int(spark, sf_dir):
     return Tables(spark, sf_dir).supplier.select("s_suppkey", N.extract_int(C("s_name")).alias("n"))
 
 
-_DATE_SHAPES = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd HH:mm", "yyyyMMdd", "dd/MM/yyyy HH:mm", "d/M/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "yyyy-MM-dd'T'HH:mm:ss")
+_DATE_SHAPES = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd HH:mm", "yyyyMMdd", "dd/MM/yyyy HH:mm", "d/M/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "yyyy-MM-dd'T'HH:mm:ss", "'  'd/M/yyyy   H:m:s", "dd/MM/yyyy hh:mm a", "d MMM yyyy", "MMMM d, yyyy HH:mm")
 
 
 def _rendered(ts):
     out = F.lit("31/02/2026")
     for i, shape in enumerate(_DATE_SHAPES):
-        out = F.when(C("o_orderkey") % 11 == i, F.date_format(ts, shape)).otherwise(out)
-    return F.when(C("o_orderkey") % 11 == 9, F.datediff(C("o_orderdate"), F.lit("1899-12-30").cast("date")).cast("string")).otherwise(out)
+        out = F.when(C("o_orderkey") % 16 == i, F.date_format(ts, shape)).otherwise(out)
+    american = F.concat_ws("/", F.month(ts).cast("string"), F.dayofmonth(ts).cast("string"), F.year(ts).cast("string"))
+    out = F.when((C("o_orderkey") % 16 == 13) & (F.dayofmonth(ts) > 12), american).otherwise(out)
+    return F.when(C("o_orderkey") % 16 == 14, F.datediff(C("o_orderdate"), F.lit("1899-12-30").cast("date")).cast("string")).otherwise(out)
 
 
-@bed.query("""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 10 THEN NULL WHEN o_orderkey % 11 IN (0, 8) THEN ts WHEN o_orderkey % 11 IN (2, 4) THEN date_trunc('minute', ts) ELSE date_trunc('day', ts) END AS parsed
+@bed.query("""SELECT o_orderkey, CASE WHEN o_orderkey % 16 = 15 OR o_orderkey % 16 = 13 AND day(ts) <= 12 THEN NULL WHEN o_orderkey % 16 IN (0, 8, 9) THEN ts WHEN o_orderkey % 16 IN (2, 4, 10, 12) THEN date_trunc('minute', ts) ELSE date_trunc('day', ts) END AS parsed
   FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) AS ts FROM orders)""")
 def fn_parse_datetime(spark, sf_dir):
     t = Tables(spark, sf_dir).orders.withColumn("ts", F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)"))

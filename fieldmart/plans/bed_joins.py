@@ -67,18 +67,18 @@ def band_join(spark, sf_dir):
     return J.band_join(parts, rules.withColumnRenamed("brand", "p_brand"), "p_brand", "p_size", "lo", "hi", "priority", "id").select("p_partkey", "rule_id")
 
 
-_RANGES = "(SELECT o_orderkey AS id, o_custkey AS k, o_orderdate AS s, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate + INTERVAL 90 DAY END AS e FROM orders)"
+_RANGES = "(SELECT o_orderkey AS id, o_custkey AS k, o_orderdate AS s, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate + INTERVAL 90 DAY END AS e FROM orders)"
 
 
-@bed.query(f"""WITH asked AS (SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey % 50 AS k, l_shipdate FROM lineitem WHERE l_suppkey < 50),
-newest AS (SELECT l_orderkey, l_partkey, l_linenumber, asked.k, l_shipdate, max({{'s': s, 'e': coalesce(e, TIMESTAMP '9999-12-31'), 'i': id}}) AS r FROM asked LEFT JOIN {_RANGES} o ON o.k = asked.k AND o.s <= l_shipdate GROUP BY ALL)
-SELECT asked.l_orderkey, asked.l_partkey, asked.l_linenumber, CASE WHEN asked.l_shipdate <= r.e THEN r.i END AS range_id FROM asked JOIN newest USING (l_orderkey, l_partkey, l_linenumber, k, l_shipdate)""")
+@bed.query(f"""WITH asked AS (SELECT row_number() OVER () AS n, l_orderkey, l_partkey, l_linenumber, o_custkey AS k, l_shipdate AS d FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+held AS (SELECT n, max({{'s': s, 'o': e IS NULL, 'e': e, 'i': id}}) AS r FROM asked JOIN {_RANGES} q ON q.k = asked.k AND s <= d AND (d <= e OR e IS NULL) GROUP BY n)
+SELECT l_orderkey, l_partkey, l_linenumber, r.i AS range_id FROM asked LEFT JOIN held USING (n)""")
 def asof_interval(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ranges = t.orders.select(C("o_orderkey").alias("id"), C("o_custkey").alias("k"), C("o_orderdate").cast("timestamp_ntz").alias("s"), F.when(C("o_orderkey") % 5 != 0, F.expr("cast(o_orderdate as timestamp_ntz) + interval 90 days")).alias("e"))
     customers = t.orders.select(C("o_orderkey").alias("_order"), C("o_custkey").alias("k"))
     asked = t.lineitem.join(customers, C("l_orderkey") == C("_order"), "left").select("l_orderkey", "l_partkey", "l_linenumber", "k", C("l_shipdate").cast("timestamp_ntz").alias("d"))
-    return J.asof_interval(asked, ranges, ["k"], "d", "s", "e", "id", ["l_orderkey", "l_partkey", "l_linenumber"]).select("l_orderkey", "l_partkey", "l_linenumber", "range_id")
+    return J.asof_interval(asked, ranges, ["k"], "d", "s", "e", "id").select("l_orderkey", "l_partkey", "l_linenumber", "range_id")
 
 
 @bed.query("""WITH d AS (SELECT p_name, p_type, count(*) AS n, min(p_partkey) AS id FROM part WHERE p_partkey % 2 = 0 GROUP BY ALL)

@@ -83,17 +83,24 @@ def load_merge_latest(spark, sf_dir):
     return L.load_merge_latest(e.where("event_id % 2 = 1"), target, spec).select("event_type", "user_id", "event_id", "action")
 
 
-@bed.query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal, CASE WHEN s_suppkey % 2 = 0 THEN 'merged' ELSE 'kept' END AS action FROM supplier WHERE s_suppkey % 3 = 0 OR s_suppkey % 2 = 0")
+@bed.query("""WITH s AS (SELECT CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey END AS s_suppkey, s_suppkey AS k, s_acctbal FROM supplier), t AS (SELECT * FROM s WHERE k % 3 = 0), n AS (SELECT * FROM s WHERE k % 2 = 0)
+SELECT s_suppkey, s_acctbal + 1 AS s_acctbal, 'merged' AS action FROM n UNION ALL SELECT s_suppkey, s_acctbal, 'kept' FROM t WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.s_suppkey IS NOT DISTINCT FROM t.s_suppkey)""")
 def merge_upsert(spark, sf_dir):
-    s = Tables(spark, sf_dir).supplier.select("s_suppkey", "s_acctbal")
-    return L.merge_upsert(s.where("s_suppkey % 3 = 0"), s.where("s_suppkey % 2 = 0").withColumn("s_acctbal", C("s_acctbal") + 1), ["s_suppkey"])
+    s = Tables(spark, sf_dir).supplier.select(F.when(C("s_suppkey") % 7 != 0, C("s_suppkey")).alias("s_suppkey"), C("s_suppkey").alias("k"), "s_acctbal")
+    return L.merge_upsert(s.where("k % 3 = 0").drop("k"), s.where("k % 2 = 0").drop("k").withColumn("s_acctbal", C("s_acctbal") + 1), ["s_suppkey"])
 
 
-@bed.query("SELECT event_type, count(*) AS rows_read, count(DISTINCT event_id) FILTER (value > 50) AS rows_rejected, count(*) - count(DISTINCT event_id) FILTER (value > 50) AS rows_inserted, round(count(DISTINCT event_id) FILTER (value > 50) * 100 / count(*)::DOUBLE, 2) AS rate FROM events GROUP BY 1")
+@bed.query("""WITH e AS (SELECT *, CASE WHEN event_type <> 'click' THEN event_type END AS kind FROM events),
+x AS (SELECT kind, CASE event_id % 5 WHEN 0 THEN 'SIN_MOTIVO' WHEN 1 THEN 'late' WHEN 2 THEN 'late' WHEN 3 THEN 'wrong' ELSE 'odd ' || event_id % 3 END AS reason FROM e WHERE value > 50 UNION ALL SELECT kind, 'twice' FROM e WHERE value > 60),
+n AS (SELECT kind, reason, count(*) AS c FROM x GROUP BY 1, 2), p AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY c DESC, reason) AS place FROM n),
+t AS (SELECT kind, string_agg(reason || ' (' || c || ')', ', ' ORDER BY place) AS top_reasons FROM p WHERE place <= 3 GROUP BY 1)
+SELECT r.kind, rows_read, rows_rejected, rows_read - rows_rejected AS rows_inserted, round(rows_rejected * 100 / rows_read::DOUBLE, 2) AS rate, coalesce(top_reasons, '') AS top_reasons
+FROM (SELECT kind, count(*) AS rows_read, count(DISTINCT event_id) FILTER (value > 50) AS rows_rejected FROM e GROUP BY 1) r LEFT JOIN t ON t.kind IS NOT DISTINCT FROM r.kind""")
 def fact_result(spark, sf_dir):
-    e = Tables(spark, sf_dir).events
-    rejects = S.union_sources([e.where("value > 50"), e.where("value > 60")])
-    return L.fact_result(e, rejects, ["event_type"], "event_id")
+    e = Tables(spark, sf_dir).events.withColumn("kind", F.when(C("event_type") != "click", C("event_type")))
+    reason = F.when(C("event_id") % 5 == 0, " ").when(C("event_id") % 5 <= 2, "late").when(C("event_id") % 5 == 3, "wrong").otherwise(F.concat(F.lit("odd "), C("event_id") % 3))
+    rejects = S.union_sources([e.where("value > 50").withColumn("reason", reason), e.where("value > 60").withColumn("reason", F.lit("twice"))])
+    return L.fact_result(e, rejects, ["kind"], "event_id")
 
 
 @bed.query("SELECT o_custkey, o_orderdate, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1, 2")

@@ -38,11 +38,14 @@ def newest_per_key(spark, sf_dir):
     return R.newest_per_source(e.drop("event_type"), "user_id", "ts", "event_id", e.where("event_type = 'error'"))
 
 
-@bed.query("""WITH r AS (SELECT unnest(['example', 'blog', '/fr/', 'blog.th']) AS pattern, unnest(['any', 'blogs', 'french', 'th blogs']) AS target)
-SELECT page_id, (SELECT first(target ORDER BY len(pattern) DESC, pattern) FROM r WHERE contains(lower(strip_accents(url)), pattern)) AS target FROM pages""")
+@bed.query("""WITH r AS (SELECT unnest(['example', 'blog', 'fr_blog', 'blog_th']) AS pattern, unnest(['any', 'blogs', 'french', 'th blogs']) AS target),
+a AS (SELECT unnest([1, 2]) AS priority, unnest(['page_7', 'html_9']) AS pattern, unnest(['sevens', 'nines']) AS target),
+p AS (SELECT page_id, trim(regexp_replace(lower(strip_accents(url)), '[^a-z0-9]+', '_', 'g'), '_') AS k FROM pages)
+SELECT page_id, coalesce((SELECT first(target ORDER BY priority) FROM a WHERE contains(k, pattern)), (SELECT first(target ORDER BY len(pattern) DESC, pattern) FROM r WHERE contains(k, pattern))) AS target FROM p""")
 def route_longest_match(spark, sf_dir):
-    routes = spark.createDataFrame([("example", "any"), ("Blog", "blogs"), ("/fr/", "french"), ("blog.th", "th blogs")], "pattern string, target string")
-    return R.route_files(Tables(spark, sf_dir).pages.select("page_id", "url"), "url", routes).select("page_id", "target")
+    routes = spark.createDataFrame([("example", "any"), ("Blog", "blogs"), ("/fr/blog", "french"), ("blog.th", "th blogs")], "pattern string, target string")
+    aliases = spark.createDataFrame([(1, "Page 7", "sevens"), (2, "html-9", "nines")], "priority int, pattern string, target string")
+    return R.route_files(Tables(spark, sf_dir).pages.select("page_id", "url"), "url", routes, aliases).select("page_id", "target")
 
 
 @bed.query("SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_name WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS name FROM customer")

@@ -33,15 +33,31 @@ def newest_per_source(files: DataFrame, key: str, mtime: str, path: str, process
     return files.join(done, F.col(path) == F.col("_done"), "left_anti").groupBy(key).agg(F.max_by(path, F.struct(mtime, path)).alias(path), F.max(mtime).alias(mtime))
 
 
-def route_files(files: DataFrame, name: str, routes: DataFrame) -> DataFrame:
-    """Table of the longest route (pattern, target) that the accent-free name contains; ties: smallest pattern.
+def _route_key(c: Column) -> Column:
+    """Without accents and case, all that is neither letter nor digit as one underscore."""
+    return F.nullif(F.trim(F.regexp_replace(F.lower(text.strip_accents(c)), "[^a-z0-9]+", "_"), F.lit("_")), F.lit(""))
 
-    A routing table has some tens of rows and is checked to stay small by Spark's broadcast threshold, as any join here.
+
+def _anchors(c: Column) -> Column:
+    """Stretches of one, two and three characters, to meet those that open a pattern."""
+    runs = lambda n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: c.substr(i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(runs(1), runs(2), runs(3)))
+
+
+def route_files(files: DataFrame, name: str, routes: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """files with target: that of an alias (priority, pattern, target) that the name contains, the smallest priority first, else that of the longest route (pattern, target); ties: smallest pattern.
+
+    Names and patterns are compared without accents, case and punctuation. Each distinct name is routed once and joined
+    back, so equal files stay. Names meet patterns over the up to three characters that open a pattern, an equality.
     """
-    key = F.lower(text.strip_accents(F.col(name)))
-    hits = files.withColumn("_key", key).join(routes.withColumn("_p", F.lower(text.strip_accents(F.col("pattern")))), F.col("_key").contains(F.col("_p")), "left")
-    best = hits.groupBy(*files.columns).agg(F.min(F.when(F.col("_p").isNotNull(), F.struct((-F.length("_p")).alias("l"), "_p", "target"))).alias("_best"))
-    return best.select(*files.columns, F.col("_best")["target"].alias("target"))
+    ranked = routes.select(_route_key(F.col("pattern")).alias("_p"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_priority"), "target")
+    if aliases is not None:
+        ranked = ranked.unionByName(aliases.select(_route_key(F.col("pattern")).alias("_p"), F.lit(0).alias("_kind"), F.col("priority").cast("long").alias("_priority"), "target"))
+    opened = ranked.where("_p is not null").withColumn("_anchor", F.col("_p").substr(1, 3))
+    names = files.select(F.col(name).alias("_name")).distinct().withColumn("_key", _route_key(F.col("_name")))
+    met = names.withColumn("_anchor", F.explode(_anchors(F.col("_key")))).join(opened, "_anchor").where(F.col("_key").contains(F.col("_p")))
+    best = met.groupBy("_name").agg(F.min(F.struct("_kind", "_priority", (-F.length("_p")).alias("l"), "_p", "target")).alias("_best"))
+    return files.join(best, F.col(name) == F.col("_name"), "left").select(*[files[c] for c in files.columns], F.col("_best")["target"].alias("target"))
 
 
 def stamp_load(df: DataFrame, file: Column, now: Column) -> DataFrame:

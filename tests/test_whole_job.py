@@ -18,7 +18,7 @@ def _newest(k, d, ranges):
 def test_asof_interval_older_range_holds(spark):
     ranges = spark.createDataFrame([("a", 1, 100, 1), ("a", 5, 8, 2), ("a", 20, None, 3), ("a", 30, 31, 4)], "k string, s long, e long, id long")
     asked = spark.createDataFrame([("a", d) for d in (0, 1, 6, 8, 9, 19, 20, 30, 40, 200)], "k string, d long")
-    got = {r.d: r.range_id for r in joins.asof_interval(asked, ranges, ["k"], "d", "s", "e", "id", ["d"]).collect()}
+    got = {r.d: r.range_id for r in joins.asof_interval(asked, ranges, ["k"], "d", "s", "e", "id").collect()}
     assert got == {0: None, 1: 1, 6: 2, 8: 2, 9: 1, 19: 1, 20: 3, 30: 4, 40: 3, 200: 3}
 
 
@@ -30,7 +30,7 @@ def test_asof_interval_brute_force(spark, seed):
     ranges = [(key(), s := day(), r.choice([None, s, (s or 0) + r.randint(-3, 60), (s or 0) + r.randint(0, 900)]), i) for i in range(150)]
     asked = [(key(), day(), i // 2) for i in range(1000)]
     df = spark.createDataFrame(asked, "k string, d long, n long")
-    out = joins.asof_interval(df, spark.createDataFrame(ranges, "k string, s long, e long, id long"), ["k"], "d", "s", "e", "id", ["n"])
+    out = joins.asof_interval(df, spark.createDataFrame(ranges, "k string, s long, e long, id long"), ["k"], "d", "s", "e", "id")
     assert out.columns == ["k", "d", "n", "range_id"]
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(str((*row, _newest(row[0], row[1], ranges))) for row in asked)
 
