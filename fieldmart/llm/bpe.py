@@ -11,27 +11,32 @@ import tempfile
 import unicodedata
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import kept, worker_cache
+from fieldmart.llm.common import kept, to_shared_folder, worker_cache
 from fieldmart.llm.transducer import Transducer
 
 LEXICON = 50_000
 """Most frequent words that are compiled; bounds what goes to every executor (about 2 MB). Other words are merged, so the ids don't depend on it."""
-_MOST_CHUNKS = 300_000
+_MOST_CHUNKS = 500_000
 _LONG = 96
 _NONE = np.int32(2**31 - 1)
-# fixed values: white space of the tokenizer's pattern
+# fixed values: white space of the tokenizer's pattern, and that pattern for ASCII
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _SPLIT_WHITE = re.compile(f"[{_WHITE}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# the same pattern for the characters of plain texts
+_WORDS = re.compile("'(?:[stmd]|re|ve|ll)|[a-zß-öø-ɏ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ɏ]+")
+_ODD = re.compile("[^\x00-\x7fÀ-ÖØ-įı-ɏ]")
+_NOT_LATIN = bytes([*range(0x80, 0xC0), 0xD7, 0xF7])
 
 
 def _byte_chars() -> list[str]:
@@ -69,6 +74,7 @@ class Merges:
                 at = (at + 1) & ((1 << self.bits) - 1)
             if self.slots[at] != key:
                 self.slots[at], self.ranks[at] = key, rank
+        self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def _at(self, keys: np.ndarray) -> np.ndarray:
@@ -171,13 +177,97 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
-class Encoder:
-    """Ids of chunks, found once per worker and kept until the cache is full."""
+def _plain(text: str) -> bool:
+    """Whether the text is of ASCII and composed Latin letters alone; Latin-1 texts are tested as bytes."""
+    if text.isascii():
+        return True
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _ODD.search(text)
+    return len(raw.translate(None, _NOT_LATIN)) == len(raw)
+
+
+def cut(text: str | None) -> list[str]:
+    """The tokenizer's own words, lower-cased, of a text that is plain as it is and in lower case; else its chunks with a space before each."""
+    if not text:
+        return []
+    low = text.lower()
+    if "<|" in text or not (_plain(text) and _plain(low)):
+        return [" " + c for c in chunks(text)]
+    return _WORDS.findall(low)
+
+
+class _Numbers(dict):
+    """Number of each chunk; unseen ones get the next number and wait in `new`."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    while len(array) < n:
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
+class IdStore:
+    """Ids of chunks, each distinct one encoded once per worker until `most` are held; a text's ids are gathered from them."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers = _Numbers()
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and the number of each one's."""
+        raise NotImplementedError
+
+    def gather(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ends of the texts (lists of chunks) in the ids of all, and the ids."""
+        if len(self.numbers) > self.most:
+            self.clear()
+        places = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64)
+        if new := self.numbers.new:
+            ids, sizes = self.encode_chunks(new)
+            base = len(self.numbers) - len(new)
+            self.flat = _room(self.flat, self.used + len(ids))
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.starts, self.sizes = _room(self.starts, len(self.numbers)), _room(self.sizes, len(self.numbers))
+            self.sizes[base : base + len(new)] = sizes
+            self.starts[base : base + len(new)] = self.used + np.cumsum(sizes) - sizes
+            self.used += len(ids)
+            self.numbers.new = []
+        sizes = self.sizes[places]
+        total = np.cumsum(sizes)
+        ids = self.flat[np.arange(int(total[-1]) if len(total) else 0) + np.repeat(self.starts[places] - (total - sizes), sizes)]
+        ends = np.cumsum([len(found) for found in split])
+        return np.concatenate([[0], total])[ends].astype(np.int64), ids
+
+
+class Encoder(IdStore):
+    """Encodes texts through the transducer and the merges, and decodes ids."""
 
     def __init__(self, merges: Merges, lexicon: Transducer | None = None) -> None:
+        super().__init__(_MOST_CHUNKS)
+        from tokenizers import Regex, normalizers, pre_tokenizers
+
         self.merges, self.lexicon = merges, lexicon
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
+        # Unicode tables differ between libraries: what isn't ASCII is composed, lower-cased and cut by the tokenizer's own
+        self.normaliser = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.cutter = pre_tokenizers.Split(Regex(merges.pattern), "removed", invert=True)
+        self.names = np.array(merges.tokens, object)
+        self.decimals = np.array([str(i) for i in range(len(merges.tokens))], object)
 
     def words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word: from the transducer where it is in the lexicon, else merged."""
@@ -197,7 +287,10 @@ class Encoder:
         return out
 
     def _parts(self, chunk: str) -> list[bytes | int]:
-        """Words of a chunk, as UTF-8, and ids of special tokens that stand in it."""
+        """Words of what cut() gives, as UTF-8, and ids of special tokens that stand in it."""
+        if chunk[0] != " ":
+            return [chunk.encode()]
+        chunk = chunk[1:]
         if chunk.isascii():
             if chunk.isalpha():
                 return [chunk.lower().encode()]
@@ -208,43 +301,33 @@ class Encoder:
             if piece in self.merges.special:
                 out.append(self.merges.special[piece])
             elif piece:
-                out += [p.encode() for p in _PIECES.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())]
+                out += [p.encode() for p, _ in self.cutter.pre_tokenize_str(self.normaliser.normalize_str(piece))]
         return out
 
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self.ids) > _MOST_CHUNKS:
-            self.ids.clear()
-            self.decoded.clear()
-        new = list({c for text in texts for c in text if c not in self.ids})
-        if not new:
-            return
-        parts = [self._parts(c) for c in new]
+    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self._parts(c) for c in chunks]
         words = list({p for found in parts for p in found if isinstance(p, bytes)})
-        tokens = self.merges.tokens
-        known: dict = {}
-        for word, ids in zip(words, self.words(words), strict=True):
-            known[word] = (" ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
-        for special, i in self.merges.special.items():
-            known[i] = (str(i), special)
-        for chunk, found in zip(new, parts, strict=True):
-            if len(found) == 1:
-                self.ids[chunk], self.decoded[chunk] = known[found[0]]
-            else:
-                both = [known[p] for p in found]
-                self.ids[chunk] = " ".join([x for x, _ in both])
-                self.decoded[chunk] = " ".join([y for _, y in both])
-
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
-        """(ids joined by spaces, decoded text) of each text."""
+        known: dict = dict(zip(words, self.words(words), strict=True)) | {i: [i] for i in self.merges.special.values()}
+        ids = [known[found[0]] if len(found) == 1 else [i for p in found for i in known[p]] for found in parts]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text; null and blank texts have none."""
         for at in range(0, len(texts), 256):
-            split = [chunks(t) if t else [] for t in texts[at : at + 256]]
-            self.learn(split)
-            for found in split:
-                yield " ".join(map(self.ids.__getitem__, found)), " ".join(map(self.decoded.__getitem__, found))
+            ends, ids = self.gather([cut(t) for t in texts[at : at + 256]])
+            start = 0
+            for end in ends.tolist():
+                yield ids[start:end]
+                start = end
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by spaces: the files of this kind name no decoder."""
-        return " ".join([self.merges.tokens[i] for i in ids])
+        return " ".join(self.names[ids])
+
+    def written(self, ids: np.ndarray) -> str:
+        """Decimal ids joined by spaces."""
+        return " ".join(self.decimals[ids])
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON) -> list[str]:
@@ -268,10 +351,12 @@ def compiled(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> str:
     merges = Merges(vocabulary)
     words = list({unicodedata.normalize("NFC", w).encode() for w in frequent_words(docs, most)})
     lexicon = Transducer.build(dict(zip(words, merges.merge(words), strict=True)))
-    path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), f"lexicon-{uuid.uuid4().hex}.bin")
-    lexicon.save(path)
-    docs.sparkSession.sparkContext.addFile(path)
-    return os.path.basename(path)
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
+    with tempfile.TemporaryDirectory(prefix="lexicon-") as folder:
+        lexicon.save(os.path.join(folder, name))
+        shared = to_shared_folder(docs.sparkSession, os.path.join(folder, name))
+    docs.sparkSession.sparkContext.addFile(shared)
+    return name
 
 
 def encoder(vocabulary: str, lexicon: str | None = None) -> Encoder:
@@ -285,7 +370,7 @@ def encode(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> DataFrame:
     @F.pandas_udf("array<int>")
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([np.array(x.split(), np.int32) for x, _ in encoder(vocabulary, lexicon).texts(list(batch))], dtype=object)
+            yield pd.Series(list(encoder(vocabulary, lexicon).encode(list(batch))), dtype=object)
 
     return docs.withColumn("ids", ids("text"))
 
@@ -296,19 +381,24 @@ def decode(df: DataFrame, vocabulary: str) -> DataFrame:
     @F.pandas_udf("string")
     def text(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in ids:
-            tokens = encoder(vocabulary).merges.tokens
-            yield pd.Series([None if x is None else " ".join([tokens[i] for i in x]) for x in batch], dtype=object)
+            decode = encoder(vocabulary).decode
+            yield pd.Series([None if x is None else decode(np.asarray(x, np.int32)) for x in batch], dtype=object)
 
     return df.withColumn("decoded", text("ids"))
 
 
 def _digests(vocabulary: str, lexicon: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(vocabulary, lexicon)
         for batch in batches:
-            out = [(x.count(" ") + 1 if x else 0, hashlib.sha256(x.encode()).hexdigest(), hashlib.sha256(y.encode()).hexdigest()) for x, y in encoder(vocabulary, lexicon).texts(list(batch["text"]))]
-            found = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            found.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            yield found
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                sizes, ids_sums, text_sums = [], [], []
+                for ids in made.encode(part.column("text").to_pylist()):
+                    sizes.append(len(ids))
+                    ids_sums.append(hashlib.sha256(made.written(ids).encode()).hexdigest())
+                    text_sums.append(hashlib.sha256(made.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids_sums, pa.string()), pa.array(text_sums, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
@@ -316,7 +406,8 @@ def _digests(vocabulary: str, lexicon: str):
 def round_trip(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> DataFrame:
     """Per document: doc_id, n_tokens, and SHA-256 of its ids (decimal, joined by a space) and of the text decoded from them.
 
-    Null and blank texts have no tokens. Rows are independent; other columns are not read.
+    Null and blank texts have no tokens. Rows are independent, so repeated rows and null ids stay; other columns are not
+    read. The second digest is of what the ids decode to. A very long text takes memory in proportion to its own length.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(_digests(vocabulary, compiled(rows, vocabulary, most)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(_digests(vocabulary, compiled(rows, vocabulary, most)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

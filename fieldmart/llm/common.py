@@ -28,14 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; a temporary one where that is unset (tests)."""
+    """A new folder under spark.checkpoint.dir, which driver and executors share. Where that is unset a local session takes a temporary one (tests); a cluster has to name it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that all machines share")
         app = spark.sparkContext.applicationId
         root = _own_root.get(app) or _own_root.setdefault(app, tempfile.mkdtemp(prefix="fieldmart-"))
     return f"{root}/{what}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def to_shared_folder(spark: SparkSession, file: str) -> str:
+    """Moves a file of the driver into the shared folder."""
+    path = f"{shared_folder(spark, 'file')}/{file.rpartition('/')[2]}"
+    system, target = _file_system(spark, path)
+    system.copyFromLocalFile(True, True, spark._jvm.org.apache.hadoop.fs.Path(f"file://{file}"), target)
+    return path
+
+
 def kept(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read again: cuts lineage and survives the loss of executors."""
     path = shared_folder(df.sparkSession, what)
@@ -43,6 +58,25 @@ def kept(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator, removed when what it returns no longer reads them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, what: str) -> DataFrame:
+        path = shared_folder(self.spark, what)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            system, target = _file_system(self.spark, path)
+            system.delete(target, True)
+        self.paths = []
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import kept, worker_cache
+from fieldmart.llm.common import Scratch, kept, worker_cache
 from fieldmart.llm.components import components
 
 BANDS, ROWS = 42, 6
@@ -133,15 +133,15 @@ def _starred(rows: DataFrame) -> DataFrame:
     return rows.join(first.select("band", (-F.col("_first")["col2"]).alias("pivot"), F.col("_first")["n"].alias("pivot_n")), "band")
 
 
-def _star_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _star_links(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) of nodes with their pivots, from the full sets."""
     pairs = rows.where("node <> pivot").where(_close("n", "pivot_n", percent)).select("node", "pivot").distinct()
     both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items")), "pivot")
     shared = both.select("node", "pivot", F.size(F.array_intersect("items", "pivot_items")).alias("shared"), (F.size("items") + F.size("pivot_items")).alias("total"))
-    return kept(shared.where(f"100 * shared >= {percent} * (total - shared)").select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars")
+    return scratch.keep(shared.where(f"100 * shared >= {percent} * (total - shared)").select(F.col("node").alias("a"), F.col("pivot").alias("b")), "stars")
 
 
-def _left_over(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _left_over(open_: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) of nodes around one pivot that are still in different components, without comparing all pairs.
 
     A node is held as its difference from the pivot's set: d items that only one of the two has. For two nodes,
@@ -157,9 +157,9 @@ def _left_over(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = open_.where("node <> pivot").select("pivot", "node", "n", "label", "main").distinct()
     both = members.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("items").alias("pivot_items")), "pivot")
     apart = both.select("pivot", "node", "n", "label", "main", F.concat(F.array_except("items", "pivot_items"), F.array_except("pivot_items", "items")).alias("items"))
-    apart = kept(apart.withColumn("d", F.size("items")).withColumn("w", F.expr(f"{100 + percent} * d - {100 - percent} * n")), "differences")
+    apart = scratch.keep(apart.withColumn("d", F.size("items")).withColumn("w", F.expr(f"{100 + percent} * d - {100 - percent} * n")), "differences")
 
-    least = kept(apart.groupBy("pivot").agg(F.min(F.struct("w", "node", "label")).alias("least")).select("pivot", "least.*").toDF("pivot", "least_w", "least_node", "least_label"), "least")
+    least = scratch.keep(apart.groupBy("pivot").agg(F.min(F.struct("w", "node", "label")).alias("least")).select("pivot", "least.*").toDF("pivot", "least_w", "least_node", "least_label"), "least")
     small = apart.select("pivot", "node", "n", "label", "main", "d", "w").join(least, "pivot")
     certain = small.where("node <> least_node and label <> least_label and w + least_w <= 0").select(F.col("node").alias("a"), F.col("least_node").alias("b"))
 
@@ -169,45 +169,47 @@ def _left_over(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     need = f"greatest(1, ceil((w + least_w) / {2 * (100 + percent)}))"
     placed = small.join(common, ["pivot", "node"]).select("pivot", "node", "n", "label", "main", "w", F.expr(f"d - {need} + 1").alias("last"), "d", F.posexplode("common").alias("at", "one"))
     placed = placed.join(common.select("pivot", "node", F.size("common").alias("many")), ["pivot", "node"]).withColumn("after", F.col("many") - F.col("at"))  # items from this one on
-    placed = kept(placed.where("d - after + 1 <= last").select("pivot", F.col("one.item").alias("item"), "node", "n", "label", "main", "w", "after"), "prefixes")
+    placed = scratch.keep(placed.where("d - after + 1 <= last").select("pivot", F.col("one.item").alias("item"), "node", "n", "label", "main", "w", "after"), "prefixes")
     needed = f"ceil((a.w + b.w) / {2 * (100 + percent)})"
     meet = f"a.pivot = b.pivot and a.item = b.item and a.label <> b.label and (b.label = b.main or a.node < b.node) and {_close('a.n', 'b.n', percent)} and a.w + b.w > 0 and least(a.after, b.after) >= {needed}"
     pairs = placed.where("label <> main").alias("a").join(placed.alias("b"), F.expr(meet)).select("a.pivot", F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     one = pairs.join(apart.select("pivot", F.col("node").alias("a"), F.col("items").alias("a_items"), F.col("w").alias("a_w")), ["pivot", "a"])
     two = one.join(apart.select("pivot", F.col("node").alias("b"), F.col("items").alias("b_items"), F.col("w").alias("b_w")), ["pivot", "b"])
     found = two.where(F.col("a_w") + F.col("b_w") <= 2 * (100 + percent) * F.size(F.array_intersect("a_items", "b_items"))).select("a", "b")
-    return kept(certain.unionByName(found).distinct(), "more")
+    return scratch.keep(certain.unionByName(found).distinct(), "more")
 
 
 def _compared(docs: DataFrame, words_per_shingle: int, percent: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) for each row of docs."""
+    scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = kept(rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(_signed(words_per_shingle), SIGNED), "signed")
     nodes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = kept(nodes, "nodes")
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
-    met = kept(banded.join(banded.groupBy("band").agg(F.count("*").alias("met")).where("met > 1"), "band"), "met")
-    buckets = kept(_starred(met.join(met.groupBy("node").agg(F.sum("met").alias("weight")), "node").drop("met")), "buckets")
+    met = scratch.keep(banded.join(banded.groupBy("band").agg(F.count("*").alias("met")).where("met > 1"), "band"), "met")
+    buckets = scratch.keep(_starred(met.join(met.groupBy("node").agg(F.sum("met").alias("weight")), "node").drop("met")), "buckets")
 
     candidates = buckets.select("node").distinct()
     texts = rows.join(candidates, rows.doc_id == candidates.node, "left_semi")
-    sets = kept(texts.mapInArrow(_sets(words_per_shingle), "node long, items array<long>").where("size(items) > 0"), "sets")
+    sets = scratch.keep(texts.mapInArrow(_sets(words_per_shingle), "node long, items array<long>").where("size(items) > 0"), "sets")
 
-    found = _star_links(buckets, sets, percent)
+    found = _star_links(buckets, sets, percent, scratch)
     labels = components(found)
 
     def apart(labels: DataFrame) -> DataFrame:
         """Rows of the buckets in which more than one component is left; main is the pivot's."""
-        placed = kept(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
+        placed = scratch.keep(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
         spread = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("node") == F.col("pivot"), F.col("label"))).alias("main"))
         return placed.join(spread.where("low <> high").select("band", "main"), "band")
 
-    second = _star_links(_starred(apart(labels).where("label <> main").drop("pivot", "pivot_n")), sets, percent)
-    links = kept(found.unionByName(second), "links")
+    second = _star_links(_starred(apart(labels).where("label <> main").drop("pivot", "pivot_n")), sets, percent, scratch)
+    links = scratch.keep(found.unionByName(second), "links")
     labels = components(links)
-    more = _left_over(apart(labels), sets, percent)
+    more = _left_over(apart(labels), sets, percent, scratch)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
+    scratch.drop()
 
     named = nodes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
     out = signed.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from fieldmart.llm.bpe import chunks
+from fieldmart.llm.bpe import IdStore, cut
 from fieldmart.llm.common import worker_cache
 
 END_ID = 1
@@ -24,19 +22,11 @@ _MOST_CHUNKS = 800_000
 _SCHEMA = "doc_id long, at long, n_tokens long, ids array<int>"
 
 
-# texts that are of these characters alone, as they are and in lower case, are cut into the tokenizer's own words; others
-# are cut at white space
-_ODD = re.compile("[^\x00-\x7fÀ-ÖØ-įı-ɏ]|<\\|")
-_PIECES = re.compile("'(?:[stmd]|re|ve|ll)|[a-zß-öø-ɏ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ɏ]+")
-
-
-class ChunkIds:
-    """Ids of words by the tokenizers library, each distinct one once per worker; a text's ids are gathered from them.
-
-    Many distinct words are encoded as one text; the ids that close a word tell where the next one starts.
-    """
+class ChunkIds(IdStore):
+    """Ids of words and chunks by the tokenizers library. Many distinct words are encoded as one text; the ids that close a word tell where the next one starts."""
 
     def __init__(self, vocabulary: str) -> None:
+        super().__init__(_MOST_CHUNKS)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -50,65 +40,35 @@ class ChunkIds:
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.closes[i] = token.endswith("</w>")
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-
-    @staticmethod
-    def _room(array: np.ndarray, n: int) -> np.ndarray:
-        while len(array) < n:
-            array = np.concatenate([array, np.zeros_like(array)])
-        return array
-
-    def _keep(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        base = len(self.index)
-        self.flat = self._room(self.flat, self.used + len(ids))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.starts, self.sizes = self._room(self.starts, base + len(names)), self._room(self.sizes, base + len(names))
-        self.sizes[base : base + len(names)] = sizes
-        self.starts[base : base + len(names)] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(ids)
-        self.index.update(zip(names, range(base, base + len(names)), strict=True))
-
-    def learn(self, split: list[list[str]]) -> None:
-        if len(self.index) > _MOST_CHUNKS:
-            self.clear()
-        new = list(set().union(*split) - self.index.keys())
-        words = [w for w in new if w[0] != " "]
-        for at in range(0, len(words), 256):
-            part = words[at : at + 256]
-            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            self._keep(part, ids, np.diff(ends, prepend=0))
-        odd = [w for w in new if w[0] == " "]  # chunks of odd texts
-        for at in range(0, len(odd), 2048):
-            part = odd[at : at + 2048]
-            encoded = self.tokenizer.encode([w[1:] for w in part], is_pretokenized=True, add_special_tokens=False)
-            self._keep(part, np.array(encoded.ids, np.int32), np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(part)))
-
-    @staticmethod
-    def _split(text: str | None) -> list[str]:
-        if not text:
-            return []
-        low = text.lower()
-        if _ODD.search(text) or not text.isascii() and _ODD.search(low):
-            return [" " + c for c in chunks(text)]
-        return _PIECES.findall(low)
+
+    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        odd = np.fromiter((c[0] == " " for c in chunks), bool, len(chunks))  # chunks of odd texts
+        sizes, parts = np.zeros(len(chunks), np.int64), []
+        places = [np.flatnonzero(~odd), np.flatnonzero(odd)]
+        for at in range(0, len(places[0]), 256):
+            own = places[0][at : at + 256]
+            ids = np.array(self.plain.encode_batch_fast([" ".join([chunks[i] for i in own])], add_special_tokens=False)[0].ids, np.int32)
+            sizes[own] = np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0)
+            parts.append(ids)
+        for at in range(0, len(places[1]), 2048):
+            own = places[1][at : at + 2048]
+            encoded = self.tokenizer.encode([chunks[i][1:] for i in own], is_pretokenized=True, add_special_tokens=False)
+            sizes[own] = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(own))
+            parts.append(np.array(encoded.ids, np.int32))
+        ids = np.concatenate([*parts, np.empty(0, np.int32)])
+        if odd.any() and not odd.all():  # back into the order of the chunks
+            order = np.concatenate(places)
+            ends = np.cumsum(sizes[order])
+            starts = np.empty(len(chunks), np.int64)
+            starts[order] = ends - sizes[order]
+            total = np.cumsum(sizes)
+            ids = ids[np.arange(len(ids)) + np.repeat(starts - (total - sizes), sizes)]
+        return ids, sizes
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(sizes, ids) of blocks of texts, the end id appended to each text."""
         for at in range(0, len(texts), 256):
-            split = [self._split(t) for t in texts[at : at + 256]]
-            self.learn(split)
-            places = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64)
-            sizes = self.sizes[places]
-            total = np.cumsum(sizes)
-            ids = self.flat[np.arange(int(total[-1]) if len(total) else 0) + np.repeat(self.starts[places] - (total - sizes), sizes)]
-            ends = np.cumsum([len(found) for found in split])
-            stops = np.concatenate([[0], total])[ends].astype(np.int64)
+            stops, ids = self.gather([cut(t) for t in texts[at : at + 256]])
             yield np.diff(stops, prepend=0) + 1, np.insert(ids, stops, END_ID)
 
 

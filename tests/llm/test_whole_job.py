@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from fieldmart.llm import minhash, orcids, wumanber
+from fieldmart.llm import bpe, minhash, orcids, wumanber
 from tests.llm.test_operators import DOCS, VOCABULARY, _classes
 
 
@@ -103,3 +103,24 @@ def test_recall_of_bands():
         size = minhash.BANDS * minhash.ROWS
         missed += not (minhash._bands(minhash.signature(a, size)) == minhash._bands(minhash.signature(b, size))).any()
     assert missed == 0
+
+
+def test_ids_of_all_of_unicode():
+    """Every code point below U+20000 between letters and alone, sequences of marks, and mixed texts: both encoders equal the library."""
+    import unicodedata
+
+    library, own, words = Tokenizer.from_file(VOCABULARY), bpe.Encoder(bpe.Merges(VOCABULARY)), orcids.ChunkIds(VOCABULARY)
+    r = random.Random(1)
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    marks = [c for c in points if unicodedata.category(c).startswith("M")]
+    named = [c for c in points if unicodedata.category(c) != "Cn"]
+    texts = [f"a{c}b {c} 1{c}'s" for c in points]
+    texts += ["e" + "".join(r.choice(marks) for _ in range(r.randint(1, 4))) + "x" for _ in range(8000)]
+    texts += ["".join(r.choice((r.choice(named), r.choice("aeE 'sdrt1.\n"), r.choice("aeé ÀßẞİıſǅΣς"))) for _ in range(r.randint(1, 24))) for _ in range(8000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [i.tolist() for i in own.encode(texts)] == want
+    got = []
+    for sizes, ids in words.texts(texts):
+        got += [x[:-1].tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == want
+    assert all(own.decode(np.array(i, np.int64)) == library.decode(i, skip_special_tokens=False) for i in want[::50])
