@@ -25,7 +25,7 @@ from fieldmart.llm.transducer import Transducer
 
 LEXICON = 50_000
 """Most frequent words that are compiled; bounds what goes to every executor (about 2 MB). Other words are merged, so the ids don't depend on it."""
-_MOST_CHUNKS = 500_000
+_MOST_CHUNKS = 250_000
 _LONG = 96
 _NONE = np.int32(2**31 - 1)
 # fixed values: white space of the tokenizer's pattern, and that pattern for ASCII

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +18,20 @@ _own_root: dict[str, str] = {}
 _cache: dict[object, object] = {}
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the machine, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def worker_cache(owner: object, make: Callable[[], T]) -> T:
     """What one operator keeps in a Python worker between tasks. A worker serves many stages: the next owner's takes its place."""
     if owner not in _cache:
-        _cache.clear()
+        if _cache:
+            _cache.clear()
+            _give_back()
         _cache[owner] = make()
     return _cache[owner]  # type: ignore[return-value]
 

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from fieldmart.llm.common import kept, shared_folder, worker_cache
+from fieldmart.llm.common import kept, worker_cache
 
 WINDOW = 10
 BLOCK = 2
 """Words that one entry of the shift table covers."""
 ITEMS_AT_ONCE = 20_000
 """Items whose tables one pass over the documents holds in memory; more items are searched in further passes."""
+BLOCK_BYTES = 32 << 20
+"""Bytes of their texts, likewise."""
 
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -85,17 +89,19 @@ def _covered(spans: list[tuple[int, int]]) -> int:
 def _pass(key: str, block, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = worker_cache(key, lambda: Searcher([(item, words_of(text)) for item, text in block.value], window)).search
-        for batch in batches:
-            n_words, flat, n_hit, found = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                spans, items = search(words)
-                n_words.append(len(words))
-                flat.append([x for s in spans for x in s])
-                n_hit.append(_covered(spans))
-                found.append(sorted(item for item in items if item is not None))
-            columns = [pa.array(n_words, pa.int64()), pa.array(flat, pa.list_(pa.int32())), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", "n_words", "spans", "n_hit", "items"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(at, 1_000)
+                n_words, flat, n_hit, found = [], [], [], []
+                for text in batch.column("text").to_pylist():
+                    words = words_of(text)
+                    spans, items = search(words)
+                    n_words.append(len(words))
+                    flat.append([x for s in spans for x in s])
+                    n_hit.append(_covered(spans))
+                    found.append(sorted(item for item in items if item is not None))
+                columns = [pa.array(n_words, pa.int64()), pa.array(flat, pa.list_(pa.int32())), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", "n_words", "spans", "n_hit", "items"])
 
     return run
 
@@ -105,32 +111,37 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, items_at
 
     A window is `window` consecutive item words; an item of fewer words, but not none, is one window; null texts have no
     words; an item without an id counts for n_hit and isn't among the items. Items (item_id, text) go to the executors in
-    blocks of at most about `items_at_once`, so what is broadcast is bounded. For several blocks the rows are numbered and
-    written, and their results are joined by these numbers, so that each row stands alone, whatever `row` is.
+    blocks of about `items_at_once` items and BLOCK_BYTES of text at most, so what is broadcast is bounded; a longer item
+    is a block of its own. Several blocks are searched one after another, each released before the next: the rows are
+    numbered and written, the hits of each block are written, and they are joined by these numbers, so that each row
+    stands alone, whatever `row` is, and the number of blocks changes no result.
     """
     spark = docs.sparkSession
     listed = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    n = listed.count()
-    blocks = -(-n // items_at_once) or 1
-    numbered = docs.select("row", "text")
-    if blocks > 1:
-        written = kept(numbered.withColumn("_key", F.monotonically_increasing_id()), "numbered")
-        numbered = written.select(F.col("_key").alias("row"), "text")
-    schema = StructType([StructField("row", numbered.schema["row"].dataType)]).add("n_words", "long").add("spans", ArrayType(IntegerType())).add("n_hit", "long").add("items", ArrayType(StringType()))
-    passes = []
-    for k in range(blocks):
-        block = listed if blocks == 1 else listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        rows = [(r.item, r.text) for r in block.orderBy("item", "text").collect()]
-        passes.append(numbered.mapInArrow(_pass(shared_folder(spark, "tables"), spark.sparkContext.broadcast(rows), window), schema))
+    size = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(-(-size.n // items_at_once), -(-size.bytes // BLOCK_BYTES), 1)
+
+    def searched(rows: DataFrame, block: DataFrame) -> tuple[DataFrame, Broadcast]:
+        sent = spark.sparkContext.broadcast([(r.item, r.text) for r in block.orderBy("item", "text").collect()])
+        schema = StructType([StructField("row", rows.schema["row"].dataType)]).add("n_words", "long").add("spans", ArrayType(IntegerType())).add("n_hit", "long").add("items", ArrayType(StringType()))
+        return rows.mapInArrow(_pass(uuid.uuid4().hex, sent, window), schema), sent
+
     if blocks == 1:
-        return passes[0]
-    every = passes[0]
-    for other in passes[1:]:
-        every = every.unionByName(other)
-    merged = every.groupBy(F.col("row").alias("_key")).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("found"))
+        return searched(docs.select("row", "text"), listed)[0]
+    written = kept(docs.select(F.monotonically_increasing_id().alias("_key"), "row", "text"), "numbered")
+    numbered = written.select(F.col("_key").alias("row"), "text")
+    every, counted = None, None
+    for k in range(blocks):
+        found, sent = searched(numbered, listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k))
+        found = kept(found if k == 0 else found.where("size(spans) > 0"), "hits")
+        sent.destroy()
+        hits = found.where("size(spans) > 0").select("row", "spans", "items")
+        every, counted = (hits, found.select(F.col("row").alias("_key"), "n_words")) if k == 0 else (every.unionByName(hits), counted)
+    merged = every.groupBy(F.col("row").alias("_key")).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("found"))  # one document's own
     covered = "size(array_distinct(flatten(transform(sequence(0, cast(size(spans) / 2 as int) - 1), i -> sequence(spans[2 * i], spans[2 * i + 1] - 1)))))"
-    whole = written.select("_key", "row").join(merged, "_key")
-    return whole.select("row", "n_words", "spans", F.when(F.size("spans") > 0, F.expr(covered)).otherwise(0).cast("long").alias("n_hit"), F.array_sort(F.array_distinct("found")).alias("items"))
+    whole = written.select("_key", "row").join(counted, "_key").join(merged, "_key", "left")
+    hit = F.when(F.size("spans") > 0, F.expr(covered)).otherwise(0).cast("long")
+    return whole.select("row", "n_words", F.coalesce("spans", F.array().cast("array<int>")).alias("spans"), hit.alias("n_hit"), F.coalesce(F.array_sort(F.array_distinct("found")), F.array().cast("array<string>")).alias("items"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:

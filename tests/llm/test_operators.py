@@ -147,14 +147,14 @@ def test_extraction_edges(spark):
 def test_gradient():
     net = gru.Gru(3, 4)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    words, labels = [b"abc", b"hello", b"x"], np.array([0, 2, 1])
-    table, lengths = gru.padded(words)
+    pieces, labels = [b"abc", b"hello", b"x"], np.array([0, 2, 1])
+    table, mask = gru.padded(pieces)
 
     def loss():
-        logp, mask, _ = net.positions(table, lengths)
+        logp, _ = net.positions(table, mask)
         return -(logp[:, np.arange(3), labels] * mask).sum() / mask.sum()
 
-    for k, g in net.gradient(table, lengths, labels).items():
+    for k, g in net.gradient(table, mask, labels).items():
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         kept = net.p[k][at]
         net.p[k][at] = kept + 1e-3
@@ -165,17 +165,38 @@ def test_gradient():
         assert abs((up - down) / 2e-3 - g[at]) < 1e-3 + 0.05 * abs(g[at])
 
 
+def test_every_byte_is_labelled_once():
+    """Sums over windows are those of the network run over windows one by one; texts of any length, many or one at a time."""
+    net, r = gru.Gru(3, 4), np.random.default_rng(1)
+    texts = [bytes(r.integers(0, 256, n).astype(np.uint8)) for n in (1, 5, 95, 96, 97, 500, 2, 1300)]
+    want = []
+    for text in texts:
+        total = np.zeros(3)
+        for at in range(0, len(text), gru.SPAN):
+            low, high = max(0, at - gru.CONTEXT), min(len(text), at + gru.SPAN + gru.CONTEXT)
+            logp, _ = net.positions(*gru.padded([text[low:high]]))
+            total += logp[at - low : min(at + gru.SPAN, len(text)) - low, 0].sum(axis=0)
+        want.append(total)
+    assert np.allclose(list(net.documents(texts)), want, atol=1e-2, rtol=1e-4)
+    assert np.allclose([next(iter(net.documents([t]))) for t in texts], want, atol=1e-2, rtol=1e-4)
+
+
 def test_language(spark, odd, empty):
+    import unicodedata
+
+    letter = lambda t: any(unicodedata.category(c).startswith("L") for c in t or "")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.select("doc_id", "lang").join(gru.languages_of(docs, sample=500), "doc_id").collect()
     held = [r for r in rows if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
     assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
-    out = gru.languages_of(odd).collect()
-    assert len(out) == odd.count()
-    assert all((r.lang_pred == "und") == (not t or not re.search(r"[^\W\d_]", t)) for r, t in zip(out, [x.text for x in odd.collect()], strict=True))
+    marks = spark.createDataFrame([(i, t, "en", None, None) for i, t in enumerate(["½ ² ", "١٢", "ª", "ʰ", "中", "_ 1", "Ⅷ", "\u0301"])], DOCS)
+    known = odd.select("doc_id", "text", "lang", "source", "n_chars").union(marks)
+    out = gru.languages_of(known).collect()
+    assert len(out) == known.count()
+    assert all((r.lang_pred == "und") == (not letter(t)) for r, t in zip(out, [x.text for x in known.collect()], strict=True))
     assert gru.languages_of(empty).count() == 0
-    assert gru.with_language(odd).count() == sum(r.lang_pred != "und" for r in out)
+    assert gru.with_language(odd).count() == sum(map(letter, [x.text for x in odd.collect()]))
 
 
 # --- 4 -----------------------------------------------------------------------------------------------------------
