@@ -80,7 +80,7 @@ def keep_min_id(df: DataFrame, grain: Sequence[str], id_: str) -> DataFrame:
 
 def weighted_mean(df: DataFrame, pairs: Sequence[tuple[str, str | None]], direct: tuple[str, str], digits: int = 4, out: str = "weight") -> DataFrame:
     """Weight over count where both are given directly, else the sums over (count, weight) categories; NULL without data."""
-    number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
+    number = lambda c: F.coalesce(F.nanvl(F.col(c).try_cast("double"), F.lit(0.0)), F.lit(0.0))
     count = sum((number(c) for c, _ in pairs), F.lit(0.0))
     weight = sum((number(w) for _, w in pairs if w), F.lit(0.0))
     w, n = (number(c) for c in direct)

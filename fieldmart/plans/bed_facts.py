@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fieldmart.functions import dates as D
 from fieldmart.operators import facts as T
 from fieldmart.operators import marts as G
 from fieldmart.operators import shape
@@ -27,87 +28,156 @@ def raw_lines(t):
     )
 
 
+STATES = ("BOTON FLORAL", "FLOR", "PEQUENA", "VERDE", "INICIO F1", "INICIO F2", "CREMA", "MADURA", "COSECHABLE")
+
+
 def dims(t):
+    state = F.array(*[F.lit(s) for s in STATES])
     return {
         "geo": t.supplier.where("s_suppkey < 35").select(text("s_suppkey").alias("key"), (C("s_suppkey") + 1000).alias("id")),
         "variety": t.part.where("p_partkey < 50").select(F.concat(F.lit("VARIETY"), "p_partkey").alias("key"), C("p_partkey").alias("id")),
         "person": t.customer.where("c_custkey < 280").select(F.lpad(text("c_custkey"), 8, "0").alias("key"), C("c_custkey").alias("id")),
-        "ribbon": t.region.select(F.when(C("r_regionkey") == 0, "VIEW").when(C("r_regionkey") == 1, "CLICK").otherwise(C("r_name")).alias("key"), C("r_regionkey").alias("id")),
+        "ribbon": t.region.select(F.when(C("r_regionkey") == 0, "roja").when(C("r_regionkey") == 1, "verde").otherwise(C("r_name")).alias("key"), C("r_regionkey").alias("id")),
         "activity": t.region.where("r_regionkey < 3").select(F.when(C("r_regionkey") == 0, "1-urgent").when(C("r_regionkey") == 1, "2-high").otherwise("3-medium").alias("key"), C("r_regionkey").alias("id")),
+        "state": t.nation.where("n_nationkey < 9").select(F.element_at(state, (C("n_nationkey") + 1).cast("int")).alias("key"), C("n_nationkey").cast("int").alias("id")),
     }
 
 
 _BASE = """b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN l_partkey % 23 <> 0 THEN strftime(l_shipdate, '%Y%m%d')::INT END AS date_id, CASE WHEN l_suppkey % 40 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 35) THEN l_suppkey % 40 + 1000 END AS geo_id,
   CASE WHEN l_partkey % 60 IN (SELECT p_partkey FROM part WHERE p_partkey < 50) THEN l_partkey % 60 END AS variety_id, CASE WHEN l_orderkey % 300 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN l_orderkey % 300 ELSE -1 END AS person_id, l_quantity AS q, l_linenumber AS n, l_discount AS d, l_extendedprice AS x, l_returnflag AS f, l_linestatus AS s, l_shipdate::DATE AS day FROM lineitem)"""
 _ORDER = "l_orderkey, l_linenumber, l_partkey, l_extendedprice"
+_KNOWN = "date_id IS NOT NULL AND geo_id IS NOT NULL AND variety_id IS NOT NULL"
 
 
 def fact_sql(grain: dict, measures: dict, where: str = "true", order: str = _ORDER) -> str:
     g = {"geo_id": "geo_id", "date_id": "date_id", "variety_id": "variety_id"} | grain
     columns = ", ".join(f"{e} AS {c}" for c, e in (g | measures).items())
-    return f"WITH {_BASE}, c AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(g.values())} ORDER BY {order}) AS r FROM b WHERE date_id IS NOT NULL AND geo_id IS NOT NULL AND variety_id IS NOT NULL AND {where}) SELECT {columns} FROM c WHERE r = 1"
+    return f"WITH {_BASE}, c AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(g.values())} ORDER BY {order}) AS r FROM b WHERE {_KNOWN} AND {where}) SELECT {columns} FROM c WHERE r = 1"
+
 
+def overflow(**pairs):
+    """Overflow text of the pairs: 'k=v | k=v'."""
+    return F.concat_ws(" | ", *[F.concat(F.lit(f"{k}="), v) for k, v in pairs.items()])
 
-def build(spark, sf_dir, fact, **columns):
+
+def build(spark, sf_dir, fact, season=None, **columns):
     t = Tables(spark, sf_dir)
-    return T.build_fact(raw_lines(t).withColumns(columns), dims(t), fact)[0]
+    return T.build_fact(raw_lines(t).withColumns(columns), dims(t), fact, season)[0]
+
 
+_SEASON = ("1993-03-01", "1997-06-30")
+_IN_SEASON = "day BETWEEN DATE '1993-03-01' AND DATE '1997-06-30'"
 
-@bed.query(fact_sql({"condition": "CASE WHEN f = 'A' THEN 'SIN_CONDICION' ELSE f END"}, {"kg": "q", "crates": "n"}))
+
+@bed.query(fact_sql({"condition": "CASE WHEN f = 'A' THEN 'SIN_CONDICION' ELSE f END"}, {"kg": "q", "crates": "n", "received": "CASE WHEN s = 'F' THEN day + 2 END"}, _IN_SEASON))
 def fact_harvest(spark, sf_dir):
+    """Two sources; the dates of harvest are held to the season, those of reception (in the overflow text) aren't."""
     t = Tables(spark, sf_dir)
     raw = raw_lines(t).withColumns({"kg_raw": C("q"), "crates_raw": C("n")})
     report = raw.where("s = 'O'").withColumn("condition_raw", F.when(C("f") == "A", "None").otherwise(C("f")))
-    sap = raw.where("s = 'F'").withColumn("condition_raw", F.when(C("f") == "A", F.lit(None)).otherwise(C("f")))
-    return T.build_fact(report.unionByName(sap, allowMissingColumns=True), dims(t), T.HARVEST)[0]
+    sap = raw.where("s = 'F'").withColumns({"condition_raw": F.when(C("f") == "A", F.lit(None)).otherwise(C("f")), "values_raw": overflow(received_raw=F.date_format(F.date_add("l_shipdate", 2), "d.M.yyyy"))})
+    return T.build_fact(report.unionByName(sap, allowMissingColumns=True), dims(t), T.HARVEST, _SEASON)[0]
 
 
-@bed.query(f"""WITH {_BASE}, u AS (SELECT *, 'open' AS state, q::INT AS organs FROM b UNION ALL SELECT *, 'ripe', n FROM b WHERE n <> 3),
-c AS (SELECT *, row_number() OVER (PARTITION BY geo_id, date_id, variety_id, state, n % 3 ORDER BY day + to_seconds(n * 60) DESC, {_ORDER}) AS r FROM u WHERE date_id IS NOT NULL AND geo_id IS NOT NULL AND variety_id IS NOT NULL)
-SELECT geo_id, date_id, variety_id, state, n % 3 AS point, organs FROM c WHERE r = 1""")
+@bed.query(f"""WITH {_BASE}, u AS (SELECT *, 7 AS state_id, q::INT AS organs FROM b WHERE n % 4 = 0 UNION ALL SELECT *, 1, q::INT FROM b WHERE n % 4 IN (1, 2) UNION ALL SELECT *, 8, CASE WHEN n % 4 = 1 THEN 0 ELSE n END FROM b WHERE n % 4 IN (1, 2)),
+c AS (SELECT *, row_number() OVER (PARTITION BY geo_id, date_id, variety_id, state_id, n % 3 ORDER BY day + to_seconds(n * 60) DESC, {_ORDER}) AS r FROM u WHERE {_KNOWN} AND d <> 0.05)
+SELECT geo_id, date_id, variety_id, state_id, (n % 3)::VARCHAR AS point, organs FROM c WHERE r = 1""")
 def fact_state_counts(spark, sf_dir):
+    """A quarter of the rows is long, half is wide (in the overflow text), the rest has no states; counts that can't be read are 0."""
     t = Tables(spark, sf_dir)
-    raw = raw_lines(t).withColumns({"open": C("q"), "ripe": F.when(C("n") != "3", C("n")), "point_raw": text(C("seq_2") % 3), "recorded_raw": F.date_format(F.expr("l_shipdate + make_dt_interval(0, 0, seq_2, 0)"), "yyyy-MM-dd HH:mm:ss")})
-    long = shape.unpivot_states(raw, [c for c in raw.columns if c not in ("open", "ripe")], {"open": "open", "ripe": "ripe"}, "state", "organs_raw")
-    return T.build_fact(long, dims(t), T.STATE_COUNTS)[0]
+    k = C("seq_2") % 4
+    point = F.when(C("seq_2") % 3 != 0, text(C("seq_2") % 3))
+    wide = overflow(Flores_Raw=C("q"), Bayas_Cosechables_Raw=F.when(k == 1, "x").otherwise(C("n")), Punto_Raw=point)
+    kind = F.when(C("d") == "0.05", "Riego").when(C("f") == "A", "CONTEO de flores").when(C("f") == "R", " Poda  general.")
+    columns = {"state_raw": F.when(k == 0, " madura "), "organs_raw": F.when(k == 0, C("q")), "values_raw": F.when(k.isin(1, 2), wide).otherwise(overflow(Punto=point)), "type_raw": kind, "recorded_raw": F.date_format(F.expr("l_shipdate + make_dt_interval(0, 0, seq_2, 0)"), "yyyy-MM-dd HH:mm:ss")}
+    return T.build_fact(raw_lines(t).withColumns(columns), dims(t), T.STATE_COUNTS)[0]
 
 
-@bed.query("""WITH e AS (SELECT event_id, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 END AS ribbon_id, (user_id % 40)::INT AS organ, (props::JSON ->> '$.k')::INT % 12 AS state_id, date_trunc('minute', ts) AS recorded FROM events)
-SELECT ribbon_id, organ, state_id, recorded FROM (SELECT *, row_number() OVER (PARTITION BY ribbon_id, organ, state_id ORDER BY recorded DESC, event_id) AS r FROM e WHERE ribbon_id IS NOT NULL AND state_id BETWEEN 0 AND 8) WHERE r = 1""")
+@bed.query(f"""WITH {_BASE}, o AS (SELECT *, CASE f WHEN 'A' THEN 0 WHEN 'R' THEN 1 END AS ribbon_id, (q % 7)::INT AS organ, CASE WHEN n % 2 = 0 THEN 3 WHEN l_orderkey % 12 <= 8 THEN (l_orderkey % 12)::INT END AS state_id, day + to_seconds(n * 60) AS recorded FROM b)
+SELECT geo_id, date_id, variety_id, ribbon_id, organ, state_id, person_id, recorded FROM (SELECT *, row_number() OVER (PARTITION BY geo_id, date_id, variety_id, ribbon_id, organ ORDER BY recorded DESC, {_ORDER}) AS r
+FROM o WHERE {_KNOWN} AND ribbon_id IS NOT NULL AND organ >= 1 AND state_id IS NOT NULL) WHERE r = 1""")
 def fact_organ(spark, sf_dir):
+    """Everything is in the overflow text; the state by its description, else by its number; masculine colours are their ribbon's."""
     t = Tables(spark, sf_dir)
-    raw = t.events.select(C("event_id").alias("seq_1"), C("event_type").alias("ribbon_raw"), F.concat(F.lit("organ "), C("user_id") % 40).alias("organ_raw"), text(F.get_json_object("props", "$.k").cast("int") % 12).alias("state_raw"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("recorded_raw"))
-    return T.build_fact(raw, dims(t), T.ORGAN)[0].withColumn("recorded", C("recorded").cast("timestamp_ntz"))
+    raw = raw_lines(t)
+    organ = (F.replace(C("q"), F.lit(","), F.lit(".")).cast("double") % 7).cast("int")
+    values = overflow(
+        date_raw=C("date_raw"), module_raw=C("module_raw"), variety_raw=C("variety_raw"), person_raw=C("person_raw"), ribbon_raw=F.when(C("f") == "A", " Rojo").when(C("f") == "R", "VERDE").otherwise("gris"), organ_raw=F.concat(F.lit("organ "), organ),
+        state_raw=F.when(C("seq_2") % 2 == 0, "Verde.").otherwise("??"), state_id_raw=text(C("seq_1") % 12), recorded_raw=F.date_format(F.expr("l_shipdate + make_dt_interval(0, 0, seq_2, 0)"), "yyyy-MM-dd HH:mm"),
+    )
+    hidden = raw.select("seq_1", "seq_2", "seq_3", "seq_4", values.alias("values_raw"))
+    return T.build_fact(hidden, dims(t), T.ORGAN)[0].withColumn("recorded", C("recorded").cast("timestamp_ntz"))
 
 
-@bed.query(fact_sql({"point": "CASE WHEN f = 'R' THEN 1 ELSE n END"}, {"samples": "n - 1", "flowers": "greatest(q - 10, 0)::INT", "small": "0"}, "n - 1 >= 1"))
+@bed.query(fact_sql({"point": "CASE WHEN f = 'R' THEN 1 ELSE n END"}, {"samples": "n - 1", "person_id": "person_id", "flowers": "greatest(q - 10, 0)::INT", "small": "0", **{c: f"n + {i}" for i, c in enumerate(T.SAMPLED) if c not in ("flowers", "small")}}, "n - 1 >= 1"))
 def fact_sampling(spark, sf_dir):
-    return build(spark, sf_dir, T.SAMPLING, samples_raw=text(C("seq_2") - 1), flowers_raw=text(F.replace("q", F.lit(","), F.lit(".")).cast("double") - 10), small_raw=F.lit("x"), point_raw=F.when(C("f") != "R", C("n")))
+    counts = {f"{c}_raw": text(C("seq_2") + i) for i, c in enumerate(T.SAMPLED) if c not in ("flowers", "small")}
+    hidden = {k: counts.pop(k) for k in ("cream_raw", "productive_raw")}
+    return build(spark, sf_dir, T.SAMPLING, samples_raw=text(C("seq_2") - 1), flowers_raw=text(F.replace("q", F.lit(","), F.lit(".")).cast("double") - 10), small_raw=F.lit("x"), point_raw=F.when(C("f") != "R", C("n")), values_raw=overflow(**hidden), **counts)
 
 
-@bed.query(fact_sql({"person_id": "person_id"}, {"weight": "round(q / n, 4)", "samples": "n"}, "round(q / n, 4) BETWEEN 0.5 AND 8"))
+@bed.query(fact_sql({"person_id": "person_id"}, {"weight": "CASE WHEN f = 'R' THEN round(q / n, 4) ELSE round((q + 2 * n) / (3.0 * n), 4) END", "samples": "CASE WHEN f = 'R' THEN n ELSE 3 * n END"}, "(f <> 'R' OR n > 0) AND CASE WHEN f = 'R' THEN round(q / n, 4) ELSE round((q + 2 * n) / (3.0 * n), 4) END BETWEEN 0.5 AND 8"))
 def fact_weights(spark, sf_dir):
-    return build(spark, sf_dir, T.WEIGHTS, weight_raw=C("q"), samples_raw=C("n"))
+    """A third of the rows has the weight and the sample directly, the others by category; half of the places come from the valve."""
+    t = Tables(spark, sf_dir)
+    own, dot = C("f") == "R", F.replace("q", F.lit(","), F.lit("."))
+    columns = {
+        "weight_raw": F.when(own, dot), "samples_raw": F.when(own, C("n")), "small_raw": F.when(~own, C("n")), "small_weight_raw": F.when(~own, dot), "large_raw": F.when(~own, C("n")), "ripe_raw": F.when(~own, C("n")), "ripe_weight_raw": F.when(~own, text(2 * C("seq_2"))),
+        "cream_raw": F.when(~own, "nan"), "valve_raw": C("module_raw"),
+    }
+    raw = raw_lines(t).withColumns(columns).withColumn("module_raw", F.when(C("seq_3") % 2 == 0, "None").otherwise(C("module_raw")))
+    return T.build_fact(raw, dims(t), T.WEIGHTS)[0]
 
 
-@bed.query(fact_sql({"third": "CASE f WHEN 'A' THEN 'ALTO' ELSE f END"}, {"shoots": "CASE WHEN n % 2 = 0 THEN q::INT ELSE n END"}))
+@bed.query(fact_sql({"third": "CASE f WHEN 'A' THEN 'ALTO' ELSE f END"}, {"shoots": "CASE WHEN n % 2 = 0 THEN q::INT ELSE n END", "vegetative": "n * 2", "swollen": "CASE WHEN f <> 'N' THEN n END", "productive": "n + 1", "total": "q::INT"}, "s = (SELECT max(l_linestatus) FROM lineitem WHERE year(l_shipdate) = (SELECT max(year(l_shipdate)) FROM lineitem)) AND year(day) = (SELECT max(year(l_shipdate)) FROM lineitem)"))
 def fact_physiology(spark, sf_dir):
-    return build(spark, sf_dir, T.PHYSIOLOGY, third_raw=F.lower("f"), shoots_prod_raw=F.when(C("seq_2") % 2 == 0, C("q")).otherwise("None"), shoots_raw=C("n"))
+    """The newest batch alone: the year of shipping stands for the load time, the line status for the file."""
+    t = Tables(spark, sf_dir)
+    columns = {
+        "third_raw": F.lower("f"), "shoots_prod_raw": F.when(C("seq_2") % 2 == 0, C("q")), "shoots_raw": C("n"), "vegetative_raw": text(C("seq_2") * 2), "swollen_raw": F.when(C("f") != "N", C("n")).otherwise("None"), "total_raw": C("q"),
+        "values_raw": overflow(productive_raw=text(C("seq_2") + 1)), "loaded": F.year("l_shipdate"),
+    }
+    return T.build_physiology(raw_lines(t).withColumns(columns), dims(t), "loaded", "s")[0]
+
+
+def _vegetative(t):
+    columns = {"evaluated_raw": C("q"), "flowering_raw": text(C("seq_2") * 3), "kind_raw": F.concat(F.lit("TYPE "), "s"), "shift_raw": C("n"), "valve_raw": C("f"), "bed_raw": F.when(C("seq_2") > 2, C("d")), "load_state": F.lit("CARGADO")}
+    return raw_lines(t).withColumns(columns)
 
 
 @bed.query(fact_sql({"person_id": "person_id", "kind": "CASE s WHEN 'O' THEN 'Type O' ELSE 'Type F' END"}, {"evaluated": "q::INT", "flowering": "n * 3"}, "q > 0 AND n * 3 <= q"))
 def fact_vegetative(spark, sf_dir):
-    return build(spark, sf_dir, T.VEGETATIVE, evaluated_raw=C("q"), flowering_raw=text(C("seq_2") * 3), kind_raw=F.concat(F.lit("TYPE "), "s"))
+    t = Tables(spark, sf_dir)
+    return T.build_fact(_vegetative(t), dims(t), T.VEGETATIVE)[0]
+
+
+@bed.query(f"WITH {_BASE} SELECT CASE WHEN {_KNOWN} AND q > 0 AND n * 3 <= q THEN 'PROCESADO' ELSE 'RECHAZADO' END AS load_state, s AS status, count(*) AS n FROM b GROUP BY ALL")
+def fact_vegetative_marks(spark, sf_dir):
+    """Raw rows have no id here: what was rejected is marked by its signature, one row for each reject."""
+    t = Tables(spark, sf_dir)
+    raw = _vegetative(t)
+    marked = T.mark_vegetative(raw, T.build_fact(raw, dims(t), T.VEGETATIVE)[1])
+    return marked.groupBy("load_state", C("s").alias("status")).agg(F.count("*").alias("n"))
 
 
-@bed.query(fact_sql({"person_id": "person_id", "kind": "s", "consumer": "'c ' || f"}, {"plants": "q::INT", "induced": "n", "pct_induced": "CASE WHEN q > 0 THEN round(n / q * 100, 2) END"}, "n <= q"))
+@bed.query(fact_sql({"person_id": "person_id", "kind": "s", "consumer": "CASE WHEN f <> 'N' THEN 'c ' || f END"}, {"plants": "q::INT", "plants_induced": "n", "shoots_induced": "n - 1", "shoots": "n", "shoots_flowering": "n // 2", "pct_plants_induced": "round(n / q * 100, 2)", "pct_shoots_induced": "round((n - 1) / n * 100, 2)", "pct_shoots_flowering": "round((n // 2) / n * 100, 2)"}, "q > 0 AND n <= q AND f || s <> 'RF'"))
 def fact_induction(spark, sf_dir):
-    return build(spark, sf_dir, T.INDUCTION, plants_raw=C("q"), induced_raw=C("n"), kind_raw=F.lower("s"), consumer_raw=F.concat(F.lit(" c  "), "f"))
+    """The variety comes from the description where its own column is null; more flowering shoots than shoots are rejected."""
+    flowering = F.when(F.concat("f", "s") == "RF", C("seq_2") + 1).otherwise((C("seq_2") / 2).cast("int"))
+    return build(
+        spark, sf_dir, T.INDUCTION, plants_raw=C("q"), plants_induced_raw=C("n"), shoots_induced_raw=text(C("seq_2") - 1), shoots_raw=C("n"), shoots_flowering_raw=text(flowering), kind_raw=F.concat(F.lit(" "), "s"), consumer_raw=F.when(C("f") == "N", "nan").otherwise(F.concat(F.lit("c "), "f")),
+        description_raw=C("variety_raw"), variety_raw=F.when(C("seq_2") % 2 == 0, C("variety_raw")),
+    )
 
 
-@bed.query(fact_sql({"kind": "f", "stem": "s", "measure": "q"}, {"days": "date_diff('day', (SELECT DATE '1997-06-01'), day)::INT"}, "day >= DATE '1997-06-01'"))
+@bed.query(fact_sql({"kind": "f", "stem": "s", "trial": "'T' || n % 4", "origin": "CASE WHEN n % 3 > 0 THEN 'O' || n % 3 END", "measure": "q"}, {"person_id": "person_id", "pruned": "CASE WHEN n % 2 = 0 THEN DATE '1994-06-01' END", "days": "CASE WHEN n % 2 = 0 THEN date_diff('day', DATE '1994-06-01', day)::INT END", "condition": "NULL::VARCHAR", "vegetative_state": "'v' || n", "campaign": "'c'"}, "n % 4 <> 3 AND (n % 2 = 1 OR day >= DATE '1994-06-01') AND n <> 5"))
 def fact_growth(spark, sf_dir):
-    return build(spark, sf_dir, T.GROWTH, kind_raw=C("f"), stem_raw=F.lower("s"), measure_raw=C("q"), pruned_raw=F.lit("1/6/1997"))
+    """Without a pruning date the days are NULL; one that can't be read, or lies after the measurement, is rejected."""
+    pruned = F.when(C("seq_2") % 2 == 0, "1/6/1994").when(C("seq_2") == 5, "soon")
+    return build(
+        spark, sf_dir, T.GROWTH, kind_raw=C("f"), stem_raw=F.concat(C("s"), F.lit("  ")), measure_raw=C("q"), pruned_raw=pruned, trial_raw=F.when(C("seq_2") % 4 != 3, F.concat(F.lit("T"), C("seq_2") % 4)).otherwise("None"), origin_raw=F.when(C("seq_2") % 3 > 0, F.concat(F.lit("O"), C("seq_2") % 3)),
+        condition_raw=F.lit(None).cast("string"), vegetative_state_raw=F.concat(F.lit("v"), "n"), campaign_raw=F.lit("c"),
+    )
 
 
 @bed.query(fact_sql({}, {"alive": "q::INT", "dead": "n", "mortality": "round(n / (q + n) * 100, 2)"}))
@@ -115,32 +185,47 @@ def fact_health(spark, sf_dir):
     return build(spark, sf_dir, T.HEALTH, alive_raw=C("q"), dead_raw=C("n"))
 
 
-@bed.query(fact_sql({"kind": "CASE f WHEN 'A' THEN 'SIN_TIPO' WHEN 'R' THEN 'Kind R' ELSE 'Kind N' END"}, {"stems": "q", "height": "d"}))
+@bed.query(fact_sql({"kind": "CASE f WHEN 'A' THEN 'SIN_TIPO' WHEN 'R' THEN 'Kind R' ELSE 'Kind N' END"}, {"stems": "q", "height": "d", **{c: f"n + {i}.5" for i, c in enumerate(T.PRUNED) if c not in ("stems", "height", "twigs")}, "twigs": "NULL::DOUBLE"}))
 def fact_pruning(spark, sf_dir):
-    return build(spark, sf_dir, T.PRUNING, kind_raw=F.when(C("f") == "A", "  ").otherwise(F.concat(F.lit("KIND "), "f")), stems_raw=C("q"), height_raw=C("d"))
+    more = {f"{c}_raw": F.concat(C("seq_2") + i, F.lit(",5")) for i, c in enumerate(T.PRUNED) if c not in ("stems", "height", "twigs")}
+    return build(spark, sf_dir, T.PRUNING, kind_raw=F.when(C("f") == "A", "  ").otherwise(F.concat(F.lit("KIND "), "f")), stems_raw=C("q"), height_raw=C("d"), twigs_raw=F.lit("n/a"), **more)
 
 
-@bed.query("""WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::INT AS date_id, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey ELSE -1 END AS person_id, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 END AS activity_id,
-  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS hours, CASE WHEN o_custkey % 400 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey % 400 END AS boss_id FROM orders WHERE o_orderstatus <> 'P')
-SELECT date_id, person_id, activity_id, hours, boss_id FROM (SELECT *, row_number() OVER (PARTITION BY date_id, person_id, activity_id ORDER BY o_orderkey) AS n FROM r WHERE activity_id IS NOT NULL) WHERE n = 1""")
+@bed.query("""WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::INT AS date_id, CASE WHEN o_custkey % 40 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 35) THEN o_custkey % 40 + 1000 END AS geo_id, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey ELSE -1 END AS person_id, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 END AS activity_id,
+  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS hours, CASE WHEN o_custkey % 400 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey % 400 END AS boss_id, CASE WHEN o_orderkey % 3 > 0 THEN 'P' || o_orderkey % 3 END AS payroll FROM orders WHERE o_orderstatus <> 'P')
+SELECT geo_id, date_id, person_id, activity_id, hours, payroll, boss_id FROM (SELECT *, row_number() OVER (PARTITION BY geo_id, date_id, person_id, activity_id ORDER BY o_orderkey) AS n FROM r WHERE activity_id IS NOT NULL AND geo_id IS NOT NULL) WHERE n = 1""")
 def fact_labour(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    raw = t.orders.select(C("o_orderkey").alias("seq_1"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_raw"), text("o_custkey").alias("person_raw"), text(C("o_custkey") % 400).alias("boss_raw"), C("o_orderpriority").alias("activity_raw"), F.when(C("o_orderkey") % 5 == 0, "x").otherwise(text(C("o_totalprice").cast("decimal(18,2)"))).alias("hours_raw"), "o_orderstatus")
+    raw = t.orders.select(
+        C("o_orderkey").alias("seq_1"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_raw"), F.concat(F.lit("modulo "), C("o_custkey") % 40).alias("module_raw"), text("o_custkey").alias("person_raw"), text(C("o_custkey") % 400).alias("boss_raw"), C("o_orderpriority").alias("activity_raw"),
+        F.when(C("o_orderkey") % 5 == 0, "x").otherwise(text(C("o_totalprice").cast("decimal(18,2)"))).alias("hours_raw"), F.when(C("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit("P"), C("o_orderkey") % 3)).alias("payroll_raw"), "o_orderstatus",
+    )
     kept, _ = shape.drop_non_operational(raw, {"o_orderstatus": ("P", "TOTAL")})
-    return T.build_labour(kept, dims(t))[0]
+    return T.build_fact(kept, dims(t), T.LABOUR)[0]
 
 
-_READ = "(SELECT event_id, event_type AS sector, date_trunc('hour', ts) AS read_at, round(value, 0) AS tmax, CASE WHEN k <= 1 THEN k * 100.0 ELSE k END AS humidity FROM (SELECT *, (props::JSON ->> '$.k')::INT % 2 AS k FROM events))"
+# readings of both layouts by the event's parity, as the telemetry fact sees them; the calendar lacks the days divisible by 9
+_READ = """e AS (SELECT event_id, ts, value, (props::JSON ->> '$.k')::INT AS k, event_id % 2 AS layout, CASE WHEN event_id % 31 > 0 THEN upper(event_type) END AS sector, date_trunc('hour', ts) AS read_at FROM events),
+v AS (SELECT *, strftime(read_at, '%Y%m%d')::INT AS date_id, round(value, 0) AS tmax, round(value, 0) - 5 AS tmin, CASE WHEN k % 3 <= 1 THEN k % 3 * 100.0 WHEN layout = 1 THEN NULL ELSE 2.0 END AS humidity, CASE WHEN layout = 0 THEN (k % 2)::DOUBLE END AS rain, CASE WHEN layout = 1 THEN k % 2 + 0.5 END AS vpd, CASE WHEN layout = 1 THEN 7.25 END AS radiation FROM e),
+s AS (SELECT *, row_number() OVER (PARTITION BY layout, sector, read_at ORDER BY event_id) AS r, min({'a': tmax, 'b': humidity, 'c': rain, 'd': vpd}) OVER w IS NOT DISTINCT FROM max({'a': tmax, 'b': humidity, 'c': rain, 'd': vpd}) OVER w AS same FROM v WHERE sector IS NOT NULL AND day(read_at) % 9 <> 0 WINDOW w AS (PARTITION BY layout, sector, read_at)),
+u AS (SELECT *, row_number() OVER (PARTITION BY sector, read_at ORDER BY layout, event_id) AS first FROM s WHERE same AND r = 1)"""
 
 
-def _readings(t):
-    return t.events.select(C("event_id").alias("seq_1"), C("event_type").alias("sector"), F.date_format("ts", "yyyy-MM-dd HH:00").alias("time_raw"), text(F.round("value", 0)).alias("tmax_raw"), text(F.get_json_object("props", "$.k").cast("int") % 2).alias("humidity_raw"))
+def _telemetry(t):
+    k = F.get_json_object("props", "$.k").cast("int")
+    common = {"seq_1": C("event_id"), "sector_raw": F.when(C("event_id") % 31 == 0, " ").otherwise(C("event_type")), "tmax_raw": text(F.round("value", 0)), "tmin_raw": F.replace(text(F.round("value", 0) - 5), F.lit("."), F.lit(","))}
+    pick = lambda extra: [c.alias(n) for n, c in (common | extra).items()]
+    report = t.events.where("event_id % 2 = 0").select(*pick({"date_raw": F.date_format("ts", "dd/MM/yyyy"), "hour_raw": F.date_format("ts", "H:00"), "humidity_raw": text(k % 3), "rain_raw": text(k % 2)}))
+    humidity = F.when(k % 3 == 2, "120").otherwise(text(k % 3))
+    variables = t.events.where("event_id % 2 = 1").select(*pick({"date_raw": F.date_format("ts", "yyyy-MM-dd"), "values_raw": F.concat(F.lit("a=1 | Hora_Raw="), F.date_format("ts", "HH:00:00"), F.lit(" | b=2")), "humidity_raw": humidity, "vpd_raw": F.concat(k % 2, F.lit(",5")), "radiation_raw": F.lit("7.25")}))
+    calendar = t.events.select(D.date_id(C("ts")).alias("date_id")).distinct().where("date_id % 100 % 9 <> 0")
+    return T.build_telemetry(report, variables, calendar)[0], calendar
 
 
-@bed.query(f"""SELECT sector, read_at, tmax, humidity::DOUBLE AS humidity FROM (SELECT *, row_number() OVER (PARTITION BY sector, read_at ORDER BY event_id) AS r, min({{'a': tmax, 'b': humidity}}) OVER w = max({{'a': tmax, 'b': humidity}}) OVER w AS same FROM {_READ} WINDOW w AS (PARTITION BY sector, read_at)) WHERE same AND r = 1""")
+@bed.query(f"WITH {_READ} SELECT sector, read_at, date_id, tmax, tmin, humidity::DOUBLE AS humidity, rain, vpd::DOUBLE AS vpd, radiation::DOUBLE AS radiation, layout::INT AS layout FROM u WHERE first = 1")
 def fact_telemetry(spark, sf_dir):
-    kept, _ = T.build_telemetry(_readings(Tables(spark, sf_dir)))
-    return kept.select("sector", C("read_at").cast("timestamp_ntz").alias("read_at"), "tmax", "humidity")
+    kept, _ = _telemetry(Tables(spark, sf_dir))
+    return kept.withColumn("read_at", C("read_at").cast("timestamp_ntz")).drop("seq_1")
 
 
 # --- marts -------------------------------------------------------------------------------------------------------
