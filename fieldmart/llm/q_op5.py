@@ -18,10 +18,11 @@ k AS (SELECT conv_id, turn, {_NORM.format('line')} AS key FROM v WHERE level = 0
 o AS (SELECT conv_id, key, min(turn) AS said FROM k WHERE key <> '' GROUP BY ALL),
 q AS (SELECT DISTINCT id, conv_id, turn, level, {_NORM.format('line')} AS key FROM (SELECT id, conv_id, turn, level, line FROM p UNION ALL SELECT id, conv_id, turn, level, line FROM v WHERE level > 0)),
 a AS (SELECT id, arg_max(said, (-level) * 1000000 + said) AS answers, count(DISTINCT key) AS n_linked FROM q JOIN o USING (conv_id, key) WHERE said < turn GROUP BY id),
+t AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
 n AS (SELECT id, count(*) AS n_quotes FROM p WHERE {_NORM.format('line')} <> '' GROUP BY id)
-SELECT conv_id, turn, role, coalesce(answers, CASE WHEN turn > 0 THEN turn - 1 END) AS reply_to, coalesce(n_quotes, 0)::BIGINT AS n_quotes, coalesce(n_linked, 0)::BIGINT AS n_linked, body,
+SELECT conv_id, turn, role, coalesce(answers, before) AS reply_to, coalesce(n_quotes, 0)::BIGINT AS n_quotes, coalesce(n_linked, 0)::BIGINT AS n_linked, body,
        '<|' || coalesce(role, '') || '|>' || chr(10) || body || chr(10) AS formatted
-FROM m JOIN b USING (id) LEFT JOIN a USING (id) LEFT JOIN n USING (id)
+FROM m JOIN b USING (id) LEFT JOIN a USING (id) LEFT JOIN n USING (id) LEFT JOIN t USING (conv_id, turn)
 """
 
 QUERIES = [("op5_quotation_linking", op5_quotation_linking, SQL)]

@@ -31,6 +31,7 @@ RULES = (
 )
 _LEDGER = "blob binary, rules array<string>, findings array<struct<start:int,place:int,kind:string,end:int>>"
 _FOUND = "array<struct<start:int,place:int,kind:string,end:int>>"
+_STEP = 512
 
 
 def _matches(rule: Rule, place: int) -> Column:
@@ -41,10 +42,13 @@ def _matches(rule: Rule, place: int) -> Column:
     tested = whole if rule.group == 0 else f"regexp_extract_all(text, {pattern}, {rule.group})"
     sizes = f"""zip_with(zip_with({whole}, {tested}, (x, y) -> struct(length(x) as size, length(y) as tested)), slice({pieces}, 1, size({whole})),
         (x, p) -> struct(length(p) as skip, x.size as size, x.tested as tested))"""
-    walked = f"""aggregate({sizes}, struct(0 as at, cast(array() as {_FOUND}) as found),
-        (acc, x) -> struct(acc.at + x.skip + x.size as at,
-            if(x.tested >= {rule.least}, array_append(acc.found, struct(acc.at + x.skip as start, {place} as place, '{rule.kind}' as kind, acc.at + x.skip + x.size as end)), acc.found) as found),
-        acc -> acc.found)"""
+    step = f"""if(x.tested >= {rule.least}, array_append(acc.found, struct(acc.at + x.skip as start, {place} as place, '{rule.kind}' as kind, acc.at + x.skip + x.size as end)), acc.found)"""
+    # in blocks of about the root of the number of matches: appending to one list of all would copy it for each match
+    walked = f"""element_at(transform(array({sizes}), sizes -> flatten(aggregate(
+        transform(sequence(0, int((size(sizes) - 1) / {_STEP})), b -> slice(sizes, b * {_STEP} + 1, {_STEP})),
+        struct(0 as at, cast(array() as array<{_FOUND}>) as blocks),
+        (all, block) -> aggregate(block, struct(all.at as at, cast(array() as {_FOUND}) as found), (acc, x) -> struct(acc.at + x.skip + x.size as at, {step} as found), acc -> struct(acc.at as at, array_append(all.blocks, acc.found) as blocks)),
+        all -> all.blocks))), 1)"""
     return F.when(F.expr(f"array_contains(todo, '{rule.name}') and text rlike {pattern}"), F.expr(walked)).otherwise(F.expr(f"cast(array() as {_FOUND})"))
 
 

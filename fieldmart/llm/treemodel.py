@@ -22,7 +22,11 @@ CLOSES_P = BLOCK - frozenset("option select button script style noscript iframe
 SAME_CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 NEVER = frozenset("script style noscript iframe template textarea title head button select option".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+_ATTRIBUTE_MARK = re.compile("[>\"']")
+_MOST_MISSES = 8
+"""Tags of a page whose quotes may stay open; after these, quotes hide no '>' any more."""
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -43,58 +47,102 @@ class Dom:
         return len(self.tag) - 1
 
 
+class _Open:
+    """The open elements, with the depths of each name, so that an end tag is found, or found to be stray, without a walk."""
+
+    def __init__(self) -> None:
+        self.nodes, self.tags = [0], ["#root"]
+        self.depths: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, node: int, tag: str) -> None:
+        self.depths[tag].append(len(self.nodes))
+        self.nodes.append(node)
+        self.tags.append(tag)
+
+    def depth(self, *tags: str) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths[t]), default=0)
+
+    def cut(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            self.nodes.pop()
+            self.depths[self.tags.pop()].pop()
+
+
+def _tag_end(page: str, at: int, misses: list[int]) -> int:
+    """Place of the '>' that closes a tag; one inside quotes doesn't, unless they stay open. -1: there is none."""
+    first = page.find(">", at)
+    if first < 0 or misses[0] >= _MOST_MISSES:
+        return first
+    place = at
+    while m := _ATTRIBUTE_MARK.search(page, place):
+        if m[0] == ">":
+            return m.start()
+        closed = page.find(m[0], m.end())
+        if closed < 0:
+            break
+        place = closed + 1
+    misses[0] += 1
+    return first
+
+
 def parse(page: str) -> Dom:
     """The DOM of a page, with implied ends of p, li, table parts; stray end tags are skipped; linear in the page."""
-    dom, stack, at, block = Dom(), [0], 0, 0
+    dom, open_, at, look, block, misses, last = Dom(), _Open(), 0, 0, 0, [0], page.rfind(">")
 
     def text(start: int, end: int) -> None:
         if end > start and (found := page[start:end]).strip():
-            dom.add("#text", stack[-1], "", entities.unescape(found), block)
+            dom.add("#text", open_.nodes[-1], "", entities.unescape(found), block)
         elif end > start and dom.tag[-1] == "#text" and dom.block[-1] == block:
             dom.text[-1] += " "
 
-    def close(tags: tuple[str, ...] | frozenset, until: tuple[str, ...]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = dom.tag[stack[depth]]
-            if tag in tags:
-                del stack[depth:]
-                return
-            if tag in until:
-                return
-
-    while m := _MARKUP.search(page, at):
-        text(at, m.start())
-        at = m.end()
-        if not m[2]:
+    def close(tags: tuple[str, ...], until: tuple[str, ...]) -> None:
+        if (depth := open_.depth(*tags)) > open_.depth(*until):
+            open_.cut(depth)
+
+    while (start := page.find("<", look)) >= 0:
+        look = start + 1
+        found = None
+        if page.startswith("<!--", start) or page.startswith("<![CDATA[", start):
+            ending = "-->" if page[start + 2] == "-" else "]]>"
+            stop = page.find(ending, start + (4 if ending == "-->" else 9))
+            stop = len(page) if stop < 0 else stop + 3
+        elif start > last:
             continue
-        tag = m[2].lower()
+        elif page.startswith(("<!", "<?"), start):
+            stop = page.find(">", start) + 1
+        elif found := _TAG.match(page, start + 1):
+            stop = _tag_end(page, found.end(), misses) + 1
+        else:
+            continue
+        text(at, start)
+        at = look = stop
+        if not found:
+            continue
+        tag, attributes = found[2].lower(), page[found.end() : stop - 1]
         if tag == "br":
             if dom.tag[-1] == "#text" and dom.block[-1] == block:
                 dom.text[-1] += " "
             continue
         block += tag in BLOCK
-        if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if dom.tag[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
-                if dom.tag[stack[depth]] in ("table", "body") and tag not in BLOCK:
-                    break
+        if found[1]:
+            depth = open_.depth(tag)
+            if depth and (tag in BLOCK or tag in ("table", "body") or depth > open_.depth("table", "body")):
+                open_.cut(depth)
             continue
         if tag in CLOSES_P:
             close(("p",), ("table", "button", "article", "div", "section", "li", "td"))
         if tag in SAME_CLOSES:
             close(("td", "th") if tag in ("td", "th") else ("dt", "dd") if tag in ("dt", "dd") else (tag,), SAME_CLOSES[tag])
-        node = dom.add(tag, stack[-1], m[3] or "", "", block)
+        node = dom.add(tag, open_.nodes[-1], attributes, "", block)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = _RAW_ENDS[tag].search(page, at)
             stop = end.start() if end else len(page)
             if page[at:stop].strip():
                 dom.add("#text", node, "", page[at:stop], block)
-            at = end.end() if end else len(page)
+            at = look = end.end() if end else len(page)
             block += tag in BLOCK
-        elif tag not in VOID and not (m[3] or "").endswith("/"):
-            stack.append(node)
+        elif tag not in VOID and not attributes.endswith("/"):
+            open_.push(node, tag)
     text(at, len(page))
     return dom
 
@@ -300,6 +348,10 @@ def _extracted(weights: tuple[dict, dict]):
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, url, text (the article, empty if none), n_chars (code points). Null or empty html has no text; whole pages are read."""
+    """Per page: page_id, url, text (the article, empty if none), n_chars (code points).
+
+    Null or empty html has no text; whole pages are read, in time linear in their length whatever their markup. Rows are
+    independent, so repeated rows and null ids stay; other columns are not read.
+    """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return rows.mapInPandas(_extracted(trained()), "page_id long, url string, text string, n_chars long")

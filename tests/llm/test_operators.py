@@ -242,7 +242,7 @@ def test_quotes(spark):
     rows = [(1, 0, "user", "Hello There\nHow are you?"), (1, 1, "assistant", "> how  are you?\nFine."), (1, 2, "user", "> > hello there\n> > how are you?\n> fine.\nGood"), (1, 3, "a", ">> hello there\nx"), (2, 0, "user", None), (None, 1, "u", "> x"), (1, 4, None, "> fine.\n"), (1, 4, None, "> fine.\n")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("key", F.lit("clash"))
     got = [(r.conv_id, r.turn, r.reply_to, r.body) for r in quotes.chat(df).collect()]
-    assert got == [(None, 1, 0, ""), (1, 0, None, "Hello There\nHow are you?"), (1, 1, 0, "Fine."), (1, 3, 0, "x"), (1, 2, 1, "Good"), (1, 4, 1, ""), (1, 4, 1, ""), (2, 0, None, "")]
+    assert got == [(None, 1, None, ""), (1, 0, None, "Hello There\nHow are you?"), (1, 1, 0, "Fine."), (1, 3, 0, "x"), (1, 2, 1, "Good"), (1, 4, 1, ""), (1, 4, 1, ""), (2, 0, None, "")]
     assert quotes.chat(df.limit(0)).count() == 0
 
 
