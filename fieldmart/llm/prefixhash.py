@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PRIME = (1 << 31) - 1
@@ -76,9 +77,9 @@ class PrefixHashes:
         return _fold(h[size:] + (_P - _fold(_fold(h[: self.n + 1 - size] * step)))) if self.n else np.empty(0, np.uint64)
 
 
-def fingerprint(text: str) -> str:
+def fingerprint(text: str, hashes: PrefixHashes | None = None) -> str:
     """length . hash of the whole text . the smallest mixed hashes of its spans, in hex; equal texts have equal fingerprints."""
-    hashes = PrefixHashes(text)
+    hashes = hashes or PrefixHashes(text)
     whole = "".join(f"{x:08x}" for x in hashes.span(0, hashes.n))
     mixed = (hashes.spans(SPAN) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
     if len(mixed) > 8 * SKETCH:  # the smallest are found among those below a bound, as a rule
@@ -109,58 +110,80 @@ def edited(text: str, other: str) -> str:
     return text[: len(text) - half] + other[:half]
 
 
-_COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, prefix_edited long, prefix_next long"
+_COLUMNS = [c.split()[0] for c in _SCHEMA.split(", ")]
+BUCKET_BYTES = 64 << 20
+"""Input bytes for each bucket, about."""
 
 
 def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come by bucket, then order; the rows that look ahead close a bucket. One row is held back at a time."""
-    held = None  # (bucket, doc_id, text, fingerprint) that waits for its next document
+    held = None  # (bucket, doc_id, text, hashes, fingerprint) that waits for its next document
     for batch in batches:
-        out = []
-        for bucket, ahead, doc, text in zip(batch["bucket"], batch["ahead"], batch["doc_id"], batch["text"], strict=True):
-            if ahead and (held is None or held[0] != bucket):
-                continue  # the bucket is closed
-            own = fingerprint(text)
-            if held is not None and held[0] == bucket:
-                changed = edited(held[2], text)
-                changed_print = fingerprint(changed)
-                out.append((held[1], len(held[2]), hashlib.sha256(changed.encode()).hexdigest(), held[3], changed_print, likeness(held[3], changed_print), likeness(held[3], own)))
-            held = None if ahead else (bucket, doc, text, own)
-        yield pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64"})
+        for at in range(0, len(batch), 500):
+            out = []
+            part = batch.iloc[at : at + 500]
+            for bucket, ahead, doc, text in zip(part["bucket"], part["ahead"], part["doc_id"], part["text"], strict=True):
+                if ahead and (held is None or held[0] != bucket):
+                    continue  # the bucket is closed
+                hashes = PrefixHashes(text)
+                own = fingerprint(text, hashes)
+                if held is not None and held[0] == bucket:
+                    changed = edited(held[2], text)
+                    new = PrefixHashes(changed)
+                    changed_print = fingerprint(changed, new)
+                    digest = hashlib.sha256(changed.encode()).hexdigest()
+                    out.append((held[1], held[3].n, digest, held[4], changed_print, likeness(held[4], changed_print), likeness(held[4], own), held[3].extension(0, new, 0), held[3].extension(0, hashes, 0)))
+                held = None if ahead else (bucket, doc, text, hashes, own)
+            yield pd.DataFrame(out, columns=_COLUMNS).astype({"doc_id": "Int64"})
+
+
+def _literal(values: list, kind: str) -> str:
+    """SQL of one array literal, however many values it has."""
+    return f"from_json('{json.dumps(values)}', '{kind}')"
 
 
 def _bucket(bounds: list[int]) -> str:
     """SQL for the number of bounds below `key`, in two steps so that the work per row is the square root of their number."""
     step = max(1, int(len(bounds) ** 0.5))
     parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    firsts = ", ".join(f"{p[0]}L" for p in parts[1:])
-    inner = ", ".join("array(" + ", ".join(f"{b}L" for b in p) + ")" for p in parts)
-    outer = f"size(filter(array({firsts}), b -> b < key))" if len(parts) > 1 else "0"
-    return f"({outer}) * {step} + size(filter(element_at(array({inner}), {outer} + 1), b -> b < key))"
+    outer = f"size(filter({_literal([p[0] for p in parts[1:]], 'array<bigint>')}, b -> b < key))"
+    return f"({outer}) * {step} + size(filter(element_at({_literal(parts, 'array<array<bigint>>')}, {outer} + 1), b -> b < key))"
+
+
+def _keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a number that Spark's hash partitioning puts there, so that no two buckets share one."""
+    numbers = spark.range(50 * n).select(F.col("id").cast("int").alias("id"), F.expr(f"pmod(hash(cast(id as int)), {n})").alias("at"))
+    found = {r["at"]: r.id for r in numbers.groupBy("at").agg(F.min("id").alias("id")).collect()}  # one row for each bucket
+    return [found.get(i, i) for i in range(n)]
 
 
 def fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, prefix_edited, prefix_next.
 
     The next document is that of the next doc_id (rows of one doc_id go by text, null ids come first); after the last, the
-    first. Texts are shuffled once, into buckets between quantiles of doc_id; the first rows of each bucket also go to the
-    bucket before it. Null texts are empty. A sole document is its own next one.
+    first. Texts are shuffled once, into buckets between quantiles of doc_id, one to a task and as many as the input's size
+    asks for; the first rows of each bucket also go to the bucket before it. The rows of one doc_id, and those without any,
+    are in one bucket: ids are meant to be unique. Likenesses compare fingerprints; the prefixes are the longest common
+    extensions from the start of the texts. Null texts are empty. A sole document is its own next one.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(-(2**63) + 1)))
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = size if size < 1 << 60 else 0  # Spark does not know the size of every plan
+    buckets = buckets or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES, 100_000))
     keys = rows.select("key")
     points = keys.stat.approxQuantile("key", [i / buckets for i in range(1, buckets)], 0.1 / buckets)
     bounds = sorted({int(p) for p in points}) or [0]
     placed = rows.withColumn("bucket", F.expr(_bucket(bounds)))
     firsts = {r.bucket: r.low for r in placed.groupBy("bucket").agg(F.min("key").alias("low")).collect()}  # one row for each bucket
     if not firsts:
-        return spark.createDataFrame([], "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+        return spark.createDataFrame([], _SCHEMA)
     used = sorted(firsts)
     before = {b: used[i - 1] for i, b in enumerate(used)}
-    low = "array(" + ", ".join(f"{firsts.get(b, 0)}L" for b in range(used[-1] + 1)) + ")"
-    prior = "array(" + ", ".join(str(before.get(b, 0)) for b in range(used[-1] + 1)) + ")"
+    low, prior = _literal([firsts.get(b, 0) for b in range(used[-1] + 1)], "array<bigint>"), _literal([before.get(b, 0) for b in range(used[-1] + 1)], "array<int>")
     places = F.expr(f"if(key = element_at({low}, bucket + 1), array(struct(bucket, false as ahead), struct(element_at({prior}, bucket + 1) as bucket, true as ahead)), array(struct(bucket, false as ahead)))")
-    dealt = placed.select("doc_id", "text", "key", F.inline(places)).repartition(buckets, "bucket").sortWithinPartitions("bucket", "ahead", "key", "text")
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return dealt.select("bucket", "ahead", "doc_id", "text").mapInPandas(_in_order, schema)
+    n = used[-1] + 1
+    dealt = placed.select("doc_id", "text", "key", F.inline(places)).withColumn("place", F.expr(f"element_at({_literal(_keys(spark, n), 'array<int>')}, bucket + 1)"))
+    ordered = dealt.repartition(n, "place").sortWithinPartitions("bucket", "ahead", "key", "text")
+    return ordered.select("bucket", "ahead", "doc_id", "text").mapInPandas(_in_order, _SCHEMA)

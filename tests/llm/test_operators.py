@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, an exact round trip, or held-out accuracy; edge cases of every one."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -262,6 +263,21 @@ def test_prefix_hashes():
             assert one.extension(i, two, j) == same_
 
 
+def _print(text):
+    """A fingerprint by evaluating each span's polynomial on its own."""
+
+    def value(span, base):
+        h = 0
+        for c in span:
+            h = (h * base + ord(c) + 1) % prefixhash.PRIME
+        return h
+
+    size = min(prefixhash.SPAN, len(text))
+    spans = {text[i : i + size] for i in range(len(text) - size + 1)} if text else set()
+    mixed = sorted({(value(s, prefixhash.BASES[0]) * 0x9E3779B97F4A7C15 % 2**64) >> 32 for s in spans})[: prefixhash.SKETCH]
+    return f"{len(text):x}." + "".join(f"{value(text, b):08x}" for b in prefixhash.BASES) + "." + "".join(f"{x:08x}" for x in mixed)
+
+
 def test_fingerprints(spark, docs, texts, odd, empty):
     got = {r.doc_id: r for r in prefixhash.fingerprints(docs, buckets=7).collect()}
     assert len(got) == len(texts)
@@ -270,6 +286,8 @@ def test_fingerprints(spark, docs, texts, odd, empty):
         changed = prefixhash.edited(text, other)
         r, own, new = got[doc], prefixhash.fingerprint(text), prefixhash.fingerprint(changed)
         assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(text), hashlib.sha256(changed.encode()).hexdigest(), own, new)
+        assert (own, new) == (_print(text), _print(changed)) or len(text) > 3000
+        assert (r.prefix_edited, r.prefix_next) == tuple(len(os.path.commonprefix([text, x])) for x in (changed, other)) and r.prefix_edited >= len(text) - len(text) // 2
         assert r.near_edited == prefixhash.likeness(own, new) and r.near_next == prefixhash.likeness(own, prefixhash.fingerprint(other))
     assert np.median([r.near_edited for r in got.values()]) > 0.4 > 0.2 > np.median([r.near_next for r in got.values()])
     assert prefixhash.fingerprints(odd).count() == odd.count() and prefixhash.fingerprints(empty).count() == 0
@@ -312,6 +330,65 @@ def test_segments_are_found():
     assert all(0 <= s[-1] <= 1 for s in segments)
 
 
+def test_best_segmentation():
+    """The most probable segmentation equals the best of all, tried one by one; its score is the greatest."""
+    from itertools import product
+
+    model, r = semicrf.SemiCrf(), random.Random(5)
+    model.weights.update({("step", a + b): r.uniform(-1, 1) for a in "OE" for b in "OE"})
+    for text in ("12 3", "a 1.2 b", "9-8 7", "x@y 4"):
+        lattice = model._scored(text, 0, len(text))
+        for _, _, kind, keys in lattice[1]:
+            for key in keys:
+                model.weights.setdefault(key, r.uniform(-1, 1))
+        lattice = model._scored(text, 0, len(text))
+        tokens, segments, by_end, _, step = lattice
+        score = {k: s for ways in by_end.values() for _, s, k in ways}
+        best, chosen = -1e9, None
+        for take in product((0, 1), repeat=len(segments)) if len(segments) <= 15 else []:
+            own = sorted([k for k, t in enumerate(take) if t], key=lambda k: segments[k][0])
+            if any(segments[a][1] > segments[b][0] for a, b in zip(own, own[1:], strict=False)):
+                continue
+            at, last, total = 0, "O", 0.0
+            for k in own:
+                while at < segments[k][0]:
+                    total, last, at = total + step[last, "O"], "O", at + 1
+                total, last, at = total + step[last, "E"] + score[k], "E", segments[k][1]
+            while at < len(tokens):
+                total, last, at = total + step[last, "O"], "O", at + 1
+            if total > best:
+                best, chosen = total, own
+        if chosen is not None:
+            assert model._best(*lattice) == chosen
+
+
+def test_segments_of_another_text():
+    """Sentences built otherwise than those of the training: other words, cues, countries and number shapes."""
+    model, r = semicrf.SemiCrf(), random.Random(7)
+    model.weights = semicrf.trained()
+    d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    right = extra = n = 0
+    for _ in range(150):
+        phone = r.choice((f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}"))
+        text = r.choice(("Please ring {} before noon.", "Office: {} (weekdays)", "You can reach us at {}, thanks")).format(phone)
+        at = text.index(phone)
+        found = model.spans(text)
+        right, n = right + any(s == at and e == at + len(phone) for _, s, e in found), n + 1
+        clean = r.choice((f"In {r.randint(1900, 2030)} some {d(2)} of {d(3)} items", f"Version {r.randint(1, 9)}.{d(1)}.{d(1)} came out on {d(2)}/{d(2)}", f"a ratio of {d(1)}.{d(2)} to {d(1)}, {d(2)} % in all", f"pages {d(2)}-{d(2)}, room {d(3)}"))
+        extra += bool(model.spans(clean))
+    assert right >= 0.9 * n and extra <= 0.03 * n
+
+
+def test_dense_digits_take_linear_time():
+    import time
+
+    model = semicrf.SemiCrf()
+    model.weights = semicrf.trained()
+    began = time.time()
+    base, every = semicrf.all_spans("1 23-45 6.7 " * 3_000, model)
+    assert time.time() - began < 60 and len(every) >= len(base)
+
+
 def test_personal_data(spark, docs, odd, empty):
     rows = {r.doc_id: r for r in semicrf.personal_data(docs).collect()}
     for r in docs.collect():
