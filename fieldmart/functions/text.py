@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -10,12 +11,23 @@ from pyspark.sql import functions as F
 # fixed values
 NULL_TOKENS = ("", "none", "nan", "null")
 TEST_BLOCK_WORDS = ("TEST", "BLOCK")
-ACCENTED = "áàäâãåéèëêíìïîóòöôõúùüûñçýÁÀÄÂÃÅÉÈËÊÍÌÏÎÓÒÖÔÕÚÙÜÛÑÇÝ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
 DASHES = "–—−"
 APOSTROPHES = "’`"
 
 
+def _accents() -> tuple[str, str]:
+    """Latin letters with marks, and the letters that they decompose to."""
+    pairs = []
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        bare = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
+        if len(bare) == 1 and bare != chr(code):
+            pairs.append((chr(code), bare))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+ACCENTED, PLAIN = _accents()
+
+
 def squeeze(c: Column) -> Column:
     """White space collapsed to one space and trimmed."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))
@@ -32,7 +44,8 @@ def upper_squeeze(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    return F.translate(c, ACCENTED, PLAIN)
+    """Letters without their marks, composed or combining; letters that don't decompose (ø, ß) stay."""
+    return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), "[\\u0300-\\u036f]", "")
 
 
 def nullish(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:

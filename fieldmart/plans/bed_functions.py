@@ -45,12 +45,12 @@ def fn_upper_squeeze(spark, sf_dir):
     return Tables(spark, sf_dir).part.select("p_partkey", X.upper_squeeze(F.concat(F.lit("  "), "p_name", F.lit("   "), "p_type")).alias("upped"))
 
 
-@bed.query(f"SELECT doc_id, md5(translate(text, '{X.ACCENTED}', '{X.PLAIN}')) AS plain FROM documents")
+@bed.query("SELECT doc_id, md5(strip_accents(text)) AS plain FROM documents")
 def fn_strip_accents(spark, sf_dir):
     return Tables(spark, sf_dir).documents.select("doc_id", F.md5(X.strip_accents(C("text"))).alias("plain"))
 
 
-_VARIETY = ("  biloxi ", "FCM15 – 005", "FL 19-006", "mega crisp", "O’Neal", "Ñandú ( x )", "none")
+_VARIETY = ("  marela ", "QRT15 – 005", "ZB 19-006", "old amber", "D’Orsa", "Ñandú ( x )", "none")
 _MATCH = """nullif(nullif(trim(upper(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   translate(trim(regexp_replace(raw, '\\s+', ' ', 'g')), 'áéíóúñÑ–—−’`', 'aeiounN---'''''), '\\s*-\\s*', '-', 'g'), '\\s*\\(\\s*', '(', 'g'), '\\s*\\)\\s*', ')', 'g'),
   '([A-Za-z])\\s+(\\d)', '\\1\\2', 'g'), '(\\d)\\s+([A-Za-z])', '\\1\\2', 'g'))), ''), 'NONE')"""
@@ -71,7 +71,7 @@ def fn_compact_key(spark, sf_dir):
     return Tables(spark, sf_dir).part.select("p_partkey", X.compact_key(_variety()).alias("k"))
 
 
-_MODULES = ("MODULO 2", "TURNO 04", "9.1", "9.", "VI", "Test Block", "NROVALVULA 15", "VIVERO", "12.00", "nan")
+_MODULES = ("MODULE 2", "SHIFT 04", "9.1", "9.", "XII", "Test Block", "VALVE NO 15", "GREENHOUSE", "12.00", "nan")
 
 
 @bed.query(f"""WITH r AS (SELECT c_custkey, upper(trim(CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE {pick_sql('c_custkey', *_MODULES)} END)) AS t FROM customer),

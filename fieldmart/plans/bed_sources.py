@@ -81,6 +81,21 @@ def project_layout(spark, sf_dir):
     return R.project_layout(Tables(spark, sf_dir).part, spec, F.lit("/in/weather F07 2026.csv"))
 
 
+@bed.query("""SELECT l_orderkey::VARCHAR AS Codigo_Origen_Raw, l_linenumber::VARCHAR AS Modulo_Raw, l_quantity::VARCHAR AS Medida_Raw, 'FLAG=' || l_returnflag || CASE WHEN l_partkey % 2 = 0 THEN ' | PART=' || l_partkey ELSE '' END AS Valores_Raw, NULL::VARCHAR AS Ensayo_Raw FROM lineitem""")
+def read_layout(spark, sf_dir):
+    t = Tables(spark, sf_dir).lineitem
+    text = {"Unnamed0_Raw": C("l_orderkey"), "Mod_Raw": C("l_linenumber"), "Medida_Raw": C("l_quantity"), "FLAG": C("l_returnflag"), "PART": F.when(C("l_partkey") % 2 == 0, C("l_partkey"))}
+    file = t.select(*[c.cast("string").alias(n) for n, c in text.items()])
+    return R.read_layout(file, "shoot_growth", F.lit("growth.xlsx")).select("Codigo_Origen_Raw", "Modulo_Raw", "Medida_Raw", "Valores_Raw", "Ensayo_Raw")
+
+
+@bed.query("SELECT event_id::VARCHAR AS Hora_Raw, 'F07' AS Sector_Raw, value::VARCHAR AS TempMax_Raw, 'id=' || user_id AS Valores_Raw FROM events")
+def read_weather_layout(spark, sf_dir):
+    e = Tables(spark, sf_dir).events
+    file = e.select(C("event_id").cast("string").alias("Hora_Raw"), C("value").cast("string").alias("TempMax_Raw"), C("user_id").cast("string").alias("id"))
+    return R.read_layout(file, "weather_report", F.lit("/in/clima f07 2026.xlsx")).select("Hora_Raw", F.upper("Sector_Raw").alias("Sector_Raw"), "TempMax_Raw", "Valores_Raw")
+
+
 @bed.query("SELECT count(*) AS n FROM orders WHERE NOT (o_orderkey % 3 = 0 AND o_orderkey % 2 = 1)")
 def drop_empty_rows(spark, sf_dir):
     t = _blank_orders(Tables(spark, sf_dir)).select("state", "extra")
@@ -99,15 +114,16 @@ def _files(t):
 
 
 def _signatures(spark):
-    return spark.createDataFrame([("a", ["c0", "c1"], ["c7"]), ("b", ["c2", "c3", "c4", "c5", "c6", "c7"], [])], "target string, required array<string>, forbidden array<string>")
+    either = [[["c2", "c3"], ["c4"]], [["c5"], ["c6"]]]
+    return spark.createDataFrame([("a", ["c0", "c1"], ["c7"], either), ("b", ["c2", "c3", "c4", "c5", "c6", "c7"], [], None)], "target string, required array<string>, forbidden array<string>, alternatives array<array<array<string>>>")
 
 
 _FILES = "(SELECT p_partkey AS file, CASE p_partkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'z' END AS target, list_filter(list_transform(range(8), lambda i: CASE WHEN p_size % (i + 2) <> 0 THEN 'c' || i END), lambda x: x IS NOT NULL) AS columns FROM part)"
 _MISS = "array_to_string(list_sort(list_filter({}, lambda x: NOT list_contains(columns, x))), ',')"
 
 
-@bed.query(f"""SELECT file, reason IS NULL AS accepted, reason FROM (SELECT file, CASE WHEN target = 'z' THEN 'no signature' WHEN m <> '' THEN 'missing ' || m WHEN target = 'a' AND list_contains(columns, 'c7') THEN 'incompatible c7' END AS reason FROM
-  (SELECT *, CASE target WHEN 'a' THEN {_MISS.format("['c0', 'c1']")} ELSE {_MISS.format("['c2', 'c3', 'c4', 'c5', 'c6', 'c7']")} END AS m FROM {_FILES}))""")
+@bed.query(f"""SELECT file, reason IS NULL AS accepted, reason FROM (SELECT file, CASE WHEN target = 'z' THEN 'no signature' WHEN m <> '' THEN 'missing ' || m WHEN target = 'a' AND g <> '' THEN 'missing one of ' || g WHEN target = 'a' AND list_contains(columns, 'c7') THEN 'incompatible c7' END AS reason FROM
+  (SELECT *, concat_ws(', ', CASE WHEN NOT (list_has_all(columns, ['c2', 'c3']) OR list_contains(columns, 'c4')) THEN 'c2+c3 or c4' END, CASE WHEN NOT (list_contains(columns, 'c5') OR list_contains(columns, 'c6')) THEN 'c5 or c6' END) AS g, CASE target WHEN 'a' THEN {_MISS.format("['c0', 'c1']")} ELSE {_MISS.format("['c2', 'c3', 'c4', 'c5', 'c6', 'c7']")} END AS m FROM {_FILES}))""")
 def layout_gate(spark, sf_dir):
     return R.check_layout(_files(Tables(spark, sf_dir)), "columns", _signatures(spark)).select("file", "accepted", "reason")
 

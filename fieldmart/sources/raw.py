@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions import text
 from fieldmart.operators.shape import select_or_null
-from fieldmart.sources.kv import overflow_map
+from fieldmart.sources.kv import encode_kv, overflow_map
 
 LOADED = "CARGADO"
 
@@ -98,16 +98,49 @@ class LayoutSpec:
     keep: str = "true"
 
 
+def _headed(columns: str, **renamed: str) -> dict[str, str]:
+    return {c: f"`{c}`" for c in columns.split()} | {c: f"`{source}`" for c, source in renamed.items()}
+
+
+# fixed values: columns of the file layouts, after header canonicalisation
+LAYOUTS = {
+    "weather_report": LayoutSpec(_headed("Fecha_Raw Hora_Raw TempMax_Raw TempMin_Raw Humedad_Raw Precipitacion_Raw"), {"Sector_Raw": r"(?i)\b([A-Z]\d{2})\b"}),
+    "weather_variables": LayoutSpec(_headed("Fecha_Raw TempMax_Raw TempMin_Raw Humedad_Raw VPD_Raw Radiacion_Raw"), {"Sector_Raw": r"(?i)\b([A-Z]\d{2})\b"}),
+    "peladas": LayoutSpec(_headed("Fecha_Raw Fundo_Raw DNI_Raw Nombres_Raw Modulo_Raw Turno_Raw Valvula_Raw Tipo_Evaluacion_Raw Punto_Raw Variedad_Raw Muestras_Raw BotonesFlorales_Raw Flores_Raw BayasPequenas_Raw BayasGrandes_Raw Fase1_Raw Fase2_Raw BayasCremas_Raw BayasMaduras_Raw BayasCosechables_Raw PlantasProductivas_Raw PlantasNoProductivas_Raw", Evaluador_Raw="Nombres_Raw"), keep="upper(trim(Tipo_Evaluacion_Raw)) = 'PELADAS'"),
+    "floral_induction": LayoutSpec(_headed("Fecha_Raw DNI_Raw Fecha_Subida_Raw Nombres_Raw Consumidor_Raw Modulo_Raw Turno_Raw Valvula_Raw Cama_Raw Descripcion_Raw", Evaluador_Raw="Nombres_Raw", Tipo_Evaluacion_Raw="Evaluacion_Raw", Variedad_Raw="Descripcion_Raw", PlantasPorCama_Raw="Plantas_por_Cama_Raw", PlantasConInduccion_Raw="Plantas_con_Induccion_Raw", BrotesConInduccion_Raw="Brotes_con_Induccion_Raw", BrotesTotales_Raw="Brotes_Totales_Raw", BrotesConFlor_Raw="Brotes_con_Flor_Raw")),
+    "shoot_growth": LayoutSpec(_headed("Semana_Raw Dia_Raw Fecha_Raw DNI_Raw Condicion_Raw Estado_Vegetativo_Raw Variedad_Raw Cama_Raw Ensayo_Raw Medida_Raw Fecha_Poda_Aux_Raw Observacion_Raw", Codigo_Origen_Raw="Unnamed0_Raw", Evaluador_Raw="EVALUADOR_A_Raw", Modulo_Raw="Mod_Raw", Turno_Raw="Tur_Raw", Valvula_Raw="Val_Raw", Tipo_Tallo_Raw="Tipo_de_Tallo_Raw", Campana_Raw="CAMPANA_Raw", Tipo_Evaluacion_Raw="Evaluacion_Raw")),
+}
+
+
+def read_layout(df: DataFrame, name: str, file: Column) -> DataFrame:
+    """A file of one of the LAYOUTS: its columns (NULL where the file lacks one), constants of the file name, all else in Valores_Raw as k=v text."""
+    spec = LAYOUTS[name]
+    used = {source.strip("`") for source in spec.columns.values()}
+    missing = sorted(used - set(df.columns))
+    whole = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
+    extra = [c for c in df.columns if c not in used and c not in spec.columns and c not in spec.from_file]
+    values = F.nullif(encode_kv(F.map_filter(F.create_map(*[x for c in extra for x in (F.lit(c), F.col(c).cast("string"))]), lambda _, v: v.isNotNull())), F.lit("")) if extra else F.lit(None).cast("string")
+    keep = spec.keep if spec.keep == "true" or "Tipo_Evaluacion_Raw" in df.columns else "true"
+    with_extra = LayoutSpec({**spec.columns, "Valores_Raw": "`_values`"}, spec.from_file, keep)
+    return project_layout(whole.withColumn("_values", values), with_extra, file)
+
+
 def project_layout(df: DataFrame, spec: LayoutSpec, file: Column) -> DataFrame:
     return df.where(spec.keep).select(*[F.expr(e).alias(c) for c, e in spec.columns.items()], *[F.nullif(F.regexp_extract(file, p, 1), F.lit("")).alias(c) for c, p in spec.from_file.items()])
 
 
 def check_layout(files: DataFrame, columns: str, signatures: DataFrame) -> DataFrame:
-    """files (target, columns array) against signatures (target, required, forbidden): accepted, and the reason if not."""
-    s = signatures.select(F.col("target").alias("_t"), "required", "forbidden")
+    """files (target, columns array) against signatures (target, required, forbidden[, alternatives]): accepted, and the reason if not.
+
+    alternatives: groups (arrays of arrays of columns); of each group at least one array has to be there whole.
+    """
+    none = F.array().cast("array<array<array<string>>>")
+    s = signatures.select(F.col("target").alias("_t"), "required", "forbidden", (F.coalesce("alternatives", none) if "alternatives" in signatures.columns else none).alias("_groups"))
     joined = files.join(s, F.col("target") == F.col("_t"), "left")
+    lacking = F.filter("_groups", lambda group: ~F.exists(group, lambda one: F.size(F.array_except(one, F.col(columns))) == 0))
+    told = F.array_join(F.transform(lacking, lambda group: F.array_join(F.transform(group, lambda one: F.array_join(one, "+")), " or ")), ", ")
     missing, wrong = F.array_except("required", columns), F.array_intersect("forbidden", columns)
-    reason = F.when(F.col("_t").isNull(), "no signature").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(F.array_sort(missing), ","))).when(F.size(wrong) > 0, F.concat(F.lit("incompatible "), F.array_join(F.array_sort(wrong), ",")))
+    reason = F.when(F.col("_t").isNull(), "no signature").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(F.array_sort(missing), ","))).when(F.size(lacking) > 0, F.concat(F.lit("missing one of "), told)).when(F.size(wrong) > 0, F.concat(F.lit("incompatible "), F.array_join(F.array_sort(wrong), ",")))
     return joined.select(*files.columns, reason.isNull().alias("accepted"), reason.alias("reason"))
 
 
@@ -149,17 +182,39 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def publish(marts: Mapping[str, DataFrame], root: str) -> None:
-    """Overwrites a set of marts: all are written aside first, then each takes its place, so that a failure leaves the old ones."""
+def _files(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the published versions, the newest last."""
+    system, marks = _files(spark, f"{root}/_published")
+    return sorted(int(s.getPath().getName()) for s in system.listStatus(marks)) if system.exists(marks) else []
+
+
+def publish(marts: Mapping[str, DataFrame], root: str) -> int:
+    """Publishes a set of marts as one version and returns its number.
+
+    All marts are written to a folder of the version; an empty file with its number, made in one step, then makes them the
+    current ones, so that a failure at any point leaves the old set whole. Versions before the last two are removed.
+    """
     spark = next(iter(marts.values())).sparkSession
+    old = _versions(spark, root)
+    number = (old[-1] if old else 0) + 1
     for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{root}/_staging/{name}")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    for name in marts:
-        target, staged = hadoop(f"{root}/{name}"), hadoop(f"{root}/_staging/{name}")
-        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.delete(target, True)
-        fs.rename(staged, target)
+        df.write.mode("overwrite").parquet(f"{root}/v{number}/{name}")
+    system, mark = _files(spark, f"{root}/_published/{number}")
+    system.create(mark, False).close()
+    for gone in old[:-1]:
+        for path in (f"{root}/_published/{gone}", f"{root}/v{gone}"):
+            system.delete(_files(spark, path)[1], True)
+    return number
+
+
+def published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A mart of the current version."""
+    return spark.read.parquet(f"{root}/v{_versions(spark, root)[-1]}/{name}")
 
 
 def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -169,4 +224,4 @@ def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), F.lit(len(df.columns)).alias("columns"), "rows") for n, df in tables.items()])
 
 
-__all__ = ["LayoutSpec", "align_to_target", "append", "canonicalise_columns", "check_layout", "export_csv", "extract_codes", "inventory", "latest_batch", "newest_per_source", "project_layout", "publish", "read_csv", "route_files", "scan_raw", "select_or_null", "stamp_load", "suggest_route"]
+__all__ = ["LAYOUTS", "LayoutSpec", "align_to_target", "append", "canonicalise_columns", "check_layout", "export_csv", "extract_codes", "inventory", "latest_batch", "newest_per_source", "project_layout", "publish", "published", "read_csv", "read_layout", "route_files", "scan_raw", "select_or_null", "stamp_load", "suggest_route"]

@@ -111,8 +111,8 @@ def test_values(spark):
         return spark.createDataFrame([(value,)], "c string").select(fn(F.col("c")).alias("x")).first().x
 
     assert [one(v, text.clean_id) for v in ("7654321", "7654321.0", "1.234.567", " 12345678 ", "123456789", "")] == ["07654321", "07654321", "01234567", "12345678", "123456789", None]
-    assert [one(v, text.last_number) for v in ("MODULO 2", "TURNO 04", "9.1", "VI", "Test Block", "NROVALVULA 15", None)] == ["2", "4", "9.1", "VI", "TEST BLOCK", "15", None]
-    assert [one(v, text.match_key) for v in ("FCM15 – 005", "FL 19-006", "  mega crisp  ", "nan")] == ["FCM15-005", "FL19-006", "MEGA CRISP", None]
+    assert [one(v, text.last_number) for v in ("MODULE 2", "SHIFT 04", "9.1", "XII", "Test Block", "VALVE NO 15", None)] == ["2", "4", "9.1", "XII", "TEST BLOCK", "15", None]
+    assert [one(v, text.match_key) for v in ("QRT15 – 005", "ZB 19-006", "  old amber  ", "nan")] == ["QRT15-005", "ZB19-006", "OLD AMBER", None]
     assert [one(v, text.compact_key) for v in ("O'Neal", "--")] == ["ONEAL", None]
     assert [one(v, numbers.to_decimal) for v in ("2,5", "2.5", "nan", "None", "x", "-1", "inf")] == [2.5, 2.5, None, None, None, -1.0, None]
     assert one("O'Neal-X Fcm15A", lambda c: text.title(F.upper(c))) == "O'Neal-X Fcm15A".title()
@@ -130,5 +130,8 @@ def test_publish_replaces(spark, tmp_path):
     a = spark.createDataFrame([(1,)], "x int")
     raw.publish({"m": a}, str(tmp_path))
     raw.publish({"m": a.union(a)}, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/m").count() == 2
+    assert raw.published(spark, str(tmp_path), "m").count() == 2
+    with pytest.raises(Exception):
+        raw.publish({"m": a, "n": a.select(F.raise_error(F.lit("no")))}, str(tmp_path))
+    assert raw.published(spark, str(tmp_path), "m").count() == 2
     assert not raw.export_csv(a.limit(0), f"{tmp_path}/none")
