@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,9 +25,13 @@ def similarity(a: Column, b: Column) -> Column:
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
+PENDING_APPROVAL = "PENDIENTE"
+
+
 def approved(dictionary: DataFrame, source: str) -> DataFrame:
-    """raw, canonical and both keys of a source's approved entries."""
-    return dictionary.where((F.col("source_table") == source) & F.col("approved_by").isNotNull()).select("raw", "canonical", text.match_key(F.col("raw")).alias("key"), text.compact_key(F.col("raw")).alias("compact"))
+    """raw, canonical and both keys of a source's approved entries; pending ones and those of other sources don't count."""
+    own = dictionary.where((F.col("source_table") == source) & F.col("approved_by").isNotNull() & (F.col("approved_by") != PENDING_APPROVAL))
+    return own.select("raw", "canonical", text.match_key(F.col("raw")).alias("key"), text.compact_key(F.col("raw")).alias("compact"))
 
 
 def match_exact(values: DataFrame, ref: DataFrame, value: str, canonical: str) -> DataFrame:
@@ -72,10 +77,11 @@ def suggest(values: DataFrame, catalogue: DataFrame, value: str, canonical: str,
     return found.select(value, F.coalesce("found", text.title(F.col(value))).alias("suggestion"), "score")
 
 
-def homologate(df: DataFrame, column: str, dictionary: DataFrame, catalogue: DataFrame, canonical: str, threshold: float = APPROVE) -> DataFrame:
-    """df with canonical name and state EXACTO (dictionary), CATALOGO, LEVENSHTEIN, CUARENTENA or NULO; each distinct value is resolved once."""
+def homologate(df: DataFrame, column: str, dictionary: DataFrame, source: str, catalogue: DataFrame, canonical: str, threshold: float = APPROVE) -> DataFrame:
+    """df with canonical name and state EXACTO (approved dictionary of the source), CATALOGO, LEVENSHTEIN, CUARENTENA or NULO; each distinct value is resolved once."""
     values = df.select(F.col(column).alias("_value")).distinct()
-    by_dictionary = dictionary.select(text.match_key(F.col("raw")).alias("_k"), "canonical").groupBy("_k").agg(F.min("canonical").alias("_dict"), F.max("canonical").alias("_high")).where(F.col("_dict") == F.col("_high")).drop("_high")
+    known = approved(dictionary, source)
+    by_dictionary = known.groupBy(F.col("key").alias("_k")).agg(F.min("canonical").alias("_dict"), F.max("canonical").alias("_high")).where(F.col("_dict") == F.col("_high")).drop("_high")
     keyed = values.withColumn("_key", text.match_key(F.col("_value"))).join(by_dictionary, F.col("_key") == F.col("_k"), "left")
     exact = match_exact(keyed.select("_value", "_key", "_dict"), catalogue, "_value", canonical).withColumnRenamed("found", "_cat")
     open_ = exact.where("_dict is null and _cat is null and _key is not null")
@@ -92,20 +98,45 @@ def dictionary_merge(dictionary: DataFrame, outcomes: DataFrame) -> DataFrame:
     return both.select("raw", F.coalesce("_approved", "canonical", "_first").alias("canonical"), (F.coalesce("approved", F.lit(False)) | F.col("_approved").isNotNull()).alias("approved"), (F.coalesce("times_applied", F.lit(0)) + F.coalesce("_uses", F.lit(0))).alias("times_applied"))
 
 
-def resolve_module(df: DataFrame, rules: DataFrame, bands: DataFrame, module: str, shift: str) -> DataFrame:
-    """module_id by an exact rule (raw, module), else a band rule (raw, lo, hi, priority, module), else the number itself; test_block flag."""
+def resolve_module(df: DataFrame, rules: DataFrame, bands: DataFrame, module: str, shift: str, catalogue: DataFrame | None = None) -> DataFrame:
+    """module_id by an exact rule (raw, module), else a band rule (raw, lo, hi, priority, module), else the number itself; test_block flag.
+
+    With a catalogue (module) a number that it lacks is none: module_id is NULL, the source NOT_IN_CATALOGUE.
+    """
     exact = rules.groupBy(F.lower(F.trim("raw")).alias("_raw")).agg(F.min("module").alias("_exact"))
     with_exact = df.withColumn("_m", F.lower(F.trim(module))).join(exact, F.col("_m") == F.col("_raw"), "left").drop("_raw")
     ranked = bands.select(F.lower(F.trim("raw")).alias("_m"), "lo", "hi", "priority", F.col("module").alias("_band"))
     with_band = band_join(with_exact, ranked, "_m", shift, "lo", "hi", "priority", "_band", "_by_band")
     number = text.last_number(F.col(module)).try_cast("int")
     source = F.when(F.col("_exact").isNotNull(), "RULE").when(F.col("_by_band").isNotNull(), "BAND").when(number.isNotNull(), "NUMBER").otherwise("NONE")
-    return with_band.select(*df.columns, F.coalesce("_exact", "_by_band", number).alias("module_id"), source.alias("module_source"), text.contains_any(F.col(module)).alias("test_block"))
+    out = with_band.select(*df.columns, F.coalesce("_exact", "_by_band", number).alias("module_id"), source.alias("module_source"), text.contains_any(F.col(module)).alias("test_block"))
+    if catalogue is None:
+        return out
+    known = catalogue.select(F.col("module").alias("_known")).distinct()
+    checked = out.join(known, F.col("module_id") == F.col("_known"), "left")
+    strange = (F.col("module_source") == "NUMBER") & F.col("_known").isNull()
+    return checked.select(*df.columns, F.when(~strange, F.col("module_id")).alias("module_id"), F.when(strange, "NOT_IN_CATALOGUE").otherwise(F.col("module_source")).alias("module_source"), "test_block")
 
 
-def resolve_hierarchy(df: DataFrame, dim: DataFrame, on: dict[str, str], id_: str) -> DataFrame:
-    """Unique, ambiguous or missing member of a hierarchy for the given levels."""
-    return unique_match(df, dim, on, id_)
+def resolve_hierarchy(df: DataFrame, dim: DataFrame, on: dict[str, str], id_: str, optional: dict[str, str] | None = None) -> DataFrame:
+    """Unique, ambiguous or missing member of a hierarchy for the given levels (df column -> dim column).
+
+    An optional level (a farm, a sector) takes part only where df has a value other than 0: the dimension is counted for
+    each set of levels that may be given, and a row asks for its own set, so every join is an equality.
+    """
+    if not optional:
+        return unique_match(df, dim, on, id_)
+    given = {a: F.coalesce(F.col(a).cast("string") != "0", F.lit(False)) for a in optional}
+    names = list(optional)
+    keyed = df.withColumn("_mask", sum((F.when(given[a], 1 << i).otherwise(0) for i, a in enumerate(names)), F.lit(0)))
+    keyed = keyed.withColumns({f"_o{i}": F.when(given[a], F.col(a)) for i, a in enumerate(names)})
+    sides = []
+    for mask in range(1 << len(names)):
+        levels = [F.col(optional[a]).alias(f"_d{i}") if mask >> i & 1 else F.lit(None).cast(dim.schema[optional[a]].dataType).alias(f"_d{i}") for i, a in enumerate(names)]
+        sides.append(dim.select(*on.values(), *levels, F.lit(mask).alias("_dmask"), id_))
+    every = reduce(DataFrame.unionByName, sides)
+    found = unique_match(keyed, every, {**on, **{f"_o{i}": f"_d{i}" for i in range(len(names))}, "_mask": "_dmask"}, id_)
+    return found.select(*df.columns, "match_state", "match_id")
 
 
 def surrogate_keys(df: DataFrame, order: Sequence[str], start: int = 1, name: str = "id") -> DataFrame:
@@ -130,19 +161,39 @@ def learn(df: DataFrame, learned: DataFrame, key: Sequence[str]) -> DataFrame:
     return insert_new(df.select(*key).distinct(), learned, key)
 
 
-def resolve_states(df: DataFrame, dim: DataFrame, bridge: DataFrame, parent: str, member: str, bed: str, low: int, high: int, test: Column) -> DataFrame:
-    """State of each row, in this order: TEST_BLOCK, PARENT_MISSING, NOT_FOUND, AMBIGUOUS, NO_BED, BED_INVALID, BED_UNRELATED, OK.
+def _valve(c: Column) -> Column:
+    """Digits without leading zeros, other texts trimmed, blank ones NULL."""
+    token = F.nullif(F.trim(c.cast("string")), F.lit(""))
+    return F.when(token.rlike("^[0-9]+$"), F.regexp_replace(token, "^0+(?=.)", "")).otherwise(token)
+
+
+def resolve_states(df: DataFrame, dim: DataFrame, beds: DataFrame, bridge: DataFrame, low: int, high: int) -> DataFrame:
+    """df (module, submodule, shift, valve, bed, test_block) with geo_id and geo_state.
 
-    dim (parent, member, id); bridge (id, bed).
+    dim (id, module, submodule, shift, valve, test_block) has the current places, beds (bed) the catalogue, bridge (id, bed)
+    the current relations. Test blocks are found by shift and valve, all others by module, submodule (NULL is equal to NULL),
+    shift and valve; then the bed is judged. The states, in the order in which they are tried:
+    CLAVE_GEOGRAFICA_INCOMPLETA, RESUELTA_TEST_BLOCK, TEST_BLOCK_NO_MAPEADO, TEST_BLOCK_AMBIGUO for test blocks;
+    CASO_ESPECIAL_MODULO, CLAVE_GEOGRAFICA_INCOMPLETA, GEOGRAFIA_NO_ENCONTRADA, GEOGRAFIA_AMBIGUA, RESUELTA_BASE_SIN_CAMA,
+    CAMA_NO_VALIDA, CAMA_NO_CATALOGO, CAMA_NO_RELACION, RESUELTA_BASE_Y_CAMA for the rest.
     """
-    found = unique_match(df, dim, {parent: parent, member: member}, "id")
-    related = bridge.select(F.col("id").alias("_bid"), F.col("bed").alias("_bed")).distinct().withColumn("_rel", F.lit(True))
-    joined = found.join(related, (F.col("match_id") == F.col("_bid")) & (F.col(bed) == F.col("_bed")), "left")
-    state = (
-        F.when(test, "TEST_BLOCK").when(F.col(parent).isNull(), "PARENT_MISSING").when(F.col("match_state") != "UNIQUE", F.col("match_state"))
-        .when(F.col(bed).isNull() | (F.col(bed) == 0), "NO_BED").when(~F.col(bed).between(low, high), "BED_INVALID").when(F.col("_rel").isNull(), "BED_UNRELATED").otherwise("OK")
+    rows = df.withColumns({"_valve": _valve(F.col("valve")), "_bed": F.col("bed").cast("string").try_cast("int"), "_token": F.nullif(F.trim(F.col("bed").cast("string")), F.lit("")), "_test": F.coalesce("test_block", F.lit(False))})
+    places = dim.select("id", "module", "submodule", "shift", _valve(F.col("valve")).alias("_dvalve"), F.coalesce("test_block", F.lit(False)).alias("_dtest"))
+    base = places.where("not _dtest").groupBy(F.col("module").alias("_m"), F.col("submodule").alias("_s"), F.col("shift").alias("_t"), F.col("_dvalve").alias("_v")).agg(F.count("*").alias("_n"), F.min("id").alias("_id"))
+    test = places.where("_dtest").groupBy(F.col("shift").alias("_tt"), F.col("_dvalve").alias("_tv")).agg(F.count("*").alias("_tn"), F.min("id").alias("_tid"))
+    joined = rows.join(base, ~F.col("_test") & (F.col("module") == F.col("_m")) & F.col("submodule").eqNullSafe(F.col("_s")) & (F.col("shift") == F.col("_t")) & (F.col("_valve") == F.col("_v")), "left")
+    joined = joined.join(test, F.col("_test") & (F.col("shift") == F.col("_tt")) & (F.col("_valve") == F.col("_tv")), "left")
+    joined = joined.join(beds.select(F.col("bed").alias("_cbed")).distinct(), F.col("_bed") == F.col("_cbed"), "left")
+    joined = joined.join(bridge.select(F.col("id").alias("_bid"), F.col("bed").alias("_bbed")).distinct(), (F.col("_n") == 1) & (F.col("_id") == F.col("_bid")) & (F.col("_bed") == F.col("_bbed")), "left")
+    incomplete = F.col("shift").isNull() | F.col("_valve").isNull()
+    of_test = F.when(incomplete, "CLAVE_GEOGRAFICA_INCOMPLETA").when(F.col("_tn") == 1, "RESUELTA_TEST_BLOCK").when(F.col("_tn").isNull(), "TEST_BLOCK_NO_MAPEADO").otherwise("TEST_BLOCK_AMBIGUO")
+    of_base = (
+        F.when(F.col("module").isNull(), "CASO_ESPECIAL_MODULO").when(incomplete, "CLAVE_GEOGRAFICA_INCOMPLETA").when(F.col("_n").isNull(), "GEOGRAFIA_NO_ENCONTRADA").when(F.col("_n") > 1, "GEOGRAFIA_AMBIGUA")
+        .when(F.col("_token").isNull() | (F.col("_token") == "0"), "RESUELTA_BASE_SIN_CAMA").when(F.col("_bed").isNull() | ~F.col("_bed").between(low, high), "CAMA_NO_VALIDA")
+        .when(F.col("_cbed").isNull(), "CAMA_NO_CATALOGO").when(F.col("_bid").isNull(), "CAMA_NO_RELACION").otherwise("RESUELTA_BASE_Y_CAMA")
     )
-    return joined.select(*df.columns, state.alias("geo_state"), F.when(~test, F.col("match_id")).alias("geo_id"))
+    found = F.when(F.col("_test") & (F.col("_tn") == 1), F.col("_tid")).when(~F.col("_test") & (F.col("_n") == 1), F.col("_id"))
+    return joined.select(*df.columns, F.when(F.col("_test"), of_test).otherwise(of_base).alias("geo_state"), found.alias("geo_id"))
 
 
 def bridge_upsert(raw: DataFrame, dim: DataFrame, bridge: DataFrame, on: dict[str, str], bed: str, low: int, high: int) -> tuple[DataFrame, DataFrame]:

@@ -63,13 +63,15 @@ def dictionary_merge(spark, sf_dir):
     return M.dictionary_merge(dictionary, outcomes)
 
 
-@bed.query(f"""WITH d AS (SELECT upper(p_name) AS k, min(p_name) || '!' AS c FROM part WHERE p_name LIKE 'b%' GROUP BY 1)
+@bed.query(f"""WITH d AS (SELECT upper(p_name) AS k, min(p_name) || '!' AS c FROM part WHERE p_name LIKE 'b%' AND length(p_name) % 3 = 0 GROUP BY 1)
 SELECT p_partkey, r.raw, coalesce(d.c, n.p_name, f.found) AS canonical, CASE WHEN r.raw IS NULL THEN 'NULO' WHEN d.c IS NOT NULL THEN 'EXACTO' WHEN n.p_name IS NOT NULL THEN 'CATALOGO' WHEN f.found IS NOT NULL THEN 'LEVENSHTEIN' ELSE 'CUARENTENA' END AS match_state
 FROM {_NOISY} r LEFT JOIN d ON upper(trim(r.raw)) = d.k LEFT JOIN {_NAMES} n ON upper(trim(r.raw)) = upper(n.p_name) LEFT JOIN {_FUZZY} f ON f.raw = r.raw""")
 def homologate(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    dictionary = t.part.where("p_name like 'b%'").select(C("p_name").alias("raw"), F.concat("p_name", F.lit("!")).alias("canonical"))
-    return M.homologate(_noisy(t), "raw", dictionary, _names(t), "p_name")
+    size = F.length("p_name") % 3
+    entries = t.part.where("p_name like 'b%'").select(C("p_name").alias("raw"), F.concat("p_name", F.lit("!")).alias("canonical"), F.lit("part").alias("source_table"), F.when(size == 0, "ana").when(size == 1, "PENDIENTE").alias("approved_by"))
+    others = entries.withColumns({"source_table": F.lit("other"), "approved_by": F.lit("ana"), "canonical": F.lit("wrong")})
+    return M.homologate(_noisy(t), "raw", entries.unionByName(others), "part", _names(t), "p_name")
 
 
 _RULES = "(SELECT 'Brand#' || n_nationkey AS raw, 100 + n_nationkey AS module FROM nation WHERE n_nationkey % 4 = 0)"
@@ -91,6 +93,15 @@ def rule_cascade(spark, sf_dir):
     return M.resolve_module(parts, rules, bands, "m", "p_size").select("p_partkey", "module_id", "module_source", "test_block")
 
 
+@bed.query(f"""SELECT p_partkey, CASE WHEN source <> 'NOT_IN_CATALOGUE' THEN coalesce(r, b, n) END AS module_id, source AS module_source FROM (SELECT *, CASE WHEN r IS NOT NULL THEN 'RULE' WHEN b IS NOT NULL THEN 'BAND' WHEN n % 2 = 0 THEN 'NUMBER' ELSE 'NOT_IN_CATALOGUE' END AS source FROM
+  (SELECT p_partkey, r.module AS r, b.module AS b, regexp_extract(p_brand, '(\\d+)$', 1)::INT AS n FROM part LEFT JOIN {_RULES} r ON r.raw = p_brand LEFT JOIN {_BANDS} b ON b.raw = p_brand AND p_size BETWEEN lo AND hi))""")
+def rule_cascade_catalogue(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    rules, bands = _rules(t)
+    catalogue = t.part.select(F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("module")).where("module % 2 = 0")
+    return M.resolve_module(t.part.select("p_partkey", "p_size", "p_brand"), rules, bands, "p_brand", "p_size", catalogue).select("p_partkey", "module_id", "module_source")
+
+
 @bed.query(f"SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN -1 ELSE coalesce(r.module, regexp_extract(p_brand, '(\\d+)$', 1)::INT) END AS module_id FROM part LEFT JOIN {_RULES} r ON r.raw = p_brand")
 def rule_override(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -106,6 +117,16 @@ def resolve_hierarchy(spark, sf_dir):
     return M.resolve_hierarchy(c, dim, {"c_nationkey": "n", "c_mktsegment": "m"}, "id").select("c_custkey", "match_state", "match_id")
 
 
+@bed.query("""WITH d AS (SELECT s_nationkey AS m, s_suppkey % 3 AS farm, s_suppkey % 5 AS sector, s_suppkey AS id FROM supplier), a AS (SELECT c_custkey, c_nationkey AS m, c_custkey % 3 AS farm, CASE WHEN c_custkey % 4 > 0 THEN c_custkey % 5 END AS sector FROM customer),
+j AS (SELECT c_custkey, count(id) AS k, min(id) AS id FROM a LEFT JOIN d ON a.m = d.m AND (a.farm = 0 OR a.farm = d.farm) AND (a.sector IS NULL OR a.sector = 0 OR a.sector = d.sector) GROUP BY 1)
+SELECT c_custkey, CASE WHEN k = 0 THEN 'NOT_FOUND' WHEN k = 1 THEN 'UNIQUE' ELSE 'AMBIGUOUS' END AS match_state, CASE WHEN k = 1 THEN id END AS match_id FROM j""")
+def resolve_optional_levels(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    dim = t.supplier.select(C("s_nationkey").alias("m"), (C("s_suppkey") % 3).alias("d_farm"), (C("s_suppkey") % 5).alias("d_sector"), C("s_suppkey").alias("id"))
+    ask = t.customer.select("c_custkey", C("c_nationkey").alias("nation"), (C("c_custkey") % 3).alias("farm"), F.when(C("c_custkey") % 4 > 0, C("c_custkey") % 5).alias("sector"))
+    return M.resolve_hierarchy(ask, dim, {"nation": "m"}, "id", {"farm": "d_farm", "sector": "d_sector"}).select("c_custkey", "match_state", "match_id")
+
+
 @bed.query("""WITH d AS (SELECT p_brand, p_type, min(p_partkey) AS id FROM part WHERE p_partkey % 9 = 0 GROUP BY ALL), n AS (SELECT DISTINCT p_brand, p_type FROM part WHERE (p_brand, p_type) NOT IN (SELECT (p_brand, p_type) FROM d))
 SELECT * FROM d UNION ALL SELECT p_brand, p_type, (SELECT max(id) FROM d) + row_number() OVER (ORDER BY p_brand, p_type) FROM n""")
 def autocreate_members(spark, sf_dir):
@@ -140,11 +161,26 @@ def _geo(t):
 _FOUND = f"(SELECT a.*, g.k, g.id FROM {_ASK} a LEFT JOIN (SELECT parent, member, count(*) AS k, min(id) AS id FROM {_DIM} GROUP BY ALL) g ON a.parent IS NOT DISTINCT FROM g.parent AND a.member = g.member)"
 
 
-@bed.query(f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN test THEN 'TEST_BLOCK' WHEN parent IS NULL THEN 'PARENT_MISSING' WHEN k IS NULL THEN 'NOT_FOUND' WHEN k > 1 THEN 'AMBIGUOUS' WHEN bed = 0 THEN 'NO_BED' WHEN bed NOT BETWEEN 1 AND 45 THEN 'BED_INVALID'
-  WHEN bed > id % 40 THEN 'BED_UNRELATED' ELSE 'OK' END AS geo_state, CASE WHEN NOT test AND k = 1 THEN id END AS geo_id FROM {_FOUND}""")
+_PLACES = "(SELECT s_suppkey AS id, s_suppkey % 12 AS module, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey % 3 END AS submodule, s_suppkey % 4 AS shift, (s_suppkey % 6)::VARCHAR AS valve, s_suppkey % 7 = 0 AS test_block FROM supplier)"
+_ROWS = """(SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 13 <> 0 THEN l_suppkey % 12 END AS module, CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey % 3 END AS submodule, CASE WHEN l_partkey % 11 <> 0 THEN l_suppkey % 4 END AS shift,
+  CASE WHEN l_partkey % 17 <> 0 THEN (l_suppkey % 6)::VARCHAR END AS valve, CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '0' WHEN 3 THEN 'x' ELSE (l_quantity::INT)::VARCHAR END AS bed, l_partkey % 5 = 0 AS test FROM lineitem)"""
+
+
+@bed.query(f"""WITH g AS (SELECT a.*, (SELECT count(*) FROM {_PLACES} p WHERE NOT p.test_block AND p.module = a.module AND p.submodule IS NOT DISTINCT FROM a.submodule AND p.shift = a.shift AND p.valve = a.valve) AS n, (SELECT min(id) FROM {_PLACES} p WHERE NOT p.test_block AND p.module = a.module AND p.submodule IS NOT DISTINCT FROM a.submodule AND p.shift = a.shift AND p.valve = a.valve) AS id,
+  (SELECT count(*) FROM {_PLACES} p WHERE p.test_block AND p.shift = a.shift AND p.valve = a.valve) AS tn, (SELECT min(id) FROM {_PLACES} p WHERE p.test_block AND p.shift = a.shift AND p.valve = a.valve) AS tid, try_cast(bed AS INT) AS b FROM {_ROWS} a)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN test THEN CASE WHEN shift IS NULL OR valve IS NULL THEN 'CLAVE_GEOGRAFICA_INCOMPLETA' WHEN tn = 1 THEN 'RESUELTA_TEST_BLOCK' WHEN tn = 0 THEN 'TEST_BLOCK_NO_MAPEADO' ELSE 'TEST_BLOCK_AMBIGUO' END
+  WHEN module IS NULL THEN 'CASO_ESPECIAL_MODULO' WHEN shift IS NULL OR valve IS NULL THEN 'CLAVE_GEOGRAFICA_INCOMPLETA' WHEN n = 0 THEN 'GEOGRAFIA_NO_ENCONTRADA' WHEN n > 1 THEN 'GEOGRAFIA_AMBIGUA' WHEN bed IS NULL OR bed = '0' THEN 'RESUELTA_BASE_SIN_CAMA'
+  WHEN b IS NULL OR b NOT BETWEEN 1 AND 45 THEN 'CAMA_NO_VALIDA' WHEN b % 10 = 0 THEN 'CAMA_NO_CATALOGO' WHEN b > id % 40 THEN 'CAMA_NO_RELACION' ELSE 'RESUELTA_BASE_Y_CAMA' END AS geo_state, CASE WHEN test THEN CASE WHEN tn = 1 THEN tid END WHEN n = 1 THEN id END AS geo_id FROM g""")
 def resolve_states(spark, sf_dir):
-    dim, ask, bridge = _geo(Tables(spark, sf_dir))
-    return M.resolve_states(ask, dim, bridge, "parent", "member", "bed", 1, 45, C("l_partkey") % 50 == 1).select("l_orderkey", "l_linenumber", "l_partkey", "geo_state", "geo_id")
+    t = Tables(spark, sf_dir)
+    k = C("s_suppkey")
+    dim = t.supplier.select(k.alias("id"), (k % 12).alias("module"), F.when(k % 2 == 0, k % 3).alias("submodule"), (k % 4).alias("shift"), F.concat(F.lit(" 0"), k % 6).alias("valve"), (k % 7 == 0).alias("test_block"))
+    l, p = C("l_suppkey"), C("l_partkey")
+    bed_text = F.when(C("l_linenumber") == 1, F.lit(None)).when(C("l_linenumber") == 2, "0").when(C("l_linenumber") == 3, "x").otherwise(C("l_quantity").cast("int").cast("string"))
+    ask = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.when(p % 13 != 0, l % 12).alias("module"), F.when(l % 2 == 0, l % 3).alias("submodule"), F.when(p % 11 != 0, l % 4).alias("shift"), F.when(p % 17 != 0, (l % 6).cast("string")).alias("valve"), bed_text.alias("bed"), (p % 5 == 0).alias("test_block"))
+    beds = t.lineitem.select(C("l_quantity").cast("int").alias("bed")).distinct().where("bed % 10 <> 0")
+    bridge = _geo(t)[2]
+    return M.resolve_states(ask, dim, beds, bridge, 1, 45).select("l_orderkey", "l_linenumber", "l_partkey", "geo_state", "geo_id")
 
 
 @bed.query(f"SELECT DISTINCT id, bed FROM {_FOUND} WHERE k = 1 AND bed BETWEEN 1 AND 45 AND NOT (bed <= id % 40)")
