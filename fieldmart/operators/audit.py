@@ -50,13 +50,18 @@ def surrogate_share(fact: DataFrame, fk: str, value: int = -1) -> DataFrame:
     return fact.agg(F.count("*").alias("rows"), F.count_if(F.col(fk) == value).alias("surrogate"), F.round(F.count_if(F.col(fk) == value) * 100 / F.count("*"), 2).alias("pct"))
 
 
-def domain_scorecard(domains: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
-    """For each domain (facts, orphans, duplicate groups): counts, verdict, readiness for models."""
+def domain_scorecard(domains: Mapping[str, tuple[DataFrame, DataFrame, DataFrame, DataFrame]], most_pending: float = 5.0) -> DataFrame:
+    """For each domain (facts, orphans, duplicate groups, pending quarantine): counts, verdict, readiness for models.
+
+    More pending records than `most_pending` percent of the rows, or duplicates, ask for a review.
+    """
     rows = []
-    for name, (fact, lost, twice) in domains.items():
-        one = fact.agg(F.count("*").alias("rows")).crossJoin(lost.agg(F.count("*").alias("orphans"))).crossJoin(twice.agg(F.count("*").alias("duplicates")))
-        rows.append(one.select(F.lit(name).alias("domain"), "rows", "orphans", "duplicates"))
-    verdict = classify([(F.col("rows") == 0, "EMPTY"), (F.col("orphans") > 0, "BROKEN"), (F.col("duplicates") > 0, "REVIEW")], "OK")
+    for name, (fact, lost, twice, pending) in domains.items():
+        one = fact.agg(F.count("*").alias("rows"))
+        for df, out in ((lost, "orphans"), (twice, "duplicates"), (pending, "pending")):
+            one = one.crossJoin(df.agg(F.count("*").alias(out)))
+        rows.append(one.select(F.lit(name).alias("domain"), "rows", "orphans", "duplicates", "pending"))
+    verdict = classify([(F.col("rows") == 0, "EMPTY"), (F.col("orphans") > 0, "BROKEN"), ((F.col("duplicates") > 0) | (F.col("pending") * 100 > F.col("rows") * most_pending), "REVIEW")], "OK")
     return reduce(DataFrame.unionByName, rows).withColumns({"verdict": verdict, "ready": (verdict == "OK") & (F.col("rows") >= 1000)})
 
 

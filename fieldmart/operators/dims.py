@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 from fieldmart.functions import dates
 from fieldmart.operators.dedup import rank_first
 
-# fixed values: static members
+# fixed values: static members, in the order of their ids, and the first id
 SEEDS = {
     "state": ("Boton Floral", "Flor", "Pequena", "Verde", "Inicio F1", "Inicio F2", "Crema", "Madura", "Cosechable"),
     "third": ("BAJO", "MEDIO", "ALTO"),
+    "ribbon": ("Roja", "Azul", "Verde", "Amarilla", "Blanca", "Naranja"),
+    "condition": ("Suelo / GlobalGAP", "Suelo / Organico", "Sustrato / GlobalGAP", "Sustrato / Organico", "Suelo / Sin certificacion"),
+    "activity": ("Cosecha", "Poda", "Defoliacion", "Evaluacion fenologica", "Evaluacion de pesos", "Evaluacion vegetativa", "Aplicacion fitosanitaria", "Riego", "Fertilizacion", "Supervision", "Fiscalizacion", "Transporte interno"),
+    "scenario": ("Presupuesto", "Preliminar", "Mensual", "Final", "Manual", "Modelo", "Ajuste"),
+    "workflow": ("Borrador", "En revision", "Aprobada", "Archivada", "Rechazada"),
+    "person": ("SIN PERSONAL",),
 }
+FIRST_ID = {"state": 0, "third": 0, "person": -1}
 
 
 def seed(spark: SparkSession, name: str) -> DataFrame:
     """(id, label) of a static dimension."""
-    return spark.createDataFrame(list(enumerate(SEEDS[name])), "id int, label string")
+    return spark.createDataFrame(list(enumerate(SEEDS[name], FIRST_ID.get(name, 1))), "id int, label string")
 
 
 def dim_time(spark: SparkSession, start: str, end: str, base: str = dates.HARVEST_BASE) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -106,6 +106,38 @@ def rebuild(raw: DataFrame, state: Column, spec: FactSpec, build, empty: DataFra
     return load_insert_new(build(raw.where(state)), empty, spec)
 
 
+def rebuild_plan(names: Sequence[str], registry: Mapping[str, FactSpec], marts: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(facts in registry order, marts that they feed, in the order of `marts`); an unknown fact is an error."""
+    if unknown := set(names) - set(registry):
+        raise ValueError(f"unknown facts: {', '.join(sorted(unknown))}")
+    facts = [n for n in registry if n in names]
+    fed = {m for n in facts for m in registry[n].marts}
+    return facts, [m for m in marts if m in fed]
+
+
+def rebuild_affected(names: Sequence[str], registry: Mapping[str, FactSpec], rebuilds: Mapping[str, Callable[[], DataFrame]], stored: Mapping[str, DataFrame], marts: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]]) -> dict[str, DataFrame]:
+    """The marts that the named facts feed, made from the rebuilt facts and, for all others, from the stored ones; no other mart is touched."""
+    facts, fed = rebuild_plan(names, registry, list(marts))
+    whole = dict(stored) | {n: rebuilds[n]() for n in facts}
+    return {m: marts[m](whole) for m in fed}
+
+
+def purge_plan(tables: Mapping[str, tuple[str, DataFrame]], layers: Sequence[str]) -> DataFrame:
+    """layer, table_name, rows_before, rows_after, purge: what emptying the layers would do to tables (name -> layer, rows)."""
+    rows = [df.agg(F.count("*").alias("rows_before")).select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "rows_before", F.lit(layer in layers).alias("purge")) for name, (layer, df) in tables.items()]
+    return reduce(DataFrame.unionByName, rows).withColumn("rows_after", F.when(F.col("purge"), F.lit(0)).otherwise(F.col("rows_before")).cast("long"))
+
+
+def purge(tables: Mapping[str, tuple[str, DataFrame]], paths: Mapping[str, str], layers: Sequence[str], apply: bool = False) -> DataFrame:
+    """The plan, from the counts before; with apply the tables of the layers are overwritten by empty ones."""
+    plan = purge_plan(tables, layers)
+    plan = plan.sparkSession.createDataFrame(plan.collect(), plan.schema)  # one row for each table
+    for name, (layer, df) in tables.items():
+        if apply and layer in layers:
+            df.limit(0).write.mode("overwrite").parquet(paths[name])
+    return plan
+
+
 def gate(results: DataFrame, blocking: Sequence[str], name: str = "fact", ok: str = "ok") -> bool:
     """Whether marts may be published: no blocking fact failed."""
     return results.where(F.col(name).isin(*blocking) & ~F.col(ok)).isEmpty()
@@ -116,4 +148,4 @@ def refresh(registry: dict, names: Sequence[str] | None = None) -> dict:
     return {name: build() for name, build in registry.items() if names is None or name in names}
 
 
-__all__ = ["FactSpec", "Loaded", "_on", "fact_result", "gate", "load_insert_new", "load_merge_latest", "merge_upsert", "rebuild", "refresh", "require_columns", "sink_columns"]
+__all__ = ["FactSpec", "Loaded", "_on", "fact_result", "gate", "load_insert_new", "load_merge_latest", "merge_upsert", "purge", "purge_plan", "rebuild", "rebuild_affected", "rebuild_plan", "refresh", "require_columns", "sink_columns"]

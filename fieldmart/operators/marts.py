@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.functions import dates, numbers
+from fieldmart.functions import numbers
 from fieldmart.operators.joins import role_join, star_join
 
 
@@ -30,14 +30,18 @@ def mart_projection(projections: DataFrame, states: DataFrame) -> DataFrame:
     return projections.join(states, "state_code", "left")
 
 
-def mart_phenology(fact: DataFrame, dims: list, keys: list[str], organs: str) -> DataFrame:
-    return star_join(fact, dims).groupBy(*keys).agg(F.sum(organs).alias("organs"))
+def mart_phenology(fact: DataFrame, dims: list, keys: list[str], organs: str, states: DataFrame, state: str) -> DataFrame:
+    """Organs by the keys and the state, with the state's name and place in the cycle; states (state_id, label, state_order)."""
+    named = star_join(fact, dims).join(states, F.col(state) == F.col("state_id"))
+    return named.groupBy(*keys, "label", "state_order").agg(F.sum(organs).alias("organs"))
 
 
-def mart_weather(readings: DataFrame, sector: str = "sector", at: str = "read_at", measure: str = "tmax") -> DataFrame:
-    """By day and sector: mean, extremes, sum and number of readings."""
-    day = readings.withColumn("date_id", dates.date_id(F.col(at)))
-    return day.groupBy("date_id", sector).agg(F.count(measure).alias("readings"), mean(measure).alias("mean"), F.min(measure).alias("low"), F.max(measure).alias("high"), F.sum(exact(measure)).cast("double").alias("total"))
+def mart_weather(fact: DataFrame, calendar: DataFrame, sector: str = "sector") -> DataFrame:
+    """By day and sector: readings, mean temperatures (their mean too), vapour pressure deficit and humidity, and the sum of rain."""
+    dated = fact.join(calendar.select("date_id", "day"), "date_id")
+    means = [mean(c, 3).alias(c) for c in ("tmax", "tmin", "vpd", "humidity")]
+    rolled = dated.groupBy("date_id", "day", sector).agg(F.count("*").alias("readings"), *means, F.sum(exact("rain", 3)).cast("double").alias("rain"))
+    return rolled.withColumn("tmean", (F.col("tmax") + F.col("tmin")) / 2)
 
 
 def mart_weights(fact: DataFrame, dims: list, keys: list[str], weight: str, samples: str) -> DataFrame:

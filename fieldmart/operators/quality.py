@@ -72,7 +72,7 @@ def rules_statistical(df: DataFrame, column: str, z: float = 3.0) -> DataFrame:
 
 
 def validate(df: DataFrame, kinds: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Cell validators by column: id, date, berry_weight, samples, total_plants, humidity, required. (rows with `critical`, errors)."""
+    """Cell validators by column: id, date, berry_weight, samples, total_plants, humidity, variety, module, person, required. (rows with `critical`, errors)."""
     pairs = []
     for column, kind in kinds.items():
         c = F.col(column)
@@ -84,6 +84,9 @@ def validate(df: DataFrame, kinds: Mapping[str, str]) -> tuple[DataFrame, DataFr
             "samples": (n.isNull() | (n < 1), "at least one sample", "ALTO"),
             "total_plants": (n.isNull() | (n < 1), "at least one plant", "CRITICO"),
             "humidity": (c.isNotNull() & numbers.humidity_pct(n).isNull(), "humidity out of range", "MEDIO"),
+            "variety": (text.match_key(c.cast("string")).isNull(), "variety is missing", "ALTO"),
+            "module": (~F.coalesce(text.last_number(c.cast("string")).rlike(r"^\d+(\.\d+)?$") | text.contains_any(c.cast("string")), F.lit(False)), "invalid module", "ALTO"),
+            "person": (~F.coalesce(text.squeeze(c.cast("string")).rlike(r"^\p{L}[\p{L}'. -]*\p{L}\.?$"), F.lit(False)), "invalid name of a person", "MEDIO"),
             "required": (text.nullish(c.cast("string")).isNull(), "value is missing", "CRITICO"),
         }[kind]
         pairs.append((bad, _error(column, c, reason, "DQ", severity)))
@@ -130,8 +133,10 @@ def reinject(records: DataFrame, raw: DataFrame, source_table: str, id_: str, st
     return joined.select(*[F.when(F.col("_id").isNotNull() & (F.col(state) == "RECHAZADO"), "CARGADO").otherwise(F.col(state)).alias(c) if c == state else F.col(c) for c in raw.columns])
 
 
-def quality_gate(read: DataFrame, rejects: DataFrame, row_id: str, limit: float = 5.0) -> DataFrame:
-    """One row: rows_read, rows_rejected (distinct ids), rate, over_limit."""
+def quality_gate(read: DataFrame, rejects: DataFrame, row_id: str, limit: float = 5.0, external: DataFrame | None = None) -> DataFrame:
+    """One row: rows_read, rows_rejected (distinct ids), rate, over_limit. Rows of `external`, duplicates of what is loaded already, are no rejects."""
+    if external is not None:
+        rejects = rejects.join(external.select(row_id).distinct(), row_id, "left_anti")
     one = read.agg(F.count("*").alias("rows_read")).crossJoin(rejects.agg(F.countDistinct(row_id).alias("rows_rejected")))
     rate = F.round(F.col("rows_rejected") * 100 / F.col("rows_read"), 2)
     return one.select("rows_read", "rows_rejected", rate.alias("rate"), (rate > limit).alias("over_limit"))

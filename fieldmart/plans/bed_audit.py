@@ -63,17 +63,18 @@ def surrogate_share(spark, sf_dir):
     return U.surrogate_share(Tables(spark, sf_dir).customer.withColumn("fk", F.when(C("c_custkey") % 6 == 0, -1).otherwise(C("c_nationkey"))), "fk")
 
 
-@bed.query("""WITH s AS (SELECT 'orders' AS domain, (SELECT count(*) FROM orders) AS rows, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS orphans, (SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)) AS duplicates
-UNION ALL SELECT 'lines', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey > 2)), 0 UNION ALL SELECT 'nations', (SELECT count(*) FROM nation), 0, 0)
-SELECT *, CASE WHEN rows = 0 THEN 'EMPTY' WHEN orphans > 0 THEN 'BROKEN' WHEN duplicates > 0 THEN 'REVIEW' ELSE 'OK' END AS verdict, rows >= 1000 AND orphans = 0 AND duplicates = 0 AS ready FROM s""")
+@bed.query("""WITH s AS (SELECT 'orders' AS domain, (SELECT count(*) FROM orders) AS rows, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS orphans, (SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)) AS duplicates, 0 AS pending
+UNION ALL SELECT 'lines', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey > 2)), 0, 0 UNION ALL SELECT 'nations', (SELECT count(*) FROM nation), 0, 0, 0 UNION ALL SELECT 'parts', (SELECT count(*) FROM part), 0, 0, (SELECT count(*) FROM part WHERE p_size < 10))
+SELECT *, CASE WHEN rows = 0 THEN 'EMPTY' WHEN orphans > 0 THEN 'BROKEN' WHEN duplicates > 0 OR pending * 100 > rows * 5 THEN 'REVIEW' ELSE 'OK' END AS verdict, rows >= 1000 AND orphans = 0 AND duplicates = 0 AND pending * 100 <= rows * 5 AS ready FROM s""")
 def domain_scorecard(spark, sf_dir):
     t = Tables(spark, sf_dir)
     twice = t.orders.groupBy("o_custkey", "o_orderdate").count().where("count > 1")
     none = t.nation.limit(0)
     return U.domain_scorecard({
-        "orders": (t.orders, J.orphans(t.orders, t.customer, "o_custkey", "c_custkey"), twice),
-        "lines": (t.lineitem, J.orphans(t.lineitem, t.supplier.where("s_suppkey > 2"), "l_suppkey", "s_suppkey"), none),
-        "nations": (t.nation, none, none),
+        "orders": (t.orders, J.orphans(t.orders, t.customer, "o_custkey", "c_custkey"), twice, none),
+        "lines": (t.lineitem, J.orphans(t.lineitem, t.supplier.where("s_suppkey > 2"), "l_suppkey", "s_suppkey"), none, none),
+        "nations": (t.nation, none, none, none),
+        "parts": (t.part, none, none, t.part.where("p_size < 10")),
     })
 
 

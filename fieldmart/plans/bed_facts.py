@@ -8,7 +8,8 @@ from fieldmart.functions import dates as D
 from fieldmart.operators import facts as T
 from fieldmart.operators import marts as G
 from fieldmart.operators import shape
-from fieldmart.operators.dedup import dedup_signature
+from fieldmart.operators.dims import seed
+from fieldmart.operators.joins import current_only
 from fieldmart.plans.bed import Bed, Tables
 
 bed = Bed()
@@ -218,7 +219,7 @@ def _telemetry(t):
     report = t.events.where("event_id % 2 = 0").select(*pick({"date_raw": F.date_format("ts", "dd/MM/yyyy"), "hour_raw": F.date_format("ts", "H:00"), "humidity_raw": text(k % 3), "rain_raw": text(k % 2)}))
     humidity = F.when(k % 3 == 2, "120").otherwise(text(k % 3))
     variables = t.events.where("event_id % 2 = 1").select(*pick({"date_raw": F.date_format("ts", "yyyy-MM-dd"), "values_raw": F.concat(F.lit("a=1 | Hora_Raw="), F.date_format("ts", "HH:00:00"), F.lit(" | b=2")), "humidity_raw": humidity, "vpd_raw": F.concat(k % 2, F.lit(",5")), "radiation_raw": F.lit("7.25")}))
-    calendar = t.events.select(D.date_id(C("ts")).alias("date_id")).distinct().where("date_id % 100 % 9 <> 0")
+    calendar = t.events.select(D.date_id(C("ts")).alias("date_id"), F.to_date("ts").alias("day")).distinct().where("date_id % 100 % 9 <> 0")
     return T.build_telemetry(report, variables, calendar)[0], calendar
 
 
@@ -231,23 +232,23 @@ def fact_telemetry(spark, sf_dir):
 # --- marts -------------------------------------------------------------------------------------------------------
 
 
-@bed.query("""SELECT strftime(ts, '%Y%m%d')::INT AS date_id, event_type AS sector, count(value) AS readings, sum(value::DECIMAL(18,2))::DOUBLE / count(value) AS mean, min(value) AS low, max(value) AS high, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM
-  (SELECT *, row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id) AS r, min(value) OVER w = max(value) OVER w AS same FROM events WINDOW w AS (PARTITION BY event_type, ts)) WHERE same AND r = 1 GROUP BY ALL""")
+@bed.query(f"""WITH {_READ}, m AS (SELECT date_id, read_at::DATE AS day, sector, count(*) AS readings, sum(tmax::DECIMAL(18,3))::DOUBLE / count(tmax) AS tmax, sum(tmin::DECIMAL(18,3))::DOUBLE / count(tmin) AS tmin, CASE WHEN count(vpd) > 0 THEN sum(vpd::DECIMAL(18,3))::DOUBLE / count(vpd) END AS vpd,
+CASE WHEN count(humidity) > 0 THEN sum(humidity::DECIMAL(18,3))::DOUBLE / count(humidity) END AS humidity, sum(rain::DECIMAL(18,3))::DOUBLE AS rain FROM u WHERE first = 1 GROUP BY ALL) SELECT *, (tmax + tmin) / 2 AS tmean FROM m""")
 def mart_weather(spark, sf_dir):
-    """Raw text, cleaning, conflicting-reading rejection and the daily mart in one lineage."""
-    readings = Tables(spark, sf_dir).events.select(C("event_id").alias("seq_1"), C("event_type").alias("sector"), C("ts").alias("read_at"), C("value").alias("tmax"))
-    kept, _ = dedup_signature(readings, ["sector", "read_at"], ["tmax"], ["seq_1"])
-    return G.mart_weather(kept)
+    """Raw text of two layouts, cleaning, conflicting-reading rejection, the calendar and the daily mart in one lineage."""
+    fact, calendar = _telemetry(Tables(spark, sf_dir))
+    return G.mart_weather(fact, calendar)
 
 
 @bed.query("""WITH h AS (SELECT o_orderkey, o_custkey, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS kg, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1, 2),
-p AS (SELECT c_nationkey, sum(c_acctbal::DECIMAL(18,2))::DOUBLE AS projected FROM customer WHERE c_mktsegment = 'MACHINERY' GROUP BY 1)
-SELECT o_orderkey, n_name, r_name, kg, lines, projected FROM h JOIN customer ON o_custkey = c_custkey JOIN nation n ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN p ON p.c_nationkey = customer.c_nationkey""")
+v AS (SELECT * FROM customer WHERE c_custkey % 6 <> 0), p AS (SELECT c_nationkey, sum(c_acctbal::DECIMAL(18,2))::DOUBLE AS projected FROM customer WHERE c_mktsegment = 'MACHINERY' GROUP BY 1)
+SELECT o_orderkey, n_name, r_name, kg, lines, projected FROM h JOIN v ON o_custkey = c_custkey JOIN nation n ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN p ON p.c_nationkey = v.c_nationkey""")
 def mart_harvest(spark, sf_dir):
     t = Tables(spark, sf_dir)
     fact = t.lineitem.where("l_returnflag = 'R'").join(t.orders, C("l_orderkey") == C("o_orderkey")).groupBy("o_orderkey", "o_custkey").agg(F.sum(G.exact("l_quantity")).cast("double").alias("kg"), F.count("*").alias("lines"))
     projections = t.customer.select("c_nationkey", C("c_mktsegment").alias("scenario"), C("c_acctbal").alias("projected"))
-    dims_ = [(t.customer.select("c_custkey", "c_nationkey"), "o_custkey", "c_custkey"), (t.nation, "c_nationkey", "n_nationkey"), (t.region, "n_regionkey", "r_regionkey")]
+    places = current_only(t.customer.withColumn("is_current", C("c_custkey") % 6 != 0)).select("c_custkey", "c_nationkey")
+    dims_ = [(places, "o_custkey", "c_custkey"), (t.nation, "c_nationkey", "n_nationkey"), (t.region, "n_regionkey", "r_regionkey")]
     return G.mart_harvest(fact, dims_, projections, "MACHINERY", ["c_nationkey"]).select("o_orderkey", "n_name", "r_name", "kg", "lines", "projected")
 
 
@@ -258,10 +259,11 @@ def mart_projection(spark, sf_dir):
     return G.mart_projection(t.orders.select("o_orderkey", "o_totalprice", C("o_orderstatus").alias("state_code")), states).select("o_orderkey", "o_totalprice", "label")
 
 
-@bed.query("SELECT l_shipdate, n_name, l_returnflag, sum(l_linenumber)::BIGINT AS organs FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL")
+@bed.query("SELECT l_shipdate, n_name, CASE l_returnflag WHEN 'A' THEN 'Flor' WHEN 'N' THEN 'Verde' ELSE 'Madura' END AS label, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 3 ELSE 7 END AS state_order, sum(l_linenumber)::BIGINT AS organs FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL")
 def mart_phenology(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return G.mart_phenology(t.lineitem, [(t.supplier, "l_suppkey", "s_suppkey"), (t.nation, "s_nationkey", "n_nationkey")], ["l_shipdate", "n_name", "l_returnflag"], "l_linenumber")
+    states = seed(spark, "state").where("id in (1, 3, 7)").select(F.when(C("id") == 1, "A").when(C("id") == 3, "N").otherwise("R").alias("state_id"), "label", C("id").alias("state_order"))
+    return G.mart_phenology(t.lineitem, [(t.supplier, "l_suppkey", "s_suppkey"), (t.nation, "s_nationkey", "n_nationkey")], ["l_shipdate", "n_name"], "l_linenumber", states, "l_returnflag")
 
 
 @bed.query("SELECT p_brand, l_shipdate, sum(l_quantity::DECIMAL(18,2))::DOUBLE / count(l_quantity) AS mean_weight, sum(l_linenumber)::BIGINT AS samples FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL")

@@ -109,3 +109,27 @@ def rebuild_subset(spark, sf_dir):
     spec = L.FactSpec("orders", ("o_custkey", "o_orderdate"), ("o_orderkey",))
     target = o.drop("o_orderstatus").limit(0)
     return L.rebuild(o, C("o_orderstatus").isin("F", "P"), spec, lambda raw: raw.drop("o_orderstatus"), target).rows
+
+
+@bed.query("""WITH f AS (SELECT o_custkey, o_orderdate, min(o_orderkey) AS k FROM orders GROUP BY 1, 2), l AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT 'customers' AS mart, count(*) AS rows, sum(k)::BIGINT AS total FROM f UNION ALL SELECT 'both', (SELECT count(*) FROM f), (SELECT sum(n) FROM l)::BIGINT""")
+def rebuild_affected(spark, sf_dir):
+    """Of three marts, the two that the rebuilt fact feeds are made again; the stored lines serve the one that needs them too."""
+    t = Tables(spark, sf_dir)
+    registry = {"orders": L.FactSpec("orders", ("o_custkey", "o_orderdate"), ("o_orderkey",), None, ("customers", "both")), "lines": L.FactSpec("lines", ("l_suppkey",), ("l_orderkey",), None, ("suppliers",))}
+    raw = t.orders.select("o_custkey", "o_orderdate", "o_orderkey")
+    rebuilt = {"orders": lambda: L.rebuild(raw, F.lit(True), registry["orders"], lambda x: x, raw.limit(0)).rows}
+    lines = t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    marts = {
+        "customers": lambda f: f["orders"].agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("total")),
+        "suppliers": lambda f: f["lines"].agg(F.count("*").alias("rows"), F.sum("n").alias("total")),
+        "both": lambda f: f["orders"].agg(F.count("*").alias("rows")).crossJoin(f["lines"].agg(F.sum("n").alias("total"))),
+    }
+    made = L.rebuild_affected(["orders"], registry, rebuilt, {"orders": raw.limit(0), "lines": lines}, marts)
+    return S.union_sources([df.select(F.lit(m).alias("mart"), "rows", "total") for m, df in made.items()])
+
+
+@bed.query("SELECT 'raw' AS layer, 'orders' AS table_name, count(*) AS rows_before, 0::BIGINT AS rows_after, true AS purge FROM orders UNION ALL SELECT 'fact', 'lineitem', count(*), 0, true FROM lineitem UNION ALL SELECT 'dim', 'part', count(*), count(*), false FROM part")
+def purge_plan(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return L.purge_plan({"orders": ("raw", t.orders), "lineitem": ("fact", t.lineitem), "part": ("dim", t.part)}, ["raw", "fact"])

@@ -51,6 +51,16 @@ def validate_cells(spark, sf_dir):
     return errors.groupBy("reason").agg(F.count("*").alias("n")).unionByName(critical)
 
 
+@bed.query("""WITH r AS (SELECT p_partkey % 4 AS k FROM part) SELECT 'variety is missing' AS reason, 'ALTO' AS severity, count(*) AS n FROM r WHERE k = 0 UNION ALL SELECT 'invalid module', 'ALTO', count(*) FROM r WHERE k = 1 UNION ALL SELECT 'invalid name of a person', 'MEDIO', count(*) FROM r WHERE k IN (2, 3)""")
+def validate_names(spark, sf_dir):
+    k = C("p_partkey") % 4
+    t = Tables(spark, sf_dir).part.select(
+        "p_partkey", F.when(k == 0, " none ").otherwise(C("p_name")).alias("variety"), F.when(k == 1, "XII").when(k == 2, "Test block").otherwise(F.concat(F.lit("Module "), C("p_size"))).alias("module"),
+        F.when(k == 2, "12345").when(k == 3, F.lit(None)).otherwise("Ana  María O'Hara-Núñez").alias("person"),
+    )
+    return Q.validate(t, {"variety": "variety", "module": "module", "person": "person"})[1].groupBy("reason", "severity").agg(F.count("*").alias("n"))
+
+
 @bed.query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity < 3 THEN 'too few' WHEN l_discount > 0.09 THEN 'too cheap' ELSE 'late' END AS reason,
   CASE WHEN l_quantity < 3 THEN 'CRITICO' WHEN l_discount > 0.09 THEN 'ALTO' ELSE 'MEDIO' END AS severity FROM lineitem WHERE l_quantity < 3 OR l_discount > 0.09 OR l_shipdate > TIMESTAMP '2001-06-01'""")
 def reject_cascade(spark, sf_dir):
@@ -102,10 +112,11 @@ def reinject(spark, sf_dir):
     return Q.reinject(_records(spark, sf_dir), raw, "click", "o_orderkey")
 
 
-@bed.query("SELECT n AS rows_read, r AS rows_rejected, round(r * 100 / n::DOUBLE, 2) AS rate, round(r * 100 / n::DOUBLE, 2) > 5 AS over_limit FROM (SELECT count(*) AS n, count(DISTINCT l_orderkey) FILTER (l_quantity < 3) AS r FROM lineitem)")
+@bed.query("SELECT n AS rows_read, r AS rows_rejected, round(r * 100 / n::DOUBLE, 2) AS rate, round(r * 100 / n::DOUBLE, 2) > 5 AS over_limit FROM (SELECT count(*) AS n, count(DISTINCT l_orderkey) FILTER (l_quantity < 3 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')) AS r FROM lineitem)")
 def quality_gate(spark, sf_dir):
     lines = Tables(spark, sf_dir).lineitem
-    return Q.quality_gate(lines, lines.where("l_quantity < 3"), "l_orderkey")
+    loaded = Tables(spark, sf_dir).orders.where("o_orderstatus = 'P'").select(C("o_orderkey").alias("l_orderkey"))
+    return Q.quality_gate(lines, lines.where("l_quantity < 3"), "l_orderkey", external=loaded)
 
 
 @bed.query(f"SELECT entered_at::DATE AS day, source_table, source_column, reason, count(*) AS n FROM {_R} WHERE state = 'PENDIENTE' GROUP BY ALL")
