@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldmart.sources.raw import export_csv
+
 # fixed values: fallback curve K, b, c; weeks and thresholds of the study
 DEFAULT = (30.0, 5.0, 0.4)
 MAX_WEEK = 20
@@ -28,22 +31,35 @@ def gompertz(k: Column, b: Column, c: Column, t: Column) -> Column:
     return k * F.exp(-b * F.exp(-c * t))
 
 
-def _range(low: float, high: float, step: float) -> Column:
-    n = round((high - low) / step)
-    return F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: F.lit(low) + i * F.lit(step))
+FEWEST = 3
+"""Weeks that a curve needs to be fitted; with fewer the fallback stands."""
+
+
+def _range(low: Column, high: int, step: float) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(high)), lambda i: low + i * F.lit(step))
+
 
+def _best_of(curve: DataFrame, keys: Sequence[str], b: Column, c: Column) -> DataFrame:
+    """keys, sse, b, c, k: the best of the arrays b and c that each row has, with K in closed form."""
+    grid = curve.withColumn("b", F.explode(b)).withColumn("c", F.explode(c)).where("b > 0 and c > 0")
+    fitted = grid.withColumn("f", F.exp(-F.col("b") * F.exp(-F.col("c") * F.col("week")))).groupBy(*keys, "b", "c").agg(F.sum(F.col("median") * F.col("f")).alias("yf"), F.sum(F.col("f") * F.col("f")).alias("ff"), F.sum(F.col("median") * F.col("median")).alias("yy"), F.count("*").alias("weeks"))
+    scored = fitted.where("ff > 0").select(*keys, "weeks", (F.col("yf") / F.col("ff")).alias("k"), "b", "c", (F.col("yy") - F.col("yf") * F.col("yf") / F.col("ff")).alias("sse"))
+    return scored.groupBy(*keys).agg(F.max("weeks").alias("weeks"), F.min(F.struct(F.round("sse", 6).alias("sse"), F.round("b", 6).alias("b"), F.round("c", 6).alias("c"), "k")).alias("best")).select(*keys, "weeks", "best.*")
 
-def fit_gompertz(curve: DataFrame, keys: Sequence[str] = (), b: tuple[float, float, float] = (1.0, 10.0, 0.5), c: tuple[float, float, float] = (0.1, 1.0, 0.05)) -> DataFrame:
-    """keys, k, b, c, sse of K*exp(-b*exp(-c*t)) over (week, median): the best of a grid of b and c, with K in closed form.
 
-    The grid is multiplied with the curve, which has at most one row for each week and group, never with the data.
+def fit_gompertz(curve: DataFrame, keys: Sequence[str] = (), b: tuple[float, int, float] = (1.0, 18, 0.5), c: tuple[float, int, float] = (0.1, 18, 0.05)) -> DataFrame:
+    """keys, k, b, c, sse of K*exp(-b*exp(-c*t)) over (week, median): the best of a grid (first value, steps, step) of b and c, and then of a grid of a tenth of the steps around it.
+
+    The grids are multiplied with the curve, which has at most one row for each week and group, never with the data. A
+    group with fewer than FEWEST weeks gets the fallback curve and no sse.
     """
-    grid = curve.withColumn("b", F.explode(_range(*b))).withColumn("c", F.explode(_range(*c)))
-    shape = F.exp(-F.col("b") * F.exp(-F.col("c") * F.col("week")))
-    fitted = grid.withColumn("f", shape).groupBy(*keys, "b", "c").agg(F.sum(F.col("median") * F.col("f")).alias("yf"), F.sum(F.col("f") * F.col("f")).alias("ff"), F.sum(F.col("median") * F.col("median")).alias("yy"))
-    scored = fitted.where("ff > 0").select(*keys, (F.col("yf") / F.col("ff")).alias("k"), "b", "c", (F.col("yy") - F.col("yf") * F.col("yf") / F.col("ff")).alias("sse"))
-    best = scored.groupBy(*keys).agg(F.min(F.struct(F.round("sse", 6).alias("sse"), "b", "c", "k")).alias("best"))
-    return best.select(*keys, *[F.coalesce(F.col("best")[p], F.lit(d)).alias(p) for p, d in zip("kbc", DEFAULT, strict=True)], F.col("best")["sse"].alias("sse"))
+    names = list(keys) or ["_all"]
+    rows = curve if keys else curve.withColumn("_all", F.lit(1))
+    coarse = _best_of(rows, names, _range(F.lit(b[0]), b[1], b[2]), _range(F.lit(c[0]), c[1], c[2])).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)], F.col("b").alias("_b"), F.col("c").alias("_c"))
+    near = rows.join(coarse, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(names)]))
+    best = _best_of(near, names, _range(F.col("_b") - b[2], 20, b[2] / 10), _range(F.col("_c") - c[2], 20, c[2] / 10))
+    enough = F.col("weeks") >= FEWEST
+    return best.select(*keys, *[F.when(enough, F.col(p)).otherwise(F.lit(d)).alias(p) for p, d in zip("kbc", DEFAULT, strict=True)], F.when(enough, F.col("sse")).alias("sse"))
 
 
 def gompertz_curve(spark, params: DataFrame, weeks: int = MAX_WEEK) -> DataFrame:
@@ -87,3 +103,8 @@ def train_growth(base: DataFrame, categorical: Sequence[str], numeric: Sequence[
     metrics = regression_metrics(model.transform(rows), label, "prediction")
     importances = model.stages[-1].featureImportances.toArray().tolist()
     return model, metrics, dict(zip([*categorical, *numeric], importances, strict=True))
+
+
+def export_results(results: Mapping[str, DataFrame], root: str) -> list[str]:
+    """Writes each result that isn't empty as CSV with a header; returns the names of those written."""
+    return [name for name, df in results.items() if export_csv(df, f"{root}/{name}")]

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions.dates import weeks_since
 from fieldmart.operators import growth as G
-from fieldmart.plans.bed import Bed, Tables
+from fieldmart.plans.bed import Bed, Tables, shared_folder
+from fieldmart.sources import raw as R
 
 bed = Bed()
 C = F.col
@@ -31,21 +32,22 @@ def growth_weekly_median(spark, sf_dir):
     return G.weekly_median(base(spark, sf_dir), "cm")
 
 
-_CURVE = "(SELECT l_returnflag, week, 32 * exp(-5 * exp(-0.4 * week)) + count(*) % 2 AS median FROM {} WHERE week BETWEEN 0 AND 20 GROUP BY 1, 2)".format(_BASE)
-_FIT = f"""(SELECT l_returnflag, first(k ORDER BY round(sse, 6), b, c) AS k, first(b ORDER BY round(sse, 6), b, c) AS b, first(c ORDER BY round(sse, 6), b, c) AS c, min(round(sse, 6)) AS sse FROM
-  (SELECT l_returnflag, b, c, sum(median * f) / sum(f * f) AS k, sum(median * median) - sum(median * f) * sum(median * f) / sum(f * f) AS sse FROM
-    (SELECT *, exp(-b * exp(-c * week)) AS f FROM {_CURVE}, (SELECT 1.0::DOUBLE + i * 0.5::DOUBLE AS b FROM range(19) r(i)), (SELECT 0.1::DOUBLE + j * 0.05::DOUBLE AS c FROM range(19) s(j))) GROUP BY ALL) GROUP BY 1)"""
+_CURVE = f"(SELECT l_returnflag, week, median(cm) AS median FROM {_BASE} WHERE week BETWEEN 0 AND 20 GROUP BY 1, 2)"
+_BEST = """SELECT l_returnflag, count(*) AS grids, first(k ORDER BY round(sse, 6), b, c) AS k, round(first(b ORDER BY round(sse, 6), b, c), 6) AS b, round(first(c ORDER BY round(sse, 6), b, c), 6) AS c, min(round(sse, 6)) AS sse FROM
+  (SELECT l_returnflag, b, c, sum(median * f) / sum(f * f) AS k, sum(median * median) - sum(median * f) * sum(median * f) / sum(f * f) AS sse FROM (SELECT *, exp(-b * exp(-c * week)) AS f FROM {}) GROUP BY ALL) GROUP BY 1"""
+_COARSE = _BEST.format(f"{_CURVE}, (SELECT 1.0::DOUBLE + i * 0.5::DOUBLE AS b FROM range(19) r(i)), (SELECT 0.1::DOUBLE + j * 0.05::DOUBLE AS c FROM range(19) s(j))")
+_NEAR = f"(SELECT u.l_returnflag, week, median, o.b - 0.5::DOUBLE + i * 0.05::DOUBLE AS b, o.c - 0.05::DOUBLE + j * 0.005::DOUBLE AS c FROM {_CURVE} u JOIN ({_COARSE}) o ON o.l_returnflag = u.l_returnflag, range(21) r(i), range(21) s(j) WHERE o.b - 0.5::DOUBLE + i * 0.05::DOUBLE > 0 AND o.c - 0.05::DOUBLE + j * 0.005::DOUBLE > 0)"
+_FIT = f"({_BEST.format(_NEAR)})"
 
 
 def _fitted(spark, sf_dir):
-    weekly = G.weekly_median(base(spark, sf_dir), "cm", ["l_returnflag"])
-    curve = weekly.withColumn("median", G.gompertz(F.lit(32.0), F.lit(5.0), F.lit(0.4), C("week")) + C("n") % 2)
-    return G.fit_gompertz(curve, ["l_returnflag"])
+    """The curve of each flag over the weekly medians of its measures."""
+    return G.fit_gompertz(G.weekly_median(base(spark, sf_dir), "cm", ["l_returnflag"]), ["l_returnflag"])
 
 
-@bed.query(f"SELECT l_returnflag, round(k, 4) AS k, round(b, 4) AS b, round(c, 4) AS c, round(sse, 3) AS sse FROM {_FIT}")
+@bed.query(f"SELECT l_returnflag, round(k, 3) AS k, round(b, 4) AS b, round(c, 4) AS c, round(sse, 3) AS sse FROM {_FIT}")
 def gompertz_fit(spark, sf_dir):
-    return _fitted(spark, sf_dir).select("l_returnflag", *[F.round(x, 4).alias(x) for x in "kbc"], F.round("sse", 3).alias("sse"))
+    return _fitted(spark, sf_dir).select("l_returnflag", F.round("k", 3).alias("k"), F.round("b", 4).alias("b"), F.round("c", 4).alias("c"), F.round("sse", 3).alias("sse"))
 
 
 @bed.query(f"SELECT l_returnflag, i::INT AS week, round(k * exp(-b * exp(-c * i)), 4) AS fitted FROM {_FIT}, range(21) r(i)")
@@ -71,9 +73,19 @@ def growth_forecast(spark, sf_dir):
     return G.forecast(base(spark, sf_dir), "p_brand", "cm")
 
 
+@bed.query(f"""WITH w AS (SELECT p_brand, week, median(cm) AS m, count(*) AS c FROM {_BASE} GROUP BY 1, 2), f AS (SELECT p_brand, min(week) FILTER (m >= 25) AS first_week, sum(c)::BIGINT AS n FROM w GROUP BY 1 HAVING sum(c) >= 50)
+SELECT p_brand, first_week, n, (SELECT count(*) FROM {_BASE} WHERE week > 1000000) AS written_empty FROM f""")
+def growth_exports(spark, sf_dir):
+    """Results go out as CSV and come back; an empty one isn't written."""
+    root = shared_folder(spark, "growth")
+    found = G.forecast(base(spark, sf_dir), "p_brand", "cm").select("p_brand", "first_week", "n")
+    written = G.export_results({"forecast": found, "none": found.limit(0)}, root)
+    return R.read_csv(spark, f"{root}/forecast", "p_brand string, first_week int, n long").withColumn("written_empty", F.lit(int("none" in written)).cast("long"))
+
+
 @bed.query(None)
 def growth_gbt(spark, sf_dir):
-    """Boosted trees over the whole base, as many and as deep as the study's."""
+    """Boosted trees over the whole base, as many and as deep as the study's, with the importance of each feature."""
     rows = base(spark, sf_dir).withColumn("target", C("cm") + C("week") * 0.1)
-    _, metrics, _ = G.train_growth(rows, ["l_returnflag", "p_type"], ["week", "l_linenumber"], "target")
-    return metrics
+    _, metrics, importances = G.train_growth(rows, ["l_returnflag", "p_type"], ["week", "l_linenumber"], "target")
+    return metrics.withColumns({f"importance_{name}": F.lit(value) for name, value in importances.items()})

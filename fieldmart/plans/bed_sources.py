@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from fieldmart.operators import shape
-from fieldmart.plans.bed import Bed, Tables
+from fieldmart.plans.bed import Bed, Tables, shared_folder
 from fieldmart.sources import kv
 from fieldmart.sources import raw as R
 
@@ -144,7 +142,6 @@ def extract_codes(spark, sf_dir):
 
 @bed.query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def csv_roundtrip(spark, sf_dir):
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fieldmart-csv-")
-    path = f"{root}/csv-{spark.sparkContext.applicationId}-{id(bed)}"
+    path = shared_folder(spark, "csv")
     R.export_csv(Tables(spark, sf_dir).nation, path)
     return R.read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
