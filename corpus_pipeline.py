@@ -20,7 +20,7 @@ MOST_HIT = 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no text, or no letter in it) go."""
+    """Documents whose language can't be told (no text, or no letter in it) go; those without a language get the predicted one."""
     return with_language(docs)
 
 

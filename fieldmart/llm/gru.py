@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -287,15 +288,20 @@ def _kept(sent, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             out = _labels(sent.value, batch.column("text").to_pylist())
+            if "lang" in batch.schema.names:
+                at = batch.schema.get_field_index("lang")
+                own = batch.column(at)
+                batch = batch.set_column(at, batch.schema.field(at), pc.coalesce(own, pa.array([x for x, _ in out], own.type)))
             yield batch.filter(pa.array([x != UNKNOWN and y >= least for x, y in out], pa.bool_()))
 
     return run
 
 
 def with_language(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, least: float = 0.0) -> DataFrame:
-    """docs whose language is found: texts that are null or without letters go, and those of a score under `least`; columns stay as they are.
+    """docs whose language is found: texts that are null or without letters go, and those of a score under `least`; a null lang becomes the predicted one.
 
-    Rows are judged one by one, so repeated rows and null ids stay or go by their text.
+    Clean texts of one short word have scores down to 0.4, so `least` is 0 by default. Rows are judged one by one, so
+    repeated rows and null ids stay or go by their text; other columns stay as they are.
     """
     sent = docs.sparkSession.sparkContext.broadcast(trained(docs, sample))
     return docs.mapInArrow(_kept(sent, least), docs.schema)

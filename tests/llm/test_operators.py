@@ -197,7 +197,9 @@ def test_language(spark, odd, empty):
     assert len(out) == known.count()
     assert all((r.lang_pred == "und") == (not letter(t)) for r, t in zip(out, [x.text for x in known.collect()], strict=True))
     assert gru.languages_of(empty).count() == 0
-    assert gru.with_language(odd).count() == sum(map(letter, [x.text for x in odd.collect()]))
+    kept = gru.with_language(odd).collect()
+    assert len(kept) == sum(map(letter, [x.text for x in odd.collect()]))
+    assert all(r.lang in ("en", "fr") for r in kept) and gru.with_language(odd).columns == odd.columns
 
 
 # --- 4 -----------------------------------------------------------------------------------------------------------
