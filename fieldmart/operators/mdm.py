@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
@@ -46,22 +47,41 @@ def match_exact(values: DataFrame, ref: DataFrame, value: str, canonical: str) -
     return joined.select(*values.columns, F.coalesce("_by_key", "_by_compact").alias("found"))
 
 
+def _grams(key: Column, gram: int) -> Column:
+    """The grams of a key, the k-th repetition of one told apart from the others."""
+    runs = F.when(F.length(key) >= gram, F.transform(F.sequence(F.lit(1), F.length(key) - gram + 1), lambda i: key.substr(i, F.lit(gram)))).otherwise(F.array().cast("array<string>"))
+    return F.transform(runs, lambda x, i: F.concat(x, F.size(F.filter(F.slice(runs, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+
+
+def _rarest(keys: DataFrame, name: str, held: DataFrame, threshold: float, gram: int) -> DataFrame:
+    """(name, _g): the grams of each key of which a name that reaches the threshold has to have one, the rarest of the catalogue first.
+
+    A partner of length m is at most k = (1 - threshold) * m edits away, m at most length / threshold, and an edit changes
+    at most `gram` grams, so all but k * gram grams are shared and one of any k * gram + 1 is.
+    """
+    each = keys.select(name, "_k", F.explode(_grams(F.col("_k"), gram)).alias("_g")).join(held, "_g", "left")
+    placed = each.groupBy(name, "_k").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_held", F.lit(0)).alias("n"), F.col("_g").alias("g")))).alias("_all"))  # one name's own grams
+    edits = F.floor(F.lit(1 - threshold) * F.length("_k") / F.lit(threshold) + 1e-9)
+    return placed.select(name, F.explode(F.slice("_all", F.lit(1), (edits * gram + 1).cast("int"))).alias("_one")).select(name, F.col("_one")["g"].alias("_g"))
+
+
 def match_fuzzy(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = APPROVE, gram: int = 2) -> DataFrame:
     """Best catalogue name (ties: smallest) with its score, NULL under the threshold.
 
-    Distinct values only. At APPROVE and above, candidates share a gram of their token keys, so the catalogue is joined by
-    equality and never crossed: names without a common gram of two characters can't reach a threshold of 0.85 from three
-    characters on, and shorter ones are compared by their key. Lower thresholds admit names without a common gram: there
-    every name whose length allows the threshold is compared, joined by equality on the length of its key.
+    Distinct values only. At APPROVE and above, values and names meet over their rarest grams, as many as the threshold
+    asks for, or over equal keys, so no common gram brings all of them together and no pair that reaches the threshold is
+    missed. Lower thresholds admit names without a common gram: there every name whose length allows the threshold is
+    compared, joined by equality on the length of its key.
     """
-    grams = lambda k: F.array_distinct(F.concat(F.transform(F.sequence(F.lit(1), F.greatest(F.length(k) - gram + 1, F.lit(1))), lambda i: k.substr(i, F.lit(gram))), F.array(k)))
     distinct = values.select(value).distinct().withColumn("_v", token_key(F.col(value))).where("_v is not null")
     names = catalogue.select(canonical).distinct().withColumn("_n", token_key(F.col(canonical))).where("_n is not null")
     near = F.least(F.length("_v"), F.length("_n")) >= threshold * F.greatest(F.length("_v"), F.length("_n"))
     if threshold >= APPROVE:
-        left = distinct.select(value, "_v", F.explode(grams(F.col("_v"))).alias("_g"))
-        right = names.select(canonical, "_n", F.explode(grams(F.col("_n"))).alias("_g"))
-        pairs = left.join(right, "_g").where(near).select(value, "_v", canonical, "_n").distinct()
+        left, right = distinct.withColumn("_k", F.col("_v")), names.withColumn("_k", F.col("_n"))
+        held = right.select(F.explode(_grams(F.col("_k"), gram)).alias("_g")).groupBy("_g").agg(F.count("*").alias("_held"))
+        met = _rarest(left, value, held, threshold, gram).join(_rarest(right, canonical, held, threshold, gram), "_g").select(value, canonical)
+        met = met.unionByName(left.join(right.drop("_n"), "_k").select(value, canonical)).distinct()
+        pairs = met.join(distinct, value).join(names, canonical).where(near).select(value, "_v", canonical, "_n")
     else:
         sizes = names.select(F.length("_n").alias("_size")).distinct().crossJoin(distinct.select(F.length("_v").alias("_length")).distinct())
         fit = sizes.where(F.least("_size", "_length") >= threshold * F.greatest("_size", "_length"))
@@ -140,8 +160,16 @@ def resolve_hierarchy(df: DataFrame, dim: DataFrame, on: dict[str, str], id_: st
 
 
 def surrogate_keys(df: DataFrame, order: Sequence[str], start: int = 1, name: str = "id") -> DataFrame:
-    """Dense ids in order. Ranges of the order are numbered side by side: only their counts are summed up, no row is in one task with all others."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    """Dense ids in order. Ranges of the order are numbered side by side: only their counts are summed up, no row is in one task with all others.
+
+    The ranges are drawn from a sample, so the dealt rows are checkpointed: numbers and counts come from the same ranges.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that all machines share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldmart-"))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
     numbered = ranged.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order)))
     counts = numbered.groupBy("_part").agg(F.count("*").alias("_c"))
     before = counts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_c").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))

@@ -96,3 +96,34 @@ def test_equal_rows_stay(spark):
     assert sorted(str(r.target) for r in raw.route_files(files, "name", routes).collect()) == ["None", "year", "year"]
     target, new = (spark.createDataFrame([(None, v)], "k int, v string") for v in ("old", "new"))
     assert [(r.v, r.action) for r in load.merge_upsert(target, new, ["k"]).collect()] == [("new", "merged")]
+
+
+def test_fuzzy_misses_no_name(spark):
+    """Names of one to fifteen letters with up to three edits against all pairs."""
+    import random
+
+    r = random.Random(4)
+    names = sorted({"".join(r.choice("abcd") for _ in range(r.randint(1, 15))) for _ in range(120)})
+    values = set()
+    for n in names:
+        for _ in range(r.randint(0, 3)):
+            at = r.randrange(len(n))
+            n = r.choice((n[:at] + r.choice("abcd") + n[at + 1 :], n[:at] + n[at + 1 :], n[:at] + r.choice("abcd") + n[at:])) or "a"
+        values.add(n)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    df, catalogue = spark.createDataFrame([(v,) for v in values], "v string"), spark.createDataFrame([(n,) for n in names], "n string")
+    for threshold in (0.85, 0.9, 0.6):
+        want = {}
+        for v in values:
+            score, name = min((-(1 - edits(v, n) / max(len(v), len(n))), n) for n in names)
+            want[v] = (name, round(-score, 9)) if -score >= threshold else (None, None)
+        got = {x.v: (x.found, None if x.score is None else round(x.score, 9)) for x in mdm.match_fuzzy(df, catalogue, "v", "n", threshold).collect()}
+        assert got == want
