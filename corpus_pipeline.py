@@ -1,6 +1,8 @@
 """A training-corpus pipeline over `documents`: each stage is one of the operators of fieldmart.llm, written as Parquet and read again.
 
-Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of documents.
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of documents. Every stage
+judges rows by their own text, so rows of one doc_id, repeated rows and rows without a doc_id stand alone (near_duplicates:
+rows of one doc_id and text are one document, rows without a doc_id stay). Empty tables pass through all stages.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldmart.llm.bpe import round_trip
-from fieldmart.llm.common import kept, table
+from fieldmart.llm.common import kept, made_since, remove, table
 from fieldmart.llm.gru import with_language
 from fieldmart.llm.minhash import first_of_each
 from fieldmart.llm.semicrf import redacted
@@ -50,9 +52,12 @@ ORACLE_SQL = None  # the models of the first and fourth stages can't be written
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over documents. What a stage has written is removed when the next one's rows are written."""
+    docs, began = table(spark, sf_dir, "documents"), len(made_since())
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = kept(docs, name)
+            remove(spark, made_since(began)[:-1])
+            began = len(made_since()) - 1
     return docs

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 T = TypeVar("T")
 _own_root: dict[str, str] = {}
+_made: list[str] = []
 _cache: dict[object, object] = {}
 
 
@@ -48,7 +49,20 @@ def shared_folder(spark: SparkSession, what: str) -> str:
             raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that all machines share")
         app = spark.sparkContext.applicationId
         root = _own_root.get(app) or _own_root.setdefault(app, tempfile.mkdtemp(prefix="fieldmart-"))
-    return f"{root}/{what}-{uuid.uuid4().hex}"
+    _made.append(f"{root}/{what}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def made_since(number: int = 0) -> list[str]:
+    """Shared folders that this process has named, from a number on; files that executors fetch are left out."""
+    return [path for path in _made if not path.rpartition("/")[2].startswith("file-")][number:]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Removes shared folders that nothing reads any more."""
+    for path in paths:
+        system, target = _file_system(spark, path)
+        system.delete(target, True)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -84,9 +98,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        for path in self.paths:
-            system, target = _file_system(self.spark, path)
-            system.delete(target, True)
+        remove(self.spark, self.paths)
         self.paths = []
 
 

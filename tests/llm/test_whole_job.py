@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -168,3 +169,26 @@ def test_replies_to_messages_that_exist(spark):
     got = {(r.conv_id, r.turn): r.reply_to for r in quotes.chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     want = {(1, 10): None, (1, 20): 10, (1, 21): 20, (2, 0): None, (2, 2_000): 0, (2, 5_000): 2_000, (None, 3): None, (3, None): None, (4, 0): None} | {(4, i): 0 for i in range(1, 3_000)}
     assert got == want
+
+
+def test_row_groups_are_skipped(spark, tmp_path):
+    """What a scan for a few documents reads, by its own metrics: row groups by their ranges of ids, and by Bloom filters an id between them."""
+    df = spark.range(0, 80_000, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 97).alias("text"))
+    orcids.write_ids(df, VOCABULARY, f"{tmp_path}/ids")
+
+    def read(only):
+        found = orcids.read_ids(spark, f"{tmp_path}/ids", only)
+        rows, nodes, scanned = found.collect(), [found._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().startswith("Scan orc"):
+                scanned += node.metrics().apply("numOutputRows").value()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+        return len(rows), scanned
+
+    assert read(None) == (40_000, 40_000)
+    count, scanned = read([40_002])
+    assert count == 1 and 0 < scanned <= 2 * orcids.INDEX_ROWS
+    count, scanned = read([2, 79_998])
+    assert count == 2 and scanned <= 4 * orcids.INDEX_ROWS
+    assert read([40_003]) == (0, 0)  # within a group's range, but in no group
