@@ -11,7 +11,7 @@ SALTS = 16
 """Parts that the nodes of one label, and the links of one node, are dealt to."""
 
 
-def _dealt(lookup: DataFrame) -> DataFrame:
+def dealt(lookup: DataFrame) -> DataFrame:
     """lookup once for each salt."""
     return lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
@@ -30,11 +30,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = last.keep(edges.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("label")), "labels")
     while True:
         step, new = Scratch(spark), Scratch(spark)
-        near = edges.join(_dealt(labels.withColumnRenamed("node", "dst")), ["dst", "salt"]).groupBy("src").agg(F.min("label").alias("near"))
+        near = edges.join(dealt(labels.withColumnRenamed("node", "dst")), ["dst", "salt"]).groupBy("src").agg(F.min("label").alias("near"))
         lower = labels.join(near, labels.node == near.src).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
         lower = step.keep(lower.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")), "lower")
         up = lower.select("label").distinct().join(lower.select(F.col("node").alias("label"), F.col("label").alias("up")), "label")
-        jumped = lower.join(_dealt(up), ["label", "salt"], "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "was")
+        jumped = lower.join(dealt(up), ["label", "salt"], "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "was")
         stepped = new.keep(jumped, "labels")
         done = stepped.where("label <> was").isEmpty()
         step.drop()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.llm.common import Scratch, kept, worker_cache
-from fieldmart.llm.components import components
+from fieldmart.llm.components import SALTS, components, dealt
 
 BANDS, ROWS = 42, 6
 """At similarity 0.8 a pair meets in no band with probability (1 - 0.8**6)**42 < 3e-6; at 0.3 it meets in one in 3 cases of 100."""
@@ -94,6 +94,10 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)])))
 
 
+def _set_key(values: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None
+
+
 def _signed(words_per_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.empty(0, np.int64)
@@ -102,7 +106,7 @@ def _signed(words_per_shingle: int):
             for text in batch.column("text").to_pylist():
                 values = shingle_set(text, words_per_shingle)
                 sizes.append(len(values))
-                keys.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
+                keys.append(_set_key(values))
                 bands.append(_bands(signature(values, BANDS * ROWS)) if len(values) else none)
             columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(bands)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
@@ -113,8 +117,9 @@ def _signed(words_per_shingle: int):
 def _sets(words_per_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            items = [shingle_set(t, words_per_shingle).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(items)], ["node", "items"])
+            sets = [shingle_set(t, words_per_shingle) for t in batch.column("text").to_pylist()]
+            keys = pa.array([_set_key(values) for values in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, _lists([values.view(np.int64) for values in sets])], ["set_key", "items"])
 
     return run
 
@@ -184,15 +189,16 @@ def _compared(docs: DataFrame, words_per_shingle: int, percent: int) -> DataFram
     scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = kept(rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(_signed(words_per_shingle), SIGNED), "signed")
-    nodes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    nodes = kept(nodes, "nodes")
+    nodes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    nodes = kept(nodes.withColumn("node", F.xxhash64("set_key")), "nodes")
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
     met = scratch.keep(banded.join(banded.groupBy("band").agg(F.count("*").alias("met")).where("met > 1"), "band"), "met")
     buckets = scratch.keep(_starred(met.join(met.groupBy("node").agg(F.sum("met").alias("weight")), "node").drop("met")), "buckets")
 
-    candidates = buckets.select("node").distinct()
-    texts = rows.join(candidates, rows.doc_id == candidates.node, "left_semi")
-    sets = scratch.keep(texts.mapInArrow(_sets(words_per_shingle), "node long, items array<long>").where("size(items) > 0"), "sets")
+    candidates = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("doc").distinct()
+    texts = rows.join(candidates, rows.doc_id == candidates.doc, "left_semi")
+    sets = texts.mapInArrow(_sets(words_per_shingle), "set_key binary, items array<long>").where("size(items) > 0")
+    sets = scratch.keep(sets.select(F.xxhash64("set_key").alias("node"), "items"), "sets")
 
     found = _star_links(buckets, sets, percent, scratch)
     labels = components(found)
@@ -211,7 +217,10 @@ def _compared(docs: DataFrame, words_per_shingle: int, percent: int) -> DataFram
         labels = components(links.unionByName(more))
     scratch.drop()
 
-    named = nodes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
+    linked = labels.join(nodes.select("node", "doc"), "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    least = linked.groupBy("label").agg(F.min("doc").alias("least"))
+    roots = linked.join(dealt(least), ["label", "salt"]).select("node", "least")
+    named = nodes.join(roots, "node", "left").select("set_key", F.coalesce("least", "doc").alias("label"))
     out = signed.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
     component = F.coalesce("label", "doc_id")
     return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -227,7 +236,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     and every link is confirmed on full sets, or on full differences from the pivot's.
 
     Null or blank texts: n_shingles 0, linked with nothing, kept. Null doc_id: linked with nothing, component_id null,
-    kept. Rows of one doc_id are one document: each follows the links of its own text. Other columns of docs are not read.
+    kept. Rows of one doc_id follow each the links of their own text. Other columns of docs are not read.
     """
     return _compared(docs, words_per_shingle, percent).drop("text_key")
 

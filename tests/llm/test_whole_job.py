@@ -192,3 +192,22 @@ def test_row_groups_are_skipped(spark, tmp_path):
     count, scanned = read([2, 79_998])
     assert count == 2 and scanned <= 4 * orcids.INDEX_ROWS
     assert read([40_003]) == (0, 0)  # within a group's range, but in no group
+
+
+def test_texts_of_one_id_stand_alone(spark):
+    """Several texts under one doc_id, near copies of different others: each row has the component of its own text."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    bases = [[word() for _ in range(60)] for _ in range(4)]
+    rows = []
+    for i in range(160):
+        t = list(r.choice(bases))
+        for _ in range(r.choice((0, 1, 2))):
+            t[r.randrange(60)] = word()
+        rows.append((i % 50, " ".join(t[: r.choice((60, 60, 55))])))
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect())
+    parts = _classes(list(enumerate(t for _, t in rows)), 4, 80)  # row numbers stand for documents
+    least = {}
+    for i, (_, root) in parts.items():
+        least[root] = min(least.get(root, 10**9), rows[i][0])
+    assert got == sorted((rows[i][0], n, least[root]) for i, (n, root) in parts.items())
