@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldmart.functions.bind import bind
+
 # fixed values: the season, and serials
 SEASON = ("2025-03-01", "2026-06-30")
 OPEN_DOMAINS = ("clima", "historico", "induccion_floral", "tasa_crecimiento_brotes")
@@ -31,11 +32,6 @@ def _squeezed(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.replace(c, F.lit("T"), F.lit(" ")), r"(?U)\s+", " "))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value computed once: written out, it would be repeated at each use."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 _DATED = r"^\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}( |$)|^\d{8}( |$)"
 
 
@@ -59,7 +55,7 @@ def _short(text: Column) -> Column:
 
 def parse_short_date(c: Column) -> Column:
     """nn/nn/nn or nn-nn-nn, with a time or not: year first if the first part is 20 or more and the third a day; the other order is the second try."""
-    return _let(_squeezed(c), _short)
+    return bind(_squeezed(c), _short)
 
 
 def _half_days(iso: Column) -> Column:
@@ -94,12 +90,12 @@ def parse_datetime(c: Column) -> Column:
     read = lambda x: F.coalesce(_at(x), _at(turned(x)))
 
     def found(text: Column) -> Column:
-        named = F.when(text.rlike("[A-Za-z]{3}"), _let(_named_months(text), lambda x: _at(F.coalesce(_half_days(x), x))))
-        dated = _let(iso(text), lambda x: F.coalesce(_at(x), _short(text), F.when(text.rlike("[aApP]"), _let(_half_days(x), read)), _at(turned(x))))
+        named = F.when(text.rlike("[A-Za-z]{3}"), bind(_named_months(text), lambda x: _at(F.coalesce(_half_days(x), x))))
+        dated = bind(iso(text), lambda x: F.coalesce(_at(x), _short(text), F.when(text.rlike("[aApP]"), bind(_half_days(x), read)), _at(turned(x))))
         serial = F.when(text.rlike(r"^\d{5}(\.\d+)?$"), excel_serial(text).cast("timestamp"))
         return F.when(text.rlike(_DATED) & (F.length(text) >= 8), dated).otherwise(F.coalesce(serial, named))
 
-    return _let(_squeezed(c), found)
+    return bind(_squeezed(c), found)
 
 
 def date_id(c: Column) -> Column:

@@ -12,7 +12,7 @@ from fieldmart.functions import dates, numbers, text
 # name -> (parameters and types, function). Functions that bind a lambda can't be written out as SQL and are columns only.
 FUNCTIONS: dict[str, tuple[dict[str, str], Callable[..., Column]]] = {
     "squeeze": ({"c": "string"}, text.squeeze), "upper_squeeze": ({"c": "string"}, text.upper_squeeze), "strip_accents": ({"c": "string"}, text.strip_accents), "nullish": ({"c": "string"}, text.nullish),
-    "match_key": ({"c": "string"}, text.match_key), "compact_key": ({"c": "string"}, text.compact_key), "clean_numeric_text": ({"c": "string"}, text.clean_numeric_text), "clean_id": ({"c": "string"}, text.clean_id), "valid_id": ({"c": "string"}, text.valid_id),
+    "clean_numeric_text": ({"c": "string"}, text.clean_numeric_text), "valid_id": ({"c": "string"}, text.valid_id),
     "state_key": ({"c": "string"}, text.state_key), "eq_ci": ({"a": "string", "b": "string"}, text.eq_ci), "to_int": ({"c": "string"}, numbers.to_int), "to_decimal": ({"c": "string"}, numbers.to_decimal), "extract_int": ({"c": "string"}, numbers.extract_int),
     "int_token": ({"c": "string"}, numbers.int_token), "pct": ({"part": "double", "total": "double"}, numbers.pct), "humidity_pct": ({"c": "double"}, numbers.humidity_pct), "excel_serial": ({"c": "string"}, dates.excel_serial), "date_id": ({"c": "timestamp"}, dates.date_id),
     "iso_week": ({"c": "timestamp"}, dates.iso_week), "iso_weekday": ({"c": "timestamp"}, dates.iso_weekday), "harvest_week": ({"c": "timestamp"}, dates.harvest_week), "time_of_day": ({"c": "string"}, dates.time_of_day), "weeks_since": ({"start": "timestamp", "end": "timestamp"}, dates.weeks_since),

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldmart.functions.bind import bind
+
 # fixed values
 NULL_TOKENS = ("", "none", "nan", "null")
 TEST_BLOCK_WORDS = ("TEST", "BLOCK")
@@ -58,12 +60,12 @@ def match_key(c: Column) -> Column:
     x = F.translate(strip_accents(squeeze(c)), DASHES + APOSTROPHES, "-" * len(DASHES) + "'" * len(APOSTROPHES))
     for pattern, to in ((r"\s*-\s*", "-"), (r"\s*\(\s*", "("), (r"\s*\)\s*", ")"), (r"([A-Za-z])\s+(\d)", "$1$2"), (r"(\d)\s+([A-Za-z])", "$1$2")):
         x = F.regexp_replace(x, pattern, to)
-    return nullish(F.upper(squeeze(x)), NULL_TOKENS)
+    return bind(F.upper(squeeze(x)), lambda key: nullish(key))
 
 
 def compact_key(c: Column) -> Column:
     """Letters and digits of the match key; NULL if none."""
-    return F.nullif(F.regexp_replace(match_key(c), "[^A-Z0-9]+", ""), F.lit(""))
+    return bind(F.regexp_replace(match_key(c), "[^A-Z0-9]+", ""), lambda x: F.nullif(x, F.lit("")))
 
 
 def contains_any(c: Column, words: Sequence[str] = TEST_BLOCK_WORDS) -> Column:
@@ -75,10 +77,10 @@ def contains_any(c: Column, words: Sequence[str] = TEST_BLOCK_WORDS) -> Column:
 
 def last_number(c: Column) -> Column:
     """Last number in the text without leading zeros or a fraction of zeros; test-block texts and texts without a number stay, in upper case."""
-    text = nullish(upper_squeeze(c))
-    number = F.try_element_at(F.regexp_extract_all(text, F.lit(r"([+-]?\d+(?:\.\d+)?)"), F.lit(1)), F.lit(-1))
-    whole = F.when(number.rlike(r"^[+-]?\d+(\.0+)?$"), number.try_cast("decimal(38,0)").cast("string")).otherwise(number)
-    return F.when(contains_any(text) | number.isNull(), text).otherwise(whole)
+    last = lambda text: F.try_element_at(F.regexp_extract_all(text, F.lit(r"([+-]?\d+(?:\.\d+)?)"), F.lit(1)), F.lit(-1))
+    whole = lambda number: F.when(number.rlike(r"^[+-]?\d+(\.0+)?$"), number.try_cast("decimal(38,0)").cast("string")).otherwise(number)
+    kept = lambda text: F.when(contains_any(text), text).otherwise(F.coalesce(bind(last(text), whole), text))
+    return bind(upper_squeeze(c), lambda x: bind(nullish(x), kept))
 
 
 def clean_numeric_text(c: Column) -> Column:
@@ -101,8 +103,8 @@ def split_version(c: Column) -> tuple[Column, Column]:
 
 def clean_id(c: Column, size: int = 8) -> Column:
     """Fraction of zeros, dots and spaces removed, padded with zeros to `size`; longer ids stay as they are."""
-    text = F.nullif(F.regexp_replace(F.regexp_replace(F.trim(c), r"\.0+$", ""), r"[. ]", ""), F.lit(""))
-    return F.when(F.length(text) < size, F.lpad(text, size, "0")).otherwise(text)
+    text = F.regexp_replace(F.regexp_replace(F.trim(c), r"\.0+$", ""), r"[. ]", "")
+    return bind(text, lambda x: F.when(F.length(x) < size, F.when(x != "", F.lpad(x, size, "0"))).otherwise(x))
 
 
 def valid_id(c: Column, size: int = 8) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fieldmart.functions.bind import bind
+
 
 def aggregate(df: DataFrame, keys: Sequence[str], outs: Mapping[str, tuple[str, str]]) -> DataFrame:
     """groupBy keys; outs: name -> (function, column)."""
@@ -83,8 +85,10 @@ def weighted_mean(df: DataFrame, pairs: Sequence[tuple[str, str | None]], direct
     number = lambda c: F.coalesce(F.nanvl(F.col(c).try_cast("double"), F.lit(0.0)), F.lit(0.0))
     count = sum((number(c) for c, _ in pairs), F.lit(0.0))
     weight = sum((number(w) for _, w in pairs if w), F.lit(0.0))
+    ratio = lambda pair: F.when((pair["w"] > 0) & (pair["n"] > 0), F.round(pair["w"] / pair["n"], digits))
     w, n = (number(c) for c in direct)
-    return df.withColumn(out, F.when((w > 0) & (n > 0), F.round(w / n, digits)).when((count > 0) & (weight > 0), F.round(weight / count, digits)))
+    given, summed = F.struct(w.alias("w"), n.alias("n")), F.struct(weight.alias("w"), count.alias("n"))
+    return df.withColumn(out, F.coalesce(bind(given, ratio), bind(summed, ratio)))
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.functions import dates, numbers, text
+from fieldmart.functions.bind import bind
 from fieldmart.operators.aggregates import weighted_mean
 from fieldmart.operators.dedup import dedup_first, dedup_latest, dedup_signature
 from fieldmart.operators.joins import mark_by_signature
@@ -181,7 +182,7 @@ def _weighed(raw: DataFrame) -> DataFrame:
     whole = raw.withColumns({c: F.lit(None).cast("string") for c in sorted(names) if c not in raw.columns})
     counted = sum((count_of(c) for c, _ in WEIGHED), F.lit(0))
     with_mean = weighted_mean(whole, WEIGHED, ("weight_raw", "samples_raw"), out="weight")
-    return with_mean.withColumns({"place_raw": F.coalesce(text.nullish(F.col("module_raw")), F.col("valve_raw")), "samples": F.when(counted > 0, counted).otherwise(count_of("samples_raw"))})
+    return with_mean.withColumns({"place_raw": F.coalesce(text.nullish(F.col("module_raw")), F.col("valve_raw")), "samples": bind(counted, lambda n: F.when(n > 0, n).otherwise(count_of("samples_raw")))})
 
 
 WEIGHTS = Fact(
