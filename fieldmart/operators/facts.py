@@ -27,7 +27,7 @@ Check = tuple[Column, str, str, str, str]
 
 @dataclass(frozen=True)
 class Fact:
-    """columns: name -> expression on raw; lookups: (dimension, key expression, output, default); derived: columns from what was found; checks run in order; domain names the season policy."""
+    """columns: name -> expression on raw; lookups: (dimension, key expression, output, default); expand: more rows from each cleaned one; derived: columns from what was found; checks run in order; domain names the season policy."""
 
     spec: FactSpec
     columns: Callable[[], Mapping[str, Column]]
@@ -37,6 +37,7 @@ class Fact:
     prepare: Callable[[DataFrame], DataFrame] = lambda raw: raw
     domain: str | None = None
     derived: Callable[[], Mapping[str, Column]] = dict
+    expand: Callable[[DataFrame], DataFrame] = lambda rows: rows
     date: str = "date_raw"
 
 
@@ -86,7 +87,7 @@ def build_fact(raw: DataFrame, dims: Mapping[str, DataFrame], fact: Fact, season
     With a season, dates outside of it are rejected, but for domains that are open. Of the columns `date_id` is made from `day`.
     """
     columns = dict(fact.columns())
-    rows = _fenced(fact.prepare(raw), columns)
+    rows = fact.expand(_fenced(fact.prepare(raw), columns))
     if "day" in columns:
         rows = rows.withColumn("date_id", dates.date_id(F.col("day")))
     for i, (dim, key, out, default) in enumerate(fact.lookups):
@@ -131,15 +132,20 @@ COUNT_TYPE_EQUAL = "poda general"
 WIDE_STATES = {"Botones_Florales_Raw": "Boton Floral", "Flores_Raw": "Flor", "Bayas_Pequenas_Raw": "Pequena", "Bayas_Grandes_Verdes_Raw": "Verde", "Fase1_Raw": "Inicio F1", "Fase2_Raw": "Inicio F2", "Bayas_Cremas_Raw": "Crema", "Bayas_Maduras_Raw": "Madura", "Bayas_Cosechables_Raw": "Cosechable"}
 
 
-def _long_states(raw: DataFrame) -> DataFrame:
-    """state_raw and organs_raw where both are filled, else a row for each wide state of the overflow text; the point also comes from there."""
+def _states(raw: DataFrame) -> DataFrame:
+    """states: state_raw and organs_raw where both are filled, else a pair for each wide state of the overflow text; the point also comes from there."""
     parsed = raw.withColumn("_map", kv.parse_kv(F.col("values_raw")))
     solid = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
     pair = lambda state, organs: F.struct(state.alias("state_raw"), organs.alias("organs_raw"))
     wide = F.filter(F.array(*[F.when(F.array_contains(F.map_keys("_map"), k), pair(F.lit(label), F.try_element_at("_map", F.lit(k)))) for k, label in WIDE_STATES.items()]), lambda x: x.isNotNull())
     pairs = F.when(solid("state_raw") & solid("organs_raw"), F.array(pair(F.trim("state_raw"), F.col("organs_raw")))).otherwise(wide)
     point = F.coalesce(*[F.nullif(F.trim(F.try_element_at("_map", F.lit(k))), F.lit("")) for k in ("Punto_Raw", "Punto")], F.lit("0"))
-    return parsed.select(*[c for c in raw.columns if c not in ("state_raw", "organs_raw")], point.alias("point"), F.inline_outer(pairs))
+    return parsed.select(*[c for c in raw.columns if c not in ("state_raw", "organs_raw")], point.alias("point"), pairs.alias("states"))
+
+
+def _each_state(rows: DataFrame) -> DataFrame:
+    each = rows.select(*[c for c in rows.columns if c != "states"], F.inline_outer("states"))
+    return each.withColumns({"organs": count_of("organs_raw"), "state_key": text.state_key(F.col("state_raw"))})
 
 
 def _count_type(c: Column) -> Column:
@@ -148,9 +154,9 @@ def _count_type(c: Column) -> Column:
 
 STATE_COUNTS = Fact(
     _spec("state_counts", "state_id", "point", tie="recorded", marts=("phenology",)),
-    lambda: place_columns() | {"organs": count_of("organs_raw"), "state_key": text.state_key(F.col("state_raw")), "recorded": dates.parse_datetime(F.col("recorded_raw")), "countable": _count_type(F.col("type_raw"))},
+    lambda: place_columns() | {"recorded": dates.parse_datetime(F.col("recorded_raw")), "countable": _count_type(F.col("type_raw"))},
     ("organs",), lambda: [(~F.col("countable"), "type_raw", "evaluation is no count", "DQ", "ALTO"), (F.col("state_raw").isNull(), "values_raw", "no states in the row", "DQ", "ALTO"), unknown("state_id", "state_raw", "state")],
-    (*PLACE, ("state", "state_key", "state_id", None)), _long_states, "conteo_fenologico",
+    (*PLACE, ("state", "state_key", "state_id", None)), _states, "conteo_fenologico", expand=_each_state,
 )
 
 ORGAN = Fact(
