@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fieldmart.sources.raw import export_csv
 
@@ -35,31 +37,106 @@ FEWEST = 3
 """Weeks that a curve needs to be fitted; with fewer the fallback stands."""
 
 
-def _range(low: Column, high: int, step: float) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(high)), lambda i: low + i * F.lit(step))
-
-
-def _best_of(curve: DataFrame, keys: Sequence[str], b: Column, c: Column) -> DataFrame:
-    """keys, sse, b, c, k: the best of the arrays b and c that each row has, with K in closed form."""
-    grid = curve.withColumn("b", F.explode(b)).withColumn("c", F.explode(c)).where("b > 0 and c > 0")
-    fitted = grid.withColumn("f", F.exp(-F.col("b") * F.exp(-F.col("c") * F.col("week")))).groupBy(*keys, "b", "c").agg(F.sum(F.col("median") * F.col("f")).alias("yf"), F.sum(F.col("f") * F.col("f")).alias("ff"), F.sum(F.col("median") * F.col("median")).alias("yy"), F.count("*").alias("weeks"))
-    scored = fitted.where("ff > 0").select(*keys, "weeks", (F.col("yf") / F.col("ff")).alias("k"), "b", "c", (F.col("yy") - F.col("yf") * F.col("yf") / F.col("ff")).alias("sse"))
-    return scored.groupBy(*keys).agg(F.max("weeks").alias("weeks"), F.min(F.struct(F.round("sse", 6).alias("sse"), F.round("b", 6).alias("b"), F.round("c", 6).alias("c"), "k")).alias("best")).select(*keys, "weeks", "best.*")
-
-
-def fit_gompertz(curve: DataFrame, keys: Sequence[str] = (), b: tuple[float, int, float] = (1.0, 18, 0.5), c: tuple[float, int, float] = (0.1, 18, 0.05)) -> DataFrame:
-    """keys, k, b, c, sse of K*exp(-b*exp(-c*t)) over (week, median): the best of a grid (first value, steps, step) of b and c, and then of a grid of a tenth of the steps around it.
-
-    The grids are multiplied with the curve, which has at most one row for each week and group, never with the data. A
-    group with fewer than FEWEST weeks gets the fallback curve and no sse.
+START = (35.0, 5.0, 0.5)
+"""Where the study's own search begins; fixed values."""
+_STEPS, _GROUPS = 400, 64
+_LOG_B = np.arange(-25.0, 7.0)
+_RATES = np.arange(-20.0, 61.0, 2.0)
+"""Rates of the first look, over the length of the curve."""
+
+
+def _parts(k: np.ndarray, b: np.ndarray, c: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(-c t) and the curve, for parameters with one axis less than t."""
+    fading = np.exp(-c[..., None] * t)
+    return fading, k[..., None] * np.exp(-b[..., None] * fading)
+
+
+def _starts(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """k, sign of b, log |b| and c of the searches of each group: the study's start, and the best of a wide grid for either sign and each stretch of rates, with K in closed form."""
+    span = np.maximum((t * w).max(1) - np.where(w > 0, t, np.inf).min(1), 1.0)
+    sign, log_b, rate = (x.ravel() for x in np.meshgrid([1.0, -1.0], _LOG_B, _RATES, indexing="ij"))
+    stretch = (np.searchsorted([1.0], sign) * 100 + (rate + 20) // 10).astype(int)
+    c = rate[None] / span[:, None]
+    _, f = _parts(np.ones_like(c), np.broadcast_to(sign * np.exp(log_b), c.shape), c, t[:, None])
+    f = f * w[:, None]
+    ff, yf = (f * f).sum(2), (f * y[:, None]).sum(2)
+    k = yf / ff
+    sse = (y * y * w).sum(1)[:, None] - k * yf
+    sse = np.where(np.isfinite(sse) & (ff > 1e-200), sse, np.inf)
+    found = []
+    for own in (np.flatnonzero(stretch == s) for s in np.unique(stretch)):
+        best = own[sse[:, own].argmin(1)]
+        rows = np.arange(len(t))
+        found.append((k[rows, best], sign[best], log_b[best], c[rows, best]))
+    study = [np.full(len(t), v) for v in (START[0], 1.0, np.log(START[1]), START[2])]
+    return tuple(np.stack([study[i], *(f[i] for f in found)], 1) for i in range(4))
+
+
+def levenberg_marquardt(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """k, b, c, sse and whether the search settled, for each row of weeks t, medians y and weights w (0: no such week).
+
+    Every search of every group takes its own steps: the normal equations of (K, log |b|, c) with its own damping, less
+    after a step that lowers the sum of squares and more after one that doesn't. Nothing bounds the parameters.
+    """
+    scale = np.where((most := np.abs(y * w).max(1)) > 0, most, 1.0)
+    y = y / scale[:, None]
+    k, sign, u, c = _starts(t, y, w)
+    k[:, 0] /= scale
+    t, y, w = t[:, None], y[:, None], w[:, None]
+    error = lambda k, u, c: np.nan_to_num((w * (y - _parts(k, sign * np.exp(u), c, t)[1]) ** 2).sum(-1), nan=np.inf)
+    sse, damping, before = error(k, u, c), np.full(k.shape, 1e-2), None
+    floor = 1e-16 * (w * y * y).sum(-1)
+    for step in range(_STEPS):
+        b = sign * np.exp(u)
+        fading, f = _parts(k, b, c, t)
+        by_u = -f * b[..., None] * fading
+        jacobian = np.nan_to_num(np.stack([f / np.where(k == 0, 1, k)[..., None], by_u, -by_u * t], -1) * w[..., None], posinf=0.0, neginf=0.0)
+        residual = np.nan_to_num(w * (y - f), posinf=0.0, neginf=0.0)
+        normal, right = np.einsum("gsti,gstj->gsij", jacobian, jacobian), np.einsum("gsti,gst->gsi", jacobian, residual)
+        diagonal = np.einsum("gsii->gsi", normal)
+        damped = normal + np.eye(3) * (diagonal * damping[..., None] + 1e-14 * diagonal.max(-1, keepdims=True) + 1e-200)[..., None]
+        change = np.linalg.solve(damped, right[..., None])[..., 0]
+        new = k + change[..., 0], u + change[..., 1], c + change[..., 2]
+        tried = error(*new)
+        better = tried < sse
+        k, u, c, sse = (np.where(better, n, o) for n, o in zip((*new, tried), (k, u, c, sse), strict=True))
+        damping = np.clip(np.where(better, damping * 0.3, damping * 4), 1e-12, 1e12)
+        if step == _STEPS - 50:
+            before = sse
+    settled = (before - sse <= 1e-7 * sse + floor) & np.isfinite(sse)
+    best = np.where(np.isfinite(sse), np.round(sse, 9), np.inf).argmin(1)
+    rows = np.arange(len(k))
+    return k[rows, best] * scale, (sign * np.exp(u))[rows, best], c[rows, best], np.maximum(sse[rows, best], 0.0) * scale**2, settled[rows, best]
+
+
+def _fits(names: Sequence[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _GROUPS):
+                batch = whole.slice(at, _GROUPS)
+                points = batch.column("points").to_pylist()
+                longest = max(len(p) for p in points)
+                t, y, w = (np.array([[p[i] for p in own] + [0.0] * (longest - len(own)) for own in [[(q["week"], q["median"], 1.0) for q in group] for group in points]], float) for i in range(3))
+                with np.errstate(all="ignore"):
+                    *fitted, settled = levenberg_marquardt(t, y, w)
+                good = settled & (w.sum(1) >= FEWEST)
+                columns = [pa.array(np.where(good, v, d)) for v, d in zip(fitted[:3], DEFAULT, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns, pa.array(fitted[3], mask=~good)], [*names, "k", "b", "c", "sse"])
+
+    return run
+
+
+def fit_gompertz(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """keys, k, b, c, sse of K*exp(-b*exp(-c*t)) over (week, median), by least squares without bounds on the parameters.
+
+    Groups are fitted side by side, one row of at most as many points as there are weeks for each, by Levenberg-Marquardt
+    searches from the study's start and from the best places of a wide grid; the least sum of squares wins. A group with
+    fewer than FEWEST weeks, or whose best search hasn't settled, gets the fallback curve and no sse.
     """
-    names = list(keys) or ["_all"]
-    rows = curve if keys else curve.withColumn("_all", F.lit(1))
-    coarse = _best_of(rows, names, _range(F.lit(b[0]), b[1], b[2]), _range(F.lit(c[0]), c[1], c[2])).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)], F.col("b").alias("_b"), F.col("c").alias("_c"))
-    near = rows.join(coarse, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(names)]))
-    best = _best_of(near, names, _range(F.col("_b") - b[2], 20, b[2] / 10), _range(F.col("_c") - c[2], 20, c[2] / 10))
-    enough = F.col("weeks") >= FEWEST
-    return best.select(*keys, *[F.when(enough, F.col(p)).otherwise(F.lit(d)).alias(p) for p, d in zip("kbc", DEFAULT, strict=True)], F.when(enough, F.col("sse")).alias("sse"))
+    points = curve.where("week is not null and median is not null").groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col("week").cast("double").alias("week"), F.col("median").cast("double").alias("median")))).alias("points"))
+    points = points.where(F.size("points") > 0)
+    schema = StructType([points.schema[k] for k in keys] + [StructField(n, DoubleType()) for n in ("k", "b", "c", "sse")])
+    return points.mapInArrow(_fits(list(keys)), schema)
 
 
 def gompertz_curve(spark, params: DataFrame, weeks: int = MAX_WEEK) -> DataFrame:
@@ -88,19 +165,27 @@ def forecast(base: DataFrame, key: str, measure: str, threshold: float = FORECAS
     return found.where(F.col("n") >= min_n).select(key, "first_week", (-F.col("peak")["w"]).alias("peak_week"), F.round(F.col("peak")["m"], 1).alias("peak_cm"), "n")
 
 
-def train_growth(base: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str, trees: int = 200, depth: int = 5, rate: float = 0.05, subsample: float = 0.8, seed: int = 42):
-    """(model, metrics row, importances) of gradient-boosted trees over indexed categories and numbers."""
+def train_growth(base: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str, trees: int = 200, depth: int = 5, rate: float = 0.05, subsample: float = 0.8, seed: int = 42, held_out: float = 0.0):
+    """(model, metrics row, importances) of gradient-boosted trees over indexed categories and numbers.
+
+    With `held_out`, that share of the rows, drawn by a hash of their values, isn't trained on, and metrics has its n, mae
+    and r2 too, as held_n, held_mae and held_r2 (NULL without such rows). Equal rows are on the same side.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     from fieldmart.operators.aggregates import regression_metrics
 
+    columns = [*categorical, *numeric, label]
     rows = base.select(*[F.col(c).cast("string").alias(c) for c in categorical], *[F.col(c).cast("double").alias(c) for c in numeric], F.col(label).cast("double").alias(label)).na.drop()
+    side = F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(10_000)) < int(held_out * 10_000)
     indexed = [f"{c}_index" for c in categorical]
     stages = [StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"), VectorAssembler(inputCols=[*indexed, *numeric], outputCol="features"), GBTRegressor(featuresCol="features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=seed, maxBins=512)]
-    model = Pipeline(stages=stages).fit(rows)
-    metrics = regression_metrics(model.transform(rows), label, "prediction")
+    model = Pipeline(stages=stages).fit(rows.where(~side))
+    metrics = regression_metrics(model.transform(rows.where(~side)), label, "prediction")
+    if held_out:
+        metrics = metrics.crossJoin(regression_metrics(model.transform(rows.where(side)), label, "prediction").select(*[F.col(c).alias(f"held_{c}") for c in ("n", "mae", "r2")]))  # one row each
     importances = model.stages[-1].featureImportances.toArray().tolist()
     return model, metrics, dict(zip([*categorical, *numeric], importances, strict=True))
 

@@ -33,11 +33,26 @@ def growth_weekly_median(spark, sf_dir):
 
 
 _CURVE = f"(SELECT l_returnflag, week, median(cm) AS median FROM {_BASE} WHERE week BETWEEN 0 AND 20 GROUP BY 1, 2)"
-_BEST = """SELECT l_returnflag, count(*) AS grids, first(k ORDER BY round(sse, 6), b, c) AS k, round(first(b ORDER BY round(sse, 6), b, c), 6) AS b, round(first(c ORDER BY round(sse, 6), b, c), 6) AS c, min(round(sse, 6)) AS sse FROM
-  (SELECT l_returnflag, b, c, sum(median * f) / sum(f * f) AS k, sum(median * median) - sum(median * f) * sum(median * f) / sum(f * f) AS sse FROM (SELECT *, exp(-b * exp(-c * week)) AS f FROM {}) GROUP BY ALL) GROUP BY 1"""
-_COARSE = _BEST.format(f"{_CURVE}, (SELECT 1.0::DOUBLE + i * 0.5::DOUBLE AS b FROM range(19) r(i)), (SELECT 0.1::DOUBLE + j * 0.05::DOUBLE AS c FROM range(19) s(j))")
-_NEAR = f"(SELECT u.l_returnflag, week, median, o.b - 0.5::DOUBLE + i * 0.05::DOUBLE AS b, o.c - 0.05::DOUBLE + j * 0.005::DOUBLE AS c FROM {_CURVE} u JOIN ({_COARSE}) o ON o.l_returnflag = u.l_returnflag, range(21) r(i), range(21) s(j) WHERE o.b - 0.5::DOUBLE + i * 0.05::DOUBLE > 0 AND o.c - 0.05::DOUBLE + j * 0.005::DOUBLE > 0)"
-_FIT = f"({_BEST.format(_NEAR)})"
+# an independent search: the best places of a wide grid over the sign of b, log |b| and c, each then followed through ever finer grids
+_LEVELS = 26
+_SSE = "sum(median * median) - sum(median * f) * sum(median * f) / nullif(sum(f * f), 0)"
+
+
+def _grid(rows: str) -> str:
+    return f"SELECT l_returnflag, sign, cell, u, c, {_SSE} AS sse, sum(median * f) / nullif(sum(f * f), 0) AS k FROM (SELECT *, exp(-sign * exp(u) * exp(-c * week)) AS f FROM {rows}) GROUP BY ALL HAVING isfinite({_SSE}) AND sum(f * f) > 1e-200"
+
+
+def _best(rows: str) -> str:
+    return f"SELECT l_returnflag, sign, cell, arg_min(u, sse) AS u, arg_min(c, sse) AS c, arg_min(k, sse) AS k, min(sse) AS sse FROM ({_grid(rows)}) GROUP BY ALL"
+
+
+_SEARCH = f"""WITH u AS MATERIALIZED {_CURVE},
+g0 AS MATERIALIZED ({_best("(SELECT *, floor(c * 4) AS cell FROM u, (SELECT unnest([1, -1]) AS sign), (SELECT -25 + i * 0.5::DOUBLE AS u FROM range(64) r(i)), (SELECT -1 + j * 0.05::DOUBLE AS c FROM range(81) s(j)))")}),
+""" + ",\n".join(
+    f"""g{n} AS MATERIALIZED ({_best(f"(SELECT u.*, sign, cell, o.u + i * {0.5 * 0.5 ** (n - 1) / 2!r}::DOUBLE AS u, o.c + j * {0.05 * 0.5 ** (n - 1) / 2!r}::DOUBLE AS c FROM g{n - 1} o JOIN u USING (l_returnflag), range(-4, 5) r(i), range(-4, 5) s(j))")})"""
+    for n in range(1, _LEVELS)
+)
+_FIT = f"({_SEARCH} SELECT l_returnflag, arg_min(k, sse) AS k, arg_min(sign * exp(u), sse) AS b, arg_min(c, sse) AS c, min(sse) AS sse FROM g{_LEVELS - 1} GROUP BY 1)"
 
 
 def _fitted(spark, sf_dir):
@@ -45,9 +60,9 @@ def _fitted(spark, sf_dir):
     return G.fit_gompertz(G.weekly_median(base(spark, sf_dir), "cm", ["l_returnflag"]), ["l_returnflag"])
 
 
-@bed.query(f"SELECT l_returnflag, round(k, 3) AS k, round(b, 4) AS b, round(c, 4) AS c, round(sse, 3) AS sse FROM {_FIT}")
+@bed.query(f"SELECT l_returnflag, round(k, 3) AS k, round(b, 4) + 0.0::DOUBLE AS b, round(c, 4) + 0.0::DOUBLE AS c, round(sse, 3) AS sse FROM {_FIT}")
 def gompertz_fit(spark, sf_dir):
-    return _fitted(spark, sf_dir).select("l_returnflag", F.round("k", 3).alias("k"), F.round("b", 4).alias("b"), F.round("c", 4).alias("c"), F.round("sse", 3).alias("sse"))
+    return _fitted(spark, sf_dir).select("l_returnflag", F.round("k", 3).alias("k"), (F.round("b", 4) + 0.0).alias("b"), (F.round("c", 4) + 0.0).alias("c"), F.round("sse", 3).alias("sse"))
 
 
 @bed.query(f"SELECT l_returnflag, i::INT AS week, round(k * exp(-b * exp(-c * i)), 4) AS fitted FROM {_FIT}, range(21) r(i)")
@@ -85,7 +100,6 @@ def growth_exports(spark, sf_dir):
 
 @bed.query(None)
 def growth_gbt(spark, sf_dir):
-    """Boosted trees over the whole base, as many and as deep as the study's, with the importance of each feature."""
-    rows = base(spark, sf_dir).withColumn("target", C("cm") + C("week") * 0.1)
-    _, metrics, importances = G.train_growth(rows, ["l_returnflag", "p_type"], ["week", "l_linenumber"], "target")
+    """Boosted trees over the whole base, as many and as deep as the study's, with the importance of each feature; a fifth of the rows is held out and only measured."""
+    _, metrics, importances = G.train_growth(base(spark, sf_dir), ["l_returnflag", "p_type"], ["week", "l_linenumber"], "cm", held_out=0.2)
     return metrics.withColumns({f"importance_{name}": F.lit(value) for name, value in importances.items()})
