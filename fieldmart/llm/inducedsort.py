@@ -173,6 +173,23 @@ def _smaller_than_next(text: np.ndarray) -> np.ndarray:
     return small
 
 
+def _refined(group: np.ndarray, open_: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cuts the groups of the members in open_ by their words. A group's number is the place of its first member in the order, so numbers of other groups stay. Returns the members in order, and the size of each one's group."""
+    g = group[open_]
+    wide = int(word.max(initial=0)) + 2  # words are -1 at least
+    if int(g.max(initial=0)) < (1 << 62) // wide:
+        by = np.argsort(g * wide + (word + 1))  # one key for both
+    else:
+        by = np.lexsort((word, g))
+    g, w = g[by], word[by]
+    new_group = np.concatenate([[True], g[1:] != g[:-1]])
+    head = np.flatnonzero(new_group | np.concatenate([[True], w[1:] != w[:-1]]))
+    first = np.flatnonzero(new_group)
+    size = np.diff(head, append=len(g))
+    group[open_[by]] = g + np.repeat(head, size) - np.repeat(first, np.diff(first, append=len(g)))
+    return by, np.repeat(size, size)
+
+
 def _named(text: np.ndarray, small: np.ndarray, starts: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
     """The rank of the text from each S* place to the next (both included), and the number of different ranks.
 
@@ -181,6 +198,9 @@ def _named(text: np.ndarray, small: np.ndarray, starts: np.ndarray, limit: int)
     """
     bits = max(int(text.max(initial=0)) * 2 + 2, 1).bit_length()
     per_word = max(1, 63 // bits)
+    symbols = on_disk(len(text), np.int32, limit)
+    for at in range(0, len(text), BLOCK):
+        symbols[at : at + BLOCK] = text[at : at + BLOCK].astype(np.int32) * 2 + small[at : at + BLOCK] + 1
     stops = np.concatenate([starts[1:] + 1, [len(text)]])
     dealt, heads = Queue(limit), text[starts]
     order = np.argsort(heads, kind="stable")
@@ -193,62 +213,50 @@ def _named(text: np.ndarray, small: np.ndarray, starts: np.ndarray, limit: int)
         group, offset, open_ = np.zeros(len(own), np.int64), 0, np.arange(len(own))
         while len(open_):
             word = np.zeros(len(open_), np.int64)
+            place, stop = starts[own[open_]] + offset, stops[own[open_]]
             for k in range(per_word):
-                at = starts[own[open_]] + offset + k
-                inside = at < stops[own[open_]]
-                at = np.minimum(at, len(text) - 1)
-                word = (word << bits) | np.where(inside, text[at].astype(np.int64) * 2 + small[at] + 1, 0)
-            by = np.lexsort((word, group[open_]))
-            g, w = group[open_][by], word[by]
-            new_group = np.concatenate([[True], g[1:] != g[:-1]])
-            new = new_group | np.concatenate([[True], w[1:] != w[:-1]])
-            # groups are numbered by the place of their first member, so numbers stay in order when a group is cut
-            head = np.flatnonzero(new)
-            start_of_group = np.flatnonzero(new_group)
-            base = np.repeat(start_of_group, np.diff([*start_of_group, len(g)]))
-            group[open_[by]] = g + np.repeat(head, np.diff([*head, len(g)])) - base
-            size = np.repeat(np.diff([*head, len(g)]), np.diff([*head, len(g)]))
+                word = (word << bits) | np.where(place + k < stop, symbols[np.minimum(place + k, len(text) - 1)], 0)
+            by, size = _refined(group, open_, word)
             offset += per_word
-            left = by[size > 1]
-            open_ = np.sort(open_[left])
+            open_ = np.sort(open_[by[size > 1]])
             open_ = open_[starts[own[open_]] + offset < stops[own[open_]]]
-        distinct, rank = np.unique(group, return_inverse=True)
-        ranks[own] = many + rank
-        many += len(distinct)
+        heads_of = np.zeros(len(own), np.int64)
+        heads_of[group] = 1
+        dense = np.cumsum(heads_of) - 1
+        ranks[own] = many + dense[group]
+        many += int(dense[-1]) + 1
     return ranks, many
 
 
 def _doubled(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes of a string that fits into memory, and common prefixes with the one before, by doubling up to cap."""
+    """Order of the suffixes of a string of ranks that fits into memory, and common prefixes with the one before, by doubling up to cap. Only suffixes that still share their place are sorted again."""
     n = len(names)
-    levels = [np.unique(names, return_inverse=True)[1].astype(np.int64)]
-    size = 1
-    while size < cap and int(levels[-1].max(initial=0)) + 1 < n:
-        rank = levels[-1]
-        after = np.zeros(n, np.int64)
-        after[: max(n - size, 0)] = rank[size:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key)
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
-        levels.append(new)
+    counts = np.bincount(names)
+    group = (np.cumsum(counts) - counts)[names]
+    levels, size = [group.astype(np.int32)], 1
+    open_ = np.flatnonzero(counts[names] > 1)
+    while size < cap and len(open_):
+        behind = open_ + size
+        word = np.where(behind < n, levels[-1][np.minimum(behind, n - 1)], -1)
+        by, many = _refined(group, open_, word)
+        open_ = np.sort(open_[by[many > 1]])
+        levels.append(group.astype(np.int32))
         size *= 2
     order = np.argsort(levels[-1])
     a, b, length = order[1:].copy(), order[:-1].copy(), np.zeros(max(n - 1, 0), np.int64)
     for level in range(len(levels) - 1, -1, -1):
         for _ in range(2 if level == len(levels) - 1 else 1):
-            inside = np.maximum(a, b) < n
             x, y = np.minimum(a, n - 1), np.minimum(b, n - 1)
-            same = inside & (levels[level][x] == levels[level][y]) & (np.maximum(a, b) + (1 << level) <= n)
+            same = (levels[level][x] == levels[level][y]) & (np.maximum(a, b) + (1 << level) <= n)
             a, b, length = a + same * (1 << level), b + same * (1 << level), length + same * (1 << level)
     return order, np.minimum(np.concatenate([[0], length])[:n], cap)
 
 
-def sorted_suffixes(text: np.ndarray, cap: int = 200, limit: int = 256 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def sorted_suffixes(text: np.ndarray, cap: int = 200, limit: int = 48 << 20, most_names: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of (places, common prefix with the suffix before, up to cap) in the order of suffixes; cap is at most 254.
 
-    `limit` bounds the bytes that each queue holds, and the size of a string of names that is sorted in memory: a larger
-    one is sorted by recursion. An empty text has no suffixes.
+    `limit` bounds the bytes that each queue holds in memory. A string of up to `most_names` names is sorted in memory, a
+    longer one by recursion, whose work goes up by a step for each name. An empty text has no suffixes.
     """
     n = len(text)
     if not n:
@@ -263,10 +271,10 @@ def sorted_suffixes(text: np.ndarray, cap: int = 200, limit: int = 256 << 20) ->
         if many == len(starts):
             order = np.argsort(names, kind="stable")
             found = iter([(order, np.zeros(len(order), np.int64))])
-        elif len(names) * 64 <= limit:
+        elif len(names) <= most_names:
             found = iter([_doubled(names, deep)])
         else:
-            found = sorted_suffixes(names, deep, limit)
+            found = sorted_suffixes(names, deep, limit, most_names)
         prior = None
         for order, equal in found:
             for at in range(0, len(order), BLOCK):

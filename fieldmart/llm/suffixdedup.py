@@ -23,12 +23,12 @@ from fieldmart.llm.common import Scratch, shared_folder
 from fieldmart.llm.inducedsort import on_disk, sorted_suffixes
 
 LENGTH, GRAM = 200, 64
-HEAVY = 500
-"""Distinct pieces of one key beyond which they are split into single strings."""
-SHARD_BYTES = 16 << 20
+HEAVY = 20_000
+"""Distinct pieces of one key, more than half a shard, beyond which they are split into single strings."""
+SHARD_BYTES = 8 << 20
 BUCKET_BYTES = 64 << 20
-MEMORY = 256 << 20
-"""Bytes that the queues of one shard hold before they go to disk."""
+MEMORY = 48 << 20
+"""Bytes that each queue of a shard holds before it goes to disk."""
 _STEP = 1 << 20
 _POWER = 0x9E3779B97F4A7C15
 
@@ -143,16 +143,16 @@ def _strings(length: int):
     return run
 
 
-def repeated_in(text: np.ndarray, starts: np.ndarray, owned: np.ndarray, length: int, limit: int = MEMORY) -> np.ndarray:
-    """Which places of text start a string of `length` bytes that starts at another one too. Only the first owned[i] places from starts[i] on count."""
+def repeated_in(text: np.ndarray, starts: np.ndarray, owned: np.ndarray, copies: np.ndarray, length: int, limit: int = MEMORY) -> np.ndarray:
+    """Which places of text start a string of `length` bytes that occurs more than once. The first owned[i] places from starts[i] on count, each as often as the piece has copies; strings that begin elsewhere don't."""
     repeated = on_disk(len(text), np.bool_, limit)
-    held, waiting = 0, -1  # strings of the group that is open at the end of a block, and the place of the first
+    held, waiting = 0, -1  # occurrences in the group that is open at the end of a block, and the place of a sole one
     for places, prefix in sorted_suffixes(text, length, limit):
         piece = np.searchsorted(starts, places, "right") - 1
         group = np.cumsum(prefix < length)
         mine = places - starts[piece] < owned[piece]
         own, of = places[mine], group[mine]
-        many = np.bincount(of, minlength=int(group[-1]) + 1)
+        many = np.bincount(of, copies[piece[mine]], minlength=int(group[-1]) + 1).astype(np.int64)
         first = own[np.searchsorted(of, len(many) - 1)] if many[-1] else -1
         many[0] += held
         repeated[own[many[of] > 1]] = True
@@ -176,21 +176,14 @@ def _found(length: int):
         with tempfile.TemporaryFile() as file:  # of this task alone, without a name
             for batch in batches:
                 data, ends = _texts(batch.column("data"))
-                copies = batch.column("copies").to_numpy()
-                for i, (a, b, n) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), copies.tolist(), strict=True)):  # noqa: B007
-                    file.write(memoryview(data[a:b]) if n == 1 else bytes(data[a:b]) * n)
-                lengths = np.diff(ends)
-                parts.append((size + np.cumsum(lengths * copies) - lengths * copies, lengths, copies, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("owned", "key", "content", "fine"))))
-                size += int((lengths * copies).sum())
+                file.write(memoryview(data))
+                parts.append((size + ends[:-1], *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("owned", "copies", "key", "content", "fine"))))
+                size += len(data)
             if not size:
                 return
             file.flush()
-            start, lengths, copies, owned, key, content, fine = (np.concatenate(p) for p in zip(*parts, strict=True))
-            text = np.memmap(file, np.uint8, "r", shape=(size,))
-            again = copies > 1
-            starts, places = np.concatenate([start, (start + lengths)[again]]), np.concatenate([owned, owned[again]])
-            order = np.argsort(starts)
-            repeated = repeated_in(text, starts[order], places[order].astype(np.int64), length)
+            start, owned, copies, key, content, fine = (np.concatenate(p) for p in zip(*parts, strict=True))
+            repeated = repeated_in(np.memmap(file, np.uint8, "r", shape=(size,)), start, owned, copies, length)
             for at in range(0, len(start), 20_000):
                 to = min(at + 20_000, len(start))
                 many = owned[at:to].astype(np.int64)
@@ -259,7 +252,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hea
 
     A byte of the UTF-8 text goes if it is covered by a string of `length` bytes that also starts anywhere else, in the
     same or another document; strings never reach over the end of a document, and are judged on the input. Copies of a
-    piece are counted before texts are shuffled, and two of them are sorted; the others share what is found. A heavy key,
+    piece are counted before texts are shuffled; one of them is sorted, its strings count as often as there are copies, and
+    all share what is found. A heavy key,
     which more than `heavy` distinct pieces have, is split: its strings are counted by hash, and those that occur twice
     are dealt to shards of their own.
 
@@ -289,7 +283,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hea
         single = twice.select("one.row", F.col("one.place").alias("start"), F.lit(1).alias("owned"), F.col("string").alias("key"), F.col("string").alias("content"), F.lit(True).alias("fine"), F.lit(2).alias("copies"))
         wanted = wanted.unionByName(single)
     wanted = scratch.keep(wanted, "wanted")
-    size = wanted.agg(F.sum((F.col("owned") + (length - 1)).cast("long") * F.col("copies"))).first()[0] or 0
+    size = wanted.agg(F.sum((F.col("owned") + (length - 1)).cast("long"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES)
     shipped = _with(texts, wanted).mapInArrow(_shipped(length), _SHIPPED)
     found = scratch.keep(shipped.repartition(shards, "key").mapInArrow(_found(length), _FOUND), "found")

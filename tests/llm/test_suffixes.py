@@ -14,7 +14,7 @@ from tests.conftest import DATA
 
 
 def check_order(data, cap, limit):
-    blocks = list(inducedsort.sorted_suffixes(np.frombuffer(data, np.uint8), cap, limit))
+    blocks = list(inducedsort.sorted_suffixes(np.frombuffer(data, np.uint8), cap, limit, limit))
     order = [i for p, _ in blocks for i in p.tolist()]
     prefix = [i for _, x in blocks for i in x.tolist()]
     assert sorted(order) == list(range(len(data)))
@@ -99,6 +99,6 @@ def test_empty_table(spark):
 def test_groups_reach_over_blocks(monkeypatch):
     monkeypatch.setattr(inducedsort, "BLOCK", 3)
     data = np.frombuffer(b"abcabcabcxabc", np.uint8)
-    found = suffixdedup.repeated_in(data, np.array([0, 9]), np.array([7, 2]), 3)
+    found = suffixdedup.repeated_in(data, np.array([0, 9]), np.array([7, 2]), np.array([1, 1]), 3)
     counts = Counter(bytes(data[i : i + 3]) for i in [0, 1, 2, 3, 4, 5, 6, 9, 10])
     assert [i for i in range(13) if found[i]] == [i for i in [0, 1, 2, 3, 4, 5, 6, 9, 10] if counts[bytes(data[i : i + 3])] > 1]
