@@ -78,7 +78,7 @@ def _named_months(text: Column) -> Column:
 
 
 def parse_datetime(c: Column) -> Column:
-    """A date with or without a time, by its shape: year first, day first with a year of four digits, eight digits, a short date, a serial.
+    """A date with or without a time, by its shape: year first, day first with a year of four digits or two, eight digits, a short date, a serial.
 
     What the shape can't be in its own order (day 03, month 25) is tried in the other; a time may have fractions of a
     second or am and pm; English month names are read. NULL if nothing fits. Patterns rewrite each shape as y-m-d, and one
@@ -89,11 +89,19 @@ def parse_datetime(c: Column) -> Column:
     turned = lambda x: F.regexp_replace(x, r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$3-$2")
     read = lambda x: F.coalesce(_at(x), _at(turned(x)))
 
+    brief = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d\d)" + _TIME + "$"
+    century = lambda x: F.regexp_replace(F.regexp_replace(x, r"^(69|[7-9]\d)-", "19$1-"), r"^(\d\d)-", "20$1-")
+
+    def loose(text: Column) -> Column:
+        """One or two digits for the day and the month, two for the year: day first."""
+        x = F.trim(century(F.regexp_replace(text, brief, "$4-$3-$1 $5")))
+        return F.when(text.rlike(brief), bind(F.coalesce(_half_days(x), x), read))
+
     def found(text: Column) -> Column:
         named = F.when(text.rlike("[A-Za-z]{3}"), bind(_named_months(text), lambda x: _at(F.coalesce(_half_days(x), x))))
-        dated = bind(iso(text), lambda x: F.coalesce(_at(x), _short(text), F.when(text.rlike("[aApP]"), bind(_half_days(x), read)), _at(turned(x))))
+        dated = bind(iso(text), lambda x: F.coalesce(_at(x), _short(text), F.when(text.rlike("[aApP]"), bind(_half_days(x), read)), _at(turned(x)), loose(text)))
         serial = F.when(text.rlike(r"^\d{5}(\.\d+)?$"), excel_serial(text).cast("timestamp"))
-        return F.when(text.rlike(_DATED) & (F.length(text) >= 8), dated).otherwise(F.coalesce(serial, named))
+        return F.when(text.rlike(_DATED) & (F.length(text) >= 6), dated).otherwise(F.coalesce(serial, named))
 
     return bind(_squeezed(c), found)
 

@@ -141,13 +141,15 @@ _DATE_SHAPES = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd HH:mm", "yyyyMM
 def _rendered(ts):
     out = F.lit("31/02/2026")
     for i, shape in enumerate(_DATE_SHAPES):
-        out = F.when(C("o_orderkey") % 16 == i, F.date_format(ts, shape)).otherwise(out)
+        out = F.when(C("o_orderkey") % 18 == i, F.date_format(ts, shape)).otherwise(out)
     american = F.concat_ws("/", F.month(ts).cast("string"), F.dayofmonth(ts).cast("string"), F.year(ts).cast("string"))
-    out = F.when((C("o_orderkey") % 16 == 13) & (F.dayofmonth(ts) > 12), american).otherwise(out)
-    return F.when(C("o_orderkey") % 16 == 14, F.datediff(C("o_orderdate"), F.lit("1899-12-30").cast("date")).cast("string")).otherwise(out)
+    for i, shape in ((16, "d/M/yy"), (17, "d-M-yy H:mm")):
+        out = F.when(C("o_orderkey") % 18 == i, F.date_format(ts, shape)).otherwise(out)
+    out = F.when((C("o_orderkey") % 18 == 13) & (F.dayofmonth(ts) > 12), american).otherwise(out)
+    return F.when(C("o_orderkey") % 18 == 14, F.datediff(C("o_orderdate"), F.lit("1899-12-30").cast("date")).cast("string")).otherwise(out)
 
 
-@bed.query("""SELECT o_orderkey, CASE WHEN o_orderkey % 16 = 15 OR o_orderkey % 16 = 13 AND day(ts) <= 12 THEN NULL WHEN o_orderkey % 16 IN (0, 8, 9) THEN ts WHEN o_orderkey % 16 IN (2, 4, 10, 12) THEN date_trunc('minute', ts) ELSE date_trunc('day', ts) END AS parsed
+@bed.query("""SELECT o_orderkey, CASE WHEN o_orderkey % 18 = 15 OR o_orderkey % 18 = 13 AND day(ts) <= 12 THEN NULL WHEN o_orderkey % 18 IN (0, 8, 9) THEN ts WHEN o_orderkey % 18 IN (2, 4, 10, 12, 17) THEN date_trunc('minute', ts) ELSE date_trunc('day', ts) END AS parsed
   FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) AS ts FROM orders)""")
 def fn_parse_datetime(spark, sf_dir):
     t = Tables(spark, sf_dir).orders.withColumn("ts", F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)"))

@@ -99,7 +99,7 @@ def test_quarantine_is_idempotent(spark):
 
 @pytest.mark.parametrize(
     ("value", "want"),
-    [("2026-03-19", "2026-03-19 00:00:00"), ("2026-03-19T16:19:12", "2026-03-19 16:19:12"), ("19/03/2026 16:19", "2026-03-19 16:19:00"), ("1/3/2026", "2026-03-01 00:00:00"), ("19.03.2026", "2026-03-19 00:00:00"), ("20260319", "2026-03-19 00:00:00"), ("25/03/19", "2025-03-19 00:00:00"), ("19-03-26", "2026-03-19 00:00:00"), ("45735", "2025-03-19 00:00:00"), ("31/02/2026", None), ("", None), (None, None)],
+    [("2026-03-19", "2026-03-19 00:00:00"), ("2026-03-19T16:19:12", "2026-03-19 16:19:12"), ("19/03/2026 16:19", "2026-03-19 16:19:00"), ("1/3/2026", "2026-03-01 00:00:00"), ("19.03.2026", "2026-03-19 00:00:00"), ("20260319", "2026-03-19 00:00:00"), ("25/03/19", "2025-03-19 00:00:00"), ("19-03-26", "2026-03-19 00:00:00"), ("45735", "2025-03-19 00:00:00"), ("1/2/24", "2024-02-01 00:00:00"), ("13/2/24", "2024-02-13 00:00:00"), ("2/13/24", "2024-02-13 00:00:00"), ("1-2-24 7:05", "2024-02-01 07:05:00"), ("1.12.99", "1999-12-01 00:00:00"), ("1/2/24 3:04 pm", "2024-02-01 15:04:00"), ("31/2/24", None), ("1/2-24", None), ("1/2/2", None), ("31/02/2026", None), ("", None), (None, None)],
 )
 def test_dates(spark, value, want):
     got = spark.createDataFrame([(value,)], "c string").select(dates.parse_datetime(F.col("c")).cast("string").alias("d")).first().d
