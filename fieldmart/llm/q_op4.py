@@ -1,14 +1,13 @@
 from pyspark.sql import functions as F
 
 from fieldmart.llm.common import shared_folder, table
-from fieldmart.llm.secrets import RULES, count_of, findings, flat, scan
+from fieldmart.llm.secrets import count_of, findings, flat, scan
 
 
 def op4_secrets(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     ledger = shared_folder(spark, "ledger")
-    for known in range(1, len(RULES) + 1, 2):  # rules come in versions: each scan looks only for what the ledger lacks
-        scan(docs, ledger, RULES[:known])
+    scan(docs, ledger)
     found = findings(docs, ledger)
     return found.select("doc_id", *[count_of(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(flat(), 256).alias("base_sha256"), flat().alias("spans"))
 
