@@ -17,7 +17,9 @@ from fieldmart.llm.common import Scratch, worker_cache
 
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 """Neither tokenizer has a token across a single space between two other characters that doesn't start with that space, nor looks beyond it, so stretches between such spaces are encoded apart."""
-_MOST_STRETCHES = 150_000
+_MOST_STRETCHES = 200_000
+_TOGETHER = 500
+_MARKS = ",|;\n"
 FREQUENT = 50_000
 """Pairs of ids that tasks get handed with their counts; rarer ones are joined."""
 _SLICE = 200
@@ -64,9 +66,14 @@ class Sides:
         self.a_bytes = {i: bytes(table[c] for c in t) if all(c in table for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))]
 
-    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """A's ids of space and stretch; B's of the stretch, to which it adds the space."""
-        return [e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)], self.b.encode(stretches, num_threads=1)
+        self.a_sizes, self.b_sizes = np.zeros(max(self.a_bytes) + 1, np.int64), np.array(list(map(len, self.b_bytes)), np.int64)
+        for i, token in self.a_bytes.items():
+            self.a_sizes[i] = len(token)
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """A's ids of space and text and B's of the text, to which it adds the space; None where the bytes of either differ from them."""
+        both = zip(self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1), texts, strict=True)
+        return [(a.ids, b) if b"".join([self.a_bytes[i] for i in a.ids]) == (" " + t).encode() == b"".join([self.b_bytes[i] for i in b]) else None for a, b, t in both]
 
 
 class Stretches:
@@ -74,6 +81,7 @@ class Stretches:
 
     def __init__(self, sides: Sides) -> None:
         self.sides = sides
+        self.written = [f"{i}{mark}" for mark in _MARKS for i in range(max(len(sides.a_sizes), len(sides.b_sizes)))]
         self._empty()
 
     def _empty(self) -> None:
@@ -87,38 +95,42 @@ class Stretches:
         if len(self.number) > _MOST_STRETCHES:
             self._empty()
         new = [s for s in stretches if s not in self.number]
-        for at in range(0, len(new), 2000):
-            self._align(new[at : at + 2000])
+        for at in range(0, len(new), 20_000):
+            self._align(new[at : at + 20_000])
 
     def _align(self, new: list[str]) -> None:
-        a_ids, b_ids = self.sides.encode(new)
-        a_bytes, b_bytes = self.sides.a_bytes, self.sides.b_bytes
-        whole = [(" " + s).encode() for s in new]
-        equal = [b"".join([a_bytes[i] for i in a]) == w and b"".join([b_bytes[i] for i in b]) == w for a, b, w in zip(a_ids, b_ids, whole, strict=True)]
-        a_ids = [a if e else [] for a, e in zip(a_ids, equal, strict=True)]
-        b_ids = [b if e else [] for b, e in zip(b_ids, equal, strict=True)]
-        a, b = np.fromiter(chain.from_iterable(a_ids), np.int64), np.fromiter(chain.from_iterable(b_ids), np.int64)
-        n_a = np.array(list(map(len, a_ids)), np.int64)
+        # stretches that begin and end with other characters than white space are encoded as one text, with the spaces that they had
+        plain = [s for s in new if s and not s[0].isspace() and not s[-1].isspace()]
+        parts = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        odd = [s for s in new if not s or s[0].isspace() or s[-1].isspace()]
+        found, order = [], []
+        for part, ids in zip(parts, self.sides.encode([" ".join(p) for p in parts]), strict=True):
+            if ids is None:
+                odd += part
+            else:
+                found.append(ids)
+                order += part
+        alone = self.sides.encode(odd)
+        found += [ids for ids in alone if ids is not None]
+        equal = np.array([True] * len(order) + [ids is not None for ids in alone])
+        order += odd
+        a, b = (np.fromiter(chain.from_iterable(f[side] for f in found), np.int64) for side in (0, 1))
         # stretches one behind the other: the tokens of either side cover the same bytes without gaps
-        a_end, b_end = np.cumsum([len(a_bytes[i]) for i in a.tolist()], dtype=np.int64), np.cumsum([len(b_bytes[i]) for i in b.tolist()], dtype=np.int64)
-        a_start, b_start = np.concatenate([[0], a_end])[:-1], np.concatenate([[0], b_end])[:-1]
+        stops = np.cumsum(np.where(equal, [len(s.encode()) + 1 for s in order], 0))
+        a_end, b_end = np.cumsum(self.sides.a_sizes[a]), np.cumsum(self.sides.b_sizes[b])
+        a_start, b_start = a_end - self.sides.a_sizes[a], b_end - self.sides.b_sizes[b]
         a_group, b_group = coalesce(a_start, a_end, b_start, b_end)
         x, y = overlaps(a_start, a_end, b_start, b_end)
         same = a_end[x] == b_end[y]
         x, y = x[same], y[same]
-        n_links = np.bincount(np.repeat(np.arange(len(new)), n_a)[x], minlength=len(new))
-        cuts = np.concatenate([[0], np.cumsum(n_a)])
-        n_groups = np.zeros(len(new), np.int64)
-        some = n_a > 0  # a group never reaches over the end of a stretch
-        n_groups[some] = a_group[cuts[1:][some] - 1] - a_group[cuts[:-1][some]] + 1
-        texts = _joined(a, a_group, b, b_group)
-        at = 0
-        for s, many in zip(new, n_groups.tolist(), strict=True):
+        ends_of_groups = a_end[np.flatnonzero(np.diff(a_group, append=-1))]
+        counts = [np.diff(np.searchsorted(e, stops, "right"), prepend=0) for e in (a_end, b_end, ends_of_groups, a_end[x])]
+        texts = iter(_written(a, a_group, b, b_group, np.isin(a_end, stops), self.written))
+        for s, is_equal in zip(order, equal.tolist(), strict=True):
             self.number[s] = len(self.groups)
-            self.groups.append(";".join(texts[at : at + many]))
-            at += many
-        self.sizes = np.concatenate([self.sizes, np.stack([n_a, np.array(list(map(len, b_ids)), np.int64), n_groups, np.array(equal, np.int64)], 1)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n_links)])
+            self.groups.append(next(texts) if is_equal else "")
+        self.sizes = np.concatenate([self.sizes, np.stack([*counts[:3], equal.astype(np.int64)], 1)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts[3])])
         self.pairs = np.concatenate([self.pairs, (a[x] << 32) | b[y]])
 
     def text(self, stretches: list[str]) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
@@ -135,16 +147,16 @@ class Stretches:
         return n_a, n_b, n_groups, digest, *_summed(self.pairs[places], np.repeat(times, many))
 
 
-def _joined(a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray) -> list[str]:
-    """`a1,a2|b1` of each group."""
-    many = int(a_group[-1]) + 1 if len(a_group) else 0
-
-    def cut(ids: np.ndarray, group: np.ndarray) -> list[list[str]]:
-        texts, ends = list(map(str, ids.tolist())), np.cumsum(np.bincount(group, minlength=many)).tolist()
-        return [texts[p:q] for p, q in zip([0, *ends[:-1]], ends, strict=True)]
-
-    left, right = cut(a, a_group), cut(b, b_group)
-    return [",".join(x) + "|" + ",".join(y) for x, y in zip(left, right, strict=True)]
+def _written(a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray, closes: np.ndarray, table: list[str]) -> list[str]:
+    """`a1,a2|b1;a3|b2` of each stretch. closes: whether an A token ends its stretch; table has each id with each mark behind it."""
+    group, side = np.concatenate([a_group, b_group]), np.concatenate([np.zeros(len(a), np.int64), np.ones(len(b), np.int64)])
+    order = np.argsort(group * 2 + side, kind="stable")
+    group, side, ids = group[order], side[order], np.concatenate([a, b])[order]
+    last = np.diff(group * 2 + side, append=-1) != 0  # of its side of the group
+    closing = np.zeros(int(a_group[-1]) + 1 if len(a_group) else 0, bool)
+    closing[a_group[closes]] = True
+    mark = np.where(~last, 0, np.where(side == 0, 1, np.where(closing[group], 3, 2)))
+    return "".join(map(table.__getitem__, (mark * (len(table) // len(_MARKS)) + ids).tolist())).split("\n")[:-1]
 
 
 def _summed(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
