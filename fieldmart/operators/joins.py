@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fieldmart.operators.numbering import numbered
+
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], how: str = "inner") -> DataFrame:
     """fact joined to each (dimension, fact key, dimension key)."""
@@ -56,7 +58,8 @@ def band_join(df: DataFrame, rules: DataFrame, key: str, value: str, lo: str, hi
     return df.join(best, (F.col(key) == F.col("_key")) & (F.col(value) == F.col("_value")), "left").select(*[df[c] for c in df.columns], F.col("_rank")["i"].alias(out))
 
 
-_FAN, _LEVELS = 8, 11  # nodes of _FAN ** level places, for up to 8 ** 11 rows of one key
+_FAN, _LEVELS, _CHUNK = 8, 14, 5
+"""Nodes of _FAN ** level places, for up to 8 ** 14 rows and edges; nodes of level _CHUNK and above hold whole chunks."""
 
 
 def _nodes(level: int) -> str:
@@ -68,29 +71,36 @@ def _nodes(level: int) -> str:
 
 
 def asof_interval(df: DataFrame, ranges: DataFrame, keys: Sequence[str], date: str, start: str, end: str, id_: str, out: str = "range_id") -> DataFrame:
-    """Id of the newest range (start <= date <= end, open end) of the same keys, also where a newer one has ended by then. The keys alone are shuffled on.
+    """Id of the newest range (start <= date <= end, open end) of the same keys, also where a newer one has ended by then.
 
-    The rows of a key are numbered in time, so that a range is a run of places. Runs are cut into nodes of a tree over the
-    places, each node keeps its newest range, and a row takes the newest of the nodes above it, one for each level: the work
-    does not grow with the number of ranges that a key has times its rows.
+    Rows and the ends of ranges are put in order of key and time, and numbered through, by quantiles of both: a key with
+    any share of the rows is dealt to as many tasks as its rows ask for. A range is then a run of places. Runs are cut into
+    nodes of a tree over the places, each node keeps its newest range. Chunks of places are solved apart: nodes within a
+    chunk by a running state, and what larger nodes hold is carried into every chunk that they cover, one range for each.
+    The work does not grow with the number of ranges that a key has times its rows, and no key is in one task.
     """
     names = [f"k_{k}" for k in keys]
     key = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
-    line = lambda *by: W.partitionBy(*names).orderBy(*by).rowsBetween(W.unboundedPreceding, W.currentRow)
     edges = F.array(F.struct(F.lit(False).alias("_last"), F.col(start).alias("_at"), F.lit(0).alias("_kind")), F.struct(F.col(end).isNull().alias("_last"), F.col(end).alias("_at"), F.lit(2).alias("_kind")))
-    held = ranges.where(" and ".join(f"`{c}` is not null" for c in [*keys, start])).select(*key, F.struct(F.col(start).alias("s"), F.col(end).isNull().alias("o"), F.col(end).alias("e"), F.col(id_).alias("i")).alias("_range"), F.inline(edges))
-    asked = df.select(*key, F.lit(None).cast(held.schema["_range"].dataType).alias("_range"), F.lit(False).alias("_last"), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*df.columns).alias("_row"))
-    placed = held.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)).unionByName(asked).withColumn("_n", F.count(F.when(F.col("_kind") == 1, 1)).over(line("_last", "_at", "_kind")))
-    runs = placed.where("_kind <> 1").groupBy(*names, "_range").agg(F.max(F.when(F.col("_kind") == 0, F.col("_n"))).alias("_lo"), F.max(F.when(F.col("_kind") == 2, F.col("_n"))).alias("_hi"))
-    cut = runs.where("_lo < _hi").select(*names, "_range", F.posexplode(F.array(*[F.expr(_nodes(level)) for level in range(_LEVELS)])).alias("_level", "_of"))
-    nodes = cut.select(*names, "_range", "_level", F.explode("_of").alias("_node")).groupBy(*names, "_level", "_node").agg(F.max("_range").alias("_range"))
-    size = F.element_at(F.array(*[F.lit(_FAN**level) for level in range(_LEVELS)]).cast("array<bigint>"), F.col("_level") + 1)
-    begun = nodes.select(*names, (F.col("_node") * size).alias("_place"), F.lit(0).alias("_kind"), "_level", F.struct(((F.col("_node") + 1) * size).alias("end"), F.col("_range").alias("range")).alias("_begun"))
-    rows = placed.where("_kind = 1").select(*names, (F.col("_n") - 1).alias("_place"), "_kind", "_row")
-    last = [F.last(F.when(F.col("_level") == level, F.col("_begun")), ignorenulls=True).over(line("_place", "_kind")).alias(f"_last_{level}") for level in range(_LEVELS)]
-    carried = begun.unionByName(rows, allowMissingColumns=True).select("_place", "_kind", "_row", *last).where("_kind = 1")
-    newest = F.greatest(*[F.when(F.col("_place") < F.col(f"_last_{level}")["end"], F.col(f"_last_{level}")["range"]) for level in range(_LEVELS)])
-    return carried.select("_row.*", newest["i"].alias(out))
+    held = ranges.where(" and ".join(f"`{c}` is not null" for c in [*keys, start])).select(*key, F.struct(F.col(start).alias("s"), F.col(end).isNull().alias("o"), F.col(end).alias("e"), F.col(id_).alias("i")).alias("_range"), F.inline(edges), F.lit(0).cast("long").alias("_salt"))
+    asked = df.select(*key, F.lit(None).cast(held.schema["_range"].dataType).alias("_range"), F.lit(False).alias("_last"), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.monotonically_increasing_id().alias("_salt"), F.struct(*df.columns).alias("_row"))
+    both = held.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)).unionByName(asked)
+    placed = numbered(both, [*names, "_last", "_at", "_kind", "_salt"], "_place")
+    runs = placed.where("_kind <> 1").groupBy(*names, "_range").agg(F.max(F.when(F.col("_kind") == 0, F.col("_place") + 1)).alias("_lo"), F.max(F.when(F.col("_kind") == 2, F.col("_place"))).alias("_hi"))
+    cut = runs.where("_lo < _hi").select("_range", F.posexplode(F.array(*[F.expr(_nodes(level)) for level in range(_LEVELS)])).alias("_level", "_of"))
+    nodes = cut.select("_range", "_level", F.explode("_of").alias("_node")).groupBy("_level", "_node").agg(F.max("_range").alias("_range"))
+
+    below = F.element_at(F.array(*[F.lit(_FAN ** max(0, level - _CHUNK)) for level in range(_LEVELS)]).cast("array<bigint>"), F.col("_level") + 1)
+    covered = F.sequence(F.col("_node") * below, (F.col("_node") + 1) * below - 1)
+    carried = nodes.where(F.col("_level") >= _CHUNK).select("_range", F.explode(covered).alias("_of")).groupBy("_of").agg(F.max("_range").alias("_over"))
+    size = F.element_at(F.array(*[F.lit(_FAN**level) for level in range(_CHUNK)]).cast("array<bigint>"), F.col("_level") + 1)
+    begun = nodes.where(F.col("_level") < _CHUNK).select((F.col("_node") * size).alias("_place"), F.lit(0).alias("_kind"), "_level", F.struct(((F.col("_node") + 1) * size).alias("end"), F.col("_range").alias("range")).alias("_begun"))
+    steps = begun.unionByName(placed.where("_kind = 1").select("_place", "_kind", "_row"), allowMissingColumns=True).withColumn("_chunk", F.expr(f"_place div {_FAN**_CHUNK}L"))
+    line = W.partitionBy("_chunk").orderBy("_place", "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = [F.last(F.when(F.col("_level") == level, F.col("_begun")), ignorenulls=True).over(line).alias(f"_last_{level}") for level in range(_CHUNK)]
+    solved = steps.select("_chunk", "_place", "_kind", "_row", *last).where("_kind = 1").join(carried.withColumnRenamed("_of", "_chunk"), "_chunk", "left")
+    newest = F.greatest("_over", *[F.when(F.col("_place") < F.col(f"_last_{level}")["end"], F.col(f"_last_{level}")["range"]) for level in range(_CHUNK)])
+    return solved.select("_row.*", newest["i"].alias(out))
 
 
 def unique_match(df: DataFrame, dim: DataFrame, on: Mapping[str, str], id_: str) -> DataFrame:

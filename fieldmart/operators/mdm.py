@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldmart.functions import text
 from fieldmart.operators.joins import band_join, insert_new, lookup_id, unique_match
+from fieldmart.operators.numbering import numbered
 
 APPROVE = 0.85
 
@@ -160,20 +159,8 @@ def resolve_hierarchy(df: DataFrame, dim: DataFrame, on: dict[str, str], id_: st
 
 
 def surrogate_keys(df: DataFrame, order: Sequence[str], start: int = 1, name: str = "id") -> DataFrame:
-    """Dense ids in order. Ranges of the order are numbered side by side: only their counts are summed up, no row is in one task with all others.
-
-    The ranges are drawn from a sample, so the dealt rows are checkpointed: numbers and counts come from the same ranges.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that all machines share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldmart-"))
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
-    numbered = ranged.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order)))
-    counts = numbered.groupBy("_part").agg(F.count("*").alias("_c"))
-    before = counts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_c").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return numbered.join(before, F.col("_part") == F.col("_p")).select(*df.columns, (F.col("_before") + F.col("_n") + (start - 1)).alias(name))
+    """Dense ids in order, numbered in ranges side by side."""
+    return numbered(df, order, name, start)
 
 
 def autocreate(values: DataFrame, dim: DataFrame, key: Sequence[str], id_: str) -> DataFrame:
