@@ -102,6 +102,12 @@ class Scratch:
         self.paths = []
 
 
+def parts_of(docs: DataFrame, bytes_each: int) -> int:
+    """Parts to deal docs to: as many as its size asks for, spark.sql.shuffle.partitions at least."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // bytes_each if size < 1 << 60 else 0, 1_000_000))  # Spark does not know the size of every plan
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from fieldmart.llm.bpe import IdStore, cut
-from fieldmart.llm.common import worker_cache
+from fieldmart.llm.common import parts_of, worker_cache
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
+FILE_BYTES = 128 << 20
+"""Input bytes for each file, about."""
 _MOST_CHUNKS = 500_000
 _SCHEMA = "doc_id long, at long, n_tokens long, ids array<int>"
 
@@ -90,12 +92,12 @@ def _encoded(vocabulary: str):
 def write_ids(docs: DataFrame, vocabulary: str, path: str) -> None:
     """Encodes whole texts (null: empty), appends END_ID to each document, and writes them in ascending doc_id order.
 
-    One file per range of doc_id, sorted within; rows of one doc_id go by text and null ids come first. `at` is where a
-    document's ids start among those of its file.
+    One file per range of doc_id, as many as the input's size asks for, sorted within; rows of one doc_id and repeated rows
+    stand alone, in the order of their texts, and null ids come first. `at` is where a document's ids start among those of
+    its file. Texts of any length are encoded whole. An empty table gives files without rows. Other columns aren't read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(parts_of(docs, FILE_BYTES), "doc_id").sortWithinPartitions("doc_id", "text")
     out = ordered.mapInArrow(_encoded(vocabulary), _SCHEMA)
     out.write.option("orc.bloom.filter.columns", "doc_id").option("orc.row.index.stride", INDEX_ROWS).option("orc.stripe.size", STRIPE_BYTES).option("orc.create.index", "true").option("compression", "zstd").orc(path)
 
@@ -115,7 +117,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def layout(spark: SparkSession, path: str) -> DataFrame:
-    """From the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (ids as little-endian uint32)."""
+    """From the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (ids as little-endian uint32). Files without rows give an empty table; repeated rows have a start each."""
     read = read_ids(spark, path).select(F.col("_metadata.file_name").alias("file"), "doc_id", "at", "n_tokens", "ids")
     sums = read.mapInArrow(_sums, "file string, doc_id long, at long, n_tokens long, ids_crc32 long")
     files = read_ids(spark, path).select(F.col("_metadata.file_name").alias("file"), "doc_id", "at", "n_tokens").groupBy("file").agg(F.max(F.col("at") + F.col("n_tokens")).alias("held"), F.min("doc_id").alias("low"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import Scratch, shared_folder
+from fieldmart.llm.common import Scratch, parts_of, shared_folder
 from fieldmart.llm.inducedsort import on_disk, sorted_suffixes
 
 LENGTH, GRAM = 200, 64
@@ -229,15 +229,14 @@ def _without(length: int):
     return run
 
 
-def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
+def _bucketed(docs: DataFrame) -> DataFrame:
     """(row, doc_id, data) in files by the hash of row: joins on row don't shuffle the texts again. As many files as the input's size asks for."""
     spark = docs.sparkSession
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES if size < 1 << 60 else 0, 100_000))
+    parts = parts_of(docs, BUCKET_BYTES)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8").alias("data"))
     name = f"suffixes_{uuid.uuid4().hex}"
     rows.repartition(parts, "row").write.format("parquet").option("compression", "zstd").option("path", shared_folder(spark, "texts")).bucketBy(parts, "row").saveAsTable(name)
-    return spark.table(name), parts
+    return spark.table(name)
 
 
 def _with(texts: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -262,7 +261,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hea
     Other columns aren't read. The result reads a table of texts and one of spans in the shared folder.
     """
     spark = docs.sparkSession
-    texts, parts = _bucketed(docs)
+    texts = _bucketed(docs)
     first, scratch, last = Scratch(spark), Scratch(spark), Scratch(spark)
     pieces = first.keep(texts.select("row", "data").mapInArrow(_cut(length, gram), _PIECES), "pieces")
     keys = pieces.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
