@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from fieldmart.functions import text
 from fieldmart.operators.joins import band_join, insert_new, lookup_id, unique_match
-from fieldmart.operators.numbering import numbered
+from fieldmart.operators.numbering import numbered, ready_checkpoints
 
 APPROVE = 0.85
 
@@ -25,6 +28,41 @@ def similarity(a: Column, b: Column) -> Column:
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence: one bit for each character of a, a word of them for each character of b."""
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    row = whole = (1 << len(a)) - 1
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = (row + hit | row - hit) & whole
+    return len(a) - row.bit_count()
+
+
+@F.pandas_udf(DoubleType())
+def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """1 - (insertions + deletions) / both lengths, over pairs of keys that aren't null; equal for two empty ones."""
+    return pd.Series([2 * common_subsequence(x, y) / (len(x) + len(y)) if x or y else 1.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+@dataclass(frozen=True)
+class Measure:
+    """A similarity of two keys with its bounds at a threshold t: the shortest and longest partner, and what two keys share of their characters, over their lengths."""
+
+    score: Callable[[Column, Column], Column]
+    shorter: Callable[[Column], Column]
+    """A partner's length over the longer one's."""
+    missing: Callable[[float], float]
+    """Share of a key's characters that a partner may lack."""
+    shares: Callable[[Column, Column, Column, Column], Column]
+
+
+EDIT = Measure(similarity, lambda t: t, lambda t: 1 - t, lambda n, a, b, t: n >= t * F.greatest(a, b) - 1e-9)
+INDEL = Measure(indel_similarity, lambda t: t / (2 - t), lambda t: (2 - 2 * t) / (2 - t), lambda n, a, b, t: 2 * n >= t * (a + b) - 1e-9)
+MEASURES = {"edit": EDIT, "indel": INDEL}
+
+
 PENDING_APPROVAL = "PENDIENTE"
 
 
@@ -52,61 +90,112 @@ def _grams(key: Column, gram: int) -> Column:
     return F.transform(runs, lambda x, i: F.concat(x, F.size(F.filter(F.slice(runs, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
 
 
-def _rarest(keys: DataFrame, name: str, held: DataFrame, threshold: float, gram: int) -> DataFrame:
-    """(name, _g): the grams of each key of which a name that reaches the threshold has to have one, the rarest of the catalogue first.
-
-    A partner of length m is at most k = (1 - threshold) * m edits away, m at most length / threshold, and an edit changes
-    at most `gram` grams, so all but k * gram grams are shared and one of any k * gram + 1 is.
-    """
+def _rarest(keys: DataFrame, name: str, held: DataFrame, many: Column, gram: int) -> DataFrame:
+    """(name, _g): the `many` grams of each key that are the rarest in the catalogue; a partner has to have one of them."""
     each = keys.select(name, "_k", F.explode(_grams(F.col("_k"), gram)).alias("_g")).join(held, "_g", "left")
     placed = each.groupBy(name, "_k").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_held", F.lit(0)).alias("n"), F.col("_g").alias("g")))).alias("_all"))  # one name's own grams
-    edits = F.floor(F.lit(1 - threshold) * F.length("_k") / F.lit(threshold) + 1e-9)
-    return placed.select(name, F.explode(F.slice("_all", F.lit(1), (edits * gram + 1).cast("int"))).alias("_one")).select(name, F.col("_one")["g"].alias("_g"))
+    return placed.select(name, F.explode(F.slice("_all", F.lit(1), many.cast("int"))).alias("_one")).select(name, F.col("_one")["g"].alias("_g"))
 
 
-def match_fuzzy(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = APPROVE, gram: int = 2) -> DataFrame:
-    """Best catalogue name (ties: smallest) with its score, NULL under the threshold.
+def _prefixes(threshold: float, measure: Measure, gram: int) -> Column:
+    """Grams of a key of which one is shared by every partner at the threshold.
 
-    Distinct values only. At APPROVE and above, values and names meet over their rarest grams, as many as the threshold
-    asks for, or over equal keys, so no common gram brings all of them together and no pair that reaches the threshold is
-    missed. Lower thresholds admit names without a common gram: there every name whose length allows the threshold is
-    compared, joined by equality on the length of its key.
+    Of single characters, told apart by their repetition, a partner lacks a share that the measure bounds. Of longer grams:
+    an edit changes at most `gram` of them, a partner is at most (1 - threshold) * m edits away, m at most length / threshold.
     """
+    if gram == 1:
+        return F.floor(F.lit(measure.missing(threshold)) * F.length("_k") + 1e-9) + 1
+    return F.floor(F.lit(1 - threshold) * F.length("_k") / F.lit(threshold) + 1e-9) * gram + 1
+
+
+def _pairs(values: DataFrame, names: DataFrame, value: str, canonical: str, threshold: float, measure: Measure, gram: int) -> DataFrame:
+    """Pairs of values (value, _v) and names (canonical, _n) that have to be compared: all that may reach the threshold, and as few others as lengths and common characters tell."""
+    left, right = values.withColumn("_k", F.col("_v")), names.withColumn("_k", F.col("_n"))
+    held = right.select(F.explode(_grams(F.col("_k"), gram)).alias("_g")).groupBy("_g").agg(F.count("*").alias("_held"))
+    many = _prefixes(threshold, measure, gram)
+    met = _rarest(left, value, held, many, gram).join(_rarest(right, canonical, held, many, gram), "_g").select(value, canonical)
+    met = met.unionByName(left.join(right.drop("_n"), "_k").select(value, canonical)).distinct()
+    return _worth(met.join(values, value).join(names, canonical), threshold, measure).select(value, "_v", canonical, "_n")
+
+
+def _worth(pairs: DataFrame, threshold: float, measure: Measure) -> DataFrame:
+    """Pairs that may reach the threshold, and what the value has reached already (_best, where it has been compared before)."""
+    a, b, t = F.length("_v"), F.length("_n"), F.greatest(F.lit(threshold), F.col("_best")) if "_best" in pairs.columns else F.lit(threshold)
+    shared = F.size(F.array_intersect(_grams(F.col("_v"), 1), _grams(F.col("_n"), 1)))
+    return pairs.where(F.least(a, b) >= measure.shorter(t) * F.greatest(a, b) - 1e-9).where(measure.shares(shared, a, b, t))
+
+
+def _best_names(pairs: DataFrame, value: str, canonical: str, measure: Measure) -> DataFrame:
+    """value, score, found: the name of the greatest similarity, of equal ones the smallest."""
+    best = pairs.withColumn("_s", -measure.score(F.col("_v"), F.col("_n"))).groupBy(value).agg(F.min(F.struct(F.col("_s").alias("s"), F.col(canonical).alias("c"))).alias("_b"))
+    return best.select(value, (-F.col("_b")["s"]).alias("score"), F.col("_b")["c"].alias("found"))
+
+
+LEVELS = (0.85, 0.7, 0.55, 0.4, 0.25)
+"""Thresholds that a search for names below the first one goes through."""
+
+
+def match_fuzzy(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = APPROVE, measure: str = "edit") -> DataFrame:
+    """Best catalogue name (ties: smallest) with its score, NULL under the threshold. Distinct values only; measure: edit or indel.
+
+    Values and names meet over their rarest grams, as many as the threshold asks for, or over equal keys, and are compared
+    only where their lengths and common characters allow the threshold: no common gram brings all of them together, and no
+    pair that reaches the threshold is missed. A lower threshold is reached by steps: values whose best name is settled at
+    0.85 are done, the others go on to 0.7 and so on, each step written to the checkpoint folder, and are compared only with
+    names that may be as good as their best so far. Only values that no name comes near at the last step meet every name of
+    a fitting length, which a threshold of 0 asks for.
+    """
+    how = MEASURES[measure]
     distinct = values.select(value).distinct().withColumn("_v", token_key(F.col(value))).where("_v is not null")
     names = catalogue.select(canonical).distinct().withColumn("_n", token_key(F.col(canonical))).where("_n is not null")
-    near = F.least(F.length("_v"), F.length("_n")) >= threshold * F.greatest(F.length("_v"), F.length("_n"))
+    gram = 2 if how is EDIT else 1
     if threshold >= APPROVE:
-        left, right = distinct.withColumn("_k", F.col("_v")), names.withColumn("_k", F.col("_n"))
-        held = right.select(F.explode(_grams(F.col("_k"), gram)).alias("_g")).groupBy("_g").agg(F.count("*").alias("_held"))
-        met = _rarest(left, value, held, threshold, gram).join(_rarest(right, canonical, held, threshold, gram), "_g").select(value, canonical)
-        met = met.unionByName(left.join(right.drop("_n"), "_k").select(value, canonical)).distinct()
-        pairs = met.join(distinct, value).join(names, canonical).where(near).select(value, "_v", canonical, "_n")
+        scored = _best_names(_pairs(distinct, names, value, canonical, threshold, how, gram), value, canonical, how).where(F.col("score") >= threshold)
     else:
-        sizes = names.select(F.length("_n").alias("_size")).distinct().crossJoin(distinct.select(F.length("_v").alias("_length")).distinct())
-        fit = sizes.where(F.least("_size", "_length") >= threshold * F.greatest("_size", "_length"))
-        pairs = distinct.withColumn("_length", F.length("_v")).join(fit, "_length").join(names.withColumn("_size", F.length("_n")), "_size").select(value, "_v", canonical, "_n")
-    best = pairs.groupBy(value).agg(F.min(F.struct((-similarity(F.col("_v"), F.col("_n"))).alias("s"), F.col(canonical).alias("c"))).alias("_b"))
-    scored = best.select(value, (-F.col("_b")["s"]).alias("score"), F.col("_b")["c"].alias("found")).where(F.col("score") >= threshold)
+        ready_checkpoints(values.sparkSession)
+        open_, names, settled = distinct.checkpoint(), names.checkpoint(), []
+        for level in [*(x for x in LEVELS if x > threshold), *([threshold] if threshold > 0.15 else [])]:
+            best = _best_names(_pairs(open_, names, value, canonical, level, how, gram if level == APPROVE else 1), value, canonical, how).checkpoint()
+            settled.append(best.where(F.col("score") >= level))
+            left = open_.join(best.select(value, F.col("score").alias("_score")), value, "left").where(F.coalesce(F.col("_score") < level, F.lit(True)))
+            open_ = left.select(value, "_v", F.greatest(F.coalesce("_score", F.lit(0.0)), F.col("_best") if "_best" in open_.columns else F.lit(0.0)).alias("_best")).checkpoint()
+        if threshold <= 0.15:
+            settled.append(_best_names(_worth(_all_fitting(open_, names), threshold, how), value, canonical, how).where(F.col("score") >= threshold))
+        scored = reduce(DataFrame.unionByName, settled)
     return values.select(value).distinct().join(scored, value, "left").select(value, "found", "score")
 
 
-def suggest(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = 0.0) -> DataFrame:
+def _all_fitting(open_: DataFrame, names: DataFrame) -> DataFrame:
+    """Every name of a length that lets it be better than the value's best so far, met by equality on the length of its key."""
+    longest = names.agg(F.max(F.length("_n")).alias("_longest"))
+    low, high = F.floor(F.col("_best") / (2 - F.col("_best")) * F.length("_v")), F.ceil(F.length("_v") * (2 - F.col("_best")) / F.greatest("_best", F.lit(0.01)))
+    sized = open_.crossJoin(longest).where("_longest is not null").withColumn("_size", F.explode(F.sequence(low.cast("int"), F.least(high, "_longest").cast("int"))))  # one row
+    return sized.join(names.withColumn("_size", F.length("_n")), "_size").drop("_size", "_longest")
+
+
+def suggest(values: DataFrame, catalogue: DataFrame, value: str, canonical: str, threshold: float = 0.0, measure: str = "edit") -> DataFrame:
     """The best name of the catalogue, even of a low score, else the value in title case without a score."""
-    found = match_fuzzy(values, catalogue, value, canonical, threshold)
+    found = match_fuzzy(values, catalogue, value, canonical, threshold, measure)
     return found.select(value, F.coalesce("found", text.title(F.col(value))).alias("suggestion"), "score")
 
 
 def homologate(df: DataFrame, column: str, dictionary: DataFrame, source: str, catalogue: DataFrame, canonical: str, threshold: float = APPROVE) -> DataFrame:
-    """df with canonical name and state EXACTO (approved dictionary of the source), CATALOGO, LEVENSHTEIN, CUARENTENA or NULO; each distinct value is resolved once."""
-    values = df.select(F.col(column).alias("_value")).distinct()
-    known = approved(dictionary, source)
+    """df with canonical name and state EXACTO (approved dictionary of the source), CATALOGO, LEVENSHTEIN, CUARENTENA or NULO.
+
+    Each distinct value is resolved once: the inputs are read once each for a step, whose distinct values, names and
+    entries are written to the checkpoint folder, and once more to join what was found back to the rows.
+    """
+    ready_checkpoints(df.sparkSession)
+    values = df.select(F.col(column).alias("_value")).distinct().checkpoint()
+    catalogue = catalogue.select(canonical).distinct().checkpoint()
+    known = approved(dictionary, source).checkpoint()
     by_dictionary = known.groupBy(F.col("key").alias("_k")).agg(F.min("canonical").alias("_dict"), F.max("canonical").alias("_high")).where(F.col("_dict") == F.col("_high")).drop("_high")
     keyed = values.withColumn("_key", text.match_key(F.col("_value"))).join(by_dictionary, F.col("_key") == F.col("_k"), "left")
-    exact = match_exact(keyed.select("_value", "_key", "_dict"), catalogue, "_value", canonical).withColumnRenamed("found", "_cat")
+    exact = match_exact(keyed.select("_value", "_key", "_dict"), catalogue, "_value", canonical).withColumnRenamed("found", "_cat").checkpoint()
     open_ = exact.where("_dict is null and _cat is null and _key is not null")
     fuzzy = match_fuzzy(open_, catalogue, "_value", canonical, threshold).select(F.col("_value").alias("_fv"), F.col("found").alias("_fuzzy"), "score")
     state = F.when(F.col("_key").isNull(), "NULO").when(F.col("_dict").isNotNull(), "EXACTO").when(F.col("_cat").isNotNull(), "CATALOGO").when(F.col("_fuzzy").isNotNull(), "LEVENSHTEIN").otherwise("CUARENTENA")
-    resolved = exact.join(fuzzy, F.col("_value") == F.col("_fv"), "left").select("_value", F.coalesce("_dict", "_cat", "_fuzzy").alias("canonical"), state.alias("match_state"))
+    resolved = exact.join(fuzzy, F.col("_value") == F.col("_fv"), "left").select("_value", F.coalesce("_dict", "_cat", "_fuzzy").alias("canonical"), state.alias("match_state")).checkpoint()
     return df.join(resolved, df[column].eqNullSafe(resolved["_value"]), "left").drop("_value")
 
 
@@ -241,4 +330,4 @@ def normalise_geo(src: DataFrame, rules: DataFrame, module: str) -> DataFrame:
     return joined.select(*src.columns, out.alias("module_id"))
 
 
-__all__ = ["approved", "autocreate", "bridge_quality", "bridge_upsert", "dictionary_merge", "homologate", "learn", "lookup_id", "match_exact", "match_fuzzy", "normalise_geo", "propose_missing", "resolve_hierarchy", "resolve_module", "resolve_states", "similarity", "suggest", "surrogate_keys", "token_key"]
+__all__ = ["approved", "autocreate", "bridge_quality", "bridge_upsert", "dictionary_merge", "homologate", "learn", "lookup_id", "indel_similarity", "match_exact", "match_fuzzy", "normalise_geo", "propose_missing", "resolve_hierarchy", "resolve_module", "resolve_states", "similarity", "suggest", "surrogate_keys", "token_key"]
