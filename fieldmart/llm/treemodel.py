@@ -20,6 +20,7 @@ RAW = frozenset("script style textarea title noscript iframe template".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul option select button script style noscript iframe template textarea".split())
 CLOSES_P = BLOCK - frozenset("option select button script style noscript iframe template textarea title head body html".split())
 SAME_CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
+SECTIONS = frozenset("html body article main nav header footer aside section table form".split())
 NEVER = frozenset("script style noscript iframe template textarea title head button select option".split())
 
 _TAG = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
@@ -152,16 +153,23 @@ def _size(n: int) -> int:
 
 
 def features(dom: Dom) -> list[list[str]]:
-    """Names of the unary features of each node: tag, names in class, id and role, sizes, share of links, ancestors."""
+    """Names of the unary features of each node: tag, names in class, id and role, sizes, share of links, length of its texts, parent.
+
+    What holds the whole page (the root, html, body) also has the page's sectioning tags and names, which tell whether an
+    article of its own is to be expected below.
+    """
     n = len(dom.tag)
-    chars, linked = [0] * n, [0] * n
+    chars, linked, texts = [0] * n, [0] * n, [0] * n
+    page = sorted({f"page {t}" for t in dom.tag if t in SECTIONS} | {f"page {w}" for attributes in dom.attributes if attributes for m in _NAMES.finditer(attributes) for w in _WORD.findall(m[1].lower())})
     inside_link = [False] * n
     for i in range(1, n):
         inside_link[i] = inside_link[dom.parent[i]] or dom.tag[i] == "a"
         if dom.tag[i] == "#text":
             chars[i] = len(dom.text[i])
             linked[i] = chars[i] * inside_link[i]
+            texts[i] = 1
     for i in range(n - 1, 0, -1):
+        texts[dom.parent[i]] += texts[i]
         chars[dom.parent[i]] += chars[i]
         linked[dom.parent[i]] += linked[i]
     out: list[list[str]] = []
@@ -170,8 +178,12 @@ def features(dom: Dom) -> list[list[str]]:
         names = [f"tag {tag}", "bias"]
         if parent >= 0:
             names.append(f"under {dom.tag[parent]}")
+            if tag == "a":  # among other links, or in a sentence
+                names.append(f"in links {4 * linked[parent] // max(1, chars[parent])}")
         if tag != "#text":
-            names += [f"chars {_size(chars[i])}", f"links {4 * linked[i] // max(1, chars[i])}"]
+            names += [f"chars {_size(chars[i])}", f"links {4 * linked[i] // max(1, chars[i])}", f"mean {_size(chars[i] // max(1, texts[i]))}"]
+            if tag in ("#root", "html", "body"):
+                names += page
             if dom.attributes[i]:
                 for m in _NAMES.finditer(dom.attributes[i]):
                     names += [f"name {w}" for w in _WORD.findall(m[1].lower())]
@@ -257,7 +269,7 @@ def main_text(page: str | None, model: TreeModel, least: float = 0.5) -> str:
     return "\n".join(b for b in joined if b)
 
 
-def labelled_pages(n: int = 160, seed: int = 3) -> list[tuple[Dom, list[int]]]:
+def labelled_pages(n: int = 400, seed: int = 3) -> list[tuple[Dom, list[int]]]:
     """Invented pages of many layouts with each node's label: 1 inside the article, but for what stands in it without belonging to it."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice(("th", "er", "on", "an", "la", "de", "ou", "st", "mi", "ka")) for _ in range(r.randint(1, 3)))
@@ -290,14 +302,67 @@ def labelled_pages(n: int = 160, seed: int = 3) -> list[tuple[Dom, list[int]]]:
             lambda: mark("div", 0, r.choice(("cookie", "cookie-notice", "notice", "newsletter", "popup consent")), f"<p>{words(4, 25)}</p><button>{word()}</button>"),
             lambda: mark("form", 0, r.choice(("", "search", "subscribe")), f"<label>{words(1, 4)}</label><input name=q><button>{word()}</button><p>{words(2, 8)}</p>"),
             lambda: mark(r.choice(("div", "section")), 0, r.choice(("comments", "comment-list", "reader comments", "replies")), f"<h3>{words(1, 3)}</h3>" + "".join(f'<div class="comment"><p>{words(3, 40)}</p></div>' for _ in range(r.randint(1, 4)))),
+            lambda: mark(r.choice(("div", "section")), 0, r.choice(("commentlist", "comments-area", "respond", "discussion", "disqus thread", "feedback")), f"<h2>{words(1, 4)}</h2><ol{r.choice(('', ' class=commentlist', ' class=comment-list'))}>" + "".join(f"<li><div class='comment-body'><cite>{word()}</cite><p>{words(3, 40)}</p><a href='#'>{word()}</a></div></li>" for _ in range(r.randint(1, 4))) + "</ol>"),
+            lambda: mark(r.choice(("ul", "ol")), 0, r.choice(("share", "social", "tags", "related", "pager", "breadcrumb", "meta")), links()),
             lambda: mark("div", 0, r.choice(("share", "social share", "breadcrumb", "tags", "pager", "menu", "sidebar", "widget")), f"<ul>{links()}</ul>"),
             lambda: mark("nav", 0, "" if inside else r.choice(("", "menu", "toc")), f"<ul>{links()}</ul>"),
             lambda: f"<script>{word()}('</p>')</script>",
             lambda: f"<style>p{{margin:{r.randint(0, 9)}}}</style>",
         ))()
 
+    def named(label: int, *names: str) -> str:
+        """Class or id of a div, sometimes none."""
+        return f'<div data-label="{label}" {r.choice(("class", "id"))}="{r.choice(names)}">'
+
+    def block() -> str:
+        return r.choice((f"<p>{words(4, 60)}</p>", f"<p>{words(4, 60)}</p>", f"<div>{words(4, 60)}</div>", f"<h{r.randint(2, 3)}>{words(1, 6)}</h3>", f"<ul><li>{words(2, 9)}</li><li>{words(2, 9)}</li></ul>"))
+
+    def menu(label: str = ' data-label="0"') -> str:
+        return r.choice((f"<ul{label}>{links()}</ul>", " ".join(f'<a{label} href="/{word()}">{words(1, 2)}</a>' for _ in range(r.randint(2, 6))), f"<div{label}>" + " | ".join(f'<a href="/{word()}">{words(1, 2)}</a>' for _ in range(r.randint(3, 8))) + "</div>", f"<p{label}>" + " ".join(f'<a href="/{word()}">{words(1, 2)}</a>' for _ in range(r.randint(3, 8))) + "</p>"))
+
+    def simple() -> str:
+        """Pages without an element for the article, bare fragments, and tables that lay out a page."""
+        title, blocks = words(2, 9), [block() for _ in range(r.choice((1, 2, 2, 3, 5, 9)))]
+        body = "".join(blocks)
+        heading = r.choice(("", f"<h1>{title}</h1>", f"<h1>{title}</h1>"))
+        kind = r.choice((0, 0, 0, 1, 1, 1, 2, 3, 4, 5))
+        if kind == 0:  # a fragment, or text alone
+            depth = r.choice((0, 0, 1, 1, 2, 3, 4))
+            return r.choice((f'<p>{words(3, 50)}</p>', words(3, 60), f"{words(3, 30)}<br>{words(3, 30)}", "<div>" * depth + heading + body + "</div>" * depth, "<div>" * depth + heading + body + "</div>" * depth))
+        if kind == 1:  # plain divs, some of which don't belong
+            inner = "".join(r.choice((f"<div>{x}</div>", x)) for x in [heading, *r.choice(([body], blocks))] if x)
+            beside = lambda: r.choice(("", menu(), noise(False), named(0, "menu", "nav", "header", "top", "banner") + menu("") + "</div>", f'<ul data-label="0" {r.choice(("class", "id"))}={r.choice(("menu", "nav", "links"))}>{links()}</ul>'))
+            after = r.choice(("", mark("div", 0, "", menu("")), mark("footer", 0, "", words(2, 12)), noise(False), named(0, "footer", "bottom", "copyright") + words(1, 8) + "</div>"))
+            return f'<html>{r.choice(("", f"<head><title>{title}</title></head>"))}<body data-label="1">{beside()}{inner}{r.choice(("", beside()))}{after}</body></html>'
+        if kind == 2:  # one plain div around everything
+            return f'<html><body data-label="0">{r.choice(("", menu(), noise(False)))}<div data-label="1">{heading}{body}{r.choice(("", noise(True)))}</div>{r.choice(("", menu(), noise(False)))}</body></html>'
+        if kind in (3, 4):  # a table with a menu, the article, a bar
+            cells = [f'<td data-label="1"{r.choice(("", " valign=top", " width=600"))}>{heading}{body}</td>']
+            cells.insert(r.choice((0, 1)), f'<td data-label="0"{r.choice(("", " width=150"))}>{menu("")}</td>')
+            if r.random() < 0.4:
+                cells.append(f'<td data-label="0">{menu("")}<p>{words(1, 4)}</p></td>')
+            bar = f'<tr><td data-label="0" colspan=3>{r.choice((words(1, 3), menu("")))}</td></tr>'
+            foot = f'<tr><td data-label="0" colspan=3>&copy; {words(1, 8)}</td></tr>'
+            return f'<html><head><title>{title}</title></head><body data-label="0"><table>{r.choice(("", bar))}<tr>{"".join(cells)}</tr>{r.choice(("", foot))}</table></body></html>'
+        wrap = named(0, "wrapper", "page", "container", "site", "layout")
+        content = named(1, "content", "post", "article", "entry", "story", "body text", "main", "primary", "article_body", "post-body")
+        side = named(0, "sidebar", "nav", "menu", "left", "topbar", "footer", "header", "secondary", "widget-area")
+        return f"<html><head><title>{title}</title></head><body>{wrap}{side}{menu('')}</div>{content}{heading}{body}{r.choice(('', noise(True)))}</div>{r.choice(('', noise(False), side + menu('') + '</div>'))}</div></body></html>"
+
+    def labels_of(dom: Dom) -> list[int]:
+        """A fragment's root is content, as is what no mark says otherwise of."""
+        labels = [int("html" not in dom.tag)] + [0] * (len(dom.tag) - 1)
+        for i in range(1, len(labels)):
+            own = re.search(r'data-label="(\d)"', dom.attributes[i])
+            labels[i] = int(own[1]) if own else 0 if dom.tag[i] in NEVER else labels[dom.parent[i]]
+        return labels
+
     out = []
-    for _ in range(n):
+    for at in range(n):
+        if at % 2:
+            dom = parse(simple())
+            out.append((dom, labels_of(dom)))
+            continue
         title = words(2, 9)
         head = f'<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{title}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>'
         top = [mark("nav", 0, r.choice(("", "menu")), f"<ul>{links()}</ul>")] if r.random() < 0.8 else []
@@ -322,16 +387,12 @@ def labelled_pages(n: int = 160, seed: int = 3) -> list[tuple[Dom, list[int]]]:
         if r.random() < 0.85:
             tail.append(mark(r.choice(("footer", "footer", "div")), 0, r.choice(("footer", "site-footer")), f"&copy; {word()} &middot; {words(2, 16)}" if r.random() < 0.6 else f"<p>{words(3, 12)}</p><ul>{links()}</ul>"))
         dom = parse(head + "".join(top) + article + "".join(tail) + ("</body></html>" if r.random() < 0.8 else ""))
-        labels = [0] * len(dom.tag)
-        for i in range(1, len(labels)):
-            own = re.search(r'data-label="(\d)"', dom.attributes[i])
-            labels[i] = int(own[1]) if own else 0 if dom.tag[i] in NEVER else labels[dom.parent[i]]
-        out.append((dom, labels))
+        out.append((dom, labels_of(dom)))
     return out
 
 
 @lru_cache(maxsize=2)
-def trained(n: int = 160, seed: int = 3) -> tuple[dict, dict]:
+def trained(n: int = 400, seed: int = 3) -> tuple[dict, dict]:
     model = TreeModel().fit(labelled_pages(n, seed))
     return dict(model.unary), dict(model.pair)
 
@@ -351,7 +412,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text (the article, empty if none), n_chars (code points).
 
     Null or empty html has no text; whole pages are read, in time linear in their length whatever their markup. Rows are
-    independent, so repeated rows and null ids stay; other columns are not read.
+    independent, so repeated rows and null ids stay; an empty table gives an empty table; other columns are not read.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return rows.mapInPandas(_extracted(trained()), "page_id long, url string, text string, n_chars long")
