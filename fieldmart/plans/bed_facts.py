@@ -21,11 +21,12 @@ def text(c):
 
 
 def raw_lines(t):
-    q = F.replace(text("l_quantity"), F.lit("."), F.lit(","))
-    return t.lineitem.select(
+    """Lines as text, with their keys whole; they are dated by the month, so that grains repeat."""
+    q, month = F.replace(text("l_quantity"), F.lit("."), F.lit(",")), F.trunc("l_shipdate", "month").cast(t.lineitem.schema["l_shipdate"].dataType)
+    return t.lineitem.withColumn("l_shipdate", month).select(
         C("l_orderkey").alias("seq_1"), C("l_linenumber").alias("seq_2"), C("l_partkey").alias("seq_3"), C("l_extendedprice").alias("seq_4"),
-        F.when(C("l_partkey") % 23 == 0, "x").otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("date_raw"), F.concat(F.lit("MODULO 0"), C("l_suppkey") % 40).alias("module_raw"), F.concat(F.lit(" Variety  "), C("l_partkey") % 60).alias("variety_raw"),
-        F.concat(C("l_orderkey") % 300, F.lit(".0")).alias("person_raw"), q.alias("q"), text("l_linenumber").alias("n"), text("l_discount").alias("d"), text("l_extendedprice").alias("x"), C("l_returnflag").alias("f"), C("l_linestatus").alias("s"), "l_shipdate",
+        F.when(C("l_partkey") % 23 == 0, "x").otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("date_raw"), F.concat(F.lit("MODULO 0"), C("l_suppkey")).alias("module_raw"), F.concat(F.lit(" Variety  "), C("l_partkey")).alias("variety_raw"),
+        F.concat(C("l_partkey"), F.lit(".0")).alias("person_raw"), q.alias("q"), text("l_linenumber").alias("n"), text("l_discount").alias("d"), text("l_extendedprice").alias("x"), C("l_returnflag").alias("f"), C("l_linestatus").alias("s"), "l_shipdate",
     )
 
 
@@ -33,19 +34,20 @@ STATES = ("BOTON FLORAL", "FLOR", "PEQUENA", "VERDE", "INICIO F1", "INICIO F2",
 
 
 def dims(t):
+    """Whole dimensions, of which a share of the ids is missing."""
     state = F.array(*[F.lit(s) for s in STATES])
     return {
-        "geo": t.supplier.where("s_suppkey < 35").select(text("s_suppkey").alias("key"), (C("s_suppkey") + 1000).alias("id")),
-        "variety": t.part.where("p_partkey < 50").select(F.concat(F.lit("VARIETY"), "p_partkey").alias("key"), C("p_partkey").alias("id")),
-        "person": t.customer.where("c_custkey < 280").select(F.lpad(text("c_custkey"), 8, "0").alias("key"), C("c_custkey").alias("id")),
+        "geo": t.supplier.where("s_suppkey % 8 <> 0").select(text("s_suppkey").alias("key"), (C("s_suppkey") + 1000).alias("id")),
+        "variety": t.part.where("p_partkey % 6 <> 0").select(F.concat(F.lit("VARIETY"), "p_partkey").alias("key"), C("p_partkey").alias("id")),
+        "person": t.customer.where("c_custkey % 14 <> 0").select(F.lpad(text("c_custkey"), 8, "0").alias("key"), C("c_custkey").alias("id")),
         "ribbon": t.region.select(F.when(C("r_regionkey") == 0, "roja").when(C("r_regionkey") == 1, "verde").otherwise(C("r_name")).alias("key"), C("r_regionkey").alias("id")),
         "activity": t.region.where("r_regionkey < 3").select(F.when(C("r_regionkey") == 0, "1-urgent").when(C("r_regionkey") == 1, "2-high").otherwise("3-medium").alias("key"), C("r_regionkey").alias("id")),
         "state": t.nation.where("n_nationkey < 9").select(F.element_at(state, (C("n_nationkey") + 1).cast("int")).alias("key"), C("n_nationkey").cast("int").alias("id")),
     }
 
 
-_BASE = """b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN l_partkey % 23 <> 0 THEN strftime(l_shipdate, '%Y%m%d')::INT END AS date_id, CASE WHEN l_suppkey % 40 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 35) THEN l_suppkey % 40 + 1000 END AS geo_id,
-  CASE WHEN l_partkey % 60 IN (SELECT p_partkey FROM part WHERE p_partkey < 50) THEN l_partkey % 60 END AS variety_id, CASE WHEN l_orderkey % 300 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN l_orderkey % 300 ELSE -1 END AS person_id, l_quantity AS q, l_linenumber AS n, l_discount AS d, l_extendedprice AS x, l_returnflag AS f, l_linestatus AS s, l_shipdate::DATE AS day FROM lineitem)"""
+_BASE = """b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN l_partkey % 23 <> 0 THEN strftime(date_trunc('month', l_shipdate), '%Y%m%d')::INT END AS date_id, CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 8 <> 0) THEN l_suppkey + 1000 END AS geo_id,
+  CASE WHEN l_partkey IN (SELECT p_partkey FROM part WHERE p_partkey % 6 <> 0) THEN l_partkey END AS variety_id, CASE WHEN l_partkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 14 <> 0) THEN l_partkey ELSE -1 END AS person_id, l_quantity AS q, l_linenumber AS n, l_discount AS d, l_extendedprice AS x, l_returnflag AS f, l_linestatus AS s, date_trunc('month', l_shipdate)::DATE AS day FROM lineitem)"""
 _ORDER = "l_orderkey, l_linenumber, l_partkey, l_extendedprice"
 _KNOWN = "date_id IS NOT NULL AND geo_id IS NOT NULL AND variety_id IS NOT NULL"
 
@@ -192,13 +194,13 @@ def fact_pruning(spark, sf_dir):
     return build(spark, sf_dir, T.PRUNING, kind_raw=F.when(C("f") == "A", "  ").otherwise(F.concat(F.lit("KIND "), "f")), stems_raw=C("q"), height_raw=C("d"), twigs_raw=F.lit("n/a"), **more)
 
 
-@bed.query("""WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::INT AS date_id, CASE WHEN o_custkey % 40 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 35) THEN o_custkey % 40 + 1000 END AS geo_id, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey ELSE -1 END AS person_id, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 END AS activity_id,
-  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS hours, CASE WHEN o_custkey % 400 IN (SELECT c_custkey FROM customer WHERE c_custkey < 280) THEN o_custkey % 400 END AS boss_id, CASE WHEN o_orderkey % 3 > 0 THEN 'P' || o_orderkey % 3 END AS payroll FROM orders WHERE o_orderstatus <> 'P')
+@bed.query("""WITH r AS (SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y%m%d')::INT AS date_id, CASE WHEN o_custkey IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 8 <> 0) THEN o_custkey + 1000 END AS geo_id, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 14 <> 0) THEN o_custkey ELSE -1 END AS person_id, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 END AS activity_id,
+  CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END AS hours, CASE WHEN o_custkey * 3 IN (SELECT c_custkey FROM customer WHERE c_custkey % 14 <> 0) THEN o_custkey * 3 END AS boss_id, CASE WHEN o_orderkey % 3 > 0 THEN 'P' || o_orderkey % 3 END AS payroll FROM orders WHERE o_orderstatus <> 'P')
 SELECT geo_id, date_id, person_id, activity_id, hours, payroll, boss_id FROM (SELECT *, row_number() OVER (PARTITION BY geo_id, date_id, person_id, activity_id ORDER BY o_orderkey) AS n FROM r WHERE activity_id IS NOT NULL AND geo_id IS NOT NULL) WHERE n = 1""")
 def fact_labour(spark, sf_dir):
     t = Tables(spark, sf_dir)
     raw = t.orders.select(
-        C("o_orderkey").alias("seq_1"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_raw"), F.concat(F.lit("modulo "), C("o_custkey") % 40).alias("module_raw"), text("o_custkey").alias("person_raw"), text(C("o_custkey") % 400).alias("boss_raw"), C("o_orderpriority").alias("activity_raw"),
+        C("o_orderkey").alias("seq_1"), F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("date_raw"), F.concat(F.lit("modulo "), C("o_custkey")).alias("module_raw"), text("o_custkey").alias("person_raw"), text(C("o_custkey") * 3).alias("boss_raw"), C("o_orderpriority").alias("activity_raw"),
         F.when(C("o_orderkey") % 5 == 0, "x").otherwise(text(C("o_totalprice").cast("decimal(18,2)"))).alias("hours_raw"), F.when(C("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit("P"), C("o_orderkey") % 3)).alias("payroll_raw"), "o_orderstatus",
     )
     kept, _ = shape.drop_non_operational(raw, {"o_orderstatus": ("P", "TOTAL")})
