@@ -65,9 +65,9 @@ def gompertz_fit(spark, sf_dir):
     return _fitted(spark, sf_dir).select("l_returnflag", F.round("k", 3).alias("k"), (F.round("b", 4) + 0.0).alias("b"), (F.round("c", 4) + 0.0).alias("c"), F.round("sse", 3).alias("sse"))
 
 
-@bed.query(f"SELECT l_returnflag, i::INT AS week, round(k * exp(-b * exp(-c * i)), 4) AS fitted FROM {_FIT}, range(21) r(i)")
+@bed.query(f"SELECT l_returnflag, i::INT AS week, round(k * exp(-b * exp(-c * i)), 2) AS fitted FROM {_FIT}, range(21) r(i)")
 def gompertz_curve(spark, sf_dir):
-    return G.gompertz_curve(spark, _fitted(spark, sf_dir)).select("l_returnflag", "week", F.round("fitted", 4).alias("fitted"))
+    return G.gompertz_curve(spark, _fitted(spark, sf_dir)).select("l_returnflag", "week", F.round("fitted", 2).alias("fitted"))
 
 
 _LONG = f"(SELECT week, cm, unnest(['l_returnflag', 'l_linestatus', 'p_type', 'p_brand']) AS factor, unnest([l_returnflag, l_linestatus, p_type, p_brand]) AS level FROM {_BASE})"
