@@ -264,13 +264,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hea
     texts = _bucketed(docs)
     first, scratch, last = Scratch(spark), Scratch(spark), Scratch(spark)
     pieces = first.keep(texts.select("row", "data").mapInArrow(_cut(length, gram), _PIECES), "pieces")
-    keys = pieces.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # counts are written before they are joined: a join of two tables splits the rows of a frequent key, one with an aggregate doesn't
+    keys = first.keep(pieces.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
     near = scratch.keep(pieces.join(keys, "key").select("row", "start", "owned", "key", "content"), "near")
     first.drop()
 
     classes = near.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(F.struct("row", "start", "owned")).alias("one"))
     classes = scratch.keep(classes.select("key", "content", "n", "one.*"), "classes")
-    load = classes.groupBy("key").agg(F.count("*").alias("distinct")).where(F.col("distinct") > heavy).select("key", F.lit(True).alias("heavy"))
+    load = scratch.keep(classes.groupBy("key").agg(F.count("*").alias("distinct")).where(F.col("distinct") > heavy).select("key", F.lit(True).alias("heavy")), "heavy")
     classes = scratch.keep(classes.join(load, "key", "left").withColumn("heavy", F.col("heavy").isNotNull()), "judged")
     columns = ["row", "start", "owned", "key", "content", "fine", "copies"]
     wanted = classes.where("not heavy").withColumn("copies", F.least("n", F.lit(2)).cast("int")).withColumn("fine", F.lit(False)).select(*columns)
