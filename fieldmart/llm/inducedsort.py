@@ -165,16 +165,15 @@ def _smaller_than_next(text: np.ndarray) -> np.ndarray:
         low = max(0, end - BLOCK)
         here = text[low:end].astype(np.int64)
         after = np.concatenate([here[1:], [text[end] if end < n else -1]])
-        differs = np.flatnonzero(here != after)
-        nearest = np.searchsorted(differs, np.arange(len(here)))
-        inside = nearest < len(differs)
-        at = differs[np.minimum(nearest, max(len(differs) - 1, 0))] if len(differs) else nearest
-        small[low:end] = np.where(inside, here[at] < after[at], small[end] if end < n else False) if len(differs) else (small[end] if end < n else False)
+        differs = np.flatnonzero(here != after)  # each decides for the equal characters before it
+        decided = int(differs[-1]) + 1 if len(differs) else 0
+        small[low : low + decided] = np.repeat(here[differs] < after[differs], np.diff(differs, prepend=-1))
+        small[low + decided : end] = small[end] if end < n else False
     return small
 
 
-def _refined(group: np.ndarray, open_: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cuts the groups of the members in open_ by their words. A group's number is the place of its first member in the order, so numbers of other groups stay. Returns the members in order, and the size of each one's group."""
+def _refined(group: np.ndarray, open_: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Cuts the groups of the members in open_ by their words. A group's number is the place of its first member in the order, so numbers of other groups stay. Returns which members still share their group."""
     g = group[open_]
     wide = int(word.max(initial=0)) + 2  # words are -1 at least
     if int(g.max(initial=0)) < (1 << 62) // wide:
@@ -187,7 +186,9 @@ def _refined(group: np.ndarray, open_: np.ndarray, word: np.ndarray) -> tuple[np
     first = np.flatnonzero(new_group)
     size = np.diff(head, append=len(g))
     group[open_[by]] = g + np.repeat(head, size) - np.repeat(first, np.diff(first, append=len(g)))
-    return by, np.repeat(size, size)
+    shared = np.empty(len(open_), bool)
+    shared[by] = np.repeat(size > 1, size)
+    return shared
 
 
 def _named(text: np.ndarray, small: np.ndarray, starts: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
@@ -198,9 +199,10 @@ def _named(text: np.ndarray, small: np.ndarray, starts: np.ndarray, limit: int)
     """
     bits = max(int(text.max(initial=0)) * 2 + 2, 1).bit_length()
     per_word = max(1, 63 // bits)
-    symbols = on_disk(len(text), np.int32, limit)
+    symbols = on_disk(len(text) + per_word, np.int32, limit)  # zeros behind the text
     for at in range(0, len(text), BLOCK):
-        symbols[at : at + BLOCK] = text[at : at + BLOCK].astype(np.int32) * 2 + small[at : at + BLOCK] + 1
+        end = min(at + BLOCK, len(text))
+        symbols[at:end] = text[at:end].astype(np.int32) * 2 + small[at:end] + 1
     stops = np.concatenate([starts[1:] + 1, [len(text)]])
     dealt, heads = Queue(limit), text[starts]
     order = np.argsort(heads, kind="stable")
@@ -215,11 +217,13 @@ def _named(text: np.ndarray, small: np.ndarray, starts: np.ndarray, limit: int)
             word = np.zeros(len(open_), np.int64)
             place, stop = starts[own[open_]] + offset, stops[own[open_]]
             for k in range(per_word):
-                word = (word << bits) | np.where(place + k < stop, symbols[np.minimum(place + k, len(text) - 1)], 0)
-            by, size = _refined(group, open_, word)
+                word <<= bits
+                word |= symbols[place + k]
+            beyond = np.maximum(per_word - (stop - place), 0) * bits  # bits of symbols from the stop on
+            word = word >> beyond << beyond
+            shared = _refined(group, open_, word)
             offset += per_word
-            open_ = np.sort(open_[by[size > 1]])
-            open_ = open_[starts[own[open_]] + offset < stops[own[open_]]]
+            open_ = open_[shared & (place + per_word < stop)]
         heads_of = np.zeros(len(own), np.int64)
         heads_of[group] = 1
         dense = np.cumsum(heads_of) - 1
@@ -233,23 +237,33 @@ def _doubled(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(names)
     counts = np.bincount(names)
     group = (np.cumsum(counts) - counts)[names]
-    levels, size = [group.astype(np.int32)], 1
+    ranks = lambda: np.append(group, -1).astype(np.int32)  # noqa: E731  # behind the end: smaller than all
+    levels, size = [ranks()], 1
     open_ = np.flatnonzero(counts[names] > 1)
     while size < cap and len(open_):
-        behind = open_ + size
-        word = np.where(behind < n, levels[-1][np.minimum(behind, n - 1)], -1)
-        by, many = _refined(group, open_, word)
-        open_ = np.sort(open_[by[many > 1]])
-        levels.append(group.astype(np.int32))
+        word = levels[-1][np.minimum(open_ + size, n)]
+        open_ = open_[_refined(group, open_, word)]
+        levels.append(ranks())
         size *= 2
-    order = np.argsort(levels[-1])
-    a, b, length = order[1:].copy(), order[:-1].copy(), np.zeros(max(n - 1, 0), np.int64)
+    order = np.empty(n, np.int64)
+    order[group] = np.arange(n)  # a group's number is its first place
+    if len(open_):
+        tied = open_[np.argsort(group[open_], kind="stable")]
+        g = group[tied]
+        head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        order[g + np.arange(len(g)) - np.repeat(head, np.diff(head, append=len(g)))] = tied
+    last = levels.pop()[order]
+    differ = np.flatnonzero(last[1:] != last[:-1]) + 1  # the others share `size` names, and that is the cap or more
+    prefix = np.full(n, cap, np.int64)
+    prefix[:1] = 0
+    first = order[differ]
+    a, b = first.copy(), order[differ - 1]
     for level in range(len(levels) - 1, -1, -1):
-        for _ in range(2 if level == len(levels) - 1 else 1):
-            x, y = np.minimum(a, n - 1), np.minimum(b, n - 1)
-            same = (levels[level][x] == levels[level][y]) & (np.maximum(a, b) + (1 << level) <= n)
-            a, b, length = a + same * (1 << level), b + same * (1 << level), length + same * (1 << level)
-    return order, np.minimum(np.concatenate([[0], length])[:n], cap)
+        step = (levels[level][a] == levels[level][b]).astype(np.int64) << level
+        a += step
+        b += step
+    prefix[differ] = np.minimum(a - first, cap)
+    return order, prefix
 
 
 def sorted_suffixes(text: np.ndarray, cap: int = 200, limit: int = 48 << 20, most_names: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:

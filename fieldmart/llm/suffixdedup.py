@@ -12,6 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,31 @@ _STEP = 1 << 20
 _POWER = 0x9E3779B97F4A7C15
 
 
+@lru_cache(2)
+def _first_powers(base: int) -> np.ndarray:
+    out = np.full(_STEP, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
+    known = _first_powers(base)
+    if n <= len(known):
+        return known[:n]
     out = np.full(n, np.uint64(base))
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def _least(values: np.ndarray, wide: int) -> np.ndarray:
+    """Minimum of every run of `wide` values: of runs of 1, 2, 4, ... values, two of which overlap."""
+    size = 1
+    while 2 * size <= wide:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return np.minimum(values[: len(values) - (wide - size)], values[wide - size :])
+
+
 def keys_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """For each place of data but the last length - 1: the smallest hash among the grams of the string that starts there, and whether the first gram has it."""
     n, wide = len(data) - gram + 1, length - gram + 1
@@ -48,17 +68,14 @@ def keys_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(32)
-    padded = np.full(-(-n // wide) * wide, np.uint64(0xFFFFFFFFFFFFFFFF))
-    padded[:n] = hashes
-    blocks = padded.reshape(-1, wide)  # a run of `wide` hashes is the end of one block and the start of the next
-    ahead, behind = np.minimum.accumulate(blocks, axis=1).ravel(), np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    many = len(data) - length + 1
-    least = np.minimum(behind[:many], ahead[wide - 1 : wide - 1 + many])
-    return least.view(np.int64), hashes[:many] == least
+    least = _least(hashes, wide)
+    return least.view(np.int64), hashes[: len(least)] == least
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a binary column, and where each row starts."""
+    if not len(column):  # it may have no buffer of ends
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
     return data, ends - ends[0]
@@ -111,11 +128,14 @@ def _shipped(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                data, wanted = batch.column("data")[i].as_buffer(), batch.column("wanted").slice(i, 1).flatten()
+            data, ends = _texts(batch.column("data"))
+            view = memoryview(data)
+            for at, to in _steps(ends):
+                lists = batch.column("wanted").slice(at, to - at)
+                wanted = lists.flatten()
                 column = {f: wanted.field(f) for f in ("start", "owned", "key", "content", "fine", "copies")}
-                view = memoryview(data)
-                texts = [bytes(view[s : s + o + length - 1]) for s, o in zip(column["start"].to_pylist(), column["owned"].to_pylist(), strict=True)]
+                low = np.repeat(ends[at:to], lists.value_lengths().to_numpy()) + column["start"].to_numpy()
+                texts = [bytes(view[a:b]) for a, b in zip(low.tolist(), (low + column["owned"].to_numpy() + length - 1).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(column[c] for c in ("key", "content", "fine", "owned", "copies")), pa.array(texts, pa.binary())], [c.split()[0] for c in _SHIPPED.split(", ")])
 
     return run
@@ -145,14 +165,17 @@ def _strings(length: int):
 
 def repeated_in(text: np.ndarray, starts: np.ndarray, owned: np.ndarray, copies: np.ndarray, length: int, limit: int = MEMORY) -> np.ndarray:
     """Which places of text start a string of `length` bytes that occurs more than once. The first owned[i] places from starts[i] on count, each as often as the piece has copies; strings that begin elsewhere don't."""
-    repeated = on_disk(len(text), np.bool_, limit)
+    repeated, weight = on_disk(len(text), np.bool_, limit), on_disk(len(text), np.uint8, limit)
+    for at in range(0, len(starts), 20_000):  # a place has its string's copies, two stand for more, or none if it doesn't count
+        low, many = starts[at : at + 20_000], owned[at : at + 20_000].astype(np.int64)
+        weight[np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())] = np.repeat(np.minimum(copies[at : at + 20_000], 2), many)
     held, waiting = 0, -1  # occurrences in the group that is open at the end of a block, and the place of a sole one
     for places, prefix in sorted_suffixes(text, length, limit):
-        piece = np.searchsorted(starts, places, "right") - 1
         group = np.cumsum(prefix < length)
-        mine = places - starts[piece] < owned[piece]
+        times = weight[places]
+        mine = np.flatnonzero(times)
         own, of = places[mine], group[mine]
-        many = np.bincount(of, copies[piece[mine]], minlength=int(group[-1]) + 1).astype(np.int64)
+        many = np.bincount(of, times[mine], minlength=int(group[-1]) + 1).astype(np.int64)
         first = own[np.searchsorted(of, len(many) - 1)] if many[-1] else -1
         many[0] += held
         repeated[own[many[of] > 1]] = True
@@ -209,22 +232,22 @@ def _without(length: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                removed, kept, sizes = [], [], []
-                for data, spans in zip(batch.column("data"), batch.column("spans").to_pylist(), strict=True):
-                    data = data.as_buffer()
-                    view, runs, last, left = memoryview(data), [], 0, []
-                    for span in spans or ():  # by start
-                        if runs and span["low"] <= runs[-1]["end"]:
-                            runs[-1]["end"] = max(runs[-1]["end"], span["high"] + length)
-                        else:
-                            runs.append({"start": span["low"], "end": span["high"] + length})
-                    for r in runs:
-                        left.append(view[last : r["start"]])
-                        last = r["end"]
-                    sizes.append(len(view))
-                    removed.append(runs)
-                    kept.append(b"".join([*left, view[last:]]))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "removed", "kept"])
+                data, ends = _texts(batch.column("data"))
+                spans = batch.column("spans")
+                of = np.repeat(np.arange(len(spans)), spans.value_lengths().fill_null(0).to_numpy())
+                low, high = (ends[of] + spans.flatten().field(f).to_numpy() for f in ("low", "high"))  # by low in each text
+                reach = np.maximum.accumulate(high + length)
+                head = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (low[1:] > reach[:-1])])[: len(of)])
+                last = np.append(head[1:], len(of))[: len(head)] - 1
+                low, high, of = low[head], reach[last], of[head]
+                edges = np.concatenate([[0], np.column_stack([low, high]).ravel(), [len(data)]])
+                kept = data[np.repeat(np.arange(len(edges) - 1) % 2 == 0, np.diff(edges))]
+                gone = np.bincount(of, high - low, minlength=len(spans)).astype(np.int64)
+                left = (ends - np.concatenate([[0], np.cumsum(gone)])).astype(np.int32)
+                runs = pa.StructArray.from_arrays([pa.array((x - ends[of]).astype(np.int32)) for x in (low, high)], ["start", "end"])
+                removed = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(spans) + 1)).astype(np.int32)), runs)
+                texts = pa.Array.from_buffers(pa.binary(), len(spans), [None, pa.py_buffer(left), pa.py_buffer(kept)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(ends)), removed, texts], ["doc_id", "n_bytes", "removed", "kept"])
 
     return run
 

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,55 @@ def test_groups_reach_over_blocks(monkeypatch):
     found = suffixdedup.repeated_in(data, np.array([0, 9]), np.array([7, 2]), np.array([1, 1]), 3)
     counts = Counter(bytes(data[i : i + 3]) for i in [0, 1, 2, 3, 4, 5, 6, 9, 10])
     assert [i for i in range(13) if found[i]] == [i for i in [0, 1, 2, 3, 4, 5, 6, 9, 10] if counts[bytes(data[i : i + 3])] > 1]
+
+
+def test_pieces_of_many_texts_are_shipped_together():
+    """A batch for each text costs more than the bytes in it."""
+    r = random.Random(3)
+    texts = [r.randbytes(r.randint(300, 900)) for _ in range(300)]
+    wanted = [[{"start": i, "owned": i + 1, "key": n, "content": i, "fine": False, "copies": 2} for i in range(r.randint(1, 3))] for n in range(300)]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("owned", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("fine", pa.bool_()), ("copies", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(wanted, kind)], ["data", "wanted"]).slice(7)
+    out = list(suffixdedup._shipped(200)(iter([batch])))
+    assert len(out) == 1
+    rows = [(p["key"], p["content"], p["owned"], t[p["start"] : p["start"] + p["owned"] + 199]) for t, w in zip(texts[7:], wanted[7:], strict=True) for p in w]
+    assert [(x["key"], x["content"], x["owned"], x["data"]) for x in out[0].to_pylist()] == rows
+
+
+def test_keys_are_least_hashes_of_grams():
+    """Windows as wide as a power of two, one more and one less; texts larger than the powers that are kept."""
+    r = np.random.default_rng(4)
+    for n, length, gram in [(300, 200, 64), (200, 200, 64), (90, 40, 9), (90, 40, 10), (90, 39, 8), (50, 9, 9), (2 * suffixdedup._STEP + 500, 200, 64)]:
+        data = r.integers(0, 3, n, np.uint8)
+        keys, leads = suffixdedup.keys_of(data, length, gram)
+        hashes = suffixdedup.keys_of(data, gram, gram)[0].view(np.uint64)
+        windows = np.lib.stride_tricks.sliding_window_view(hashes, length - gram + 1)[-400:]
+        assert (keys.view(np.uint64)[-400:] == windows.min(1)).all() and len(keys) == n - length + 1
+        assert (leads[-400:] == (windows[:, 0] == windows.min(1))).all()
+
+
+def test_names_that_stay_equal_and_names_that_end():
+    """Orders of names and common prefixes up to a cap, with ties at the cap, at the end, and a cap of one."""
+    r = random.Random(5)
+    for _ in range(200):
+        names = np.array([r.randrange(r.choice([1, 2, 5])) for _ in range(r.randint(1, 60))])
+        names = np.unique(names, return_inverse=True)[1]
+        cap = r.choice([1, 2, 3, 8, 101])
+        order, prefix = inducedsort._doubled(names, cap)
+        assert sorted(order.tolist()) == list(range(len(names))) and prefix[0] == 0
+        for i in range(1, len(order)):
+            a, b = names[order[i - 1] :].tolist(), names[order[i] :].tolist()
+            same = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+            assert prefix[i] == min(same, cap) and (same >= cap or a < b)
+
+
+def test_runs_end_with_their_text():
+    """Runs that overlap, touch, lie in one another, fill a text or are next to the following text's; texts without spans or bytes."""
+    rows = [(1, b"abcdef", [(0, 0), (1, 3)]), (2, b"abcdef", [(0, 3)]), (None, b"abcdefghij", [(0, 0), (3, 3), (7, 7)]), (4, b"", None), (5, b"abc", []), (6, b"abcdefghij", [(0, 6), (1, 2), (4, 4)]), (7, b"abcdefghij", [(0, 1), (5, 5)]), (8, b"", None)]
+    kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+    spans = [None if s is None else [{"low": x, "high": y} for x, y in s] for *_, s in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, *_ in rows], pa.int64()), pa.array([t for _, t, _ in rows], pa.binary()), pa.array(spans, kind)], ["doc_id", "data", "spans"])
+    (out,) = suffixdedup._without(3)(iter([batch]))
+    out.validate(full=True)
+    found = [(x["doc_id"], x["n_bytes"], [(r["start"], r["end"]) for r in x["removed"]], x["kept"]) for x in out.to_pylist()]
+    assert found == [(1, 6, [(0, 6)], b""), (2, 6, [(0, 6)], b""), (None, 10, [(0, 6), (7, 10)], b"g"), (4, 0, [], b""), (5, 3, [], b"abc"), (6, 10, [(0, 9)], b"j"), (7, 10, [(0, 4), (5, 8)], b"eij"), (8, 0, [], b"")]
