@@ -44,6 +44,9 @@ _LOG_B = np.arange(-25.0, 7.0)
 _RATES = np.arange(-20.0, 61.0, 2.0)
 """Rates of the first look, over the length of the curve."""
 
+Box = tuple[tuple[float, float], tuple[float, float]]
+"""Least and most log |b|, least and most c."""
+
 
 def _parts(k: np.ndarray, b: np.ndarray, c: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """exp(-c t) and the curve, for parameters with one axis less than t."""
@@ -51,12 +54,14 @@ def _parts(k: np.ndarray, b: np.ndarray, c: np.ndarray, t: np.ndarray) -> tuple[
     return fading, k[..., None] * np.exp(-b[..., None] * fading)
 
 
-def _starts(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+def _starts(t: np.ndarray, y: np.ndarray, w: np.ndarray, within: Box | None) -> tuple[np.ndarray, ...]:
     """k, sign of b, log |b| and c of the searches of each group: the study's start, and the best of a wide grid for either sign and each stretch of rates, with K in closed form."""
     span = np.maximum((t * w).max(1) - np.where(w > 0, t, np.inf).min(1), 1.0)
     sign, log_b, rate = (x.ravel() for x in np.meshgrid([1.0, -1.0], _LOG_B, _RATES, indexing="ij"))
     stretch = (np.searchsorted([1.0], sign) * 100 + (rate + 20) // 10).astype(int)
     c = rate[None] / span[:, None]
+    if within:
+        log_b, c = np.clip(log_b, *within[0]), np.clip(c, *within[1])
     _, f = _parts(np.ones_like(c), np.broadcast_to(sign * np.exp(log_b), c.shape), c, t[:, None])
     f = f * w[:, None]
     ff, yf = (f * f).sum(2), (f * y[:, None]).sum(2)
@@ -72,16 +77,19 @@ def _starts(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ..
     return tuple(np.stack([study[i], *(f[i] for f in found)], 1) for i in range(4))
 
 
-def levenberg_marquardt(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+def levenberg_marquardt(t: np.ndarray, y: np.ndarray, w: np.ndarray, within: Box | None = None) -> tuple[np.ndarray, ...]:
     """k, b, c, sse and whether the search settled, for each row of weeks t, medians y and weights w (0: no such week).
 
     Every search of every group takes its own steps: the normal equations of (K, log |b|, c) with its own damping, less
-    after a step that lowers the sum of squares and more after one that doesn't. Nothing bounds the parameters.
+    after a step that lowers the sum of squares and more after one that doesn't. Nothing bounds the parameters, unless they
+    are asked for within a box: one that would leave it stays at the bound, and the others go on.
     """
     scale = np.where((most := np.abs(y * w).max(1)) > 0, most, 1.0)
     y = y / scale[:, None]
-    k, sign, u, c = _starts(t, y, w)
+    k, sign, u, c = _starts(t, y, w, within)
     k[:, 0] /= scale
+    if within:
+        u, c = np.clip(u, *within[0]), np.clip(c, *within[1])
     t, y, w = t[:, None], y[:, None], w[:, None]
     error = lambda k, u, c: np.nan_to_num((w * (y - _parts(k, sign * np.exp(u), c, t)[1]) ** 2).sum(-1), nan=np.inf)
     sse, damping, before = error(k, u, c), np.full(k.shape, 1e-2), None
@@ -92,11 +100,18 @@ def levenberg_marquardt(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np
         by_u = -f * b[..., None] * fading
         jacobian = np.nan_to_num(np.stack([f / np.where(k == 0, 1, k)[..., None], by_u, -by_u * t], -1) * w[..., None], posinf=0.0, neginf=0.0)
         residual = np.nan_to_num(w * (y - f), posinf=0.0, neginf=0.0)
-        normal, right = np.einsum("gsti,gstj->gsij", jacobian, jacobian), np.einsum("gsti,gst->gsi", jacobian, residual)
+        right = np.einsum("gsti,gst->gsi", jacobian, residual)
+        if within:
+            held = [(v <= low) & (right[..., i] < 0) | (v >= high) & (right[..., i] > 0) for i, v, (low, high) in ((1, u, within[0]), (2, c, within[1]))]
+            free = np.stack([np.ones(k.shape), *(~h for h in held)], -1)
+            jacobian, right = jacobian * free[..., None, :], right * free
+        normal = np.einsum("gsti,gstj->gsij", jacobian, jacobian)
         diagonal = np.einsum("gsii->gsi", normal)
         damped = normal + np.eye(3) * (diagonal * damping[..., None] + 1e-14 * diagonal.max(-1, keepdims=True) + 1e-200)[..., None]
         change = np.linalg.solve(damped, right[..., None])[..., 0]
         new = k + change[..., 0], u + change[..., 1], c + change[..., 2]
+        if within:
+            new = new[0], np.clip(new[1], *within[0]), np.clip(new[2], *within[1])
         tried = error(*new)
         better = tried < sse
         k, u, c, sse = (np.where(better, n, o) for n, o in zip((*new, tried), (k, u, c, sse), strict=True))
@@ -109,7 +124,7 @@ def levenberg_marquardt(t: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np
     return k[rows, best] * scale, (sign * np.exp(u))[rows, best], c[rows, best], np.maximum(sse[rows, best], 0.0) * scale**2, settled[rows, best]
 
 
-def _fits(names: Sequence[str]):
+def _fits(names: Sequence[str], within: Box | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, _GROUPS):
@@ -118,7 +133,7 @@ def _fits(names: Sequence[str]):
                 longest = max(len(p) for p in points)
                 t, y, w = (np.array([[p[i] for p in own] + [0.0] * (longest - len(own)) for own in [[(q["week"], q["median"], 1.0) for q in group] for group in points]], float) for i in range(3))
                 with np.errstate(all="ignore"):
-                    *fitted, settled = levenberg_marquardt(t, y, w)
+                    *fitted, settled = levenberg_marquardt(t, y, w, within)
                 good = settled & (w.sum(1) >= FEWEST)
                 columns = [pa.array(np.where(good, v, d)) for v, d in zip(fitted[:3], DEFAULT, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns, pa.array(fitted[3], mask=~good)], [*names, "k", "b", "c", "sse"])
@@ -126,8 +141,8 @@ def _fits(names: Sequence[str]):
     return run
 
 
-def fit_gompertz(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """keys, k, b, c, sse of K*exp(-b*exp(-c*t)) over (week, median), by least squares without bounds on the parameters.
+def fit_gompertz(curve: DataFrame, keys: Sequence[str] = (), within: Box | None = None) -> DataFrame:
+    """keys, k, b, c, sse of K*exp(-b*exp(-c*t)) over (week, median), by least squares without bounds on the parameters, or within a box of log |b| and c.
 
     Groups are fitted side by side, one row of at most as many points as there are weeks for each, by Levenberg-Marquardt
     searches from the study's start and from the best places of a wide grid; the least sum of squares wins. A group with
@@ -136,7 +151,7 @@ def fit_gompertz(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     points = curve.where("week is not null and median is not null").groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col("week").cast("double").alias("week"), F.col("median").cast("double").alias("median")))).alias("points"))
     points = points.where(F.size("points") > 0)
     schema = StructType([points.schema[k] for k in keys] + [StructField(n, DoubleType()) for n in ("k", "b", "c", "sse")])
-    return points.mapInArrow(_fits(list(keys)), schema)
+    return points.mapInArrow(_fits(list(keys), within), schema)
 
 
 def gompertz_curve(spark, params: DataFrame, weeks: int = MAX_WEEK) -> DataFrame:

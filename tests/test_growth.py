@@ -81,6 +81,26 @@ def test_queries_equal_an_independent_search(spark, duck):
         same(queries[name][0](spark, DATA), duck, queries[name][1])
 
 
+def test_queries_equal_the_search_where_no_rate_is_best(spark, tmp_path):
+    """The first week alone stands out, so that the sum of squares falls for ever as c grows: both searches end at the same bound."""
+    import duckdb
+
+    con = duckdb.connect()
+    weeks = [26.0, 24.5, 25.0, 25.0, 24.5, 25.0, 25.5, 24.5, 25.0, 25.0, 24.5, 25.0]
+    con.execute("CREATE TABLE orders AS SELECT 1::BIGINT AS o_orderkey, TIMESTAMP '1996-01-01' AS o_orderdate")
+    con.execute("CREATE TABLE part AS SELECT 1::BIGINT AS p_partkey, 'b' AS p_brand, 't' AS p_type")
+    con.execute(f"CREATE TABLE lineitem AS SELECT 1::BIGINT AS l_orderkey, w::INT AS l_linenumber, 1::BIGINT AS l_partkey, 'N' AS l_returnflag, 'O' AS l_linestatus, ({weeks}::DOUBLE[])[w + 1] AS l_quantity, TIMESTAMP '1996-01-01' + to_days((7 * w)::INT) AS l_shipdate FROM range({len(weeks)}) r(w)")
+    for name in ("orders", "part", "lineitem"):
+        con.execute(f"COPY {name} TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    queries = {name: (query, sql) for name, query, sql in bed_growth.bed.entries}
+    assert queries["gompertz_fit"][0](spark, str(tmp_path)).first().c == 3.2
+    for name in ("gompertz_fit", "gompertz_curve"):
+        same(queries[name][0](spark, str(tmp_path)), con, queries[name][1])
+    curve = spark.createDataFrame(list(enumerate(weeks)), "week int, median double")
+    (free,), (held,) = growth.fit_gompertz(curve).collect(), growth.fit_gompertz(curve, within=bed_growth._BOX).collect()
+    assert free.c > 3.2 and free.sse < held.sse  # without a box nothing bounds the search
+
+
 def test_trees_learn_what_there_is_to_learn(spark):
     """cm follows week and group; noise has no weight. Errors on rows that weren't trained on, against a constant's and against the noise itself."""
     r = random.Random(4)
