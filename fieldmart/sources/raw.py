@@ -13,6 +13,13 @@ from fieldmart.operators.shape import select_or_null
 from fieldmart.sources.kv import encode_kv, overflow_map
 
 LOADED = "CARGADO"
+MOST_RULES = 10_000
+"""Rules (rows of a rule table) that are handed to every task; more are sorted and merged."""
+
+
+def _beside(rules: DataFrame) -> DataFrame:
+    """The rules' side of a join with an exploded table. Spark takes that table to be as small as before it was exploded and, where it doesn't know the size of the rules, would send all of it through the driver."""
+    return F.broadcast(rules) if rules.limit(MOST_RULES + 1).count() <= MOST_RULES else rules.hint("merge")
 
 
 def scan_raw(spark: SparkSession, path: str, columns: Sequence[str], where: Column) -> DataFrame:
@@ -151,7 +158,7 @@ def suggest_route(files: DataFrame, file: str, columns: str, signatures: DataFra
     """
     wanted = signatures.select(F.col("target").alias("_t"), F.explode("required").alias("_c"), F.size("required").alias("_size"))
     given = files.select(file, "target", F.explode(columns).alias("_c"))
-    shares = given.join(wanted, "_c").groupBy(file, "target", "_t").agg(F.count("*").alias("_hits"), (F.count("*") / F.first("_size")).alias("_share"))
+    shares = given.join(_beside(wanted), "_c").groupBy(file, "target", "_t").agg(F.count("*").alias("_hits"), (F.count("*") / F.first("_size")).alias("_share"))
     own = shares.where("target = _t").select(F.col(file).alias("_f"), F.col("_share").alias("_own"))
     other = shares.where((F.col("target") != F.col("_t")) & (F.col("_share") >= there) & (F.col("_hits") >= hits)).groupBy(file).agg(F.min(F.struct((-F.col("_share")).alias("s"), "_t")).alias("_best"))
     joined = files.join(own, F.col(file) == F.col("_f"), "left").join(other, file, "left")
