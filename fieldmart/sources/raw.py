@@ -62,7 +62,7 @@ def route_files(files: DataFrame, name: str, routes: DataFrame, aliases: DataFra
         ranked = ranked.unionByName(aliases.select(_route_key(F.col("pattern")).alias("_p"), F.lit(0).alias("_kind"), F.col("priority").cast("long").alias("_priority"), "target"))
     opened = ranked.where("_p is not null").withColumn("_anchor", F.col("_p").substr(1, 3))
     names = files.select(F.col(name).alias("_name")).distinct().withColumn("_key", _route_key(F.col("_name")))
-    met = names.withColumn("_anchor", F.explode(_anchors(F.col("_key")))).join(opened, "_anchor").where(F.col("_key").contains(F.col("_p")))
+    met = names.withColumn("_anchor", F.explode(_anchors(F.col("_key")))).join(_beside(opened), "_anchor").where(F.col("_key").contains(F.col("_p")))
     best = met.groupBy("_name").agg(F.min(F.struct("_kind", "_priority", (-F.length("_p")).alias("l"), "_p", "target")).alias("_best"))
     return files.join(best, F.col(name) == F.col("_name"), "left").select(*[files[c] for c in files.columns], F.col("_best")["target"].alias("target"))
 
