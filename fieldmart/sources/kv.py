@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldmart.functions.bind import bind
+
 
 def parse_kv(c: Column) -> Column:
     """Items between bars, split at the first '='; items without a key or '=' go; of equal keys the last counts."""
     items = F.filter(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: x.contains("=") & (F.trim(F.substring_index(x, "=", 1)) != ""))
     pairs = F.transform(items, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.trim(x.substr(F.locate("=", x) + 1, F.length(x))).alias("value")))
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]))
+    last = lambda own, keys: F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(own, lambda p: p["key"] == k), -1)["value"]))
+    distinct = lambda own: bind(F.array_distinct(own["key"]), lambda keys: F.when(F.size(keys) == F.size(own), F.map_from_entries(own)).otherwise(last(own, keys)))
+    return bind(pairs, distinct)
 
 
 def encode_kv(c: Column) -> Column:
