@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+from fieldmart.operators.numbering import ready_checkpoints
 from fieldmart.sources.raw import export_csv
 
 # fixed values: fallback curve K, b, c; weeks and thresholds of the study
@@ -180,29 +182,110 @@ def forecast(base: DataFrame, key: str, measure: str, threshold: float = FORECAS
     return found.where(F.col("n") >= min_n).select(key, "first_week", (-F.col("peak")["w"]).alias("peak_week"), F.round(F.col("peak")["m"], 1).alias("peak_cm"), "n")
 
 
+MANY = 500_000
+"""Rows from which trees are grown over cells of equal features."""
+_BLOCK, _LABELS = 10, 1_000
+
+
+def _draws(names: Sequence[str], trees: int, share: float, seed: Sequence[int]):
+    """For each of the trees the number of a cell's rows that are drawn, and the sum of their labels; each row is drawn by itself, so of n equal ones a binomial number is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        for at, batch in enumerate(batches):
+            if not batch.num_rows:
+                continue
+            labels = batch.column("_labels")
+            pairs, first = labels.flatten(), np.asarray(labels.offsets)[:-1] - labels.offsets[0].as_py()
+            y, n = (np.asarray(pairs.field(k)) for k in ("y", "n"))
+            drawn = np.random.default_rng([*seed, TaskContext.get().partitionId(), at]).binomial(n, share, (trees, len(n)))
+            sums = [np.add.reduceat(x, first, axis=1).T.astype(float).ravel() for x in (drawn, drawn * y)]
+            offsets = pa.array(np.arange(batch.num_rows + 1) * trees, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in sums)], [*names, "_drawn", "_sum"])
+
+    return run
+
+
+def _ensemble(spark, trees: Sequence, weights: Sequence[float]):
+    """The trees as one model of boosted trees."""
+    from pyspark.ml.regression import GBTRegressionModel
+
+    gateway, ml = spark.sparkContext._gateway, spark._jvm.org.apache.spark.ml.regression
+    models, shares = gateway.new_array(ml.DecisionTreeRegressionModel, len(trees)), gateway.new_array(spark._jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+        models[i], shares[i] = tree._java_obj, weight
+    return GBTRegressionModel(ml.GBTRegressionModel(f"gbt_{uuid.uuid4().hex}", models, shares))
+
+
+def _boosted(rows: DataFrame, names: Sequence[str], label: str, before: Sequence, trees: int, depth: int, rate: float, subsample: float, seed: int):
+    """Boosted trees as GBTRegressor grows them, over cells: the rows of equal features, with the number of each label (n).
+
+    A split parts whole cells, so a tree depends only on the number and the mean of the rows that it draws from each; what
+    the labels differ within a cell is in no gain. Draws are made for some trees at once, from checkpointed cells.
+    """
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    spark = rows.sparkSession
+    parts = -(-(rows.groupBy(*names).agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 1) // _LABELS)
+    cells = rows.groupBy(*names, F.pmod(F.xxhash64(label), F.lit(parts)).alias("_part")).agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("y"), "n"))).alias("_labels")).drop("_part").checkpoint()
+    drawn_schema = StructType([*(cells.schema[c] for c in names), *(StructField(c, ArrayType(DoubleType())) for c in ("_drawn", "_sum"))])
+    grown, weights = [], []
+    for first in range(0, trees, _BLOCK):
+        some = min(_BLOCK, trees - first)
+        block = PipelineModel(list(before)).transform(cells.mapInArrow(_draws(names, some, subsample, [seed, first]), drawn_schema)).select("features", "_drawn", "_sum")
+        at = (_ensemble(spark, grown, weights).setPredictionCol("_at").transform(block) if grown else block.withColumn("_at", F.lit(0.0))).persist()
+        block = at
+        for i in range(some):
+            weight = rate if grown else 1.0  # the first tree stands whole, the others fit twice what is left, the loss's slope
+            left = F.col("_sum")[i] / F.col("_drawn")[i] - F.col("_at")
+            own = at.where(F.col("_drawn")[i] > 0).select("features", (2 * left if grown else left).alias("_left"), F.col("_drawn")[i].alias("_weight"))
+            tree = DecisionTreeRegressor(featuresCol="features", labelCol="_left", weightCol="_weight", predictionCol="_step", maxDepth=depth, maxBins=512, seed=seed).fit(own)
+            at = tree.transform(at).withColumn("_at", F.col("_at") + weight * F.col("_step")).drop("_step")
+            grown.append(tree)
+            weights.append(weight)
+        block.unpersist()
+    return _ensemble(spark, grown, weights)
+
+
 def train_growth(base: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str, trees: int = 200, depth: int = 5, rate: float = 0.05, subsample: float = 0.8, seed: int = 42, held_out: float = 0.0):
     """(model, metrics row, importances) of gradient-boosted trees over indexed categories and numbers.
 
     With `held_out`, that share of the rows, drawn by a hash of their values, isn't trained on, and metrics has its n, mae
     and r2 too, as held_n, held_mae and held_r2 (NULL without such rows). Equal rows are on the same side.
+
+    base is read once: equal rows are counted and checkpointed. From MANY rows on, with cells of equal features half as many
+    or fewer, trees are grown over the cells; the subsample is of rows in either case.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import StringIndexerModel, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     from fieldmart.operators.aggregates import regression_metrics
 
-    columns = [*categorical, *numeric, label]
-    rows = base.select(*[F.col(c).cast("string").alias(c) for c in categorical], *[F.col(c).cast("double").alias(c) for c in numeric], F.col(label).cast("double").alias(label)).na.drop()
+    names = [*categorical, *numeric]
+    columns = [*names, label]
+    typed = base.select(*[F.col(c).cast("string").alias(c) for c in categorical], *[F.col(c).cast("double").alias(c) for c in numeric], F.col(label).cast("double").alias(label)).na.drop()
+    ready_checkpoints(base.sparkSession)
+    rows = typed.groupBy(*columns).agg(F.count("*").alias("n")).checkpoint()
     side = F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(10_000)) < int(held_out * 10_000)
+    own = rows.where(~side)
+    labels = [[r[0] for r in own.groupBy(c).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), c).collect()] for c in categorical]
     indexed = [f"{c}_index" for c in categorical]
-    stages = [StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"), VectorAssembler(inputCols=[*indexed, *numeric], outputCol="features"), GBTRegressor(featuresCol="features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=seed, maxBins=512)]
-    model = Pipeline(stages=stages).fit(rows.where(~side))
-    metrics = regression_metrics(model.transform(rows.where(~side)), label, "prediction")
+    before = [StringIndexerModel.from_arrays_of_labels(labels, inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"), VectorAssembler(inputCols=[*indexed, *numeric], outputCol="features")]
+    total = own.agg(F.sum("n")).first()[0] or 0
+    if total >= MANY and own.select(*names).distinct().count() * 2 <= total:
+        boosted = _boosted(own, names, label, before, trees, depth, rate, subsample, seed)
+    else:
+        single = own.withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+        boosted = GBTRegressor(featuresCol="features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample, seed=seed, maxBins=512).fit(PipelineModel(before).transform(single))
+    model = PipelineModel([*before, boosted])
+    metrics = regression_metrics(model.transform(own), label, "prediction", "n")
     if held_out:
-        metrics = metrics.crossJoin(regression_metrics(model.transform(rows.where(side)), label, "prediction").select(*[F.col(c).alias(f"held_{c}") for c in ("n", "mae", "r2")]))  # one row each
-    importances = model.stages[-1].featureImportances.toArray().tolist()
-    return model, metrics, dict(zip([*categorical, *numeric], importances, strict=True))
+        metrics = metrics.crossJoin(regression_metrics(model.transform(rows.where(side)), label, "prediction", "n").select(*[F.col(c).alias(f"held_{c}") for c in ("n", "mae", "r2")]))  # one row each
+    importances = boosted.featureImportances.toArray().tolist()
+    return model, metrics, dict(zip(names, importances, strict=True))
 
 
 def export_results(results: Mapping[str, DataFrame], root: str) -> list[str]:

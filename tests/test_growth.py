@@ -116,3 +116,41 @@ def test_trees_learn_what_there_is_to_learn(spark):
     assert importances["week"] > importances["g"] > importances["noise"]
     (seen,) = growth.train_growth(df, ["g"], ["week", "noise"], "cm", trees=3, depth=2)[1].collect()
     assert seen.n == 1500 and seen.asDict().keys() == {"n", "mae", "r2"}
+
+
+def test_trees_over_cells_equal_trees_over_rows(spark, monkeypatch):
+    """Rows that repeat: cells of equal features with counted labels, in several parts, against GBTRegressor over the rows. Without a subsample the trees are the same."""
+    r = random.Random(5)
+    rows = [(r.choice("ABC"), r.randint(0, 12), r.randint(1, 3)) for _ in range(1500)]
+    rows = [(g, w, line, 2.0 * w + {"A": 0, "B": 9, "C": -9}[g] * line + r.randint(-3, 3)) for g, w, line in rows] * 3
+    df = spark.createDataFrame(rows, "g string, week int, line int, cm double")
+    rows_of, cells = growth._boosted, []
+    monkeypatch.setattr(growth, "_boosted", lambda *a, **k: cells.append(1) or rows_of(*a, **k))
+    monkeypatch.setattr(growth, "_LABELS", 3)
+
+    def trained(many, **how):
+        monkeypatch.setattr(growth, "MANY", many)
+        model, metrics, importances = growth.train_growth(df, ["g"], ["week", "line"], "cm", depth=3, rate=0.1, held_out=0.2, **how)
+        return model.stages[-1], metrics.first(), importances
+
+    (a, x, given), (b, y, found) = trained(10**9, trees=12, subsample=1.0), trained(1, trees=12, subsample=1.0)
+    assert len(cells) == 1 and [t.toDebugString.split("\n")[1:] for t in b.trees][0] == [t.toDebugString.split("\n")[1:] for t in a.trees][0]
+    assert x.n == y.n and x.held_n == y.held_n and x.n + x.held_n == 4500
+    for one, other in [*zip(x, y, strict=True), *((given[k], found[k]) for k in given)]:
+        assert one == pytest.approx(other, rel=1e-6)
+    _, drawn, _ = trained(1, trees=12, subsample=0.5)
+    _, again, _ = trained(1, trees=12, subsample=0.5)
+    assert drawn == again and drawn.mae != y.mae and drawn.mae == pytest.approx(y.mae, rel=0.1)
+
+
+def test_each_row_is_drawn_by_itself(spark):
+    """Of 200 equal rows 160 are drawn in the mean, with the spread of single draws; a cell is neither whole nor gone."""
+    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+    cells = spark.range(400).selectExpr("id", "array(struct(1D as y, 150L as n), struct(3D as y, 50L as n)) as _labels").repartition(3)
+    schema = StructType([cells.schema["id"], *(StructField(c, ArrayType(DoubleType())) for c in ("_drawn", "_sum"))])
+    got = cells.mapInArrow(growth._draws(["id"], 5, 0.8, [42, 0]), schema).collect()
+    n, s = np.array([r._drawn for r in got]), np.array([r._sum for r in got])
+    assert n.shape == (400, 5) and len({r.id for r in got}) == 400
+    assert abs(n.mean() - 160) < 1 and abs(n.std() - 32**0.5) < 0.5 and n.min() > 120 and n.max() < 190
+    assert ((s - n) % 2 == 0).all() and abs(((s - n) / 2).mean() - 40) < 1
